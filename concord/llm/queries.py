@@ -9,7 +9,9 @@ from concord.llm.byte_bpe import default_bpe
 from concord.llm.decontaminate import Decontaminator
 from concord.llm.jaccard_join import JaccardJoin
 from concord.llm.language_id import LanguageProfiles
+from concord.llm.multi_index import MultiIndex
 from concord.llm.substring_dedup import SubstringDedup
+from concord.llm.url_filter import UrlFilter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +22,37 @@ def remainder(n: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+#: The rules of op2, in order.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return UrlFilter().apply(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP2_SQL = """
+WITH rules(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+       ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parsed AS (SELECT page_id,
+       translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+       regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+fits AS (SELECT p.page_id, r.host || r.path AS rule, r.verdict,
+       row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.host || r.path) DESC, length(r.host) DESC) AS place
+       FROM parsed p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+FROM parsed p LEFT JOIN fits f ON p.page_id = f.page_id AND f.place = 1
+"""
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = LanguageProfiles()
@@ -27,6 +60,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.predict(docs.select("doc_id", "text"), profiles).select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return MultiIndex().apply(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return default_bpe().digests(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
@@ -46,5 +83,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_removed", "removed_chars", "text", "spans")
 
 
-QUERIES = {f.__name__: f for f in (op3_language_id, op7_byte_bpe, op8_jaccard_join, op9_decontamination, op10_substring_dedup)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_url_filter, op3_language_id, op6_embedding_near_dedup, op7_byte_bpe, op8_jaccard_join, op9_decontamination, op10_substring_dedup)}
+ORACLE_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL}
