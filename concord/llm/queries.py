@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.llm.byte_bpe import default_bpe
+from concord.llm.common import materialise, shared_dir
 from concord.llm.decontaminate import Decontaminator
 from concord.llm.jaccard_join import JaccardJoin
 from concord.llm.language_id import LanguageProfiles
 from concord.llm.multi_index import MultiIndex
+from concord.llm.quotation import QuotationLinks
 from concord.llm.substring_dedup import SubstringDedup
+from concord.llm.token_counts import TokenRollup, deleted, inserted, revised
+from concord.llm.toxicity import KneserNeyToxicity
 from concord.llm.url_filter import UrlFilter
 
 
@@ -22,6 +28,49 @@ def remainder(n: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+#: Tokenizer versions of op1 as patterns of a token.
+TOKEN = {"words-1": r"[^ \t\n\r]+", "marks-2": r"[\p{L}\p{N}]+|[^\p{L}\p{N} \t\n\r]", "letters-2": r"[\p{L}\p{N}]+"}
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after four batches: all documents under two versions, the low-quality ones deleted, the toxic ones' second
+    counts revised to leave out marks; the third batch is committed twice."""
+    docs = table(spark, sf_dir, "documents")
+    counts = materialise(docs.select("doc_id", "source", "lang", *[F.coalesce(F.regexp_count("text", F.lit(p)), F.lit(0)).alias(v) for v, p in TOKEN.items()]), "counts")
+    labels = table(spark, sf_dir, "labels")
+
+    def version(rows: DataFrame, name: str, column: str) -> DataFrame:
+        return rows.select("source", "lang", F.lit(name).alias("tokenizer_version"), F.col(column).alias("tokens"))
+
+    poor = counts.join(labels.where("quality = 0").select("doc_id").distinct(), "doc_id", "left_semi")
+    toxic = counts.join(labels.where("toxic = 1 and quality = 1").select("doc_id").distinct(), "doc_id", "left_semi")
+    rollup = TokenRollup(spark, f"{shared_dir(spark).rstrip('/')}/rollup-{uuid.uuid4().hex}")
+    rollup.commit("load-words-1", inserted(version(counts, "words-1", "words-1")))
+    rollup.commit("load-marks-2", inserted(version(counts, "marks-2", "marks-2")))
+    gone = deleted(version(poor, "words-1", "words-1").unionByName(version(poor, "marks-2", "marks-2")))
+    for _ in range(2):
+        rollup.commit("drop-poor", gone)
+    rollup.compact()
+    rollup.commit("revise-toxic", revised(version(toxic, "marks-2", "marks-2"), version(toxic, "marks-2", "letters-2")))
+    return rollup.totals()
+
+
+OP1_SQL = r"""
+WITH counted AS (SELECT d.source, d.lang,
+       l.poor, l.toxic,
+       coalesce(len(regexp_extract_all(d.text, '[^ \t\n\r]+')), 0) AS w,
+       coalesce(len(regexp_extract_all(d.text, '[\p{L}\p{N}]+|[^\p{L}\p{N} \t\n\r]')), 0) AS m,
+       coalesce(len(regexp_extract_all(d.text, '[\p{L}\p{N}]+')), 0) AS p
+       FROM documents d LEFT JOIN (SELECT doc_id, bool_or(quality = 0) AS poor, bool_or(toxic = 1 AND quality = 1) AS toxic
+                                   FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id),
+kept AS (SELECT source, lang, 'words-1' AS tokenizer_version, w AS tokens FROM counted WHERE NOT coalesce(poor, false)
+         UNION ALL
+         SELECT source, lang, 'marks-2', CASE WHEN toxic THEN p ELSE m END FROM counted WHERE NOT coalesce(poor, false))
+SELECT source, lang, tokenizer_version, count(*)::BIGINT AS docs, sum(tokens)::BIGINT AS tokens
+FROM kept GROUP BY ALL
+"""
+
+
 #: The rules of op2, in order.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -60,6 +109,45 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.predict(docs.select("doc_id", "text"), profiles).select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = KneserNeyToxicity()
+    ratios, weights = model.fit(docs, table(spark, sf_dir, "labels").where(remainder(3) != 1).select("doc_id", "toxic"))
+    return model.score(docs, ratios, weights).select("doc_id", (remainder(3) == 1).alias("held_out"), "score", "predicted")
+
+
+def op5_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QuotationLinks().apply(table(spark, sf_dir, "conversations"))
+
+
+OP5_SQL = r"""
+WITH m AS (SELECT conv_id, turn, role, text, row_number() OVER () AS id FROM conversations),
+raw AS (SELECT m.id, conv_id, turn, u.pos, u.raw FROM m, LATERAL (SELECT unnest(l) AS raw, generate_subscripts(l, 1) AS pos
+        FROM (SELECT regexp_split_to_array(text, '\r?\n') AS l)) u WHERE text IS NOT NULL),
+lines AS (SELECT id, conv_id, turn, pos, len(regexp_replace(regexp_extract(raw, '^[ \t]*(?:>[ \t]*)+'), '[^>]', '', 'g')) AS level,
+          regexp_replace(raw, '^[ \t]*(?:>[ \t]*)+', '') AS line FROM raw),
+marked AS (SELECT *, CASE WHEN level = lag(level) OVER (PARTITION BY id ORDER BY pos) THEN 0 ELSE 1 END AS new FROM lines),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY id ORDER BY pos) AS run FROM marked),
+norm AS (SELECT id, conv_id, turn, pos, level, run, line, trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS n FROM runs),
+passages AS (SELECT id, conv_id, turn, run, any_value(level) AS level, string_agg(line, chr(10) ORDER BY pos) AS passage,
+             trim(regexp_replace(lower(string_agg(line, chr(10) ORDER BY pos)), '\s+', ' ', 'g')) AS whole,
+             arg_min(n, pos) FILTER (n <> '') AS first FROM norm GROUP BY id, conv_id, turn, run),
+offers AS (SELECT conv_id, turn, whole AS key FROM passages WHERE level = 0 UNION SELECT conv_id, turn, n FROM norm WHERE level = 0),
+links AS (SELECT p.id, p.run, max(a.turn) AS by_whole, max(b.turn) AS by_line FROM passages p
+          LEFT JOIN offers a ON a.conv_id = p.conv_id AND a.key = p.whole AND p.whole <> '' AND a.turn < p.turn
+          LEFT JOIN offers b ON b.conv_id = p.conv_id AND b.key = p.first AND p.first <> '' AND b.turn < p.turn
+          WHERE p.level = 1 GROUP BY p.id, p.run),
+replies AS (SELECT id, max(coalesce(by_whole, by_line)) AS reply_to FROM links GROUP BY id),
+up AS (SELECT conv_id, turn, max(reply_to) AS up FROM m JOIN replies USING (id) WHERE reply_to IS NOT NULL GROUP BY conv_id, turn),
+chain AS (WITH RECURSIVE c AS (SELECT conv_id, turn, up FROM up UNION ALL
+          SELECT c.conv_id, c.turn, u.up FROM c JOIN up u ON u.conv_id = c.conv_id AND u.turn = c.up) SELECT conv_id, turn, min(up) AS thread FROM c GROUP BY conv_id, turn),
+told AS (SELECT id, string_agg(passage, chr(10) ORDER BY run) FILTER (level = 0) AS body, count(*) FILTER (level > 0) AS n_quoted FROM passages GROUP BY id)
+SELECT m.conv_id, m.turn, m.role, CASE WHEN m.text IS NULL THEN NULL WHEN t.n_quoted = 0 THEN m.text ELSE coalesce(t.body, '') END AS body,
+       coalesce(t.n_quoted, 0) AS n_quoted, r.reply_to, coalesce(c.thread, m.turn) AS thread
+FROM m LEFT JOIN told t ON t.id = m.id LEFT JOIN replies r ON r.id = m.id LEFT JOIN chain c ON c.conv_id = m.conv_id AND c.turn = m.turn
+"""
+
+
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MultiIndex().apply(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
 
@@ -83,5 +171,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_removed", "removed_chars", "text", "spans")
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op3_language_id, op6_embedding_near_dedup, op7_byte_bpe, op8_jaccard_join, op9_decontamination, op10_substring_dedup)}
-ORACLE_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_url_filter, op3_language_id, op4_toxicity, op5_quotation_links, op6_embedding_near_dedup, op7_byte_bpe, op8_jaccard_join, op9_decontamination, op10_substring_dedup)}
+ORACLE_SQL: dict[str, str] = {"op1_token_counts": OP1_SQL, "op2_url_filter": OP2_SQL, "op5_quotation_links": OP5_SQL}
