@@ -39,6 +39,7 @@ SPARK_TYPES = {
     "integer.unsigned.24bit": T.IntegerType(),
     "integer.unsigned": T.LongType(),
     "integer.unsigned.64bit": T.DecimalType(20, 0),
+    "decimal": T.DecimalType(38, 18),
     "float": T.DoubleType(),
     "float.32bit": T.FloatType(),
     "mysql_specific": T.StringType(),
