@@ -17,6 +17,8 @@ from pyspark.sql.types import StructType
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Entries a task keeps in a cache keyed by word; then the cache starts anew.
 CACHE_WORDS = 400_000
+#: Combines word hashes in order.
+ODD = np.uint64(0xD6E8FEB86659FD93)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -116,7 +118,7 @@ def shingle_set(text: bytes | None, k: int, hashes: WordHashes) -> np.ndarray:
     n = len(words) - k + 1
     acc = h[:n].copy()
     for i in range(1, k):
-        acc = mix(acc, 1) + h[i : n + i]
+        acc = acc * ODD + h[i : n + i]
     return np.unique(mix(acc))
 
 

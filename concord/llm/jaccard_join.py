@@ -1,14 +1,16 @@
 """N-gram Jaccard join: prefix filtering under several global token orders, intersected before verification.
 
-A document's set holds its distinct k-word shingles.  Whatever the total order of all shingles, two sets
-with Jaccard similarity >= t share a shingle among the first n - ceil(t * n) + 1 of each.  Every order here
-puts frequent shingles last (a bounded list of heavy hitters) and ranks the rest by its own hash.
-
-Under each order, documents that share a prefix shingle are joined into clusters; the next order only looks
-within the clusters of those before it, so a cluster holds documents that may be similar under all orders.
-No pair is written: a shared prefix shingle links each holder to the smallest one.  Members of a cluster are
-then verified exactly against each other, cluster by cluster; large clusters are cut into pairs of blocks
-which are spread over tasks, and each task returns per-document counts and a spanning forest, not pairs.
+A document's set holds its distinct k-word shingles.  Whatever the total order of all shingles, two sets with Jaccard
+similarity >= t share a shingle among the first n - ceil(t * n) + 1 of each.  All orders here begin with a fixed share of
+the shingles (by hash) whose document counts are gathered, the rarest first; they differ in how finely counts are told
+apart and in the hash that breaks ties.  Shingles without counts follow, and a bounded list of very frequent ones comes
+last.  A document whose rarest shingles are its own alone has an empty prefix and drops out.
+
+Under each order, documents that share a prefix shingle are joined into clusters; the next order only looks within the
+clusters of those before it, so a cluster holds documents that may be similar under all orders.  No pair is written: a
+shared prefix shingle links each holder to the smallest one.  Members of a cluster are then verified exactly against each
+other; large clusters are cut into pairs of blocks which are spread over tasks, and each task returns per-document
+counts and a spanning forest, not pairs.
 """
 
 from __future__ import annotations
@@ -23,117 +25,189 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concord.llm.common import WordHashes, by_key, connected_components, materialise, mix, pieces, shingle_set
+from concord.llm.url_filter import build_level
 
 
 @dataclass(frozen=True)
 class JaccardJoin:
-    """k: words in a shingle.  percent: similarity in hundredths.  orders: global orders to intersect.
-    frequent: a shingle in more than this share of the texts of some stretch of input is a heavy hitter.
+    """k: words in a shingle.  percent: similarity in hundredths.  frequent: a shingle in more than this share of the texts of some stretch of input is a heavy hitter.
     block: documents in a verification block."""
 
     k: int = 5
     percent: int = 80
-    orders: int = 2
     frequent: float = 1 / 200
     block: int = 256
 
     def prefix(self, n: int) -> int:
         return n - -(-n * self.percent // 100) + 1
 
-    # -- heavy hitters ---------------------------------------------------------------------------
+    # -- signatures ------------------------------------------------------------------------------
 
-    def heavy_hitters(self, texts: DataFrame) -> np.ndarray:
-        """Hashes of the shingles that are in more than `frequent` of all texts.
+    def signatures(self, docs: DataFrame) -> DataFrame:
+        """(doc_id, n, digest, h, c): set size and 128-bit digest of the set; and, in rows without doc_id, shingles that are in
+        more than `frequent` of the texts of some stretch of input, with their counts there.
 
-        A shingle that is this frequent overall is so in some stretch of input, and a stretch has at most
-        (mean set size / frequent) of them, so stretches send little and the list is bounded whatever the
-        corpus holds.  It only shapes the token orders; results do not depend on it.
+        A shingle that is this frequent overall is so in some stretch, and a stretch has at most (mean set size / frequent)
+        of them, so that little is sent whatever the corpus holds.
         """
         k, share = self.k, self.frequent
+        kinds = {"doc_id": pa.int64(), "n": pa.int64(), "digest": pa.binary(), "h": pa.int64(), "c": pa.int64()}
 
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hashes, sets, words, docs = WordHashes(), [], 0, 0
+        def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hashes, sets, words = WordHashes(), [], 0
+
+            def rows(count: int, **given) -> pa.RecordBatch:
+                return pa.RecordBatch.from_pydict({c: pa.array(given[c], t) if c in given else pa.nulls(count, t) for c, t in kinds.items()})
 
             def flush() -> pa.RecordBatch:
-                h, c = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64), np.empty(0, np.int64))
-                few = c >= max(3, share * docs)
-                return pa.RecordBatch.from_pydict({"h": pa.array(h[few].view(np.int64)), "c": pa.array(c[few].astype(np.int64)), "docs": pa.array(np.zeros(few.sum(), np.int64))})
+                h, c = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_counts=True)
+                few = c >= max(3, share * len(sets))
+                return rows(int(few.sum()), h=h[few].view(np.int64), c=c[few].astype(np.int64))
 
             for batch in batches:
                 for piece in pieces(batch):
-                    for text in piece.column(0).to_pylist():
-                        s = shingle_set(text, k, hashes)
-                        sets.append(s)
-                        words += len(s)
-                        docs += 1
+                    held = [shingle_set(text, k, hashes) for text in piece.column(1).to_pylist()]
+                    yield rows(len(held), doc_id=piece.column(0), n=[len(s) for s in held], digest=[xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in held])
+                    sets += held
+                    words += sum(map(len, held))
                     if words > 1_500_000:
                         yield flush()
-                        yield pa.RecordBatch.from_pydict({"h": pa.array([None], pa.int64()), "c": pa.array([0]), "docs": pa.array([docs])})
-                        sets, words, docs = [], 0, 0
+                        sets, words = [], 0
             yield flush()
-            yield pa.RecordBatch.from_pydict({"h": pa.array([None], pa.int64()), "c": pa.array([0]), "docs": pa.array([docs])})
 
-        found = texts.mapInArrow(count, "h long, c long, docs long").groupBy("h").agg(F.sum("c").alias("c"), F.sum("docs").alias("docs"))
-        found = materialise(found, "frequent")
-        total = found.where("h is null").agg(F.sum("docs")).first()[0] or 0
-        rows = found.where(F.col("h").isNotNull() & (F.col("c") >= max(3, share * total))).select("h").toPandas()
-        return np.sort(rows["h"].to_numpy(np.int64).view(np.uint64))
+        return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).mapInArrow(sign, "doc_id long, n long, digest binary, h long, c long")
 
-    # -- signatures ------------------------------------------------------------------------------
+    def heavy_hitters(self, signed: DataFrame) -> np.ndarray:
+        """Shingles in more than `frequent` of all texts; they only shape the orders, results do not depend on them."""
+        total = signed.where("doc_id is not null").count()
+        found = signed.where("doc_id is null").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= max(3, self.frequent * total))
+        return np.sort(found.select("h").toPandas()["h"].to_numpy(np.int64).view(np.uint64))
 
-    def signatures(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, n, digest, p0, p1, ...): set size, 128-bit digest of the set, prefix shingles by order."""
-        k, orders, prefix = self.k, self.orders, self.prefix
-        texts = docs.select(F.col("text").cast("binary").alias("text"))
-        frequent = self.heavy_hitters(texts)
-        high = np.uint64(1 << 63)
+    # -- prefixes --------------------------------------------------------------------------------
 
-        def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def prefixes(self, docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+        """(doc_id, p0, p1): the shared shingles of a document's prefix, by order; documents without any are left out.
+
+        Three steps: shingles go to buckets of shingles, where those of one document alone are dropped; the others go back to
+        buckets of documents with their counts, where each document's rarest are taken.  All rows are packed arrays.  Of equal
+        sets in one piece of input, only the least document takes part.
+        """
+        k, prefix = self.k, self.prefix
+        buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        counted = np.uint64(1)  # shingles whose hash ends in a zero bit are counted; in two, where prefixes are short
+        if self.percent >= 85:
+            counted = np.uint64(3)
+        sent_schema = "bucket int, info boolean, a binary, b binary, c binary"
+
+        def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = WordHashes()
             for batch in batches:
-                for piece in pieces(batch):
-                    sizes, digests, tokens = [], [], [[] for _ in range(orders)]
-                    for text in piece.column(1).to_pylist():
+                for piece in pieces(batch, 12 << 20):
+                    sets: dict[bytes, tuple[int, np.ndarray]] = {}
+                    for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
                         s = shingle_set(text, k, hashes)
-                        sizes.append(len(s))
-                        digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                        at = np.searchsorted(frequent, s) if len(frequent) else None
-                        known = frequent[np.minimum(at, len(frequent) - 1)] == s if at is not None else False
-                        p = prefix(len(s)) if len(s) else 0
-                        for o in range(orders):
-                            rank = (mix(s, o + 1) >> np.uint64(1)) | np.where(known, high, np.uint64(0))
-                            first = np.argpartition(rank, p - 1)[:p] if p < len(s) else slice(None)
-                            tokens[o].append(s[first].view(np.int64))
-                    out = {"doc_id": piece.column(0), "n": pa.array(sizes, pa.int64()), "digest": pa.array(digests, pa.binary())}
-                    for o in range(orders):
-                        ends = np.cumsum([0, *map(len, tokens[o])]).astype(np.int32)
-                        out[f"p{o}"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(tokens[o]) if tokens[o] else np.empty(0, np.int64)))
-                    yield pa.RecordBatch.from_pydict(out)
-
-        schema = "doc_id long, n long, digest binary, " + ", ".join(f"p{o} array<long>" for o in range(orders))
-        return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).mapInArrow(sign, schema)
+                        if len(s):
+                            key = xxhash.xxh3_128_digest(s.tobytes())
+                            if key not in sets or doc < sets[key][0]:
+                                sets[key] = (doc, s)
+                    ids, tokens, sizes, need = [], [], [], []
+                    for doc, s in sets.values():
+                        p = prefix(len(s))
+                        rare = np.ones(len(s), bool)
+                        if len(frequent):
+                            rare = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] != s
+                        first = ((s & counted) == 0) & rare
+                        own = s[first]
+                        if len(own) < p:  # uncounted ones follow, the very frequent last
+                            rest = s[~first]
+                            order = np.lexsort((mix(rest, 1), ~rare[~first]))
+                            own = np.concatenate((own, rest[order[: p - len(own)]]))
+                        ids.append(doc)
+                        tokens.append(own)
+                        sizes.append(len(own))
+                        need.append(p)
+                    if ids:
+                        ids, token = np.array(ids, np.int64), np.concatenate(tokens)
+                        yield packed((ids % buckets).astype(np.int32), True, ids, np.array(sizes, np.int64), np.array(need, np.int64))
+                        yield packed((mix(token, 5) % np.uint64(buckets)).astype(np.int32), False, np.repeat(ids, sizes), token.view(np.int64), None)
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            docs_of, tokens = [], []
+            for batch in batches:
+                for bucket, info, a, b, c in zip(*[batch.column(i).to_pylist() for i in range(5)]):
+                    if info:
+                        yield pa.RecordBatch.from_pydict({"bucket": pa.array([bucket], pa.int32()), "info": pa.array([True]), "a": pa.array([a], pa.binary()), "b": pa.array([b], pa.binary()), "c": pa.array([c], pa.binary())})
+                    else:
+                        docs_of.append(np.frombuffer(a, np.int64))
+                        tokens.append(np.frombuffer(b, np.int64))
+            doc, token = (np.concatenate([np.empty(0, np.int64), *x]) for x in (docs_of, tokens))
+            order = np.argsort(token, kind="stable")
+            doc, token = doc[order], token[order]
+            new = np.flatnonzero(np.concatenate(([True], np.diff(token) != 0))[: len(token)])
+            n = np.diff(np.concatenate((new, [len(token)])))
+            n = np.repeat(n, n)
+            many = n > 1
+            doc, token, n = doc[many], token[many], n[many]
+            order = np.argsort(doc, kind="stable")
+            yield packed((doc[order] % buckets).astype(np.int32), False, doc[order], token[order], n[order])
+
+        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sent: dict[int, tuple[int, int]] = {}
+            parts: list[list[np.ndarray]] = [[], [], []]
+            for batch in batches:
+                for info, *columns in zip(*[batch.column(i).to_pylist() for i in range(1, 5)]):
+                    a, b, c = (np.frombuffer(x, np.int64) for x in columns)
+                    if info:
+                        for doc, size, p in zip(a.tolist(), b.tolist(), c.tolist()):
+                            sent[doc] = (max(size, sent.get(doc, (0, 0))[0]), max(p, sent.get(doc, (0, 0))[1]))
+                    else:
+                        for held, x in zip(parts, (a, b, c)):
+                            held.append(x)
+            doc, token, n = (np.concatenate([np.empty(0, np.int64), *x]) for x in parts)
+            order = np.argsort(doc, kind="stable")
+            doc, token, n = doc[order], token[order], n[order]
+            at = np.flatnonzero(np.concatenate(([True], np.diff(doc) != 0))[: len(doc)]).tolist()
+            out: list[list] = [[], [], []]
+            for s, e in zip(at, [*at[1:], len(doc)]):
+                size, p = sent[int(doc[s])]
+                t, m = token[s:e].view(np.uint64), n[s:e]
+                left = p - (size - (e - s))  # after the shingles that are its own alone
+                if left <= 0:
+                    continue
+                uncounted = (t & counted) != 0
+                out[0].append(int(doc[s]))
+                out[1].append(t[np.lexsort((mix(t, 1), m, uncounted))[:left]].view(np.int64))
+                out[2].append(t[np.lexsort((mix(t, 2), np.frexp(m)[1], uncounted))[:left]].view(np.int64))
+                if len(out[0]) >= 5_000:
+                    yield pa.RecordBatch.from_pydict(dict(zip(("doc_id", "p0", "p1"), (pa.array(out[0], pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in out[1:])))))
+                    out = [[], [], []]
+            yield pa.RecordBatch.from_pydict(dict(zip(("doc_id", "p0", "p1"), (pa.array(out[0], pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in out[1:])))))
+
+        texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
+        sent = texts.mapInArrow(scatter, sent_schema).repartition(buckets, "bucket").mapInArrow(count, sent_schema)
+        return sent.repartition(buckets, "bucket").mapInArrow(choose, "doc_id long, p0 array<long>, p1 array<long>")
 
     # -- clusters --------------------------------------------------------------------------------
 
-    def clusters(self, classes: DataFrame) -> DataFrame:
+    def clusters(self, prefixes: DataFrame) -> DataFrame:
         """(doc_id, cluster): documents that may be similar to another one under every order."""
-        inside = classes.select("doc_id", F.lit(0).cast("long").alias("cluster"), *[f"p{o}" for o in range(self.orders)])
-        for o in range(self.orders):
-            held = inside.select("cluster", "doc_id", F.explode(f"p{o}").alias("token"))
-            shared = held.groupBy("cluster", "token").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
-            links = held.join(shared, ["cluster", "token"]).where("doc_id <> first").select(F.col("doc_id").alias("u"), F.col("first").alias("v"))
-            found = connected_components(links).withColumnRenamed("id", "doc_id")
-            inside = inside.drop("cluster").join(found.withColumnRenamed("component", "cluster"), "doc_id")
-        return inside.select("doc_id", "cluster")
+        found = None
+        for o in range(2):
+            inside = prefixes.select("doc_id", F.col(f"p{o}").alias("tokens"))
+            inside = inside.withColumn("cluster", F.lit(0).cast("long")) if found is None else inside.join(found, "doc_id")
+            found = materialise(connected_components(stars(inside.select("doc_id", "cluster", "tokens"))).select(F.col("id").alias("doc_id"), F.col("component").alias("cluster")), "clusters")
+        return found
 
     # -- verification ----------------------------------------------------------------------------
 
-    def verify(self, docs: DataFrame, classes: DataFrame, clusters: DataFrame) -> DataFrame:
+    def verify(self, docs: DataFrame, copies: DataFrame, clusters: DataFrame) -> DataFrame:
         """(doc_id, root, links): per task and document, documents linked to it and the least id of its links' closure."""
         k, percent, block = self.k, self.percent, self.block
-        blocks = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-        member = clusters.join(blocks, "cluster").join(classes.select("doc_id", "copies"), "doc_id").withColumn("b", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-        rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).join(member, "doc_id")
+        clusters = materialise(clusters.join(copies.groupBy(F.col("first").alias("doc_id")).agg(F.max("copies").alias("copies")), "doc_id"), "members")
+        blocks = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.count("*").alias("members")).where("members > 1").drop("members")
+        member = clusters.join(blocks, "cluster").withColumn("b", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+        texts = likely(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")), clusters.select("doc_id"))
+        rows = texts.join(member, "doc_id")
         rows = rows.withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
         rows = rows.select("cluster", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "doc_id", "copies", "text")
         rows = rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
@@ -170,16 +244,12 @@ class JaccardJoin:
         reachability.  A row without doc_id links with nothing and has no component.  Other columns are ignored.
         """
         known = docs.where("doc_id is not null")
-        signed = materialise(self.signatures(known), "signatures")
-        tokens = [f"p{o}" for o in range(self.orders)]
+        every = materialise(self.signatures(known), "signatures")
+        signed = every.where("doc_id is not null").select("doc_id", "n", "digest")
+        prefixes = materialise(self.prefixes(known, self.heavy_hitters(every)), "prefixes")
         full = signed.where("n > 0")
         copies = full.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-        classes = materialise(
-            full.join(copies.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("first")))
-            .groupBy("doc_id").agg(F.max("copies").alias("copies"), *[F.array_distinct(F.flatten(F.collect_list(t))).alias(t) for t in tokens]),
-            "classes",
-        )
-        found = materialise(self.verify(known, classes, materialise(self.clusters(classes), "clusters")), "links")
+        found = materialise(self.verify(known, copies, self.clusters(prefixes)), "links")
         linked = found.groupBy("doc_id").agg(F.sum("links").alias("links"))
         component = connected_components(found.select(F.col("doc_id").alias("u"), F.col("root").alias("v")))
         first = copies.join(linked.withColumnRenamed("doc_id", "first"), "first", "left").join(component.withColumnRenamed("id", "first"), "first", "left")
@@ -207,6 +277,78 @@ class JaccardJoin:
         return sized.select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id"))
 
 
+def stars(held: DataFrame) -> DataFrame:
+    """(u, v): every document with the least document of those that share a token with it in its cluster, by token.
+
+    Documents of one stretch that share a token are linked at once, and only the least of them goes on, so a token brings
+    each bucket at most one row per stretch.  Rows go to buckets of tokens as packed arrays.
+    """
+    buckets = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def stretch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch):
+                lists = piece.column(2)
+                sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                doc = np.repeat(piece.column(0).to_numpy(), sizes)
+                token = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                token = mix(token) ^ mix(np.repeat(piece.column(1).to_numpy(), sizes).view(np.uint64), 3)
+                order = np.lexsort((doc, token))
+                doc, token = doc[order], token[order]
+                new = np.concatenate(([True], np.diff(token) != 0))[: len(token)]
+                first = doc[new][np.cumsum(new) - 1] if len(doc) else doc
+                near = np.unique(np.stack((doc, first), 1)[doc != first], axis=0)
+                yield packed((near[:, 0] % buckets).astype(np.int32), True, near[:, 0], near[:, 1], None)
+                yield packed((token[new] % np.uint64(buckets)).astype(np.int32), False, token[new].view(np.int64), doc[new], None)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, docs = [], []
+        for batch in batches:
+            for linked, a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                a, b = np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)
+                if linked:
+                    yield pa.RecordBatch.from_pydict({"u": pa.array(a), "v": pa.array(b)})
+                else:
+                    tokens.append(a)
+                    docs.append(b)
+        token, doc = (np.concatenate([np.empty(0, np.int64), *x]) for x in (tokens, docs))
+        order = np.lexsort((doc, token))
+        doc, token = doc[order], token[order]
+        new = np.concatenate(([True], np.diff(token) != 0))[: len(token)]
+        first = doc[new][np.cumsum(new) - 1] if len(doc) else doc
+        near = np.unique(np.stack((doc, first), 1)[doc != first], axis=0)
+        yield pa.RecordBatch.from_pydict({"u": pa.array(near[:, 0]), "v": pa.array(near[:, 1])})
+
+    sent = held.mapInArrow(stretch, "bucket int, info boolean, a binary, b binary, c binary").repartition(buckets, "bucket")
+    return sent.mapInArrow(gather, "u long, v long")
+
+
+def packed(bucket: np.ndarray, info: bool, a: np.ndarray, b: np.ndarray, c: np.ndarray | None) -> pa.RecordBatch:
+    """A row per bucket with its parts of the arrays as bytes, in their order."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    at = np.flatnonzero(np.concatenate(([True], np.diff(bucket) != 0))[: len(bucket)]).tolist()
+    cut = list(zip(at, [*at[1:], len(bucket)]))
+    part = lambda x: pa.array([None if x is None else y[s:e].tobytes() for y in [None if x is None else x[order]] for s, e in cut], pa.binary())
+    return pa.RecordBatch.from_pydict({"bucket": pa.array([int(bucket[s]) for s, _ in cut], pa.int32()), "info": pa.array([info] * len(cut), pa.bool_()), "a": part(a), "b": part(b), "c": part(c)})
+
+
+def likely(docs: DataFrame, ids: DataFrame, most_bits: int = 1 << 28) -> DataFrame:
+    """Rows of docs whose first column (long) may be among `ids`: a Bloom filter of at most `most_bits`, which a longer
+    list fills more densely, so that it lets more rows through but never loses one."""
+    keys = ids.select(F.col(ids.columns[0]).cast("string").alias("key"), F.col(ids.columns[0]).alias("a"), F.col(ids.columns[0]).alias("b"))
+    level = build_level(keys, max(1, min(keys.count(), most_bits // 10)), 1 / 64, 11)
+    sent = docs.sparkSession.sparkContext.broadcast(level)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch):
+                x = piece.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+                yield piece.filter(pa.array(sent.value.holds(x, x)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def similar(sets: list[np.ndarray], percent: int, columns: int = 16_384) -> np.ndarray:
     """Which sets have 100 * |intersection| >= percent * |union|; no set is similar to itself or to an empty one."""
     sizes = np.array([len(s) for s in sets], np.int64)
