@@ -1,7 +1,8 @@
 """Substring dedup: hash units of lines, keep the earliest ranked occurrence of each digest, remove the rest.
 
 Lines are cut into sentences; the unit that starts at a sentence is the shortest stretch of whole sentences
-with at least `min_words` words, so a repeated passage is found wherever in a line it stands.  Units are
+with at least `min_words` words, so a repeated passage is found wherever in a line it stands (the sentence it begins
+within, and a short one it ends with, may stay).  Units are
 normalised (lower case, single blanks) and grouped by a 128-bit digest over the whole corpus.  The rank of an
 occurrence is (doc_id, start); all but the first are removed, by their offsets in the original text.
 """
