@@ -176,7 +176,7 @@ class ByteBPE:
                     ids = [[i for w in map(cache.__getitem__, find(t)) for i in w] if t else [] for t in piece.column(piece.num_columns - 1).to_pylist()]
                     yield pa.RecordBatch.from_arrays([*piece.columns[:-1], *finish(ids, pieces_of)], [*piece.schema.names[:-1], *names])
 
-        return docs.withColumn("_text", F.col("text").cast("string")).mapInArrow(run, extend(docs.schema, kinds))
+        return docs.withColumn("__concord_text", F.col("text").cast("string")).mapInArrow(run, extend(docs.schema, kinds))
 
 
 class Merged(dict):

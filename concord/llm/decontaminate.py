@@ -229,12 +229,11 @@ class Decontaminator:
         of docs too and `clean`, the text without its spans.
 
         spans: merged [start, end) word positions.  Null or wordless texts have no words and are clean.  Items without
-        words or text match nothing; repeated rows are judged alike.  Columns of docs that clash with a result column
-        are refused.
+        words or text match nothing; repeated rows are judged alike.  Columns of docs named like a result are
+        replaced.
         """
-        own = docs.columns if texts else ["doc_id"]
-        if clash := {"n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "clean", "_text"} & {c.lower() for c in own}:
-            raise ValueError(f"columns {sorted(clash)} clash with results")
+        results = {"n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "clean"}
+        own = [c for c in docs.columns if c.lower() not in results] if texts else ["doc_id"]
         blocks, most = self.blocks(benchmark), self.shard_words
         names = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"] + ["clean"] * texts
 
@@ -269,6 +268,6 @@ class Decontaminator:
                         out.append(pa.array([None if t is None else cut(t, s).decode("utf-8", "replace") if s else t.decode("utf-8", "replace") for t, s in zip(raw, spans)], pa.string()))
                     yield pa.RecordBatch.from_arrays([*piece.columns[:-1], *out], [*own, *names])
 
-        given = docs.select(*own, F.col("text").cast("binary").alias("_text"))
+        given = docs.select(*own, F.col("text").cast("binary").alias("__concord_text"))
         kinds = ["long", "long", "long", "string", "boolean", "array<struct<start: long, end: long>>", "string"]
         return given.mapInArrow(judge, extend(docs.select(*own).schema, ", ".join(f"{n} {k}" for n, k in zip(names, kinds))))

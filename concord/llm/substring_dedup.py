@@ -105,8 +105,8 @@ class SubstringDedup:
         """
         results = ["n_removed", "removed_chars", "spans"]
         docs = docs.drop(*results)
-        gone = self.removals(docs).withColumnsRenamed({"doc_id": "_doc", "spans": "_spans"})
-        marked = docs.join(gone, docs["doc_id"] == gone["_doc"], "left").drop("_doc")
+        gone = self.removals(docs).withColumnsRenamed({"doc_id": "__concord_doc", "spans": "__concord_spans"})
+        marked = docs.join(gone, docs["doc_id"] == gone["__concord_doc"], "left").drop("__concord_doc")
         names, at = docs.columns, docs.columns.index("text")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,8 +26,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the least doc_id.  Rows without doc_id stay."""
     found = JaccardJoin(k=5, percent=80).apply(docs.select("doc_id", "text"))
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    stays = docs.join(kept, docs["doc_id"] == kept["_id"]).drop("_id").dropDuplicates(["doc_id"])
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__concord_id")).distinct()
+    stays = docs.join(kept, docs["doc_id"] == kept["__concord_id"]).drop("__concord_id").dropDuplicates(["doc_id"])
     return stays.unionByName(docs.where("doc_id is null"))
 
 
