@@ -18,19 +18,32 @@ from concord.llm.common import CACHE_WORDS, extend, pieces
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+class GramHashes(dict):
+    """n-gram -> 32-bit hash."""
+
+    def __missing__(self, gram: str) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        h = self[gram] = zlib.crc32(gram.encode("utf-8", "replace"))
+        return h
+
+
 class WordGrams(dict):
     """Word -> hashes of its n-grams (the word padded by one blank on each side), remembered within a task."""
 
     def __init__(self, longest: int):
         super().__init__()
-        self.longest = longest
+        self.longest, self.hashes = longest, GramHashes()
 
     def __missing__(self, word: str) -> np.ndarray:
         if len(self) >= CACHE_WORDS // 4:
             self.clear()
         padded = f" {word} "
-        grams = [padded[i : i + n] for n in range(1, self.longest + 1) for i in range(len(padded) - n + 1)]
-        h = self[word] = np.array([zlib.crc32(g.encode("utf-8", "replace")) for g in grams if g != " "], np.uint32)
+        hashes, size = self.hashes, len(padded)
+        grams = [hashes[c] for c in word]
+        for n in range(2, self.longest + 1):
+            grams += [hashes[padded[i : i + n]] for i in range(size - n + 1)]
+        h = self[word] = np.array(grams, np.uint32)
         return h
 
 
@@ -41,14 +54,19 @@ def gram_counts(text: str | None, grams: WordGrams) -> tuple[np.ndarray, np.ndar
         return np.empty(0, np.uint32), np.empty(0, np.int64)
     lists = [grams[w] for w in words]
     times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), np.fromiter(map(len, lists), np.int64, len(lists)))
-    order = np.argsort(all_grams := np.concatenate(lists), kind="stable")
-    first = np.flatnonzero(np.concatenate(([True], np.diff(all_grams[order]) != 0)))
-    return all_grams[order][first], np.add.reduceat(times[order], first)
+    pair = np.sort((np.concatenate(lists).astype(np.uint64) << np.uint64(32)) | times.astype(np.uint64))
+    h = pair >> np.uint64(32)
+    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    return h[first].astype(np.uint32), np.add.reduceat((pair & np.uint64(2**32 - 1)).astype(np.int64), first)
 
 
 def ranked(hashes: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
     """The most frequent grams, most frequent first; ties by hash."""
-    return hashes[np.lexsort((hashes, -counts))[:size]]
+    most = int(counts.max(initial=0))
+    key = ((most - counts).astype(np.uint64) << np.uint64(32)) | hashes.astype(np.uint64)
+    if len(key) > size:
+        key = np.partition(key, size)[:size]
+    return np.sort(key).astype(np.uint32)
 
 
 @dataclass(frozen=True)
@@ -121,7 +139,7 @@ class LanguageProfiles:
                         [*piece.schema.names[:-1], "lang_pred", "score"],
                     )
 
-        given = docs.withColumn("_text", F.col("text").cast("string"))
+        given = docs.withColumn("__concord_text", F.col("text").cast("string"))
         return given.mapInArrow(run, extend(docs.schema, "lang_pred string, score double"))
 
     def accept(self, judged: DataFrame) -> DataFrame:
