@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.llm.common import extend, pieces
+from concord.llm.common import extend, materialise, pieces
 
 SENTENCE = re.compile(r"[^\n.!?]*[.!?]+|[^\n.!?]+")
 SPANS = "array<struct<start: int, end: int>>"
@@ -65,9 +65,12 @@ def without(text: str, spans: list[tuple[int, int]]) -> tuple[str, list[tuple[in
 
 @dataclass(frozen=True)
 class SubstringDedup:
-    """min_words: words a unit has at least; shorter repeats stay."""
+    """min_words: words a unit has at least; shorter repeats stay.  hot: a digest that holds more than 1 / hot of all repeated
+    units (there are fewer than `hot` of these) is joined in `salts` parts."""
 
     min_words: int = 10
+    hot: int = 1_000
+    salts: int = 64
 
     def occurrences(self, docs: DataFrame) -> DataFrame:
         """(hi, lo, doc_id, start, end) of every unit."""
@@ -92,9 +95,15 @@ class SubstringDedup:
     def removals(self, docs: DataFrame) -> DataFrame:
         """(doc_id, spans): what to remove, one row per document that has anything."""
         found = self.occurrences(docs)
-        repeated = found.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max(F.struct("doc_id", "start")).alias("last")).where("first <> last")
-        repeated = repeated.select("hi", "lo", F.col("first.doc_id").alias("d"), F.col("first.start").alias("s"))
-        later = found.join(repeated, ["hi", "lo"]).where("doc_id <> d or start <> s")
+        place = F.struct("doc_id", "start")
+        groups = found.groupBy("hi", "lo").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n")).where("first <> last")
+        repeated = materialise(groups.select("hi", "lo", F.col("first.doc_id").alias("d"), F.col("first.start").alias("s"), "n"), "repeated")
+        is_hot = F.col("n") * self.hot > (repeated.agg(F.sum("n")).first()[0] or 0)
+        salted = repeated.withColumn("salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(self.salts - 1))).otherwise(F.array(F.lit(0))))).drop("n")
+        hot = repeated.where(is_hot).select("hi", "lo", F.lit(True).alias("is_hot"))  # fewer than self.hot rows
+        salt = F.when(F.col("is_hot"), F.pmod(F.xxhash64("doc_id", "start"), F.lit(self.salts)).cast("int")).otherwise(0)
+        dealt = found.join(F.broadcast(hot), ["hi", "lo"], "left").withColumn("salt", salt).drop("is_hot")
+        later = dealt.join(salted, ["hi", "lo", "salt"]).where("doc_id <> d or start <> s")
         return later.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
     def apply(self, docs: DataFrame) -> DataFrame:

@@ -139,6 +139,16 @@ def test_substring_dedup(spark):
     assert SubstringDedup().apply(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_substring_dedup_of_hot_units(spark):
+    hot, rare = prose(12) + ".", prose(12) + "."
+    docs = [(i, f"{prose(12)}.\n{hot}\n{hot}" + f"\n{rare}" * (i % 50 == 7)) for i in range(200)]
+    df = spark.createDataFrame(docs, DOCS)
+    got = {hot_in: sorted(map(tuple, SubstringDedup(hot=hot_in, salts=5).apply(df).select("doc_id", "text").collect())) for hot_in in (1, 2, 1_000)}
+    assert got[1] == got[2] == got[1_000]
+    for (d, text), (_, before) in zip(got[2], docs):
+        assert text.count(hot) == (d == 0) and text.count(rare) == (d == 7) and text.startswith(before.split("\n")[0])
+
+
 def test_language_profiles(spark):
     rng = random.Random(3)
     make = {"xx": "aeiou", "yy": "bcdfg", "zz": "äöüßé"}
