@@ -1,8 +1,10 @@
 """Substring dedup: hash units of lines, keep the earliest ranked occurrence of each digest, remove the rest.
 
 Lines are cut into sentences; the unit that starts at a sentence is the shortest stretch of whole sentences
-with at least `min_words` words, so a repeated passage is found wherever in a line it stands (the sentence it begins
-within, and a short one it ends with, may stay).  Units are
+with at least `min_words` words.  Passages that share no whole sentence are found by runs of window // 2 + 1 words: of
+each `window` consecutive words the run with the least hash is a unit too, wherever sentences and lines end, so two places
+with the same `window` words hold a common run (winnowing).  Runs found in a longer passage leave no gap; fewer than
+window // 2 words at either end may stay.  In scripts written without blanks each character is a word.  Units are
 normalised (lower case, single blanks) and grouped by a 128-bit digest over the whole corpus.  The rank of an
 occurrence is (doc_id, start); all but the first are removed, by their offsets in the original text.
 """
@@ -12,16 +14,22 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.llm.common import extend, materialise, pieces
+from concord.llm.common import ODD, WordHashes, extend, materialise, mix, pieces
 
-SENTENCE = re.compile(r"[^\n.!?]*[.!?]+|[^\n.!?]+")
+SENTENCE = re.compile(r"[^\n.!?。！？।॥]*[.!?。！？।॥]+|[^\n.!?。！？।॥]+")
+#: Scripts without blanks between words: Thai, Lao, Myanmar, Khmer, kana, Han.
+BARE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+UNSPACED = re.compile(f"[{BARE}]")
+WORD = re.compile(f"[{BARE}]|[^\\s{BARE}]+")
 SPANS = "array<struct<start: int, end: int>>"
 
 
@@ -29,21 +37,42 @@ def units(text: str | None, min_words: int) -> Iterator[tuple[int, int, bytes]]:
     """(start, end, normalised unit) of a whole text; offsets in characters, without surrounding blanks."""
     if not text:
         return
-    parts = []
+    parts, bare = [], UNSPACED.search(text)
     for m in SENTENCE.finditer(text):
         words = m.group().lower().split()
         if words:
             lead = len(m.group()) - len(m.group().lstrip())
-            parts.append((m.start() + lead, m.end(), words))
+            parts.append((m.start() + lead, m.end(), words, len(WORD.findall(m.group())) if bare else len(words)))
     end, held = 0, 0
-    for start, (at, _, words) in enumerate(parts):
+    for start, (at, _, _, size) in enumerate(parts):
         while end < len(parts) and held < min_words:
-            held += len(parts[end][2])
+            held += parts[end][3]
             end += 1
         if held < min_words:
             return
         yield at, parts[end - 1][1], b" ".join(w.encode("utf-8", "replace") for p in parts[start:end] for w in p[2])
-        held -= len(words)
+        held -= size
+
+
+def runs(text: str | None, window: int, hashes: WordHashes) -> Iterator[tuple[int, int, bytes]]:
+    """(start, end, normalised run) of the runs of window // 2 + 1 words that have the least hash of a window."""
+    if not text or window < 1:
+        return
+    low = text.lower()
+    words = [w.encode("utf-8", "replace") for w in (WORD.findall(low) if UNSPACED.search(low) else low.split())]
+    if len(words) < window:
+        return
+    size = window // 2 + 1
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    n = len(words) - size + 1
+    acc = h[:n].copy()
+    for i in range(1, size):
+        acc = acc * ODD + h[i : n + i]
+    width = window - size + 1
+    least = np.unique(np.arange(width - 1, n) - sliding_window_view(mix(acc), width)[:, ::-1].argmin(1))  # of equal ones the last
+    places = [m.span() for m in WORD.finditer(text)]
+    for i in least.tolist():
+        yield places[i][0], places[i + size - 1][1], b" ".join(words[i : i + size])
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]]]:
@@ -65,23 +94,26 @@ def without(text: str, spans: list[tuple[int, int]]) -> tuple[str, list[tuple[in
 
 @dataclass(frozen=True)
 class SubstringDedup:
-    """min_words: words a unit has at least; shorter repeats stay.  hot: a digest that holds more than 1 / hot of all repeated
+    """min_words: words a unit of sentences has at least; shorter repeats stay.  window: words that no two places have in
+    common afterwards, wherever they start.  hot: a digest that holds more than 1 / hot of all repeated
     units (there are fewer than `hot` of these) is joined in `salts` parts."""
 
     min_words: int = 10
+    window: int = 50
     hot: int = 1_000
     salts: int = 64
 
     def occurrences(self, docs: DataFrame) -> DataFrame:
         """(hi, lo, doc_id, start, end) of every unit."""
-        least = self.min_words
+        least, window = self.min_words, self.window
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hashes = WordHashes()
             for batch in batches:
                 for piece in pieces(batch):
                     docs, starts, ends, digests = [], [], [], []
                     for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                        for s, e, unit in units(text, least):
+                        for s, e, unit in chain(units(text, least), runs(text, window, hashes)):
                             docs.append(doc)
                             starts.append(s)
                             ends.append(e)
@@ -96,14 +128,17 @@ class SubstringDedup:
         """(doc_id, spans): what to remove, one row per document that has anything."""
         found = self.occurrences(docs)
         place = F.struct("doc_id", "start")
-        groups = found.groupBy("hi", "lo").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n")).where("first <> last")
-        repeated = materialise(groups.select("hi", "lo", F.col("first.doc_id").alias("d"), F.col("first.start").alias("s"), "n"), "repeated")
+        groups = found.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "start", "end")).alias("first"), F.max(place).alias("last"), F.count("*").alias("n")).where("first.doc_id <> last.doc_id or first.start <> last.start")
+        repeated = materialise(groups.select("hi", "lo", F.col("first.doc_id").alias("d"), F.col("first.start").alias("s"), F.col("first.end").alias("e"), "n"), "repeated")
         is_hot = F.col("n") * self.hot > (repeated.agg(F.sum("n")).first()[0] or 0)
         salted = repeated.withColumn("salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(self.salts - 1))).otherwise(F.array(F.lit(0))))).drop("n")
         hot = repeated.where(is_hot).select("hi", "lo", F.lit(True).alias("is_hot"))  # fewer than self.hot rows
         salt = F.when(F.col("is_hot"), F.pmod(F.xxhash64("doc_id", "start"), F.lit(self.salts)).cast("int")).otherwise(0)
         dealt = found.join(F.broadcast(hot), ["hi", "lo"], "left").withColumn("salt", salt).drop("is_hot")
         later = dealt.join(salted, ["hi", "lo", "salt"]).where("doc_id <> d or start <> s")
+        # what overlaps the kept occurrence starts after it
+        start = F.when(F.col("doc_id") == F.col("d"), F.greatest("start", "e")).otherwise(F.col("start"))
+        later = later.select("doc_id", start.alias("start"), "end").where("start < end")
         return later.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
     def apply(self, docs: DataFrame) -> DataFrame:

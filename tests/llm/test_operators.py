@@ -149,6 +149,34 @@ def test_substring_dedup_of_hot_units(spark):
         assert text.count(hot) == (d == 0) and text.count(rare) == (d == 7) and text.startswith(before.split("\n")[0])
 
 
+@pytest.mark.parametrize("script", ["prose", "han", "devanagari"])
+def test_substring_dedup_leaves_no_long_repeat(spark, script):
+    """Passages of 51 words at any word offset, also without sentence marks or blanks: no 50 words stand twice afterwards."""
+    rng = random.Random(15)
+    blank = "" if script == "han" else " "
+    if script == "prose":
+        word = lambda: rng.choice(WORDS)
+    else:
+        low, high = (0x4E00, 0x9000) if script == "han" else (0x915, 0x939)
+        word = lambda: "".join(chr(rng.randrange(low, high)) for _ in range(1 if script == "han" else 4))
+    shared = [[word() for _ in range(51)] for _ in range(6)]
+    docs = []
+    for i in range(36):
+        words = [word() for _ in range(rng.randrange(3, 90))] + shared[i % 6] + [word() for _ in range(rng.randrange(3, 90))]
+        docs.append((i, blank.join(words).capitalize()))
+    docs.append((90, blank.join(shared[0][:1] * 200)))  # one word over and over
+    got = sorted(map(tuple, SubstringDedup().apply(spark.createDataFrame(docs, DOCS)).select("doc_id", "text").collect()))
+    before = dict(docs)
+    seen = {}
+    for i, text in got:
+        words = list(text.lower()) if script == "han" else text.lower().split()
+        assert i >= 6 or text == before[i]  # the first of each passage is whole
+        for at in range(len(words) - 49) if i != 90 else []:
+            assert seen.setdefault(tuple(words[at : at + 50]), (i, at)) == (i, at)
+    assert 26 <= len(dict(got)[90].replace(" ", "")) // len(shared[0][0]) < 76
+    assert all(len(text) > 20 * (1 + (blank == " ")) for _, text in got)
+
+
 def test_language_profiles(spark):
     rng = random.Random(3)
     make = {"xx": "aeiou", "yy": "bcdfg", "zz": "äöüßé"}
