@@ -97,12 +97,23 @@ def block_refine(source: DataFrame, target: DataFrame, key: str, columns: Sequen
 
 def coalesce_ranges(blocks: DataFrame, span: int = 1_048_576) -> DataFrame:
     """(first_block, last_block, n): adjacent blocks joined.  The window runs within spans of `span` blocks, so that no task
-    sees all; islands that meet at a span's edge stay apart."""
+    sees all; islands that meet at a span's edge, two a span at most, are then joined within spans of span ** 2 blocks, and so on."""
     from pyspark.sql import Window as W
 
-    w = W.partitionBy(F.expr(f"block div {span}")).orderBy("block")
-    marked = blocks.select("block", F.expr(f"block div {span}").alias("span"), (F.col("block") - F.row_number().over(w)).alias("island"))
-    return marked.groupBy("span", "island").agg(F.min("block").alias("first_block"), F.max("block").alias("last_block"), F.count("*").alias("n")).drop("span", "island")
+    within = lambda c, size: F.col(c) - F.pmod(F.col(c), F.lit(size)) if size < 2**63 else F.lit(0)
+    w = W.partitionBy("span").orderBy("block")
+    marked = blocks.select("block", within("block", span).alias("span")).withColumn("island", F.col("block") - F.row_number().over(w))
+    out = marked.groupBy("span", "island").agg(F.min("block").alias("first_block"), F.max("block").alias("last_block"), F.count("*").alias("n")).drop("span", "island")
+    edge = span
+    while edge < 2**63:
+        at_edge = (F.pmod("first_block", F.lit(edge)) == 0) | (F.pmod(F.col("last_block") + 1, F.lit(edge)) == 0)
+        keyed = out.select("*", within("first_block", edge * span).alias("span"), F.when(~at_edge, F.col("first_block")).alias("own"))
+        w = W.partitionBy("span", "own").orderBy("first_block")
+        meets = F.lag("last_block").over(w) + 1 == F.col("first_block")
+        chains = keyed.withColumn("new", F.when(meets, 0).otherwise(1)).withColumn("island", F.sum("new").over(w))
+        out = chains.groupBy("span", "own", "island").agg(F.min("first_block").alias("first_block"), F.max("last_block").alias("last_block"), F.sum("n").alias("n")).drop("span", "own", "island")
+        edge *= span
+    return out
 
 
 # -- whole rows ----------------------------------------------------------------------------------

@@ -190,3 +190,11 @@ def test_generated_columns_are_left_out(spark):
     df = spark.createDataFrame([(1, 10, 22, 100)], "pri int, fore int, stor int, back int")
     table = TableDef("g", (ColumnDef("pri", "integer", False), ColumnDef("fore", "integer"), ColumnDef("stor", "integer", default_kind=Default.GENERATED_STORED), ColumnDef("back", "integer")), ("pri",))
     assert sync_table(df, df.limit(0), table).state.columns == ["pri", "fore", "back"]
+
+
+def test_ranges_join_across_spans(spark):
+    runs = [(5, 7), (999, 1000), (1500, 1999), (2000, 2000), (2999, 5000), (7000, 7999), (9001, 9001), (999_990, 1_000_010), (-3, 2), (10**12 - 1, 10**12)]
+    df = spark.createDataFrame([(b,) for lo, hi in runs for b in range(lo, hi + 1)], "block long")
+    want = sorted([(lo, hi, hi - lo + 1) for lo, hi in runs if lo not in (1500, 2000)] + [(1500, 2000, 501)])
+    assert sorted(map(tuple, diff.coalesce_ranges(df, span=1_000).collect())) == want
+    assert sorted(map(tuple, diff.coalesce_ranges(df).collect())) == want
