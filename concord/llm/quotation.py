@@ -2,7 +2,7 @@
 
 DataFrame functions only.  A line's quote level is the number of > it starts with (blanks between them allowed).  A run of
 lines of one level is a passage.  A message offers its unquoted passages, and each of their lines, to be quoted by later turns
-of its conversation; a passage of level 1 is linked by the digest of its normalised text (lower case, single
+of its conversation; a quoted passage of any level is linked by the digest of its normalised text (lower case, single
 blanks) to the latest earlier turn that offers it, or else by that of its first line.
 """
 
@@ -52,8 +52,8 @@ class QuotationLinks:
         """Per row of `messages` (conv_id, turn, role, text): conv_id, turn, role, body, n_quoted, reply_to, thread, in reply
         order: by conversation, thread and turn.
 
-        body: the text without quoted lines.  n_quoted: quoted passages, of any level.  reply_to: the latest turn that a quoted passage of
-        level 1 links to, null if none.  thread: the turn that the chain of replies starts from, the own turn if none.
+        body: the text without quoted lines.  n_quoted: quoted passages, of any level.  reply_to: the latest turn that the quoted passages of
+        the lowest level with a link link to, null if none.  thread: the turn that the chain of replies starts from, the own turn if none.
         Null texts have a null body and quote nothing.  A null conv_id or turn neither links nor is linked; repeated rows are
         judged alike; where rows share a turn, any of them is what is quoted.  Other columns are ignored.
         """
@@ -62,7 +62,7 @@ class QuotationLinks:
         plain = rows.where(~F.coalesce(F.col("text").rlike("(?m)" + QUOTE), F.lit(False)))
         runs = materialise(self.passages(self.lines(quoting.dropDuplicates(["conv_id", "turn", "mid"]))), "passages")
         quoted = runs.where("level > 0")
-        wanted = quoted.where("level = 1 and conv_id is not null and turn is not null").select("conv_id", "turn", "mid", "run", digest(F.col("passage")).alias("whole"), digest(F.col("first")).alias("line"))
+        wanted = quoted.where("conv_id is not null and turn is not null").select("conv_id", "turn", "mid", "run", "level", digest(F.col("passage")).alias("whole"), digest(F.col("first")).alias("line"))
         keys = wanted.select("conv_id", F.explode(F.array("whole", "line")).alias("key")).where("key is not null").distinct()
         # originals are only cut up in conversations that quote
         inside = plain.where("turn is not null and text is not null").join(keys.select("conv_id").distinct(), "conv_id", "left_semi")
@@ -71,7 +71,7 @@ class QuotationLinks:
         offers = offered.select("conv_id", "turn", digest(F.col("said")).alias("key")).join(keys, ["conv_id", "key"], "left_semi").distinct()
         offers = materialise(offers, "offers")
         links = self.linked(wanted, offers)
-        reply = materialise(links.groupBy("conv_id", "turn", "mid").agg(F.max("original").alias("reply_to")), "replies")
+        reply = materialise(links.groupBy("conv_id", "turn", "mid").agg(F.max(F.struct(-F.col("level"), "original"))["original"].alias("reply_to")), "replies")
         threads = self.threads(reply.groupBy("conv_id", "turn").agg(F.max("reply_to").alias("up")))
         body = runs.where("level = 0").groupBy("conv_id", "turn", "mid").agg(F.array_sort(F.collect_list(F.struct("run", "passage"))).alias("held"))
         body = body.select("conv_id", "turn", "mid", F.array_join(F.transform("held", lambda x: x["passage"]), "\n").alias("body"))
@@ -91,11 +91,11 @@ class QuotationLinks:
         return rows
 
     def linked(self, wanted: DataFrame, offers: DataFrame) -> DataFrame:
-        """(conv_id, turn, mid, run, original): the latest earlier turn that offers the passage, or its first line."""
+        """(conv_id, turn, mid, run, level, original): the latest earlier turn that offers the passage, or its first line."""
         found = None
         for kind in ("whole", "line"):
-            asked = wanted.select("conv_id", "turn", "mid", "run", F.col(kind).alias("key")).where("key is not null")
-            got = asked.join(offers.withColumnRenamed("turn", "original"), ["conv_id", "key"]).where("original < turn").groupBy("conv_id", "turn", "mid", "run").agg(F.max("original").alias("original"))
+            asked = wanted.select("conv_id", "turn", "mid", "run", "level", F.col(kind).alias("key")).where("key is not null")
+            got = asked.join(offers.withColumnRenamed("turn", "original"), ["conv_id", "key"]).where("original < turn").groupBy("conv_id", "turn", "mid", "run", "level").agg(F.max("original").alias("original"))
             found = got if found is None else found.unionByName(got.join(found, ["conv_id", "turn", "mid", "run"], "left_anti"))
         return found
 

@@ -324,3 +324,19 @@ def test_quotation_links(spark):
     assert got[1, 6] == (None, 0, None, 6) and got[1, 7] == ("", 0, None, 7)
     assert got[2, 0] == ("", 1, None, 0) and got[None, 0] == ("", 1, None, 0) and got[1, None] == ("", 1, None, None)
     assert QuotationLinks().apply(df.limit(0)).count() == 0
+
+
+def test_quotation_links_of_deeper_levels(spark):
+    m = [
+        (1, 0, "user", "The first word.\nAnd more."),
+        (1, 1, "assistant", "The second word."),
+        (1, 2, "user", "> > the FIRST word.\n> > and more.\nDeep only."),
+        (1, 3, "user", "> edited words\n>> The second word.\nSo be it."),
+        (1, 4, "user", "> Deep only.\n>>> The second word.\nLowest level wins."),
+        (1, 5, "user", ">> The first word.\n>>> The second word.\nTwo deep ones."),
+    ]
+    got = {r.turn: (r.body, r.n_quoted, r.reply_to, r.thread) for r in QuotationLinks().apply(spark.createDataFrame(m, "conv_id long, turn long, role string, text string")).collect()}
+    assert got[2] == ("Deep only.", 1, 0, 0)
+    assert got[3] == ("So be it.", 2, 1, 1)
+    assert got[4] == ("Lowest level wins.", 2, 2, 0)
+    assert got[5] == ("Two deep ones.", 2, 0, 0)
