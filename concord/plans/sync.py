@@ -57,7 +57,11 @@ def sync(
     source: ParquetSource, target: ParquetSource, *, tables: Mapping[str, TableDef] | None = None, only: str = "", ignore: str = "",
     filters: Mapping[str, TableFilter] | None = None, alter: bool = False, commit: str = "often", width: int | None = None, structure_only: bool = False,
 ) -> list[TableResult]:
-    """commit: never (results only), often (table by table) or success (all tables are computed and written aside before any is replaced)."""
+    """commit: never (results only), often (table by table) or success (all tables are computed and written aside before any is replaced).
+
+    alter: change the target's schema where it differs; tables that only the target has are dropped, after all others are done.
+    Tables outside `only` and `ignore` stay.
+    """
     if commit not in ("never", "often", "success"):
         raise ValueError(f"commit {commit!r}: never, often or success")
     names = restrict(source.tables(), only, ignore)
@@ -67,6 +71,8 @@ def sync(
     if extra := sorted(there - set(names)):
         if not alter:
             raise SchemaMismatch(f"tables {extra} are only in the target")
+        if not source.exists():
+            raise ValueError(f"{source.path} does not exist: the target's tables are not dropped for it")
     results = []
     for name in names:
         read = source.read(name)
@@ -89,6 +95,10 @@ def sync(
             aside.write(r.table, r.state)
         for r in results:
             target.write(r.table, aside.read(r.table))
+    for name in extra:
+        results.append(TableResult(name, "", schema_actions=[Action("drop_table", name)]))
+        if commit != "never":
+            target.drop(name)
     return results
 
 
@@ -100,7 +110,7 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--ignore", default="")
     p.add_argument("--filters", help="YAML file of row filters and column masks")
     p.add_argument("--keys", help="JSON file of table definitions with keys")
-    p.add_argument("--alter", action="store_true", help="change the target's schema where it differs")
+    p.add_argument("--alter", action="store_true", help="change the target's schema where it differs, dropping tables that only it has")
     p.add_argument("--structure-only", action="store_true")
     p.add_argument("--commit", default="often", choices=["never", "often", "success"])
     p.add_argument("--block", type=int, help="keys in a block whose digests are compared first")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -36,6 +37,19 @@ class ParquetSource:
     def write(self, table: str, df: DataFrame) -> None:
         write_staged(df, f"{self.path}/{table}.parquet")
 
+    def exists(self) -> bool:
+        fs, p = self._fs()
+        return fs.exists(p)
+
+    def drop(self, table: str) -> None:
+        """The table's folder is renamed aside, then deleted."""
+        fs, p = self._fs()
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        aside = path(p, f".dropped-{table}-{uuid.uuid4().hex}")
+        if not fs.rename(path(p, f"{table}.parquet"), aside):
+            raise OSError(f"{self.path}/{table}.parquet can't be renamed")
+        fs.delete(aside, True)
+
 
 @dataclass(frozen=True)
 class JdbcSource:

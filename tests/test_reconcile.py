@@ -192,6 +192,25 @@ def test_generated_columns_are_left_out(spark):
     assert sync_table(df, df.limit(0), table).state.columns == ["pri", "fore", "back"]
 
 
+def test_sync_drops_tables_that_only_the_target_has(spark, tmp_path):
+    source, target = ParquetSource(spark, str(tmp_path / "a")), ParquetSource(spark, str(tmp_path / "b"))
+    spark.range(3).write.parquet(str(tmp_path / "a/ids.parquet"))
+    for commit in ("often", "success"):
+        for name in ("ids", "old", "other"):
+            target.write(name, spark.range(5))
+        with pytest.raises(SchemaMismatch):
+            sync(source, target, commit=commit)
+        with pytest.raises(ValueError):
+            sync(ParquetSource(spark, str(tmp_path / "none")), target, alter=True, commit=commit)
+        done = sync(source, target, alter=True, commit="never", ignore="other")
+        assert [(r.table, [a.kind for a in r.schema_actions]) for r in done] == [("ids", []), ("old", ["drop_table"])]
+        assert sorted(target.tables()) == ["ids", "old", "other"]
+        sync(source, target, alter=True, commit=commit, ignore="other")
+        assert sorted(target.tables()) == ["ids", "other"] and target.read("ids").count() == 3
+        sync(source, target, alter=True, commit=commit)
+        assert target.tables() == ["ids"] and not list(tmp_path.glob("b/.dropped*"))
+
+
 def test_ranges_join_across_spans(spark):
     runs = [(5, 7), (999, 1000), (1500, 1999), (2000, 2000), (2999, 5000), (7000, 7999), (9001, 9001), (999_990, 1_000_010), (-3, 2), (10**12 - 1, 10**12)]
     df = spark.createDataFrame([(b,) for lo, hi in runs for b in range(lo, hi + 1)], "block long")
