@@ -18,16 +18,20 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm.common import extend, pieces
+from concord.llm.common import extend, pieces, slim_batches
 
 BUCKETS = 1 << 15
 NO_RANK = 1 << 30
+#: What a task's words may take, roughly.
+CACHE_BYTES = 48 << 20
 
 
 def let(value: Column, body) -> Column:
@@ -120,7 +124,7 @@ class ByteBPE:
                 for piece in pieces(batch):
                     for text in piece.column(0).to_pylist():
                         held.update(find(text or ""))
-                    if len(held) > 400_000:
+                    if len(held) > 150_000:
                         yield flush()
             yield flush()
 
@@ -133,18 +137,23 @@ class ByteBPE:
 
     def encode(self, docs: DataFrame) -> DataFrame:
         """All columns of docs with ids (array<int>); a null text has no ids.  A column named ids is replaced."""
-        return self._map(docs, ["ids"], "ids array<int>", lambda ids, _: [pa.array(ids, pa.list_(pa.int32()))])
+
+        def finish(words: list[list[Word]]) -> list[pa.Array]:
+            return [pa.array([[i for w in text for i in w.ids] for text in words], pa.list_(pa.int32()))]
+
+        return self._map(docs, ["ids"], "ids array<int>", finish)
 
     def digests(self, docs: DataFrame) -> DataFrame:
-        """All columns of docs with n_tokens, ids_sha256 (of the decimal ids joined by blanks), decoded_sha256."""
+        """All columns of docs with n_tokens, ids_sha256 (of the decimal ids joined by blanks), decoded_sha256.  A word's ids are
+        spelled and decoded once while it is held; a text's are joined from those of its words."""
 
-        def finish(ids: list[list[int]], pieces_of: list[bytes]) -> list[pa.Array]:
+        def finish(words: list[list[Word]]) -> list[pa.Array]:
             sha = lambda b: hashlib.sha256(b).hexdigest()
-            decoded = [b"".join(map(pieces_of.__getitem__, i)) for i in ids]
+            parts = [tuple(zip(*text)) or ((), (), ()) for text in words]
             return [
-                pa.array([len(i) for i in ids], pa.int64()),
-                pa.array([sha(" ".join(map(str, i)).encode()) for i in ids]),
-                pa.array([sha(d) for d in decoded]),
+                pa.array([sum(map(len, p[0])) for p in parts], pa.int64()),
+                pa.array([sha(" ".join(p[1]).encode()) for p in parts]),
+                pa.array([sha(b"".join(p[2])) for p in parts]),
             ]
 
         return self._map(docs, ["n_tokens", "ids_sha256", "decoded_sha256"], "n_tokens long, ids_sha256 string, decoded_sha256 string", finish)
@@ -163,35 +172,119 @@ class ByteBPE:
         return out
 
     def _map(self, docs: DataFrame, names: list[str], kinds: str, finish) -> DataFrame:
+        slim_batches(docs.sparkSession)
         docs = docs.drop(*names)
         known = docs.sparkSession.sparkContext.broadcast((self.dictionary(docs), self.ranks, self.pieces))
         pattern = self.pattern
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            words, ranks, pieces_of = known.value
             find = regex.compile(pattern).findall
-            cache = Merged(words, ranks)
+            cache = Merged(*known.value)
             for batch in batches:
                 for piece in pieces(batch):
-                    ids = [[i for w in map(cache.__getitem__, find(t)) for i in w] if t else [] for t in piece.column(piece.num_columns - 1).to_pylist()]
-                    yield pa.RecordBatch.from_arrays([*piece.columns[:-1], *finish(ids, pieces_of)], [*piece.schema.names[:-1], *names])
+                    texts = [find(t) if t else [] for t in piece.column(piece.num_columns - 1).to_pylist()]
+                    cache.learn(texts)
+                    words = [list(map(cache.__getitem__, text)) for text in texts]
+                    yield pa.RecordBatch.from_arrays([*piece.columns[:-1], *finish(words)], [*piece.schema.names[:-1], *names])
 
         return docs.withColumn("__concord_text", F.col("text").cast("string")).mapInArrow(run, extend(docs.schema, kinds))
 
 
+class Word(NamedTuple):
+    ids: tuple[int, ...]
+    spelled: str  # the ids in decimals, joined by blanks
+    decoded: bytes
+
+
 class Merged(dict):
-    """word -> ids; words beyond the dictionary are merged when met, and forgotten when there are too many."""
+    """word -> Word; words beyond the dictionary are merged when a text holds them, and forgotten when they take too many bytes."""
 
-    def __init__(self, words: dict[str, tuple[int, ...]], ranks: dict[bytes, int]):
-        super().__init__(words)
-        self.words, self.ranks = words, ranks
+    def __init__(self, words: dict[str, tuple[int, ...]], ranks: dict[bytes, int], pieces_of: list[bytes]):
+        super().__init__()
+        self.words, self.ranks, self.pieces_of, self.held = words, ranks, pieces_of, 0
+        self.pairs = PairRanks(ranks)
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > len(self.words) + 200_000:
+    def learn(self, texts: list[list[str]]) -> None:
+        """Hold all words of the texts."""
+        needed = set().union(*texts)
+        if self.held > CACHE_BYTES:
             self.clear()
-            self.update(self.words)
-        ids = self[word] = merge(word.encode(), self.ranks)
-        return ids
+            self.held = 0
+        new = [w for w in needed if w not in self]
+        rare = [w for w in new if w not in self.words]
+        found = dict(zip(rare, self.pairs.merged([w.encode() for w in rare])))
+        for w in new:
+            ids = found[w] if w in found else self.words[w]
+            self[w] = Word(ids, " ".join(map(str, ids)), b"".join(map(self.pieces_of.__getitem__, ids)))
+            self.held += 400 + 8 * len(w)
+
+
+class PairRanks:
+    """Ranks of two neighbouring ids as sorted arrays, and merging many words at once by them."""
+
+    longest = 64  # bytes of words that are merged together
+
+    def __init__(self, ranks: dict[bytes, int]):
+        get, keys, values = ranks.get, [], []
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                a, b = get(token[:i]), get(token[i:])
+                if a is not None and b is not None:
+                    keys.append(a << 32 | b)
+                    values.append(rank)
+        order = np.argsort(keys)
+        self.keys, self.values = np.array(keys, np.int64)[order], np.array(values, np.int32)[order]
+        self.ranks = ranks
+        self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of pairs; NO_RANK where a pair has none or an id is missing (below 0)."""
+        key = a.astype(np.int64) << 32 | np.maximum(b, 0)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[at] == key) & (a >= 0) & (b >= 0), self.values[at], NO_RANK).astype(np.int32)
+
+    def merged(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """The ids of each word: in every turn each word merges its leftmost neighbours of least rank, until none has a rank."""
+        out: list[tuple[int, ...]] = [()] * len(words)
+        several = []
+        for i, w in enumerate(words):
+            if w in self.ranks:
+                out[i] = (self.ranks[w],)
+            elif len(w) > self.longest:
+                out[i] = merge(w, self.ranks)
+            elif w:
+                several.append(i)
+        several.sort(key=lambda i: len(words[i]))
+        for at in range(0, len(several), 4_096):
+            part = several[at : at + 4_096]
+            self._turns([words[i] for i in part], np.array(part), out)
+        return out
+
+    def _turns(self, words: list[bytes], places: np.ndarray, out: list[tuple[int, ...]]) -> None:
+        sizes = np.array([len(w) for w in words])
+        width = int(sizes.max())
+        ids = np.full((len(words), width), -1, np.int32)
+        ids[np.arange(width) < sizes[:, None]] = self.bytes[np.frombuffer(b"".join(words), np.uint8)]
+        ranks = self.of(ids[:, :-1], ids[:, 1:])
+        while len(ids):
+            at = ranks.argmin(1) if ranks.shape[1] else np.zeros(len(ids), np.int64)
+            least = ranks[np.arange(len(ids)), at] if ranks.shape[1] else np.full(len(ids), NO_RANK)
+            done = least >= NO_RANK
+            for place, row in zip(places[done].tolist(), ids[done].tolist()):
+                out[place] = tuple(i for i in row if i >= 0)
+            live = ~done
+            ids, ranks, places, at, least = ids[live], ranks[live], places[live], at[live], least[live]
+            if not len(ids):
+                return
+            n, rows = ids.shape[1], np.arange(len(ids))
+            ids[rows, at] = least  # a token's id is its rank
+            column = np.arange(n - 1)
+            ids = np.take_along_axis(ids, column + (column > at[:, None]), 1)
+            column = np.arange(n - 2)
+            ranks = np.take_along_axis(ranks, column + (column >= at[:, None]), 1)
+            left, right = np.flatnonzero(at > 0), np.flatnonzero(at < n - 2)
+            ranks[left, at[left] - 1] = self.of(ids[left, at[left] - 1], ids[left, at[left]])
+            ranks[right, at[right]] = self.of(ids[right, at[right]], ids[right, at[right] + 1])
 
 
 def merge(word: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:

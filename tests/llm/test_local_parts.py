@@ -5,15 +5,16 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 
+from concord.llm import common, language_id
 from concord.llm import decontaminate as dc
-from concord.llm.byte_bpe import default_bpe, merge
-from concord.llm.common import WordHashes, shingle_set
-from concord.llm.jaccard_join import JaccardJoin, roots, similar
+from concord.llm.byte_bpe import PairRanks, default_bpe, merge
+from concord.llm.common import BLANKED, bytes_of, characters_of, shingle_sets
+from concord.llm.jaccard_join import JaccardJoin, candidates, common as shared, roots, similar
 from concord.llm.substring_dedup import units, without
-from concord.llm.toxicity import estimate
 
 
 @pytest.fixture(scope="module")
@@ -35,12 +36,55 @@ def test_merge_on_random_words(reference):
         assert list(merge(w, default_bpe().ranks)) == reference._core_bpe.encode_single_piece(w)
 
 
+def test_merging_many_words_is_merging_each(reference):
+    rng = random.Random(11)
+    ranks = default_bpe().ranks
+    words = [bytes(rng.choice(b"aabbeinrst hg\xc3\xa9") for _ in range(rng.randrange(0, 90))) for _ in range(2000)]
+    assert PairRanks(ranks).merged(words) == [merge(w, ranks) for w in words]
+
+
+@pytest.mark.parametrize("stretch", [1 << 18, 7])
+def test_words_are_what_blanks_part(monkeypatch, stretch):
+    monkeypatch.setattr(common, "STRETCH", stretch)
+    texts = ["One two  three", None, "", " \n ", "one", "x" * 50 + " TWO", "a\x0bé\u00a0b", "one two three"]
+    column = pa.array([None if t is None else t.encode() for t in texts], pa.binary())
+    for cut in (0, 2):  # a slice of a column
+        h, start, end, first = BLANKED.words(*bytes_of(column.slice(cut)))
+        codes = bytes_of(column.slice(cut))[0].tobytes()
+        expected = [re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode()) for t in texts[cut:]]
+        assert [codes[s:e] for s, e in zip(start, end)] == [w for x in expected for w in x]
+        assert np.diff(first).tolist() == list(map(len, expected))
+        same = {w.lower() for x in expected for w in x}
+        assert len(set(h.tolist())) == len(same)
+        assert all(len({k for k, v in zip(h.tolist(), [w for x in expected for w in x]) if v.lower() == s}) == 1 for s in same)
+
+
 def test_shingles():
-    h = WordHashes()
-    assert len(shingle_set(None, 3, h)) == len(shingle_set(b" \t\n", 3, h)) == 0
-    assert len(shingle_set(b"One two", 3, h)) == 1 and (shingle_set(b"One two", 3, h) == shingle_set(b"one\x0btwo", 3, h)).all()
-    assert len(shingle_set(b"a b c d a b c", 3, h)) == 4
-    assert not (shingle_set(b"a b c", 3, h) == shingle_set(b"c b a", 3, h)).any()
+    sets = lambda *x: shingle_sets(pa.array(x, pa.binary()), 3)
+    assert list(map(len, sets(None, b" \t\n", b"One two", b"a b c d a b c", b"", b"a b c"))) == [0, 0, 1, 4, 0, 1]
+    assert (sets(b"One two")[0] == sets(b"one\x0btwo")[0]).all()
+    a, b, c = sets(b"a b c", b"c b a", b"x\na b c")
+    assert not (a == b).any() and a[0] in c
+
+
+def grams_of(text):
+    """n-grams of a text's words, by code points as the operator packs them."""
+    out = collections.Counter()
+    low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text or "")
+    for word in "".join(c if c.isalpha() else " " for c in low).split(" "):
+        for gram in list(word) + [f" {word} "[i : i + n] for n in (2, 3) for i in range(len(word) + 3 - n) if word]:
+            out[sum(ord(c) << 21 * i for i, c in enumerate(gram))] += 1
+    return out
+
+
+@pytest.mark.parametrize("stretch", [1 << 18, 40, 7])
+def test_gram_counts(monkeypatch, stretch):
+    monkeypatch.setattr(common, "STRETCH", stretch)
+    monkeypatch.setattr(language_id, "STRETCH", stretch)
+    rng = random.Random(12)
+    texts = ["Hello World", None, "", "½ ² ①", "a", "Ünï-cödé Straße 日本 x1y2", "İstanbul I", " ".join("".join(rng.choice("abcÄé ½-\n") for _ in range(rng.randrange(9))) for _ in range(200))]
+    got = [dict(zip(g.tolist(), n.tolist())) for g, n in language_id.gram_counts(texts, 3)]
+    assert got == [dict(grams_of(t)) for t in texts]
 
 
 def test_prefix_lengths_lose_no_pair():
@@ -61,7 +105,8 @@ def test_similar_and_roots():
     rng = random.Random(3)
     base = [rng.sample(range(10_000), 40) for _ in range(5)]
     sets = [np.array(sorted({*b[rng.randrange(4) :], rng.randrange(10_000)}), np.uint64) for b in base for _ in range(6)] + [np.empty(0, np.uint64)]
-    near = similar(sets, 85, columns=16)
+    near = similar(sets, 85)
+    assert (shared(sets, columns=16) == shared(sets)).all()
     for i, a in enumerate(sets):
         for j, b in enumerate(sets):
             common = len(np.intersect1d(a, b))
@@ -115,28 +160,30 @@ def test_cut():
     assert dc.cut(text, [(1, 3), (4, 5)]) == b"One,  four- six."
 
 
-def test_units_find_passages_wherever_they_start():
-    passage = "Alpha beta gamma delta. Epsilon zeta eta theta iota kappa lambda. Mu nu. Xi omicron pi rho sigma tau upsilon."
-    a = {u for *_, u in units("Something else here " + passage + " And more.", 6)}
-    b = {u for *_, u in units("Other.\n" + passage, 6)}
-    assert len(a & b) >= 2
-    assert list(units("Too short.", 6)) == [] and list(units(None, 6)) == []
-    for s, e, u in units(passage, 6):
-        assert " ".join(passage[s:e].lower().split()).encode() == u
+def test_candidates_share_prefixes_under_both_orders():
+    p0 = [np.array(x, np.uint64) for x in ([1, 2], [2, 3], [1, 2], [9])]
+    p1 = [np.array(x, np.uint64) for x in ([5], [5, 6], [6], [5])]
+    pairs = lambda m: {(int(i), int(j)) for i, j in zip(*np.nonzero(m)) if i < j}
+    assert pairs(candidates(p0, p1, None)) == {(0, 1), (1, 2)}
+    assert pairs(candidates(p0, p1, 2)) == {(0, 1), (1, 2)} and pairs(candidates(p0, p1, 3)) == set()
+    assert pairs(candidates(p0, [np.array([5], np.uint64)] * 4, 2)) == {(0, 1), (1, 2)}  # 0 and 2 share 1 as well
+
+
+def test_units_are_lines_and_runs():
+    text, hi, lo, start, end = units(["A b\n\n c  D \nA  B", None, "x\na b"], 50)
+    spans = list(zip(text.tolist(), start.tolist(), end.tolist()))
+    assert spans == [(0, 0, 4), (0, 5, 12), (0, 12, 16), (2, 0, 2), (2, 2, 5)]
+    assert len(set(zip(hi.tolist(), lo.tolist()))) == 3 and hi[0] == hi[2] == hi[4]
+    words = [f"w{i}" for i in range(200)]
+    inside, other = " ".join(words[50:110]), " ".join(["y"] * 30 + words[50:110] + ["z"] * 30)
+    _, a, *_ = units([inside], 50)
+    _, b, *_ = units([other], 50)
+    assert set(a.tolist()) & set(b.tolist())
+    assert len(units([], 50)[0]) == len(units([None, ""], 50)[0]) == 0
+    codes, rows = characters_of(["ab", None, "c"])
+    assert codes.tolist() == [97, 98, 99] and rows.tolist() == [0, 2, 2, 3]
 
 
 def test_without():
     assert without("ab cd ef", [(0, 2), (6, 8)]) == (" cd ", [(0, 2), (6, 8)])
     assert without("ab cd ef", [(0, 2), (3, 5)]) == (" ef", [(0, 5)])
-
-
-def test_register_estimates():
-    from concord.llm.common import mix
-
-    for n in (3, 100, 20_000):
-        h = mix(np.arange(n, dtype=np.uint64) + np.uint64(77), 9)
-        rho = (60 - np.frexp((h >> np.uint64(5)).astype(np.float64))[1]).astype(np.uint8)
-        r = np.zeros(32, np.uint8)
-        np.maximum.at(r, (h & np.uint64(31)).astype(np.int64), rho)
-        assert 0.5 * n < estimate(r) < 1.7 * n
-    assert re.match("x", "x") and collections

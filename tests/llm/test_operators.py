@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -18,8 +19,9 @@ from concord.llm.multi_index import MultiIndex
 from concord.llm.quotation import QuotationLinks
 from concord.llm.substring_dedup import SubstringDedup
 from concord.llm.token_counts import TokenRollup, deleted, inserted, revised
-from concord.llm.toxicity import KneserNeyToxicity
+from concord.llm.toxicity import KneserNeyToxicity, pair_key, words_of
 from concord.llm.url_filter import UrlFilter
+from tests.llm.test_local_parts import grams_of
 
 DOCS = "doc_id long, text string"
 RNG = random.Random(7)
@@ -94,6 +96,25 @@ def test_jaccard_join_without_rows_or_ids(spark):
     assert [tuple(r) for r in JaccardJoin(k=1).apply(spark.createDataFrame([(None, "a b")], DOCS)).collect()] == [(None, 2, 0, None)]
 
 
+def test_jaccard_join_of_rows_that_share_an_id(spark):
+    a = prose(60)
+    docs = [(1, a), (2, a + " end"), (1, prose(4_000)), (3, "quite other"), (3, a), (3, None), (4, prose(50)), (4, prose(50))]
+    got = [tuple(r) for r in JaccardJoin(k=3, percent=90).apply(spark.createDataFrame(docs, DOCS)).collect()]
+    assert sorted(got) == sorted([(1, 58, 2, 1), (2, 59, 2, 1), (1, 3998, 0, 1), (3, 1, 0, 1), (3, 58, 2, 1), (3, 0, 0, 1), (4, 48, 0, 4), (4, 48, 0, 4)])
+
+
+def test_jaccard_join_verifies_a_chain_link_by_link(spark):
+    """Documents of which only neighbours share shingles, far fewer than similarity needs: work that grows with the chain."""
+    rng = random.Random(16)
+    shared = [prose(3, rng) for _ in range(401)]
+    docs = [(i, f"{shared[i]} {' '.join(f'u{i}x{j}' for j in range(30))} {shared[i + 1]}") for i in range(400)]
+    docs += [(1000 + i, docs[7 * i][1] + " z") for i in range(20)]
+    join = JaccardJoin(k=3, percent=80, block=8)
+    got = {r.doc_id: (r.n_links, r.component_id) for r in join.apply(spark.createDataFrame(docs, DOCS)).collect()}
+    assert all(got[1000 + i] == got[7 * i] == (1, 7 * i) for i in range(20))
+    assert all(got[i][0] == 0 for i in range(400) if i % 7 or i >= 140)
+
+
 def test_byte_bpe(spark, documents):
     import public_tokenizers as P
     import tiktoken
@@ -132,13 +153,45 @@ def test_substring_dedup(spark):
     docs = [(3, "First " + passage + " End of three."), (1, "Zero.\n" + passage), (2, passage), (4, None), (5, ""), (6, "Clean text stays as it is."), (None, passage)]
     got = {r.doc_id: r for r in SubstringDedup().apply(spark.createDataFrame(docs, DOCS).withColumn("spans", F.lit(0))).collect()}
     assert got[1].text == docs[1][1] and got[6].text == docs[5][1] and got[4].text is None and got[5].text == "" and got[None].text == passage
-    assert len(got[2].text.split()) < 10 and got[2].n_removed == 1  # a short sentence at the end of a passage may stay
+    assert got[2].text == "" and got[2].n_removed == 1
     assert len(got[3].text.split()) < 35 and got[3].text.startswith("First")
     cut = [(s.start, s.end) for s in got[3].spans]
     assert sum(e - s for s, e in cut) == got[3].removed_chars
     assert SubstringDedup().apply(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_substring_dedup_against_brute_force(spark):
+    """Lines alone (no window is that long): the earliest occurrence of each normalised line stays."""
+    rng = random.Random(17)
+    lines = [*(prose(rng.randrange(1, 6), rng) for _ in range(25)), "", "  ", "}", "Ähem  ÉTÉ", "ähem été"]
+    docs = [(i, "\n".join(rng.choice(lines).upper() if rng.random() < 0.3 else rng.choice(lines) for _ in range(rng.randrange(0, 9)))) for i in range(60)]
+    docs += [(100, None), (None, lines[0]), (101, "x" * 10_000_000 + "\n" + lines[0]), (102, lines[1]), (102, lines[1])]
+    seen, expected = set(), []
+    for i, text in docs:
+        out = []
+        for line in (text or "").split("\n"):
+            key = " ".join(line.lower().split())
+            if i is None or i == 102 or not key or key not in seen:
+                out.append(line)
+            if i is not None and i != 102:
+                seen.add(key)
+        expected.append((i, text, "\n".join(out)))
+    df = spark.createDataFrame(docs, DOCS).withColumn("body", F.lit(1)).withColumn("start", F.lit("clash"))
+    got = SubstringDedup(window=10**6).apply(df).collect()
+    norm = lambda s: [x.strip() for x in (s or "").split("\n") if x.strip()]
+    result = {r.doc_id: r for r in got if r.doc_id != 102}
+    for i, text, clean in expected:
+        if i != 102:
+            assert norm(result[i].text) == norm(clean), i
+            at, kept = 0, []
+            for s in result[i].spans:
+                kept.append(text[at : s.start])
+                at = s.end
+            assert "".join([*kept, (text or "")[at:]]) == (result[i].text or "")
+    assert [r.text for r in got if r.doc_id == 102] == ["", ""] and len(got) == len(docs)
+    assert got[0].start == "clash" and got[0].body == 1
+
+
 def test_substring_dedup_of_hot_units(spark):
     hot, rare = prose(12) + ".", prose(12) + "."
     docs = [(i, f"{prose(12)}.\n{hot}\n{hot}" + f"\n{rare}" * (i % 50 == 7)) for i in range(200)]
@@ -181,7 +234,7 @@ def test_language_profiles(spark):
     rng = random.Random(3)
     make = {"xx": "aeiou", "yy": "bcdfg", "zz": "äöüßé"}
     rows = [(i, " ".join("".join(rng.choice(a) for _ in range(rng.randrange(1, 8))) for _ in range(40)), lang) for i in range(60) for lang, a in [list(make.items())[i % 3]]]
-    rows += [(100, None, "xx"), (101, "123 !!", "yy"), (102, "a", None), (103, "", None)]
+    rows += [(100, None, "xx"), (101, "123 !! ½ ² ①", "yy"), (102, "a", None), (103, "", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("clash"))
     model = LanguageProfiles()
     judged = model.predict(df, model.fit(df))
@@ -193,6 +246,76 @@ def test_language_profiles(spark):
     assert model.predict(df, {}).where("lang_pred <> 'und'").count() == 0
 
 
+def test_language_profiles_against_brute_force(spark):
+    rng = random.Random(18)
+    make = {"xx": "aeioubcdÄ", "yy": "bcdfgaeß", "zz": "äöüßéaeio"}
+    word = lambda a: "".join(rng.choice(a) for _ in range(rng.randrange(1, 8)))
+    rows = [(i, " ".join(word(list(make.values())[i % 3]) for _ in range(rng.randrange(1, 60))), list(make)[i % 3]) for i in range(45)]
+    rows += [(200, " ".join(word("aeiouß") for _ in range(200_000)), "xx"), (201, None, None), (3, rows[3][1], "xx"), (3, rows[3][1], "xx")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    rank = lambda c: sorted(c, key=lambda g: (-c[g], g))[:50]
+    total = {}
+    for _, text, lang in rows:
+        if lang and text:
+            total.setdefault(lang, Counter()).update(grams_of(text))
+    profiles = {lang: rank(c) for lang, c in total.items()}
+    model = LanguageProfiles(size=50)
+    for r in model.predict(df, model.fit(df)).collect():
+        top = rank(grams_of(r.text))
+        away = {lang: sum(abs(p.index(g) - i) if g in p else 50 for i, g in enumerate(top)) for lang, p in profiles.items()}
+        best = min(sorted(away), key=away.get)
+        assert (r.lang_pred, round(r.score, 9)) == ((best, round(1 - away[best] / (50 * len(top)), 9)) if top else ("und", 0.0))
+
+
+def test_toxicity_against_brute_force(spark):
+    """The class counts, discounts, backoff weights and shared counts of both models, word by word."""
+    rng = random.Random(19)
+    few = WORDS[:40]
+    texts = [(i, " ".join(rng.choice(few[: 40 if i % 2 else 25]) for _ in range(rng.randrange(0, 60)))) for i in range(80)]
+    corpus = [*texts, *[(1000 + i, " ".join(rng.choice(WORDS) for _ in range(40))) for i in range(40)], (7, texts[7][1])]
+    model = KneserNeyToxicity(least=3)
+    docs = spark.createDataFrame(corpus, DOCS)
+    got = model.ratios(docs, spark.createDataFrame([(i % 2, t) for i, t in texts], "toxic int, text string"))
+    grams = {y: {(u, v, w) for i, t in texts if i % 2 == y for x in [["^", "^", *t.split()]] for u, v, w in zip(x, x[1:], x[2:])} for y in (0, 1)}
+    pair = {y: Counter((v, w) for _, v, w in grams[y]) for y in (0, 1)}
+    single = {y: Counter(w for _, w in pair[y]) for y in (0, 1)}
+    total = lambda c, k: c[0][k] + c[1][k]
+
+    def discount(c):
+        once, twice = (sum(n == k for y in (0, 1) for n in c[y].values()) for k in (1, 2))
+        return once / (once + 2 * twice) if once and twice else 0.5
+
+    d1, d2 = discount(single), discount(pair)
+    own = {w for y in (0, 1) for w in single[y] if total(single, w) >= 3}
+    number = lambda w: w if w in own else "?"
+    left = {(number(v) if v != "^" else v, number(w)) for _, t in corpus for x in [["^", *t.split()]] for v, w in zip(x, x[1:])}
+    p = {}
+    for y in (0, 1):
+        mass = sum(single[y].values())
+        back = sum(min(d1, n) if w in own else n for w, n in single[y].items()) / mass
+        p[y] = {w: max(single[y][w] - d1, 0) / mass + back * sum(b == w for _, b in left) / len(left) for w in own}
+    h = lambda w: int(words_of([w])[0][0])
+    found = dict(zip(got.words.tolist(), got.word_ratio.tolist()))
+    assert found.keys() == {h(w) for w in own}
+    assert all(math.isclose(found[h(w)], math.log(p[1][w] / p[0][w]), rel_tol=1e-9) for w in own)
+    pairs = {k for y in (0, 1) for k in pair[y] if total(pair, k) >= 3}
+    found = dict(zip(got.pairs.tolist(), got.pair_ratio.tolist()))
+    assert len(found) == len(pairs)
+    for v, w in pairs:
+        spare = sum(min(d2, n) if (a, b) in pairs else n for y in (0, 1) for (a, b), n in pair[y].items() if a == v)
+        sums = [sum(n for (a, _), n in pair[y].items() if a == v) for y in (0, 1)]
+        q = [max(pair[y][v, w] - d2, 0) / max(sums[y], 1) + spare / sum(sums) * p[y][w] for y in (0, 1)]
+        key = int(pair_key(np.array([1 if v == "^" else h(v)], np.uint64), np.array([h(w)], np.uint64))[0])
+        assert math.isclose(found[key], math.log(q[1] / q[0]), rel_tol=1e-9)
+    # features of a text, and of the empty, repeated and very long
+    some = texts[3][1].split()
+    x = [got.features([" ".join(some[: i + 1])])[0][0] * (i + 1) for i in range(len(some))]
+    x = np.diff(np.concatenate(([0.0], x)))
+    f = got.features([None, texts[3][1], "", texts[3][1] + " ", "zz " * 1_000_000])
+    assert np.allclose(f[1], [x.mean(), *[max(x[max(0, i + 1 - n) : i + 1].sum() / n for i in range(len(x))) for n in (2, 4, 8)]])
+    assert (f[0] == 0).all() and (f[2] == 0).all() and np.allclose(f[1], f[3]) and np.allclose(f[4], got.other)
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     rows, labels = [], []
@@ -203,13 +326,14 @@ def test_toxicity(spark):
                 words.insert(rng.randrange(len(words)), rng.choice(["vile", "foul", "nasty"]))
         rows.append((i, " ".join(words)))
         labels.append((i, int(i % 8 == 0)))
-    docs = spark.createDataFrame([*rows, (900, None), (901, "")], DOCS).withColumn("predicted", F.lit("clash"))
+    docs = spark.createDataFrame([*rows, (900, None), (901, "")], DOCS).withColumn("predicted", F.lit("clash")).withColumn("x0", F.lit("kept"))
     marks = spark.createDataFrame([*labels, (5, None), (None, 1), (7, 0)], "doc_id long, toxic int")
     model = KneserNeyToxicity()
     got = {r.doc_id: r for r in model.score(docs, *model.fit(docs, marks.where("doc_id % 3 <> 1"))).collect()}
     held = [i for i in range(400) if i % 3 == 1]
     assert np.mean([got[i].predicted == labels[i][1] for i in held]) > 0.95
     assert got[900].predicted == got[901].predicted == 0 and all(0 <= r.score <= 1 for r in got.values())
+    assert got[1].x0 == "kept"
     empty = model.fit(docs, marks.limit(0))
     assert model.score(docs, *empty).count() == 402
 
