@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -15,6 +16,8 @@ from pyspark.sql.types import StructType
 
 #: Lower-cases A-Z and leaves every other byte.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: Folders that materialise() has written and nobody has discarded.
+WRITTEN: list[str] = []
 #: Code units that are parted into words at once.
 STRETCH = 1 << 18
 #: Combines word hashes in order.
@@ -46,16 +49,33 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    WRITTEN.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.shared_path = path
     return out
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(df: DataFrame) -> None:
     """Remove a table written by materialise(), once nothing reads it any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.shared_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove(df.sparkSession, df.shared_path)
+    WRITTEN.remove(df.shared_path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What materialise() writes within is removed at the end, when results that read it must have been written."""
+    begun = len(WRITTEN)
+    try:
+        yield
+    finally:
+        for path in WRITTEN[begun:]:
+            remove(spark, path)
+        del WRITTEN[begun:]
 
 
 def extend(schema: StructType, ddl: str) -> StructType:
