@@ -40,7 +40,7 @@ class JaccardJoin:
     percent: int = 80
     frequent: float = 1 / 200
     block: int = 256
-    bucket: int = 1_000_000
+    bucket: int = 200_000
 
     def prefix(self, n: int) -> int:
         return n - -(-n * self.percent // 100) + 1
