@@ -31,7 +31,7 @@ from concord.llm.common import extend, pieces, slim_batches
 BUCKETS = 1 << 15
 NO_RANK = 1 << 30
 #: What a task's words may take, roughly.
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 96 << 20
 
 
 def let(value: Column, body) -> Column:
@@ -107,23 +107,23 @@ class ByteBPE:
     # -- words -----------------------------------------------------------------------------------
 
     def frequent_words(self, docs: DataFrame) -> DataFrame:
-        """(word): the most frequent words, at most dictionary_words, none over 64 bytes.  A word that is frequent overall
-        is so in some stretch of input; each stretch sends its dictionary_words most frequent words with their counts."""
-        pattern, most = self.pattern, self.dictionary_words
+        """(word): the most frequent words, at most dictionary_words, none over 64 bytes.  Counted are runs of letters between blanks,
+        which the pattern matches with the blank before; all others are left to the tasks.  A word that is frequent overall is
+        so in some stretch of input; each stretch sends its dictionary_words most frequent words with their counts."""
+        most = self.dictionary_words
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            find = regex.compile(pattern).findall
             held: Counter = Counter()
 
             def flush() -> pa.RecordBatch:
-                top = heapq.nlargest(most, ((c, w) for w, c in held.items() if c > 1))
+                top = heapq.nlargest(most, ((c, w) for w, c in held.items() if c > 1 and w.isalpha()))
                 held.clear()
-                return pa.RecordBatch.from_pydict({"word": pa.array([w for _, w in top], pa.string()), "n": pa.array([c for c, _ in top], pa.int64())})
+                return pa.RecordBatch.from_pydict({"word": pa.array([" " + w for _, w in top], pa.string()), "n": pa.array([c for c, _ in top], pa.int64())})
 
             for batch in batches:
                 for piece in pieces(batch):
                     for text in piece.column(0).to_pylist():
-                        held.update(find(text or ""))
+                        held.update((text or "").split(" "))
                     if len(held) > 150_000:
                         yield flush()
             yield flush()
@@ -174,7 +174,7 @@ class ByteBPE:
     def _map(self, docs: DataFrame, names: list[str], kinds: str, finish) -> DataFrame:
         slim_batches(docs.sparkSession)
         docs = docs.drop(*names)
-        known = docs.sparkSession.sparkContext.broadcast((self.dictionary(docs), self.ranks, self.pieces))
+        known = docs.sparkSession.sparkContext.broadcast((self.dictionary(docs), PairRanks(self.ranks), self.pieces))
         pattern = self.pattern
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,26 +197,31 @@ class Word(NamedTuple):
 
 
 class Merged(dict):
-    """word -> Word; words beyond the dictionary are merged when a text holds them, and forgotten when they take too many bytes."""
+    """word -> Word; words beyond the dictionary are merged when a text holds them.  When the words take half of CACHE_BYTES they are
+    set aside, and those of them that come again are taken back until the next time."""
 
-    def __init__(self, words: dict[str, tuple[int, ...]], ranks: dict[bytes, int], pieces_of: list[bytes]):
+    def __init__(self, words: dict[str, tuple[int, ...]], pairs: PairRanks, pieces_of: list[bytes]):
         super().__init__()
-        self.words, self.ranks, self.pieces_of, self.held = words, ranks, pieces_of, 0
-        self.pairs = PairRanks(ranks)
+        self.words, self.pairs, self.held, self.aside = words, pairs, 0, {}
+        self.decoded, self.spelled = pieces_of.__getitem__, list(map(str, range(len(pieces_of)))).__getitem__
 
     def learn(self, texts: list[list[str]]) -> None:
         """Hold all words of the texts."""
-        needed = set().union(*texts)
-        if self.held > CACHE_BYTES:
+        if self.held > CACHE_BYTES // 2:
+            self.aside = dict(self)
             self.clear()
             self.held = 0
-        new = [w for w in needed if w not in self]
-        rare = [w for w in new if w not in self.words]
-        found = dict(zip(rare, self.pairs.merged([w.encode() for w in rare])))
+        new = list(set().union(*texts).difference(self))
+        known, spelled, decoded, aside = self.words.get, self.spelled, self.decoded, self.aside
+        rare = [w for w in new if w not in aside and w not in self.words]
+        found = dict(zip(rare, self.pairs.merged([w.encode() for w in rare]))).get
         for w in new:
-            ids = found[w] if w in found else self.words[w]
-            self[w] = Word(ids, " ".join(map(str, ids)), b"".join(map(self.pieces_of.__getitem__, ids)))
-            self.held += 400 + 8 * len(w)
+            if w in aside:
+                self[w] = aside[w]
+            else:
+                ids = found(w) or known(w, ())
+                self[w] = Word(ids, " ".join(map(spelled, ids)), b"".join(map(decoded, ids)))
+        self.held += 400 * len(new) + 8 * sum(map(len, new))
 
 
 class PairRanks:
