@@ -1,10 +1,12 @@
 """Embedding near-dedup by an inverted multi-index.
 
-Two codebooks, one per half of the vectors, make a product grid of cells; every vector is listed in the cell of its
-nearest centroids.  A vector visits the cells in the order of a lower bound of its distance to anything in them (from
-the bisectors between centroids, half by half), as far as `reach`: the radius within which the wanted share of
-neighbours at exactly the threshold lies, measured on vectors of the fitted sample moved in random directions.  Only
-cells after a vector's own are visited, so each pair of cells meets once.  All candidates are verified in double precision.
+Two codebooks, one per half of the vectors, make a product grid of cells; every vector is listed in the cell of its nearest
+centroids.  Codebooks grow with the root of the vectors of a label, so that a cell holds about `cell` of them whatever there are.
+A vector visits cells in multi-sequence order, by the sum of its squared distances to the two centroids, nearest first, as far as
+the rank within which the wanted share of neighbours lies; the rank is measured on the fitted sample, on its own neighbours and on
+vectors moved to exactly the threshold.  Cells that no neighbour can lie in (by the bisector of the nearest centroids, half
+by half) are passed over.  With recall 1 the walk stops at that bound alone, so that nothing is lost.  Of two vectors the one
+in the lower cell visits the other, so each pair of cells meets once.  All candidates are verified in double precision.
 
 Only vectors of equal label meet.  Equal vectors are one entry with a count.  Large cells are cut into blocks whose
 pairs are spread over tasks; tasks return counts and spanning forests, never pairs.
@@ -12,6 +14,7 @@ pairs are spread over tasks; tasks return counts and spanning forests, never pai
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.llm.common import connected_components, materialise
+from concord.llm.common import connected_components, discard, materialise
 from concord.llm.jaccard_join import roots
 
 
@@ -29,9 +32,9 @@ def kmeans(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.n
     centres = x_distinct[rng.permutation(len(x_distinct))[:k]]
     for _ in range(rounds):
         near = np.argmin((centres**2).sum(1) - 2 * x @ centres.T, axis=1)
-        for c in range(len(centres)):
-            if (mine := near == c).any():
-                centres[c] = x[mine].mean(0)
+        sums, n = np.zeros_like(centres), np.bincount(near, minlength=len(centres))
+        np.add.at(sums, near, x)
+        centres = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centres)
     return centres
 
 
@@ -39,96 +42,161 @@ def kmeans(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.n
 class Codebook:
     centres: np.ndarray
 
-    def bounds(self, x: np.ndarray) -> np.ndarray:
-        """Lower bound of the distance from each x to each centroid's region: 0 in its own, else from the bisectors."""
-        c = self.centres
-        d = (c**2).sum(1) - 2 * x @ c.T  # squared distance less x.x
-        gap = np.sqrt(np.maximum(((c[:, None] - c[None]) ** 2).sum(2), 1e-30))
-        out = np.zeros_like(d)
-        for w in range(len(c)):
-            np.maximum(out, (d - d[:, w : w + 1]) / (2 * gap[w]), out=out)
-        return out
+    def distances(self, x: np.ndarray) -> np.ndarray:
+        """Squared distances to the centroids."""
+        return np.maximum((x**2).sum(1)[:, None] + (self.centres**2).sum(1) - 2 * x @ self.centres.T, 0)
+
+    def bounds(self, d: np.ndarray) -> np.ndarray:
+        """Lower bounds of the squared distance to each centroid's region, by its bisector with the nearest centroid."""
+        c, near = self.centres, d.argmin(1)
+        gap = np.sqrt(np.maximum((c[near] ** 2).sum(1)[:, None] + (c**2).sum(1) - 2 * c[near] @ c.T, 1e-30))
+        away = np.maximum(d - d[np.arange(len(d)), near][:, None], 0) / (2 * gap) - 1e-9
+        away[np.arange(len(d)), near] = 0
+        return np.maximum(away, 0) ** 2
 
-    def nearest(self, x: np.ndarray) -> np.ndarray:
-        return np.argmin((self.centres**2).sum(1) - 2 * x @ self.centres.T, axis=1)
+
+def first_pairs(k: int, l: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places (i, j) in two sorted lists of k and l numbers that can be among the n least sums: (i + 1)(j + 1) <= n."""
+    i = np.arange(min(k, n))
+    sizes = np.minimum(l, n // (i + 1))
+    i = np.repeat(i, sizes)
+    return i, np.arange(len(i)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 @dataclass
 class Grid:
-    """The fitted index: cells are numbered u * K + v."""
+    """The fitted index: cells are numbered u * len(right) + v.  steps: cells a vector visits at most, 0 for as many as the bound asks for."""
 
     left: Codebook
     right: Codebook
-    reach: float
     half: int
+    radius2: float
+    steps: int = 0
+
+    def halves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.left.distances(x[:, : self.half]), self.right.distances(x[:, self.half :])
 
     def cell(self, x: np.ndarray) -> np.ndarray:
-        return self.left.nearest(x[:, : self.half]) * len(self.right.centres) + self.right.nearest(x[:, self.half :])
+        a, b = self.halves(x)
+        return a.argmin(1) * b.shape[1] + b.argmin(1)
+
+    def rank(self, x: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """How many cells come before `cells` in the order of each x."""
+        a, b = self.halves(x)
+        width, out = b.shape[1], np.zeros(len(x), np.int64)
+        b_sorted = np.sort(b, 1)
+        for r, c in enumerate(cells.tolist()):
+            out[r] = np.searchsorted(b_sorted[r], a[r, c // width] + b[r, c % width] - a[r]).sum()
+        return out
 
     def visits(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, cell) of the cells within reach that come after the row's own."""
-        both = (self.left.bounds(x[:, : self.half]) ** 2)[:, :, None] + (self.right.bounds(x[:, self.half :]) ** 2)[:, None, :]
-        row, cell = np.nonzero(both.reshape(len(x), -1) <= self.reach**2)
-        after = cell > self.cell(x)[row]
-        return row[after], cell[after]
+        """(row, cell) of the cells a vector visits that come after its own in number."""
+        a, b = self.halves(x)
+        k, width = a.shape[1], b.shape[1]
+        own = a.argmin(1) * width + b.argmin(1)
+        low_a, low_b = self.left.bounds(a), self.right.bounds(b)
+        n = min(self.steps or k * width, k * width)
+        i, j = first_pairs(k, width, n)
+        rows, cells = [], []
+        some = max(1, 1_000_000 // len(i))
+        for at in range(0, len(x), some):
+            s = slice(at, at + some)
+            order_a, order_b = a[s].argsort(1), b[s].argsort(1)
+            u, v = order_a[:, i], order_b[:, j]
+            line = np.arange(len(u))[:, None]
+            if n < len(i):
+                total = a[s][line, u] + b[s][line, v]
+                first = np.argpartition(total, n - 1, axis=1)[:, :n]
+                u, v = u[line, first], v[line, first]
+            good = (low_a[s][line, u] + low_b[s][line, v] <= self.radius2) & (u * width + v > own[s][:, None])
+            row, place = np.nonzero(good)
+            rows.append(row + at)
+            cells.append((u * width + v)[row, place])
+        return np.concatenate([np.empty(0, np.int64), *rows]), np.concatenate([np.empty(0, np.int64), *cells])
 
 
 @dataclass(frozen=True)
 class MultiIndex:
-    """cosine: least similarity of a link.  centroids: of each codebook.  fit_rows: vectors expected in the fitted sample.
-    recall: wanted share of neighbours at the threshold.  block: entries of a cell that a task holds at once."""
+    """cosine: least similarity of a link.  centroids: of each codebook, at least.  cell: vectors of a label that a cell holds on
+    average, where that takes more centroids.  fit_rows: vectors expected in the fitted sample, or 32 for each centroid, if these
+    are more.  recall: wanted share of neighbours.  block: entries of a cell that a task holds at once."""
 
     cosine: float = 0.98
     centroids: int = 16
+    cell: int = 256
     fit_rows: int = 20_000
     recall: float = 0.995
     block: int = 1_024
     seed: int = 1
 
     def valid(self, vectors: DataFrame) -> DataFrame:
+        """(vec_id, label, embedding, a, b): usable vectors once each; a and b are hashes that stand for the vector in joins."""
         finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
         some = F.exists("embedding", lambda x: x != 0)
-        rows = vectors.where("vec_id is not null and label is not null and embedding is not null").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
-        return rows.where(finite & some)
+        rows = vectors.where("vec_id is not null and label is not null and embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<double>").alias("embedding"))
+        rows = rows.where(finite & some).withColumns({n: F.xxhash64("embedding", F.size("embedding"), F.lit(i)) for i, n in enumerate("ab")})
+        return rows.dropDuplicates(["vec_id", "label", "a", "b"])
 
     def fit(self, entries: DataFrame, dims: int) -> Grid:
-        n = entries.count()
-        share = min(1.0, self.fit_rows / max(n, 1))
-        taken = entries.where(F.pmod(F.xxhash64("vec_id", F.lit(self.seed)), F.lit(1_000_000)) < share * 1_000_000).orderBy("vec_id").select("embedding").toPandas()
+        n, most = entries.groupBy("label").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+        k = max(self.centroids, math.ceil(math.sqrt(most / self.cell)))
+        share = min(1.0, max(self.fit_rows, 32 * k) / max(n, 1))
+        taken = entries.where(F.pmod(F.xxhash64("vec_id", F.lit(self.seed)), F.lit(1_000_000)) < share * 1_000_000).orderBy("vec_id").select("label", "embedding").toPandas()
         x = unit(np.array(taken["embedding"].tolist(), np.float64).reshape(len(taken), dims))
         rng, half = np.random.default_rng(self.seed), dims // 2
-        k = self.centroids
         if not len(x):
-            x = np.eye(1, dims)
-        grid = Grid(Codebook(kmeans(x[:, :half], k, 12, rng)), Codebook(kmeans(x[:, half:], k, 12, rng)), 0.0, half)
-        some = x[rng.integers(0, len(x), 4_000)]
-        away = rng.standard_normal(some.shape)
-        away -= (away * some).sum(1, keepdims=True) * some
-        moved = self.cosine * some + np.sqrt(1 - self.cosine**2) * unit(away)
-        low = grid.left.bounds(some[:, :half])[np.arange(len(some)), grid.left.nearest(moved[:, :half])] ** 2
-        low += grid.right.bounds(some[:, half:])[np.arange(len(some)), grid.right.nearest(moved[:, half:])] ** 2
-        grid.reach = float(np.sqrt(np.quantile(low, self.recall)))
+            x, taken = np.eye(1, dims), taken.reindex([0])
+        grid = Grid(Codebook(kmeans(x[:, :half], k, 12, rng)), Codebook(kmeans(x[:, half:], k, 12, rng)), half, 2 - 2 * self.cosine + 1e-9)
+        if self.recall < 1:
+            real = self.neighbours(x, taken["label"].astype("category").cat.codes.to_numpy(), rng)
+            some = x[rng.integers(0, len(x), 2_000)]
+            away = rng.standard_normal(some.shape)
+            away -= (away * some).sum(1, keepdims=True) * some
+            grid.steps = 1 + max(self.steps(grid, x, y) for x, y in (real, (some, self.cosine * some + np.sqrt(1 - self.cosine**2) * unit(away))))
         return grid
 
+    def neighbours(self, x: np.ndarray, label: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+        """Linked vectors of the sample: for 2,000 of its vectors one neighbour each, if there is any."""
+        asked, found = [], []
+        for q in np.array_split(rng.permutation(len(x))[:2_000], 20):
+            near = (x[q] @ x.T >= self.cosine) & (label[q][:, None] == label[None, :]) & (q[:, None] != np.arange(len(x))[None, :])
+            some = near.any(1)
+            asked.append(q[some])
+            found.append((near[some] * rng.random(near[some].shape)).argmax(1) if some.any() else q[some])
+        return x[np.concatenate(asked)], x[np.concatenate(found)]
+
+    def steps(self, grid: Grid, x: np.ndarray, y: np.ndarray) -> int:
+        """The rank in the walk of the vector in the lower cell within which the wanted share of neighbours lies."""
+        if not len(x):
+            return 0
+        u, v = grid.cell(x), grid.cell(y)
+        swap = u > v
+        rank = grid.rank(np.where(swap[:, None], y, x), np.where(swap, u, v))
+        return int(np.quantile(np.where(u == v, 0, rank), self.recall, method="higher"))
+
     def placed(self, entries: DataFrame, grid: Grid) -> DataFrame:
         """(vec_id, label, copies, cell, visitor, embedding): each entry in its own cell and as a visitor of others."""
+        sent = entries.sparkSession.sparkContext.broadcast(grid)  # as many numbers as the root of a label's vectors, times the dimensions
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            grid = sent.value
             for whole in batches:
-                for at in range(0, whole.num_rows, 2_000):
-                    batch = whole.slice(at, 2_000)
+                for at in range(0, whole.num_rows, 1_000):
+                    batch = whole.slice(at, 1_000)
                     x = unit(matrix(batch.column(3)))
                     row, cell = grid.visits(x)
-                    rows = pa.array(np.concatenate((np.arange(len(x)), row)))
+                    rows = np.concatenate((np.arange(len(x)), row))
                     cells = np.concatenate((grid.cell(x), cell))
-                    out = batch.take(rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [out.column(0), out.column(1), out.column(2), pa.array(cells.astype(np.int32)), pa.array(np.arange(len(cells)) >= len(x)), out.column(3)],
-                        ["vec_id", "label", "copies", "cell", "visitor", "embedding"],
-                    )
+                    for start in range(0, len(rows), 4_000):
+                        part = slice(start, start + 4_000)
+                        out = batch.take(pa.array(rows[part]))
+                        yield pa.RecordBatch.from_arrays(
+                            [out.column(0), out.column(1), out.column(2), pa.array(cells[part].astype(np.int64)), pa.array(np.arange(len(rows))[part] >= len(x)), out.column(3)],
+                            ["vec_id", "label", "copies", "cell", "visitor", "embedding"],
+                        )
 
         kind = dict(entries.dtypes)["label"]
-        return entries.select("vec_id", "label", "copies", "embedding").mapInArrow(run, f"vec_id long, label {kind}, copies long, cell int, visitor boolean, embedding array<double>")
+        return entries.select("vec_id", "label", "copies", "embedding").mapInArrow(run, f"vec_id long, label {kind}, copies long, cell long, visitor boolean, embedding array<double>")
 
     def verify(self, placed: DataFrame) -> DataFrame:
         """(vec_id, root, links) by task."""
@@ -164,23 +232,27 @@ class MultiIndex:
         """Per row of `vectors` (vec_id, embedding, label): vec_id, n_links, component_id, kept.
 
         Vectors that are null, zero or hold null or non-finite components, and rows with a null label, link with
-        nothing.  Vectors of different lengths do not link.  Rows that share a vec_id are one vector for reachability;
-        a row without vec_id has no component and is kept.  Other columns are ignored.
+        nothing.  Vectors of different lengths do not link.  Rows that share a vec_id are one vector: repeats do not count as
+        others, and rows with different vectors or labels are one for reachability, with the links of the one that has most.
+        A row without vec_id has no component and is kept.  Other columns are ignored.
         """
         good = materialise(self.valid(vectors), "vectors")
-        entries = materialise(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")), "entries")
+        keys = ["label", "a", "b"]
+        counted = good.groupBy(*keys).agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
+        entries = materialise(good.join(counted, [*keys, "vec_id"]), "entries")
         found = None
         for dims in sorted(r.d for r in entries.select(F.size("embedding").alias("d")).distinct().toLocalIterator()):
             own = entries.where(F.size("embedding") == dims)
-            links = self.verify(self.placed(own, self.fit(own, dims)))
+            placed = materialise(self.placed(own, self.fit(own, dims)), "placed")
+            links = materialise(self.verify(placed), "links")
+            discard(placed)
             found = links if found is None else found.unionByName(links)
         if found is None:
             found = vectors.sparkSession.createDataFrame([], "vec_id long, root long, links long")
-        found = materialise(found, "links")
-        counts = found.groupBy(F.col("vec_id").alias("first")).agg(F.sum("links").alias("links"))
+        counts = found.groupBy(F.col("vec_id").alias("first"), "label_key").agg(F.sum("links").alias("links")) if "label_key" in found.columns else found.groupBy(F.col("vec_id").alias("first")).agg(F.sum("links").alias("links"))
         component = connected_components(found.select(F.col("vec_id").alias("u"), F.col("root").alias("v"))).withColumnRenamed("id", "first")
-        classes = entries.withColumnRenamed("vec_id", "first").join(counts, "first", "left").join(component, "first", "left")
-        member = good.join(classes, ["label", "embedding"]).groupBy("vec_id").agg(F.max(F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.min(F.coalesce("component", "first")).alias("component"))
+        classes = entries.select(*keys, F.col("vec_id").alias("first"), "copies").join(counts, "first", "left").join(component, "first", "left")
+        member = good.select("vec_id", *keys).join(classes, keys).groupBy("vec_id").agg(F.max(F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.min(F.coalesce("component", "first")).alias("component"))
         out = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).join(member, "vec_id", "left")
         return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
