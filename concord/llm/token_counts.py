@@ -1,8 +1,9 @@
 """Token counts by source, language and tokenizer version, maintained from signed deltas.
 
-A batch of changes is reduced to one signed row per group and committed under its id by a rename; committing the id again
-changes nothing.  Totals are the sum of what is committed, so inserts, deletes and revised counts cost what they
-change, never a recount.  compact() folds committed batches into one table and remembers their ids.
+A batch of changes is reduced to one signed row per group and written aside; it is committed by creating the marker of its id,
+which only one writer can, so committing the id again changes nothing.  Totals are the sum of what is committed, so inserts,
+deletes and revised counts cost what they change, never a recount.  compact() folds committed batches into one table
+and remembers their ids in another; neither is ever brought to the driver whole.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import re
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +37,11 @@ def revised(before: DataFrame, after: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class TokenRollup:
-    """path: a folder that all executors share."""
+    """path: a folder that all executors share.
+
+    data/<batch>-<writer> holds a writer's rows of a batch, commits/<batch> is the marker that names the writer, and
+    base/<number> holds totals and the ids folded into them.
+    """
 
     spark: SparkSession
     path: str
@@ -51,40 +57,60 @@ class TokenRollup:
     def _base(self) -> str | None:
         return max(self._names("base"), default=None)
 
-    def _folded(self) -> set[str]:
+    def _folded(self, ids: list[str]) -> set[str]:
+        """Which of a few ids are folded into the base already."""
         base = self._base()
-        if not base:
+        if not base or not ids:
             return set()
-        return {r.batch for r in self.spark.read.schema("batch string").parquet(f"{self.path}/base/{base}/batches").toLocalIterator()}
+        known = self.spark.read.schema("batch string").parquet(f"{self.path}/base/{base}/batches")
+        return {r.batch for r in known.where(F.col("batch").isin(ids)).distinct().collect()}
+
+    def _writer(self, batch_id: str) -> str:
+        """Who has committed a batch, by its marker; empty if its writer died before naming itself."""
+        fs, p = self._fs(f"{self.path}/commits/{batch_id}")
+        stream = fs.open(p)
+        try:
+            return bytes(stream.readNBytes(64)).decode()
+        finally:
+            stream.close()
 
     def commit(self, batch_id: str, signed: DataFrame) -> bool:
         """Add a batch of signed rows (KEYS, docs, tokens); False if a batch of that id is committed already.
 
-        The groups' sums are written aside and renamed into place, so a batch is there wholly or not at all, and of two
-        writers of one id only one takes effect.
+        The marker is created only where there is none, so of two writers of one id only one takes effect, and a batch counts
+        wholly or not at all.  A marker without a name is what a writer that died has left: the id is free again.
         """
         if not re.fullmatch(r"[\w-]+", batch_id):
             raise ValueError(f"batch id {batch_id!r}")
-        fs, final = self._fs(f"{self.path}/batches/{batch_id}")
-        if fs.exists(final) or batch_id in self._folded():
+        fs, marker = self._fs(f"{self.path}/commits/{batch_id}")
+        if self._folded([batch_id]) or (fs.exists(marker) and self._writer(batch_id)):
             return False
-        aside = f"{self.path}/aside/{uuid.uuid4().hex}"
-        sums(signed).write.parquet(aside)
-        fs.mkdirs(final.getParent())
-        source = self._fs(aside)[1]
-        if not fs.exists(final) and fs.rename(source, final):
-            return True
-        fs.delete(source, True)
-        return False
+        writer = uuid.uuid4().hex
+        data = f"{self.path}/data/{batch_id}-{writer}"
+        sums(signed).write.parquet(data)
+        if fs.exists(marker) and not self._writer(batch_id):
+            fs.delete(marker, False)
+        try:
+            stream = fs.create(marker, False)
+        except Py4JJavaError:
+            fs.delete(self._fs(data)[1], True)
+            if not fs.exists(marker):
+                raise
+            return False
+        stream.write(bytearray(writer.encode()))
+        stream.close()
+        return True
 
     def _committed(self) -> tuple[DataFrame, list[str]]:
-        folded = self._folded()
-        new = [n for n in self._names("batches") if n not in folded]
+        """What counts, and the ids that are not folded yet."""
+        names = self._names("commits")
+        folded = self._folded(names)
+        new = {n: w for n in names if n not in folded if (w := self._writer(n))}
         schema = f"source string, lang string, tokenizer_version string, {SUMS}"
         base = self._base()
-        paths = [f"{self.path}/base/{base}/totals"] * bool(base) + [f"{self.path}/batches/{n}" for n in new]
+        paths = [f"{self.path}/base/{base}/totals"] * bool(base) + [f"{self.path}/data/{n}-{w}" for n, w in new.items()]
         found = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
-        return found, new
+        return found, list(new)
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer_version, docs, tokens) of all committed batches; groups that are empty again are left out.
@@ -92,22 +118,26 @@ class TokenRollup:
         return sums(self._committed()[0]).where("docs <> 0 or tokens <> 0")
 
     def compact(self) -> None:
-        """Fold the committed batches into a new base; the base is found once its folder is renamed into place."""
+        """Fold the committed batches into a new base; the base is found once its folder is renamed into place.  Markers of batches
+        that a base has folded go last: until then they are known to be folded."""
         found, new = self._committed()
         if not new:
             return
-        folded = sorted(self._folded() | set(new))
         aside = f"{self.path}/aside/{uuid.uuid4().hex}"
         sums(found).write.parquet(f"{aside}/totals")
-        self.spark.createDataFrame([(b,) for b in folded], "batch string").coalesce(1).write.parquet(f"{aside}/batches")
-        number = int(self._base() or "0") + 1
-        fs, final = self._fs(f"{self.path}/base/{number:012d}")
+        ids = self.spark.createDataFrame([(b,) for b in new], "batch string")
+        base = self._base()
+        if base:
+            ids = self.spark.read.schema("batch string").parquet(f"{self.path}/base/{base}/batches").unionByName(ids)
+        ids.write.parquet(f"{aside}/batches")
+        fs, final = self._fs(f"{self.path}/base/{int(base or '0') + 1:012d}")
         fs.mkdirs(final.getParent())
         if fs.exists(final) or not fs.rename(self._fs(aside)[1], final):
             raise RuntimeError("another writer has compacted meanwhile")
         for name in new:
-            old_fs, old = self._fs(f"{self.path}/batches/{name}")
-            old_fs.delete(old, True)
+            data = self._fs(f"{self.path}/data/{name}-{self._writer(name)}")[1]
+            fs.delete(self._fs(f"{self.path}/commits/{name}")[1], False)
+            fs.delete(data, True)
 
 
 def sums(signed: DataFrame) -> DataFrame:
