@@ -29,9 +29,11 @@ def digest(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class QuotationLinks:
-    """most_rounds: rounds of pointer doubling, enough for threads of 2 ** most_rounds messages."""
+    """most_rounds: rounds of pointer doubling, enough for threads of 2 ** most_rounds messages.  stretch: turns of a conversation
+    that are looked through at once for what a passage quotes."""
 
     most_rounds: int = 40
+    stretch: int = 1_024
 
     def lines(self, messages: DataFrame) -> DataFrame:
         """(conv_id, turn, mid, pos, level, line)"""
@@ -92,23 +94,39 @@ class QuotationLinks:
 
     def linked(self, wanted: DataFrame, offers: DataFrame) -> DataFrame:
         """(conv_id, turn, mid, run, level, original): the latest earlier turn that offers the passage, or its first line."""
-        found = None
-        for kind in ("whole", "line"):
-            asked = wanted.select("conv_id", "turn", "mid", "run", "level", F.col(kind).alias("key")).where("key is not null")
-            got = asked.join(offers.withColumnRenamed("turn", "original"), ["conv_id", "key"]).where("original < turn").groupBy("conv_id", "turn", "mid", "run", "level").agg(F.max("original").alias("original"))
-            found = got if found is None else found.unionByName(got.join(found, ["conv_id", "turn", "mid", "run"], "left_anti"))
-        return found
+        kind = dict(offers.dtypes)["turn"]
+        asked = wanted.select("conv_id", "turn", F.explode(F.array("whole", "line")).alias("key")).where("key is not null").distinct()
+        latest = self.latest(asked, offers).withColumn("original", F.col("original").cast(kind))
+        one = lambda key: latest.select("conv_id", "turn", F.col("key").alias(key), F.col("original").alias(f"by_{key}"))
+        found = wanted.join(one("whole"), ["conv_id", "turn", "whole"], "left").join(one("line"), ["conv_id", "turn", "line"], "left")
+        return found.select("conv_id", "turn", "mid", "run", "level", F.coalesce("by_whole", "by_line").alias("original")).where("original is not null")
+
+    def latest(self, asked: DataFrame, offers: DataFrame) -> DataFrame:
+        """(conv_id, turn, key, original): for each (conv_id, turn, key) asked for, the latest earlier turn that offers the key.
+
+        Both sides are sorted together instead of joined, as many turns may ask for what many turns have said.  Windows run within
+        stretches of `stretch` turns; what earlier stretches offer last reaches them by one row a stretch.
+        """
+        block = F.floor(F.col("turn") / self.stretch)
+        both = asked.select("conv_id", "key", F.col("turn").cast("long").alias("turn"), F.lit(True).alias("asks")).unionByName(offers.select("conv_id", "key", F.col("turn").cast("long").alias("turn"), F.lit(False).alias("asks")))
+        both = both.withColumn("block", block)
+        said = F.when(~F.col("asks"), F.col("turn"))
+        within = W.partitionBy("conv_id", "key", "block").orderBy("turn").rangeBetween(W.unboundedPreceding, -1)
+        near = both.withColumn("near", F.max(said).over(within)).where("asks").drop("asks")
+        last = both.groupBy("conv_id", "key", "block").agg(F.max(said).alias("last"))
+        earlier = W.partitionBy("conv_id", "key").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+        far = last.select("conv_id", "key", "block", F.max("last").over(earlier).alias("far"))
+        found = near.join(far, ["conv_id", "key", "block"], "left")
+        return found.select("conv_id", "turn", "key", F.coalesce("near", "far").alias("original")).where("original is not null")
 
     def threads(self, up: DataFrame) -> DataFrame:
         """(conv_id, turn, thread) of the turns that reply, by pointer doubling over (conv_id, turn, up)."""
         cur = materialise(up, "up")
         for _ in range(self.most_rounds):
             above = cur.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("next"))
-            new = materialise(cur.join(above, ["conv_id", "up"], "left").select("conv_id", "turn", F.coalesce("next", "up").alias("up"), F.col("next").isNotNull().alias("moved")), "up")
-            moved = new.where("moved").limit(1).count()
+            new = materialise(cur.select("conv_id", "turn", "up").join(above, ["conv_id", "up"], "left").select("conv_id", "turn", F.coalesce("next", "up").alias("up"), F.col("next").isNotNull().alias("moved")), "up")
             discard(cur)
-            cur = materialise(new.drop("moved"), "up")
-            discard(new)
-            if not moved:
+            cur = new
+            if cur.where("moved").isEmpty():
                 break
-        return cur.withColumnRenamed("up", "thread")
+        return cur.select("conv_id", "turn", F.col("up").alias("thread"))
