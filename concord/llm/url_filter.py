@@ -1,7 +1,7 @@
 """URL rules by Bloom filter cascades: exact membership of the corpus's own keys, without joins when urls are judged.
 
-A url's keys are every suffix of its host at a label boundary, joined to every prefix of its path that is as
-long as some rule's path; the corpus's key universe is all keys of all urls.  A cascade for a list alternates
+A url's keys are every suffix of its host at a label boundary with no more labels than some rule's host, joined to every
+prefix of its path that is as long as some rule's path; the corpus's key universe is all keys of all urls.  A cascade for a list alternates
 levels: the first filter holds the listed keys, the second the universe's false positives of the first, the third
 the listed keys that the second takes in, and so on until a level takes in nothing wrong.  On the universe it is
 exact.  Filters are sized for the list, not the corpus: the first level's error rate falls as the universe grows.
@@ -34,9 +34,10 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def keys_of(host: Column, path: Column, lengths: list[int]) -> Column:
+def keys_of(host: Column, path: Column, lengths: list[int], most_labels: int) -> Column:
     """array<string>: the keys of a url, longest first, equal lengths by the longer host."""
     labels = F.split(host, r"\.")
+    labels = F.slice(labels, F.greatest(F.size(labels) - most_labels + 1, F.lit(1)), most_labels)
     hosts = F.when(host == "", F.array().cast("array<string>")).otherwise(
         F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     )
@@ -124,7 +125,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame, universe_size: int, mo
     if not n:
         return cascade
     rate = min(0.5, max(2.0**-30, n / max(universe_size, 1)))
-    inside, outside = listed, None
+    inside, outside, held = listed, None, []
     for depth in range(most_levels):
         cascade.levels.append(build_level(inside, n, rate, seed))
         seed += cascade.levels[-1].k
@@ -133,8 +134,11 @@ def build_cascade(listed: DataFrame, universe: DataFrame, universe_size: int, mo
         else:
             outside = where_passed(outside, cascade, depth + 1)
         outside = outside.cache()  # about as many as the list; lost parts are computed again
+        held.append(outside)
         n = outside.count()
         if not n:
+            for df in held:
+                df.unpersist()
             return cascade
         inside, outside, rate = outside, inside, 0.5
     raise RuntimeError("keys that agree in 128 bits of hash can't be told apart")
@@ -160,8 +164,9 @@ class UrlFilter:
         rules = rules.where("host is not null and path is not null and host <> ''").select(F.translate("host", UPPER, LOWER).alias("host"), "path", "verdict")
         lengths = sorted(r.n for r in rules.select(F.length("path").alias("n")).distinct().toLocalIterator())
         verdicts = rules.groupBy(F.concat("host", "path").alias("key")).agg(F.max("verdict").alias("verdict"))
-        parsed = pages.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))}).withColumn("_keys", keys_of(F.col("host"), F.col("path"), lengths))
-        universe = hashed(parsed.select(F.explode("_keys").alias("key")))
+        most_labels = rules.agg(F.max(F.size(F.split("host", r"\.")))).first()[0] or 1
+        parsed = pages.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))}).withColumn("__concord_keys", keys_of(F.col("host"), F.col("path"), lengths, most_labels))
+        universe = hashed(parsed.select(F.explode("__concord_keys").alias("key")))
         size = universe.agg(F.approx_count_distinct("a")).first()[0]
         shards = 1 + rules.count() // self.filter_rules
         found = parsed.withColumn("rule", F.lit(None).cast("string")).withColumn("verdict", F.lit(None).cast("string"))
@@ -169,11 +174,11 @@ class UrlFilter:
             mine = lambda df: df.where(F.pmod("a", F.lit(shards)) == s)  # noqa: E731, B023
             cascades = {v: build_cascade(mine(hashed(verdicts.where(F.col("verdict") == v).select("key"))), mine(universe), size // shards) for v in ("block", "allow")}
             found = self.probe(found, cascades, s, shards)
-        return found.drop("_keys").withColumn("verdict", F.coalesce("verdict", F.lit(self.default)))
+        return found.drop("__concord_keys").withColumn("verdict", F.coalesce("verdict", F.lit(self.default)))
 
     def probe(self, df: DataFrame, cascades: dict[str, Cascade], shard: int, shards: int) -> DataFrame:
         """Set rule and verdict where a listed key is longer than the rule found before."""
-        given = df.withColumn("_hashes", F.transform("_keys", lambda k: F.struct(F.xxhash64(k, F.lit(1)).alias("a"), F.xxhash64(k, F.lit(2)).alias("b"))))
+        given = df.withColumn("__concord_hashes", F.transform("__concord_keys", lambda k: F.struct(F.xxhash64(k, F.lit(1)).alias("a"), F.xxhash64(k, F.lit(2)).alias("b"))))
         names = df.columns
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +192,7 @@ class UrlFilter:
                     verdict[mine & cascades[v].listed(a, b)] = v
                 sizes = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy()
                 rules, verdicts = batch.column(names.index("rule")).to_pylist(), batch.column(names.index("verdict")).to_pylist()
-                keys = batch.column(names.index("_keys"))
+                keys = batch.column(names.index("__concord_keys"))
                 row = np.repeat(np.arange(len(sizes)), sizes)
                 start = np.cumsum(sizes) - sizes
                 hit = np.flatnonzero(verdict != "")
