@@ -18,7 +18,6 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -138,8 +137,8 @@ class ByteBPE:
     def encode(self, docs: DataFrame) -> DataFrame:
         """All columns of docs with ids (array<int>); a null text has no ids.  A column named ids is replaced."""
 
-        def finish(words: list[list[Word]]) -> list[pa.Array]:
-            return [pa.array([[i for w in text for i in w.ids] for text in words], pa.list_(pa.int32()))]
+        def finish(spelled: list[str], _: list[bytes]) -> list[pa.Array]:
+            return [pa.array([list(map(int, s.split())) for s in spelled], pa.list_(pa.int32()))]
 
         return self._map(docs, ["ids"], "ids array<int>", finish)
 
@@ -147,14 +146,9 @@ class ByteBPE:
         """All columns of docs with n_tokens, ids_sha256 (of the decimal ids joined by blanks), decoded_sha256.  A word's ids are
         spelled and decoded once while it is held; a text's are joined from those of its words."""
 
-        def finish(words: list[list[Word]]) -> list[pa.Array]:
+        def finish(spelled: list[str], decoded: list[bytes]) -> list[pa.Array]:
             sha = lambda b: hashlib.sha256(b).hexdigest()
-            parts = [tuple(zip(*text)) or ((), (), ()) for text in words]
-            return [
-                pa.array([sum(map(len, p[0])) for p in parts], pa.int64()),
-                pa.array([sha(" ".join(p[1]).encode()) for p in parts]),
-                pa.array([sha(b"".join(p[2])) for p in parts]),
-            ]
+            return [pa.array([s.count(" ") + (s != "") for s in spelled], pa.int64()), pa.array([sha(s.encode()) for s in spelled], pa.string()), pa.array(list(map(sha, decoded)), pa.string())]
 
         return self._map(docs, ["n_tokens", "ids_sha256", "decoded_sha256"], "n_tokens long, ids_sha256 string, decoded_sha256 string", finish)
 
@@ -183,45 +177,42 @@ class ByteBPE:
             for batch in batches:
                 for piece in pieces(batch):
                     texts = [find(t) if t else [] for t in piece.column(piece.num_columns - 1).to_pylist()]
-                    cache.learn(texts)
-                    words = [list(map(cache.__getitem__, text)) for text in texts]
-                    yield pa.RecordBatch.from_arrays([*piece.columns[:-1], *finish(words)], [*piece.schema.names[:-1], *names])
+                    spelled, decoded = cache.learn(texts)
+                    out = finish([" ".join(map(spelled, t)) for t in texts], [b"".join(map(decoded, t)) for t in texts])
+                    yield pa.RecordBatch.from_arrays([*piece.columns[:-1], *out], [*piece.schema.names[:-1], *names])
 
         return docs.withColumn("__concord_text", F.col("text").cast("string")).mapInArrow(run, extend(docs.schema, kinds))
 
 
-class Word(NamedTuple):
-    ids: tuple[int, ...]
-    spelled: str  # the ids in decimals, joined by blanks
-    decoded: bytes
-
-
-class Merged(dict):
-    """word -> Word; words beyond the dictionary are merged when a text holds them.  When the words take half of CACHE_BYTES they are
-    set aside, and those of them that come again are taken back until the next time."""
+class Merged:
+    """What words are encoded to, as decimal ids joined by blanks, and what these decode to; words beyond the dictionary are merged
+    when a text holds them.  When the words take half of CACHE_BYTES they are set aside, and those of them that come again
+    are taken back until the next time."""
 
     def __init__(self, words: dict[str, tuple[int, ...]], pairs: PairRanks, pieces_of: list[bytes]):
-        super().__init__()
-        self.words, self.pairs, self.held, self.aside = words, pairs, 0, {}
-        self.decoded, self.spelled = pieces_of.__getitem__, list(map(str, range(len(pieces_of)))).__getitem__
-
-    def learn(self, texts: list[list[str]]) -> None:
-        """Hold all words of the texts."""
+        self.words, self.pairs, self.held = words, pairs, 0
+        self.spelled: dict[str, str] = {}
+        self.decoded: dict[str, bytes] = {}
+        self.aside = self.spelled, self.decoded
+        self.piece, self.number = pieces_of.__getitem__, list(map(str, range(len(pieces_of)))).__getitem__
+
+    def learn(self, texts: list[list[str]]) -> tuple:
+        """Look-ups of (spelled, decoded) for all words of the texts."""
         if self.held > CACHE_BYTES // 2:
-            self.aside = dict(self)
-            self.clear()
-            self.held = 0
-        new = list(set().union(*texts).difference(self))
-        known, spelled, decoded, aside = self.words.get, self.spelled, self.decoded, self.aside
-        rare = [w for w in new if w not in aside and w not in self.words]
-        found = dict(zip(rare, self.pairs.merged([w.encode() for w in rare]))).get
-        for w in new:
-            if w in aside:
-                self[w] = aside[w]
-            else:
-                ids = found(w) or known(w, ())
-                self[w] = Word(ids, " ".join(map(spelled, ids)), b"".join(map(decoded, ids)))
-        self.held += 400 * len(new) + 8 * sum(map(len, new))
+            self.aside, self.spelled, self.decoded, self.held = (self.spelled, self.decoded), {}, {}, 0
+        spelled, decoded, (old, old_decoded) = self.spelled, self.decoded, self.aside
+        new = set().union(*texts).difference(spelled)
+        for w in new.intersection(old):
+            spelled[w], decoded[w] = old[w], old_decoded[w]
+        rest = list(new.difference(old))
+        found = [(w, self.words[w]) for w in rest if w in self.words]
+        rare = [w for w in rest if w not in self.words]
+        number, piece = self.number, self.piece
+        for w, ids in [*found, *zip(rare, self.pairs.merged([w.encode() for w in rare]))]:
+            spelled[w] = " ".join(map(number, ids))
+            decoded[w] = b"".join(map(piece, ids))
+        self.held += 320 * len(new) + 8 * sum(map(len, new))
+        return spelled.__getitem__, decoded.__getitem__
 
 
 class PairRanks:
@@ -275,8 +266,10 @@ class PairRanks:
             at = ranks.argmin(1) if ranks.shape[1] else np.zeros(len(ids), np.int64)
             least = ranks[np.arange(len(ids)), at] if ranks.shape[1] else np.full(len(ids), NO_RANK)
             done = least >= NO_RANK
-            for place, row in zip(places[done].tolist(), ids[done].tolist()):
-                out[place] = tuple(i for i in row if i >= 0)
+            if done.any():
+                last = ids[done]
+                for place, row, n in zip(places[done].tolist(), last.tolist(), (last >= 0).sum(1).tolist()):
+                    out[place] = tuple(row[:n])
             live = ~done
             ids, ranks, places, at, least = ids[live], ranks[live], places[live], at[live], least[live]
             if not len(ids):
