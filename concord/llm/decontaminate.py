@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.llm.common import extend, pieces
+from concord.llm.common import discard, extend, materialise, pieces, slim_batches
 
 #: ASCII bytes that are no word characters become spaces, A-Z become a-z; bytes from 0x80 on are word characters.
 WORD_BYTES = bytes(
@@ -116,15 +116,16 @@ class FMIndex:
 
 
 class Windows:
-    """The distinct windows of a block of benchmark items, as rows of word numbers grouped by length."""
+    """The distinct windows of a block of benchmark items, as rows of word numbers grouped by length.  An item without id has
+    windows, but is in no list of items."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], size: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], size: int):
         self.vocabulary: dict[bytes, int] = {}
         by: dict[tuple[int, ...], set[str]] = {}
         for item, words in items:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words]
             for at in range(max(1, len(ids) - size + 1) if ids else 0):
-                by.setdefault(tuple(ids[at : at + size]), set()).add(item)
+                by.setdefault(tuple(ids[at : at + size]), set()).update([item] if item is not None else [])
         self.symbols = len(self.vocabulary) + 1
         self.groups = [(n, np.array([w for w in by if len(w) == n], np.int64), [sorted(by[w]) for w in by if len(w) == n]) for n in sorted({len(w) for w in by})]
         pairs = {a * self.symbols + b for w in by for a, b in zip(w, w[1:])}
@@ -205,69 +206,89 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
+FOUND = "__spans array<struct<start: long, end: long>>, __items array<string>"
+PAIR = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
 @dataclass(frozen=True)
 class Decontaminator:
     """window: words in a window.  shard_words: words of the documents an index covers (a longer document is a shard
-    of its own).  benchmark_bytes: benchmark text a task holds at once; a larger benchmark is searched in several blocks
-    of items, one after the other over the same documents."""
+    of its own).  benchmark_bytes: benchmark text that the driver and a task hold at once (or one item, if that is longer); a larger
+    benchmark is searched in several passes over the documents, one for each block of items."""
 
     window: int = 10
     shard_words: int = 400_000
     benchmark_bytes: int = 32 << 20
 
-    def blocks(self, benchmark: DataFrame) -> list[Windows]:
-        items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text")).where("item is not null and text is not null").distinct()
-        size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-        n = 1 + int(size // self.benchmark_bytes)
-        return [
-            Windows(sorted((r.item, words_of(bytes(r.text))) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b).toLocalIterator()), self.window)
-            for b in range(n)
-        ]
+    def search(self, rows: DataFrame, block: DataFrame) -> DataFrame:
+        """rows (.., __spans, __items, __concord_text) with what a block of items (item, text) adds to spans and items."""
+        items = sorted(((r.item, words_of(bytes(r.text))) for r in block.toLocalIterator()), key=lambda x: (x[0] is None, x))
+        sent, most = rows.sparkSession.sparkContext.broadcast(Windows(items, self.window)), self.shard_words  # about benchmark_bytes
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            windows = sent.value
+            number = windows.vocabulary.get
+            for batch in batches:
+                for piece in pieces(batch, 6 * most):
+                    *rest, spans, items, text = piece.columns
+                    spans = [[(s["start"], s["end"]) for s in x] for x in spans.to_pylist()]
+                    items = [set(x) for x in items.to_pylist()]
+                    shard, first, held = [], 0, 0
+                    for i in range(piece.num_rows):
+                        words = words_of(text[i].as_py())
+                        shard.append(np.fromiter((number(w, 0) for w in words), np.int64, len(words)))
+                        held += len(words)
+                        if held >= most or i == piece.num_rows - 1:
+                            for k, (new, names) in enumerate(occurrences(shard, windows)):
+                                spans[first + k] = merged(spans[first + k] + new) if new else spans[first + k]
+                                items[first + k] |= names
+                            shard, first, held = [], i + 1, 0
+                    out = [pa.array([[{"start": s, "end": e} for s, e in x] for x in spans], PAIR), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
+                    yield pa.RecordBatch.from_arrays([*rest, *out, text], piece.schema.names)
+
+        return rows.mapInArrow(run, rows.schema)
 
     def apply(self, docs: DataFrame, benchmark: DataFrame, texts: bool = False) -> DataFrame:
         """Per row of `docs`: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans; with `texts` all columns
         of docs too and `clean`, the text without its spans.
 
         spans: merged [start, end) word positions.  Null or wordless texts have no words and are clean.  Items without
-        words or text match nothing; repeated rows are judged alike.  Columns of docs named like a result are
-        replaced.
+        words or text match nothing; items without id count in n_hit, not in n_items; repeated rows are judged alike.  Columns
+        of docs named like a result are replaced.
         """
+        slim_batches(docs.sparkSession)
         results = {"n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "clean"}
         own = [c for c in docs.columns if c.lower() not in results] if texts else ["doc_id"]
-        blocks, most = self.blocks(benchmark), self.shard_words
         names = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"] + ["clean"] * texts
 
         def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for piece in pieces(batch, 6 * most):
-                    raw = piece.column(piece.num_columns - 1).to_pylist()
-                    texts_words = [words_of(t) for t in raw]
-                    found: list[tuple[list, set]] = [([], set()) for _ in raw]
-                    for windows in blocks:
-                        number = windows.vocabulary.get
-                        shard, first, held = [], 0, 0
-                        for i, words in enumerate(texts_words):
-                            shard.append(np.fromiter((number(w, 0) for w in words), np.int64, len(words)))
-                            held += len(words)
-                            if held >= most or i == len(raw) - 1:
-                                for k, (spans, items) in enumerate(occurrences(shard, windows)):
-                                    found[first + k][0].extend(spans)
-                                    found[first + k][1].update(items)
-                                shard, first, held = [], i + 1, 0
-                    spans = [merged(s) for s, _ in found]
-                    hits = [sum(e - s for s, e in x) for x in spans]
+                for piece in pieces(batch):
+                    *rest, spans, items, raw = piece.columns
+                    raw, items, places = raw.to_pylist(), items.to_pylist(), spans.to_pylist()
+                    hits = [sum(s["end"] - s["start"] for s in x) for x in places]
                     out = [
-                        pa.array([len(w) for w in texts_words], pa.int64()),
+                        pa.array([len(words_of(t)) for t in raw], pa.int64()),
                         pa.array(hits, pa.int64()),
-                        pa.array([len(i) for _, i in found], pa.int64()),
-                        pa.array([hashlib.sha256(",".join(sorted(i)).encode()).hexdigest() for _, i in found]),
-                        pa.array([h > 0 for h in hits]),
-                        pa.array([[{"start": s, "end": e} for s, e in x] for x in spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                        pa.array(list(map(len, items)), pa.int64()),
+                        pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in items], pa.string()),
+                        pa.array([h > 0 for h in hits], pa.bool_()),
+                        spans,
                     ]
                     if texts:
-                        out.append(pa.array([None if t is None else cut(t, s).decode("utf-8", "replace") if s else t.decode("utf-8", "replace") for t, s in zip(raw, spans)], pa.string()))
-                    yield pa.RecordBatch.from_arrays([*piece.columns[:-1], *out], [*own, *names])
+                        out.append(pa.array([None if t is None else (cut(t, [(s["start"], s["end"]) for s in x]) if x else t).decode("utf-8", "replace") for t, x in zip(raw, places)], pa.string()))
+                    yield pa.RecordBatch.from_arrays([*rest, *out], [*own, *names])
 
-        given = docs.select(*own, F.col("text").cast("binary").alias("__concord_text"))
+        items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text")).where("text is not null").distinct()
+        size = items.agg(F.sum(F.length("text"))).first()[0] or 0
+        blocks = 1 + int(size // self.benchmark_bytes)
+        none = [F.array().cast("array<struct<start: long, end: long>>").alias("__spans"), F.array().cast("array<string>").alias("__items")]
+        rows = docs.select(*own, *none, F.col("text").cast("binary").alias("__concord_text"))
+        for b in range(blocks):
+            before, rows = rows, self.search(rows, items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b))
+            if blocks > 1:  # written, so that a pass ends before the next block is read
+                rows = materialise(rows, "searched")
+                if b:
+                    discard(before)
         kinds = ["long", "long", "long", "string", "boolean", "array<struct<start: long, end: long>>", "string"]
-        return given.mapInArrow(judge, extend(docs.select(*own).schema, ", ".join(f"{n} {k}" for n, k in zip(names, kinds))))
+        return rows.mapInArrow(judge, extend(docs.select(*own).schema, ", ".join(f"{n} {k}" for n, k in zip(names, kinds))))

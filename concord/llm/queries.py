@@ -133,11 +133,12 @@ passages AS (SELECT id, conv_id, turn, run, any_value(level) AS level, string_ag
              trim(regexp_replace(lower(string_agg(line, chr(10) ORDER BY pos)), '\s+', ' ', 'g')) AS whole,
              arg_min(n, pos) FILTER (n <> '') AS first FROM norm GROUP BY id, conv_id, turn, run),
 offers AS (SELECT conv_id, turn, whole AS key FROM passages WHERE level = 0 UNION SELECT conv_id, turn, n FROM norm WHERE level = 0),
-links AS (SELECT p.id, p.run, max(a.turn) AS by_whole, max(b.turn) AS by_line FROM passages p
+links AS (SELECT p.id, p.run, p.level, max(a.turn) AS by_whole, max(b.turn) AS by_line FROM passages p
           LEFT JOIN offers a ON a.conv_id = p.conv_id AND a.key = p.whole AND p.whole <> '' AND a.turn < p.turn
           LEFT JOIN offers b ON b.conv_id = p.conv_id AND b.key = p.first AND p.first <> '' AND b.turn < p.turn
-          WHERE p.level = 1 GROUP BY p.id, p.run),
-replies AS (SELECT id, max(coalesce(by_whole, by_line)) AS reply_to FROM links GROUP BY id),
+          WHERE p.level > 0 GROUP BY p.id, p.run, p.level),
+lowest AS (SELECT id, coalesce(by_whole, by_line) AS original, level, min(level) OVER (PARTITION BY id) AS least FROM links WHERE coalesce(by_whole, by_line) IS NOT NULL),
+replies AS (SELECT id, max(original) AS reply_to FROM lowest WHERE level = least GROUP BY id),
 up AS (SELECT conv_id, turn, max(reply_to) AS up FROM m JOIN replies USING (id) WHERE reply_to IS NOT NULL GROUP BY conv_id, turn),
 chain AS (WITH RECURSIVE c AS (SELECT conv_id, turn, up FROM up UNION ALL
           SELECT c.conv_id, c.turn, u.up FROM c JOIN up u ON u.conv_id = c.conv_id AND u.turn = c.up) SELECT conv_id, turn, min(up) AS thread FROM c GROUP BY conv_id, turn),
