@@ -134,7 +134,7 @@ class MultiIndex:
         finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
         some = F.exists("embedding", lambda x: x != 0)
         rows = vectors.where("vec_id is not null and label is not null and embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<double>").alias("embedding"))
-        rows = rows.where(finite & some).withColumns({n: F.xxhash64("embedding", F.size("embedding"), F.lit(i)) for i, n in enumerate("ab")})
+        rows = rows.where(finite & some).withColumns({n: F.xxhash64(F.lit(i), F.size("embedding"), "embedding") for i, n in enumerate("ab")})
         return rows.dropDuplicates(["vec_id", "label", "a", "b"])
 
     def fit(self, entries: DataFrame, dims: int) -> Grid:

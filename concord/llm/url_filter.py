@@ -83,7 +83,7 @@ class Cascade:
 
 def hashed(df: DataFrame) -> DataFrame:
     """(key) -> (key, a, b): two 64-bit hashes."""
-    return df.select("key", F.xxhash64("key", F.lit(1)).alias("a"), F.xxhash64("key", F.lit(2)).alias("b"))
+    return df.select("key", F.xxhash64(F.lit(1), "key").alias("a"), F.xxhash64(F.lit(2), "key").alias("b"))
 
 
 def where_passed(keys: DataFrame, cascade: Cascade, levels: int) -> DataFrame:
@@ -178,7 +178,7 @@ class UrlFilter:
 
     def probe(self, df: DataFrame, cascades: dict[str, Cascade], shard: int, shards: int) -> DataFrame:
         """Set rule and verdict where a listed key is longer than the rule found before."""
-        given = df.withColumn("__concord_hashes", F.transform("__concord_keys", lambda k: F.struct(F.xxhash64(k, F.lit(1)).alias("a"), F.xxhash64(k, F.lit(2)).alias("b"))))
+        given = df.withColumn("__concord_hashes", F.transform("__concord_keys", lambda k: F.struct(F.xxhash64(F.lit(1), k).alias("a"), F.xxhash64(F.lit(2), k).alias("b"))))
         names = df.columns
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
