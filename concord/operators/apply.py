@@ -5,7 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.operators.ranges import key_range
@@ -36,14 +37,36 @@ def next_sequence_value(df: DataFrame, column: str) -> DataFrame:
 
 def write_staged(df: DataFrame, path: str) -> None:
     """Replace a parquet folder by renaming: the new state is written beside it first, so a failed job changes nothing."""
-    spark = df.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    final = hadoop(path)
-    fs = final.getFileSystem(spark._jsc.hadoopConfiguration())
-    aside, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    aside = f"{path}.new-{uuid.uuid4().hex}"
     df.write.parquet(aside)
-    if fs.exists(final):
-        fs.rename(final, hadoop(old))
-    if not fs.rename(hadoop(aside), final):
-        raise OSError(f"{aside} could not be renamed to {path}")
-    fs.delete(hadoop(old), True)
+    swap(df.sparkSession, [(aside, path)])
+
+
+def swap(spark: SparkSession, pairs: Sequence[tuple[str, str]]) -> None:
+    """Rename each written folder to its final place; if one can't be, all that were there before are put back."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(pairs[0][1]).getFileSystem(spark._jsc.hadoopConfiguration())
+    moved: list[tuple[str, str]] = []
+
+    def move(a: str, b: str) -> None:
+        try:
+            renamed = fs.rename(hadoop(a), hadoop(b))
+        except Py4JJavaError as e:
+            raise OSError(f"{a} could not be renamed to {b}") from e
+        if not renamed:
+            raise OSError(f"{a} could not be renamed to {b}")
+        moved.append((a, b))
+
+    old = []
+    try:
+        for aside, final in pairs:
+            if fs.exists(hadoop(final)):
+                old.append(f"{final}.old-{uuid.uuid4().hex}")
+                move(final, old[-1])
+            move(aside, final)
+    except BaseException:
+        for a, b in reversed(moved):
+            fs.rename(hadoop(b), hadoop(a))
+        raise
+    for path in old:
+        fs.delete(hadoop(path), True)

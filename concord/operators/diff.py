@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from concord.operators.encode import block_digest
+from concord.operators.encode import block_checksum, block_of
 
 
 def same(columns: Sequence[str], left: str = "s", right: str = "t") -> Column:
@@ -56,34 +57,43 @@ def summary(changes: DataFrame) -> DataFrame:
 
 def tail_inserts(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Source rows after the target's last key: they need no comparison."""
-    last = target.agg(F.max(key)).first()[0]
-    return source if last is None else source.where(F.col(key) > F.lit(last))
+    last = target.agg(F.max(key)).scalar()
+    return source.where(last.isNull() | (F.col(key) > last))
 
 
 def out_of_range(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Target keys before the source's first or after its last; all of them if the source is empty."""
-    first, last = source.agg(F.min(key), F.max(key)).first()
-    rows = target.select(key)
-    return rows if first is None else rows.where((F.col(key) < F.lit(first)) | (F.col(key) > F.lit(last)))
+    first, last = source.agg(F.min(key)).scalar(), source.agg(F.max(key)).scalar()
+    return target.select(key).where(first.isNull() | (F.col(key) < first) | (F.col(key) > last))
 
 
 # -- blocks --------------------------------------------------------------------------------------
 
 
-def block_compare(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str], width: int, algorithm: str = "md5") -> DataFrame:
-    """(block, source_n, target_n) of the blocks whose count or digest differs."""
-    s = block_digest(source, key, columns, width, algorithm).select("block", F.col("n").alias("source_n"), F.col("digest").alias("sd"))
-    t = block_digest(target, key, columns, width, algorithm).select("block", F.col("n").alias("target_n"), F.col("digest").alias("td"))
+def blocks_of(source: DataFrame, key: Sequence[str], width: int) -> Column:
+    """Blocks of `width` keys of one integer column; keys of other kinds are dealt by hash into blocks of about as many rows."""
+    if len(key) == 1 and isinstance(source.schema[key[0]].dataType, T.IntegralType):
+        return block_of(key, width)
+    return block_of(key, width, max(1, source.count() // width))
+
+
+def block_compare(source: DataFrame, target: DataFrame, key: str | Sequence[str], columns: Sequence[str], width: int, block: Column | None = None) -> DataFrame:
+    """(block, source_n, target_n) of the blocks whose count or checksum differs."""
+    block = blocks_of(source, [key] if isinstance(key, str) else list(key), width) if block is None else block
+    s = block_checksum(source, columns, block).select("block", F.col("n").alias("source_n"), F.struct("a", "b").alias("sd"))
+    t = block_checksum(target, columns, block).select("block", F.col("n").alias("target_n"), F.struct("a", "b").alias("td"))
     return s.join(t, "block", "full_outer").where("NOT (sd <=> td AND source_n <=> target_n)").drop("sd", "td")
 
 
-def pruned_diff(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str], width: int, exact: bool = False, algorithm: str = "md5") -> DataFrame:
+def pruned_diff(source: DataFrame, target: DataFrame, key: str | Sequence[str], columns: Sequence[str], width: int, exact: bool = False) -> DataFrame:
     """diff() over the blocks that differ; `exact` compares everything.  The block list joins by semi join, broadcast only if small."""
+    key = [key] if isinstance(key, str) else list(key)
     if exact:
-        return diff(source, target, [key])
-    wanted = block_compare(source, target, key, columns, width, algorithm).select("block")
-    part = lambda df: df.withColumn("_block", F.expr(f"`{key}` div {width}")).join(wanted.withColumnRenamed("block", "_block"), "_block", "left_semi").drop("_block")
-    return diff(part(source), part(target), [key])
+        return diff(source, target, key)
+    block = blocks_of(source, key, width)
+    wanted = block_compare(source, target, key, columns, width, block).select(F.col("block").alias("_block"))
+    part = lambda df: df.withColumn("_block", block).join(wanted, "_block", "left_semi").drop("_block")
+    return diff(part(source), part(target), key)
 
 
 def block_refine(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str], coarse: int, fine: int) -> DataFrame:
@@ -91,7 +101,7 @@ def block_refine(source: DataFrame, target: DataFrame, key: str, columns: Sequen
     if coarse % fine:
         raise ValueError("fine blocks must nest in coarse ones")
     wanted = block_compare(source, target, key, columns, coarse).select(F.col("block").alias("_block"))
-    part = lambda df: df.withColumn("_block", F.expr(f"`{key}` div {coarse}")).join(wanted, "_block", "left_semi").drop("_block")
+    part = lambda df: df.withColumn("_block", block_of([key], coarse)).join(wanted, "_block", "left_semi").drop("_block")
     return block_compare(part(source), part(target), key, columns, fine)
 
 

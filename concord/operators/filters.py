@@ -24,7 +24,7 @@ class TableFilter:
 
 
 def parse_filters(given: Mapping) -> dict[str, TableFilter]:
-    """{table: clear | {only: predicate, replace: {column: expression}} | [..such entries..]}"""
+    """{table: clear | {only: predicate, replace: {column: expression}}}"""
     out = {}
     for table, entry in (given or {}).items():
         if entry == "clear":

@@ -85,9 +85,16 @@ def midpoint(prev: int | str, last: int | str) -> int | str:
 
 def range_split(df: DataFrame, key: str, parts: int) -> DataFrame:
     """(part, first, last, n): the key span cut into equal widths."""
-    low, high = df.agg(F.min(key), F.max(key)).first()
-    if low is None:
-        return df.select(F.lit(0).alias("part"), F.col(key).alias("first"), F.col(key).alias("last"), F.lit(0).cast("long").alias("n")).limit(0)
-    width = (high - low) // parts + 1
-    part = F.expr(f"cast((`{key}` - {low}) div {width} as int)")
-    return df.groupBy(part.alias("part")).agg(F.min(key).alias("first"), F.max(key).alias("last"), F.count("*").alias("n"))
+    low, high = df.agg(F.min(key)).scalar(), df.agg(F.max(key)).scalar()
+    width = F.call_function("div", high - low, F.lit(parts)) + 1
+    part = F.call_function("div", F.col(key) - low, width).cast("int")
+    return df.select(part.alias("part"), key).groupBy("part").agg(F.min(key).alias("first"), F.max(key).alias("last"), F.count("*").alias("n"))
+
+
+def key_columns(df: DataFrame, table: TableDef) -> DataFrame:
+    return df.select(*table.primary_key)
+
+
+def page(df: DataFrame, key: str, after: Column, size: int) -> DataFrame:
+    """The first `size` rows after a key, in key order; `after` may be a scalar subquery."""
+    return df.where(F.col(key) > after).orderBy(key).limit(size)

@@ -28,10 +28,12 @@ FALLBACKS = {
         "integer.unsigned.64bit": "integer.64bit",
     },
 }
+#: The longest names.
 NAME_LIMITS = {"mysql": 64, "postgresql": 63}
-#: Sizes of MySQL's text and blob types.
+#: Sizes of MySQL's text and blob types, and what types are called there.
 MYSQL_SIZES = {"tiny": 255, "": 65535, "medium": 16777215, "long": 0}
 MYSQL_INTEGERS = {"tinyint": ".8bit", "smallint": ".16bit", "mediumint": ".24bit", "int": "", "bigint": ".64bit"}
+#: What types without a size are called.
 POSTGRESQL_TYPES = {
     "bytea": "binary", "text": "text", "json": "json", "jsonb": "json.binary", "uuid": "uuid", "date": "date", "boolean": "boolean", "smallint": "integer.16bit", "integer": "integer",
     "bigint": "integer.64bit", "real": "float.32bit", "double precision": "float",

@@ -131,7 +131,7 @@ class DatabaseDef:
     def from_json(text: str) -> DatabaseDef:
         """Attributes that this version does not know are ignored."""
 
-        def build(kind, given: dict, **nested):
+        def build(kind, given: dict, /, **nested):
             known = {f.name for f in fields(kind)}
             values = {k: tuple(v) if isinstance(v, list) else v for k, v in given.items() if k in known}
             return kind(**{**values, **nested})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from concord.plans.model import ColumnDef, DatabaseDef, KeyDef, TableDef
+from concord.plans.model import ColumnDef, DatabaseDef, TableDef
 
 
 @dataclass(frozen=True)
@@ -148,5 +148,27 @@ def dedupe_names(names: list[str], limit: int) -> list[str]:
     return out
 
 
-def key_signature(key: KeyDef) -> tuple:
-    return key.kind, key.columns
+def column_changes(source: DatabaseDef, target: DatabaseDef) -> list[tuple[str, str, str]]:
+    """(table, column, add, drop or change) in tables of both; columns match by place and name, as altering goes by both."""
+    have, out = {(t.schema, t.name): t for t in target.tables}, []
+    for t in source.tables:
+        other = have.get((t.schema, t.name))
+        if other:
+            want, had = ({(i, c.name): c for i, c in enumerate(x.columns)} for x in (t, other))
+            for k in sorted(want.keys() | had.keys()):
+                if want.get(k) != had.get(k):
+                    out.append((t.id, k[1], "add" if k not in had else "drop" if k not in want else "change"))
+    return out
+
+
+def key_changes(source: DatabaseDef, target: DatabaseDef) -> list[tuple[str, str, str]]:
+    """(table, key, create, drop or change) in tables of both; keys match by name."""
+    have, out = {(t.schema, t.name): t for t in target.tables}, []
+    for t in source.tables:
+        other = have.get((t.schema, t.name))
+        if other:
+            want, had = ({k.name: k for k in x.keys} for x in (t, other))
+            for k in sorted(want.keys() | had.keys()):
+                if want.get(k) != had.get(k):
+                    out.append((t.id, k, "create" if k not in had else "drop" if k not in want else "change"))
+    return out

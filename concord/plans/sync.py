@@ -3,50 +3,67 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from concord.operators.apply import apply_diff, apply_multiset
 from concord.operators.diff import diff, multiset_diff, pruned_diff, summary
 from concord.operators.filters import TableFilter, apply_filter, load_filters, restrict, validate
-from concord.operators.keys import choose_key
+from concord.operators.keys import choose_key, verify_key
 from concord.plans.model import DatabaseDef, TableDef, table_of
 from concord.plans.schema_diff import Action, apply_to_frame, plan_table
+from concord.sources.jdbc import JdbcSource
 from concord.sources.tables import ParquetSource
 
+Source = ParquetSource | JdbcSource
+
 
 class SchemaMismatch(ValueError):
     pass
 
 
+class NotAKey(ValueError):
+    pass
+
+
 @dataclass
 class TableResult:
+    """changes and state are plans over what was there before: once the table is committed they are None and the new rows, and
+    counts() are those taken before."""
+
     table: str
     key: str
     schema_actions: list[Action] = field(default_factory=list)
     changes: DataFrame | None = None
     state: DataFrame | None = None
+    columns: tuple[str, ...] = ()
+    counted: dict[str, int] | None = None
 
     def counts(self) -> dict[str, int]:
-        return {} if self.changes is None else {r.action: r.n for r in summary(self.changes).collect()}  # at most three rows
+        if self.counted is None and self.changes is not None:
+            self.counted = {r.action: r.n for r in summary(self.changes).collect()}  # at most three rows
+        return self.counted or {}
 
 
-def sync_table(source: DataFrame, target: DataFrame, table: TableDef, *, filter: TableFilter | None = None, width: int | None = None, algorithm: str = "md5") -> TableResult:
+def sync_table(source: DataFrame, target: DataFrame, table: TableDef, *, filter: TableFilter | None = None, width: int | None = None, check_keys: bool = False) -> TableResult:
     """The changes that make `target` equal the filtered source, and the target after them.
 
-    width: compare blocks of so many keys first and only look into those that differ (an integer key of one column).
+    width: compare blocks of about so many rows first and only look into those that differ.  check_keys: raise NotAKey where rows
+    of either side share a key or have nulls in it, which would be written twice or never match.
     """
     choice = choose_key(table, (filter.replace if filter else {}).keys())
     columns = table.stored
     s, t = apply_filter(source, filter).select(*columns), target.select(*columns)
     if choice.enforceable:
         key = list(choice.columns)
-        integer = len(key) == 1 and isinstance(source.schema[key[0]].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
-        changes = pruned_diff(s, t, key[0], columns, width, algorithm=algorithm) if width and integer else diff(s, t, key)
-        return TableResult(table.name, choice.kind, changes=changes, state=apply_diff(t, changes, key))
+        for side, rows in (("source", s), ("target", t)) if check_keys else ():
+            found = verify_key(rows, key).first()
+            if not found.is_key:
+                raise NotAKey(f"{table.name}: {found.n_rows - found.n_keys} rows of the {side} share their {', '.join(key)} or have none")
+        changes = pruned_diff(s, t, key, columns, width) if width else diff(s, t, key)
+        return TableResult(table.name, choice.kind, changes=changes, state=apply_diff(t, changes, key), columns=choice.columns)
     if choice.kind == "whole_row":
         changes = multiset_diff(s, t, columns)
         return TableResult(table.name, choice.kind, changes=changes, state=apply_multiset(t, changes, columns))
@@ -54,54 +71,89 @@ def sync_table(source: DataFrame, target: DataFrame, table: TableDef, *, filter:
 
 
 def sync(
-    source: ParquetSource, target: ParquetSource, *, tables: Mapping[str, TableDef] | None = None, only: str = "", ignore: str = "",
+    source: Source, target: Source, *, tables: Mapping[str, TableDef] | None = None, only: str = "", ignore: str = "",
     filters: Mapping[str, TableFilter] | None = None, alter: bool = False, commit: str = "often", width: int | None = None, structure_only: bool = False,
+    check_keys: bool = False, snapshot: str | None = None, progress: Callable[[TableResult], None] = lambda _: None,
 ) -> list[TableResult]:
-    """commit: never (results only), often (table by table) or success (all tables are computed and written aside before any is replaced).
-
-    alter: change the target's schema where it differs; tables that only the target has are dropped, after all others are done.
-    Tables outside `only` and `ignore` stay.
+    """commit: never (results only), often (table by table) or success (all tables are computed and written aside before any is replaced;
+    a database gets them table by table).  alter: change the target's schema where it differs; tables that only the target has are
+    dropped, after all others are done.  Tables outside `only` and `ignore` stay, and filters of such tables do not count; a filter
+    of any other table that the source lacks is an error.  snapshot: a shared folder to copy a database's tables to, so that all
+    passes see the same rows.  progress: called with each table's result.
     """
     if commit not in ("never", "often", "success"):
         raise ValueError(f"commit {commit!r}: never, often or success")
-    names = restrict(source.tables(), only, ignore)
-    defs = {n: (tables or {}).get(n) or table_of(source.read(n), n) for n in names}
-    validate({n: f for n, f in (filters or {}).items() if n in defs}, defs)
-    there = set(restrict(target.tables(), only, ignore))
-    if extra := sorted(there - set(names)):
+    there, had = source.tables(), target.tables()
+    names = restrict(there, only, ignore)
+    defs = {n: (tables or {}).get(n) or source.definition(n) for n in names}
+    unwanted = {n for n in {*there, *had, *(filters or {})} if not restrict([n], only, ignore)}
+    filters = {n: f for n, f in (filters or {}).items() if n not in unwanted}
+    validate(filters, defs)
+    targets = set(restrict(had, only, ignore))
+    if extra := sorted(targets - set(names)):
         if not alter:
             raise SchemaMismatch(f"tables {extra} are only in the target")
         if not source.exists():
             raise ValueError(f"{source.path} does not exist: the target's tables are not dropped for it")
-    results = []
+    reads = {n: source.snapshot(n, snapshot) if snapshot and isinstance(source, JdbcSource) else source.read(n) for n in names}
+    plans: dict[str, list[Action]] = {}
+    for name in names:  # all tables are planned before any is changed
+        if name not in targets:
+            plans[name] = [Action("create_table", name, value=defs[name])]
+        elif isinstance(target, JdbcSource) or target.stored(name):
+            plans[name] = plan_table(defs[name], target.definition(name))
+        else:  # files without a definition only show columns
+            plans[name] = plan_table(table_of(reads[name], name), table_of(target.read(name), name))
+        if plans[name] and not alter:
+            raise SchemaMismatch(f"{name}: {[a.kind for a in plans[name]]}")
+    results, staged = [], []
     for name in names:
-        read = source.read(name)
-        actions: list[Action] = [Action("create_table", name)] if name not in there else plan_table(table_of(read, name), table_of(target.read(name), name))
-        if actions and not alter:
-            raise SchemaMismatch(f"{name}: {[a.kind for a in actions]}")
-        old = target.read(name) if name in there else read.limit(0)
-        old = apply_to_frame(old, table_of(read, name), actions) if name in there else old
-        if structure_only:
-            result = TableResult(name, "", state=old)
+        read, want, actions = reads[name], defs[name], plans[name]
+        if isinstance(target, JdbcSource) and actions and commit != "never":
+            target.alter(actions, want)
+            old = target.read(name)
+        elif name in targets:
+            old = apply_to_frame(target.read(name), want if {c.name for c in want.columns} >= set(read.columns) else table_of(read, name), actions)
         else:
-            result = sync_table(read, old, defs[name], filter=(filters or {}).get(name), width=width)
+            old = read.limit(0)
+        result = TableResult(name, "", state=old) if structure_only else sync_table(read, old, want, filter=filters.get(name), width=width, check_keys=check_keys)
         result.schema_actions = actions
         results.append(result)
-        if commit == "often":
+        if commit == "never":
+            progress(result)
+            continue
+        result.counts()
+        if isinstance(target, JdbcSource):
+            if result.columns:
+                target.apply(want, result.changes, list(result.columns), want.stored)
+            elif not structure_only:
+                target.replace(name, result.state)
+        elif commit == "often":
             target.write(name, result.state)
-    if commit == "success":
-        aside = ParquetSource(target.spark, f"{target.path}/.aside")
-        for r in results:
-            aside.write(r.table, r.state)
-        for r in results:
-            target.write(r.table, aside.read(r.table))
+        else:
+            staged.append(target.stage(name, result.state))
+        if isinstance(target, JdbcSource) or commit == "often":
+            done(result, target)
+            progress(result)
+    if staged:
+        target.publish(staged)
+        for result in results:
+            done(result, target)
+            progress(result)
     for name in extra:
         results.append(TableResult(name, "", schema_actions=[Action("drop_table", name)]))
         if commit != "never":
             target.drop(name)
+        progress(results[-1])
+    if commit != "never" and isinstance(target, ParquetSource) and (tables or isinstance(source, JdbcSource) or any(source.stored(n) for n in names)):
+        target.define(defs, gone=extra)
     return results
 
 
+def done(result: TableResult, target: Source) -> None:
+    result.changes, result.state = None, target.read(result.table)
+
+
 def main(args: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description="Make the tables of one folder equal those of another.")
     p.add_argument("--from", dest="source", required=True)
@@ -112,20 +164,21 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--keys", help="JSON file of table definitions with keys")
     p.add_argument("--alter", action="store_true", help="change the target's schema where it differs, dropping tables that only it has")
     p.add_argument("--structure-only", action="store_true")
+    p.add_argument("--check-keys", action="store_true", help="stop where rows share a key")
+    p.add_argument("--snapshot", help="shared folder for copies of a database's tables")
     p.add_argument("--commit", default="often", choices=["never", "often", "success"])
-    p.add_argument("--block", type=int, help="keys in a block whose digests are compared first")
+    p.add_argument("--block", type=int, help="rows in a block whose digests are compared first")
     a = p.parse_args(args)
     spark = SparkSession.builder.appName("concord").getOrCreate()
     tables = None
     if a.keys:
         with open(a.keys) as f:
             tables = {t.name: t for t in DatabaseDef.from_json(f.read()).tables}
-    done = sync(
-        ParquetSource(spark, a.source), ParquetSource(spark, a.target), tables=tables, only=a.only, ignore=a.ignore, filters=load_filters(a.filters) if a.filters else None,
-        alter=a.alter, commit=a.commit, width=a.block, structure_only=a.structure_only,
+    place = lambda where: JdbcSource(spark, where) if where.startswith("jdbc:") else ParquetSource(spark, where)
+    sync(
+        place(a.source), place(a.target), tables=tables, only=a.only, ignore=a.ignore, filters=load_filters(a.filters) if a.filters else None, alter=a.alter, commit=a.commit, width=a.block,
+        structure_only=a.structure_only, check_keys=a.check_keys, snapshot=a.snapshot, progress=lambda r: print(r.table, r.key, [x.kind for x in r.schema_actions], r.counts(), flush=True),
     )
-    for r in done:
-        print(r.table, r.key, [x.kind for x in r.schema_actions], r.counts() if a.commit == "never" else "")
 
 
 if __name__ == "__main__":

@@ -9,11 +9,14 @@ from concord.functions import scalars, spatial
 from concord.operators import apply, diff, encode, filters, keys, ranges
 from concord.plans import dialects, schema_diff
 from concord.plans.model import KeyDef, KeyKind, TableDef, table_of
+from concord.sources.tables import enum_labels
 
 ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 FLAGS = ["l_returnflag", "l_linestatus", "l_linenumber"]
 WIDTH = 64
+#: Decimals of floats in digests, as engines print floats differently.
+SCALE = 4
 
 QUERIES = {}
 SQL = {}
@@ -43,8 +46,8 @@ def customer(spark: SparkSession, sf: str) -> DataFrame:
 
 def derived(df: DataFrame, key: str, number: str, text: str) -> DataFrame:
     """A target that differs from its source in every way: rows missing, tail missing, values changed and nulled, extra rows."""
-    last = df.agg(F.max(key)).first()[0] or 0
-    kept = df.where((F.col(key) % 97 != 0) & (F.col(key) <= last * 19 // 20))
+    last = df.agg(F.max(key)).scalar()
+    kept = df.where((F.col(key) % 97 != 0) & (F.col(key) <= F.call_function("div", last * 19, F.lit(20))))
     kept = kept.withColumns({number: F.when(F.col(key) % 89 == 0, F.col(number) + 1).otherwise(F.col(number)), text: F.when(F.col(key) % 83 == 0, F.lit(None)).otherwise(F.col(text))})
     return kept.unionByName(df.where(F.col(key) % 101 == 0).withColumn(key, -F.col(key) - 1))
 
@@ -141,13 +144,13 @@ def count_range(spark, sf):
 def keyset_page(spark, sf):
     """The second page of a thousand keys, found from the last key of the first."""
     df = orders(spark, sf).select("o_orderkey")
-    last = df.orderBy("o_orderkey").limit(1000).agg(F.max("o_orderkey")).first()[0]
-    return df.where(ranges.key_range(["o_orderkey"], [last])).orderBy("o_orderkey").limit(1000)
+    return ranges.page(df, "o_orderkey", df.orderBy("o_orderkey").limit(1000).agg(F.max("o_orderkey")).scalar(), 1000)
 
 
 @query("SELECT turn, conv_id FROM conversations")
 def key_projection(spark, sf):
-    return read(spark, sf, "conversations").select("turn", "conv_id")
+    df = read(spark, sf, "conversations")
+    return ranges.key_columns(df, table_of(df, "conversations", ("turn", "conv_id")))
 
 
 @query("SELECT c_custkey, c_name FROM customer")
@@ -234,7 +237,7 @@ ENC_ORDERS = encoded_sql(ORDERS, {"o_totalprice"})
 @query(f"SELECT s_suppkey, {encoded_sql(['s_suppkey', 's_name', 's_nationkey', 's_acctbal'], {'s_acctbal'})} AS encoded FROM supplier")
 def canonical_encode(spark, sf):
     df = read(spark, sf, "supplier")
-    return df.select("s_suppkey", encode.encoded_row(df, ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]).alias("encoded"))
+    return df.select("s_suppkey", encode.encoded_row(df, ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"], SCALE).alias("encoded"))
 
 
 def block_sql(rows: str, width: int = WIDTH, h: str = "md5", encoded: str = ENC_ORDERS) -> str:
@@ -251,22 +254,22 @@ SELECT sum(n)::BIGINT AS n, md5(string_agg(digest, '' ORDER BY block)) AS digest
 
 @query(tree_sql("SELECT * FROM orders WHERE o_orderkey > 1000 AND o_orderkey <= 9000"))
 def range_hash(spark, sf):
-    return encode.range_hash(orders(spark, sf).where(ranges.key_range(["o_orderkey"], [1000], [9000])), "o_orderkey", ORDERS)
+    return encode.range_hash(orders(spark, sf).where(ranges.key_range(["o_orderkey"], [1000], [9000])), "o_orderkey", ORDERS, scale=SCALE)
 
 
 @query(tree_sql("SELECT * FROM orders WHERE o_orderkey > 1000 ORDER BY o_orderkey LIMIT 500"))
 def range_hash_limit(spark, sf):
-    return encode.range_hash(scan(spark, sf, prev=[1000], limit=500), "o_orderkey", ORDERS)
+    return encode.range_hash(scan(spark, sf, prev=[1000], limit=500), "o_orderkey", ORDERS, scale=SCALE)
 
 
 @query(block_sql("SELECT * FROM orders"))
 def block_digest(spark, sf):
-    return encode.block_digest(orders(spark, sf), "o_orderkey", ORDERS, WIDTH)
+    return encode.block_digest(orders(spark, sf), "o_orderkey", ORDERS, WIDTH, scale=SCALE)
 
 
 @query(block_sql("SELECT * FROM orders", h="sha256"))
 def block_digest_sha256(spark, sf):
-    return encode.block_digest(orders(spark, sf), "o_orderkey", ORDERS, WIDTH, "sha256")
+    return encode.block_digest(orders(spark, sf), "o_orderkey", ORDERS, WIDTH, "sha256", SCALE)
 
 
 @query()
@@ -276,7 +279,7 @@ def block_digest_xxhash64(spark, sf):
 
 @query("SELECT doc_id // 64 AS block, sum(octet_length(encode(text)))::BIGINT AS bytes FROM documents GROUP BY ALL")
 def block_bytes(spark, sf):
-    return read(spark, sf, "documents").groupBy(F.expr("doc_id div 64").alias("block")).agg(F.sum(F.octet_length("text")).cast("long").alias("bytes"))
+    return encode.block_bytes(read(spark, sf, "documents"), "doc_id", "text", WIDTH)
 
 
 def compare_sql(width: int) -> str:
@@ -446,14 +449,14 @@ def add_column_fill(spark, sf):
 
 # -- definitions ---------------------------------------------------------------------------------
 #: (side, table, position, column, type, nullable)
-META_COLUMNS = """(VALUES ('s','footbl',1,'col1','integer',false), ('s','footbl',2,'another_col','integer.16bit',true), ('s','footbl',3,'col3','text.varchar',true),
-('t','footbl',1,'col1','integer',false), ('t','footbl',2,'another_col','integer.16bit',true),
-('s','secondtbl',1,'tri','integer.64bit',true), ('s','secondtbl',2,'pri1','integer',false), ('t','secondtbl',1,'tri','integer.64bit',true), ('t','secondtbl',2,'pri1','text',false),
-('s','middletbl',1,'pri','integer',false), ('t','extratbl',1,'pri','integer',false),
-('s','keytbl',1,'pri','integer',false), ('s','keytbl',2,'a','integer',true), ('t','keytbl',1,'pri','integer',false), ('t','keytbl',2,'a','integer',true)) AS c(side, tbl, pos, col, type, nullable)"""
+META_COLUMNS = """(VALUES ('s','nation',1,'n_nationkey','integer',false), ('s','nation',2,'n_regionkey','integer.16bit',true), ('s','nation',3,'n_comment','text.varchar',true),
+('t','nation',1,'n_nationkey','integer',false), ('t','nation',2,'n_regionkey','integer.16bit',true),
+('s','part',1,'p_size','integer.64bit',true), ('s','part',2,'p_partkey','integer',false), ('t','part',1,'p_size','integer.64bit',true), ('t','part',2,'p_partkey','text',false),
+('s','orders',1,'o_orderkey','integer',false), ('t','events',1,'event_id','integer',false),
+('s','customer',1,'c_custkey','integer',false), ('s','customer',2,'c_nationkey','integer',true), ('t','customer',1,'c_custkey','integer',false), ('t','customer',2,'c_nationkey','integer',true)) AS c(side, tbl, pos, col, type, nullable)"""
 #: (side, table, key, kind, columns)
-META_KEYS = """(VALUES ('s','keytbl','bidx','unique','a'), ('s','keytbl','aidx','standard','a'), ('t','keytbl','aidx','standard','a'), ('t','keytbl','oldidx','standard','a'),
-('s','secondtbl','secidx','standard','tri'), ('t','secondtbl','secidx','unique','tri')) AS k(side, tbl, name, kind, cols)"""
+META_KEYS = """(VALUES ('s','customer','customer_nation_key','unique','c_nationkey'), ('s','customer','customer_nation_idx','standard','c_nationkey'), ('t','customer','customer_nation_idx','standard','c_nationkey'), ('t','customer','customer_old_idx','standard','c_nationkey'),
+('s','part','part_size_idx','standard','p_size'), ('t','part','part_size_idx','unique','p_size')) AS k(side, tbl, name, kind, cols)"""
 
 
 def meta(spark: SparkSession, relation: str) -> DataFrame:
@@ -462,7 +465,7 @@ def meta(spark: SparkSession, relation: str) -> DataFrame:
 
 @query(f"SELECT DISTINCT tbl AS table_name FROM {META_COLUMNS} WHERE side = 's'")
 def catalog_tables(spark, sf):
-    return meta(spark, META_COLUMNS).where("side = 's'").select(F.col("tbl").alias("table_name")).distinct()
+    return spark.createDataFrame([(t.name,) for t in definitions(spark, "s").tables], "table_name string")
 
 
 @query("SELECT * FROM (VALUES (0, 'r_regionkey', 'int'), (1, 'r_name', 'string')) AS c(position, name, type)")
@@ -473,18 +476,17 @@ def catalog_columns(spark, sf):
     return column_listing(spark, "concord_region").select("position", "name", "type")
 
 
-@query(f"SELECT DISTINCT tbl AS table_name FROM {META_COLUMNS} WHERE tbl IN ('footbl', 'keytbl', 'extratbl') AND tbl NOT IN ('keytbl')")
+@query(f"SELECT DISTINCT tbl AS table_name FROM {META_COLUMNS} WHERE tbl IN ('nation', 'customer', 'events') AND tbl NOT IN ('customer')")
 def restrict_tables(spark, sf):
-    names = filters.restrict(sorted(r.tbl for r in meta(spark, META_COLUMNS).select("tbl").distinct().collect()), "footbl, keytbl extratbl", "keytbl")
+    names = filters.restrict(sorted({t.name for side in "st" for t in definitions(spark, side).tables}), "nation, customer events", "customer")
     return spark.createDataFrame([(n,) for n in names], "table_name string")
 
 
 @query(f"""WITH s AS (SELECT DISTINCT tbl FROM {META_COLUMNS} WHERE side = 's'), t AS (SELECT DISTINCT tbl FROM {META_COLUMNS} WHERE side = 't')
 SELECT coalesce(s.tbl, t.tbl) AS table_name, CASE WHEN t.tbl IS NULL THEN 'create' ELSE 'drop' END AS action FROM s FULL JOIN t ON s.tbl = t.tbl WHERE s.tbl IS NULL OR t.tbl IS NULL""")
 def schema_diff_tables(spark, sf):
-    side = lambda x: meta(spark, META_COLUMNS).where(F.col("side") == x).select("tbl").distinct()
-    made, gone = side("s").exceptAll(side("t")), side("t").exceptAll(side("s"))
-    return made.select(F.col("tbl").alias("table_name"), F.lit("create").alias("action")).unionByName(gone.select(F.col("tbl").alias("table_name"), F.lit("drop").alias("action")))
+    plan = schema_diff.plan_schema(definitions(spark, "s"), definitions(spark, "t"))
+    return spark.createDataFrame([(a.table, a.kind.removesuffix("_table")) for a in plan if a.kind in ("create_table", "drop_table")], "table_name string, action string")
 
 
 @query(f"""WITH s AS (SELECT * FROM {META_COLUMNS} WHERE side = 's'), t AS (SELECT * FROM {META_COLUMNS} WHERE side = 't')
@@ -492,25 +494,14 @@ SELECT coalesce(s.tbl, t.tbl) AS table_name, coalesce(s.col, t.col) AS column_na
 FROM s FULL JOIN t ON s.tbl = t.tbl AND s.pos = t.pos AND s.col = t.col WHERE coalesce(s.tbl, t.tbl) IN (SELECT tbl FROM s INTERSECT SELECT tbl FROM t)
 AND (s.col IS NULL OR t.col IS NULL OR s.type <> t.type OR s.nullable <> t.nullable)""")
 def schema_diff_columns(spark, sf):
-    side = lambda x: meta(spark, META_COLUMNS).where(F.col("side") == x)
-    both = side("s").join(side("t").select("tbl").distinct(), "tbl", "left_semi").select("tbl").distinct()
-    s, t = side("s").join(both, "tbl", "left_semi").alias("s"), side("t").join(both, "tbl", "left_semi").alias("t")
-    on = [F.col(f"s.{c}") == F.col(f"t.{c}") for c in ("tbl", "pos", "col")]
-    action = F.when(F.col("t.col").isNull(), "add").when(F.col("s.col").isNull(), "drop").otherwise("change")
-    joined = s.join(t, on, "full_outer").where("s.col IS NULL OR t.col IS NULL OR s.type <> t.type OR s.nullable <> t.nullable")
-    return joined.select(F.coalesce("s.tbl", "t.tbl").alias("table_name"), F.coalesce("s.col", "t.col").alias("column_name"), action.alias("action"))
+    return spark.createDataFrame(schema_diff.column_changes(definitions(spark, "s"), definitions(spark, "t")), "table_name string, column_name string, action string")
 
 
 @query(f"""WITH s AS (SELECT * FROM {META_KEYS} WHERE side = 's'), t AS (SELECT * FROM {META_KEYS} WHERE side = 't')
 SELECT coalesce(s.tbl, t.tbl) AS table_name, coalesce(s.name, t.name) AS key_name, CASE WHEN t.name IS NULL THEN 'create' WHEN s.name IS NULL THEN 'drop' ELSE 'change' END AS action
 FROM s FULL JOIN t ON s.tbl = t.tbl AND s.name = t.name WHERE s.name IS NULL OR t.name IS NULL OR s.kind <> t.kind OR s.cols <> t.cols""")
 def schema_diff_keys(spark, sf):
-    side = lambda x: meta(spark, META_KEYS).where(F.col("side") == x).alias(x)
-    joined = side("s").join(side("t"), [F.col("s.tbl") == F.col("t.tbl"), F.col("s.name") == F.col("t.name")], "full_outer")
-    action = F.when(F.col("t.name").isNull(), "create").when(F.col("s.name").isNull(), "drop").otherwise("change")
-    return joined.where("s.name IS NULL OR t.name IS NULL OR s.kind <> t.kind OR s.cols <> t.cols").select(
-        F.coalesce("s.tbl", "t.tbl").alias("table_name"), F.coalesce("s.name", "t.name").alias("key_name"), action.alias("action")
-    )
+    return spark.createDataFrame(schema_diff.key_changes(definitions(spark, "s"), definitions(spark, "t")), "table_name string, key_name string, action string")
 
 
 def definitions(spark: SparkSession, side: str):
@@ -524,8 +515,8 @@ def definitions(spark: SparkSession, side: str):
     ))
 
 
-@query("""SELECT * FROM (VALUES ('drop_table', 'extratbl', ''), ('add_column', 'footbl', 'col3'), ('create_key', 'keytbl', 'bidx'), ('drop_key', 'keytbl', 'oldidx'),
-('create_table', 'middletbl', ''), ('recreate_table', 'secondtbl', '')) AS p(action, table_name, name)""")
+@query("""SELECT * FROM (VALUES ('drop_table', 'events', ''), ('add_column', 'nation', 'n_comment'), ('create_key', 'customer', 'customer_nation_key'), ('drop_key', 'customer', 'customer_old_idx'),
+('create_table', 'orders', ''), ('recreate_table', 'part', '')) AS p(action, table_name, name)""")
 def schema_plan(spark, sf):
     plan = schema_diff.plan_schema(definitions(spark, "s"), definitions(spark, "t"))
     return spark.createDataFrame([(a.kind, a.table, a.name) for a in plan], "action string, table_name string, name string")
@@ -555,14 +546,12 @@ META_ENUMS = "(VALUES ('colour', 1, 'red'), ('colour', 2, 'green'), ('colour', 3
 
 @query(f"SELECT enum, string_agg(label, ',' ORDER BY pos) AS labels FROM {META_ENUMS} GROUP BY enum")
 def enum_values(spark, sf):
-    held = meta(spark, META_ENUMS).groupBy("enum").agg(F.array_sort(F.collect_list(F.struct("pos", "label"))).alias("l"))
-    return held.select("enum", F.array_join(F.transform("l", lambda x: x["label"]), ",").alias("labels"))
+    return enum_labels(meta(spark, META_ENUMS)).select("enum", F.array_join("labels", ",").alias("labels"))
 
 
 @query(f"SELECT enum, 'enum_' || left(sha256(string_agg(label, ',' ORDER BY pos)), 8) AS type_name FROM {META_ENUMS} GROUP BY enum")
 def enum_type_name(spark, sf):
-    held = meta(spark, META_ENUMS).groupBy("enum").agg(F.array_sort(F.collect_list(F.struct("pos", "label"))).alias("l"))
-    return held.select("enum", scalars.enum_type_name(F.transform("l", lambda x: x["label"])).alias("type_name"))
+    return enum_labels(meta(spark, META_ENUMS)).select("enum", scalars.enum_type_name(F.col("labels")).alias("type_name"))
 
 
 @query("""SELECT * FROM (VALUES (1, 'index_name'), (2, 'index_name_2'), (3, repeat('x', 63)), (4, repeat('x', 61) || '_2')) AS n(pos, name)""")

@@ -1,15 +1,18 @@
-"""Where tables are read from and written to: folders of parquet tables, and JDBC databases."""
+"""Where tables are read from and written to: folders of parquet tables, with their definitions, and catalog listings."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
-from dataclasses import dataclass, field
+from collections.abc import Collection, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.operators.apply import write_staged
+from concord.operators.apply import swap, write_staged
+from concord.plans.model import DatabaseDef, TableDef, table_of
+
+DEFINITIONS = "_definitions.json"
 
 
 @dataclass(frozen=True)
@@ -37,6 +40,43 @@ class ParquetSource:
     def write(self, table: str, df: DataFrame) -> None:
         write_staged(df, f"{self.path}/{table}.parquet")
 
+    def stage(self, table: str, df: DataFrame) -> tuple[str, str]:
+        """Write a table aside; publish() puts it in place."""
+        aside = f"{self.path}/.new-{table}-{uuid.uuid4().hex}"
+        df.write.parquet(aside)
+        return aside, f"{self.path}/{table}.parquet"
+
+    def publish(self, staged: list[tuple[str, str]]) -> None:
+        swap(self.spark, staged)
+
+    # -- definitions, in a file beside the tables -------------------------------------------------
+
+    def definitions(self) -> DatabaseDef:
+        fs, p = self._fs()
+        file = self.spark._jvm.org.apache.hadoop.fs.Path(p, DEFINITIONS)
+        if not fs.exists(file):
+            return DatabaseDef()
+        stream = fs.open(file)
+        try:
+            return DatabaseDef.from_json(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def stored(self, table: str) -> bool:
+        return any(t.name == table for t in self.definitions().tables)
+
+    def definition(self, table: str) -> TableDef:
+        """As stored; without one, the columns that the files show."""
+        return next((t for t in self.definitions().tables if t.name == table), None) or table_of(self.read(table), table)
+
+    def define(self, tables: Mapping[str, TableDef], gone: Collection[str] = ()) -> None:
+        """Store definitions beside those of other tables."""
+        kept = {t.name: t for t in self.definitions().tables if t.name not in gone} | dict(tables)
+        fs, p = self._fs()
+        stream = fs.create(self.spark._jvm.org.apache.hadoop.fs.Path(p, DEFINITIONS), True)
+        stream.write(bytearray(DatabaseDef(tuple(kept[n] for n in sorted(kept))).to_json().encode()))
+        stream.close()
+
     def exists(self) -> bool:
         fs, p = self._fs()
         return fs.exists(p)
@@ -51,33 +91,10 @@ class ParquetSource:
         fs.delete(aside, True)
 
 
-@dataclass(frozen=True)
-class JdbcSource:
-    """options: driver, user, password, fetchsize, sessionInitStatement and whatever else the JDBC reader takes."""
-
-    spark: SparkSession
-    url: str
-    options: Mapping[str, str] = field(default_factory=dict)
-
-    def query(self, sql: str) -> DataFrame:
-        return self.spark.read.format("jdbc").option("url", self.url).options(**self.options).option("query", sql).load()
-
-    def read(self, table: str, key: str | None = None, partitions: int = 1) -> DataFrame:
-        """A table; with an integer key it is read in so many ranges of the key at once."""
-        reader = self.spark.read.format("jdbc").option("url", self.url).options(**self.options).option("dbtable", table)
-        if key and partitions > 1:
-            low, high = self.spark.read.format("jdbc").option("url", self.url).options(**self.options).option("query", f"SELECT min({key}) AS low, max({key}) AS high FROM {table}").load().first()
-            if low is not None:
-                reader = reader.option("partitionColumn", key).option("lowerBound", int(low)).option("upperBound", int(high) + 1).option("numPartitions", partitions)
-        return reader.load()
-
-    def stage(self, table: str, path: str, **how) -> DataFrame:
-        """A copy in the shared folder, so that every pass of a comparison sees the same rows."""
-        self.read(table, **how).write.parquet(path)
-        return self.spark.read.parquet(path)
-
-    def write(self, table: str, df: DataFrame, mode: str = "append", batch: int = 10_000) -> None:
-        df.write.format("jdbc").option("url", self.url).options(**self.options).option("dbtable", table).option("batchsize", batch).mode(mode).save()
+def enum_labels(rows: DataFrame) -> DataFrame:
+    """(enum, labels): the labels of each enum type in order, from (enum, pos, label) of a catalog."""
+    held = rows.groupBy("enum").agg(F.array_sort(F.collect_list(F.struct("pos", "label"))).alias("l"))
+    return held.select("enum", F.transform("l", lambda x: x["label"]).alias("labels"))
 
 
 def catalog_tables(spark: SparkSession, database: str | None = None) -> list[str]:

@@ -111,16 +111,6 @@ def test_scalars(spark):
     assert one(spatial.to_ewkb(F.lit(b"\0"))) == b"\0"
 
 
-def test_jdbc_round_trip(spark, tmp_path):
-    from concord.sources.tables import JdbcSource
-
-    db = JdbcSource(spark, f"jdbc:derby:{tmp_path}/db;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
-    db.write("NUMBERS", spark.range(20).toDF("N"), mode="overwrite")
-    assert db.read("NUMBERS", key="N", partitions=4).count() == 20
-    assert db.stage("NUMBERS", str(tmp_path / "copy")).count() == 20
-    assert db.query("SELECT max(N) AS M FROM NUMBERS").first().M == 19
-
-
 def test_streaming_refresh(spark, tmp_path):
     from concord.streaming.refresh import refresh
 
