@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from concord.operators.encode import block_checksum, block_of
+from concord.operators.encode import block_of, row_hashes
 
 
 def same(columns: Sequence[str], left: str = "s", right: str = "t") -> Column:
@@ -78,21 +78,49 @@ def blocks_of(source: DataFrame, key: Sequence[str], width: int) -> Column:
 
 
 def block_compare(source: DataFrame, target: DataFrame, key: str | Sequence[str], columns: Sequence[str], width: int, block: Column | None = None) -> DataFrame:
-    """(block, source_n, target_n) of the blocks whose count or checksum differs."""
+    """(block, source_n, target_n) of the blocks whose rows differ, a count being null for a side without rows.
+
+    Equal rows of both sides cancel out in an exclusive or of their hashes, which needs no order: one row a block and task is
+    shuffled, once for both sides.  Rows of one side can't cancel out, as their keys are unique.
+    """
     block = blocks_of(source, [key] if isinstance(key, str) else list(key), width) if block is None else block
-    s = block_checksum(source, columns, block).select("block", F.col("n").alias("source_n"), F.struct("a", "b").alias("sd"))
-    t = block_checksum(target, columns, block).select("block", F.col("n").alias("target_n"), F.struct("a", "b").alias("td"))
-    return s.join(t, "block", "full_outer").where("NOT (sd <=> td AND source_n <=> target_n)").drop("sd", "td")
+    one = lambda df, s, t: df.select(block.alias("block"), *[h.alias(n) for h, n in zip(row_hashes(df, columns), "ab")], F.lit(s).alias("s"), F.lit(t).alias("t"))
+    sums = one(source, 1, 0).unionAll(one(target, 0, 1)).groupBy("block").agg(F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"), F.sum("s").alias("s"), F.sum("t").alias("t"))
+    return sums.where("a <> 0 OR b <> 0 OR s <> t").select("block", F.nullif("s", F.lit(0)).alias("source_n"), F.nullif("t", F.lit(0)).alias("target_n"))
+
+
+#: Differing blocks that become part of the scans' predicates, and those that are broadcast as a list of numbers; more are joined.
+LITERAL_BLOCKS, BROADCAST_BLOCKS = 1_000, 1_000_000
+
+
+def key_span(key: str, width: int, first: int, last: int) -> Column:
+    """The keys of the blocks `first` to `last`; as div rounds towards 0, block 0 has keys on both sides of it."""
+    low = first * width if first > 0 else (first - 1) * width + 1
+    high = (last + 1) * width - 1 if last >= 0 else last * width
+    return F.col(key).between(low, high)
 
 
 def pruned_diff(source: DataFrame, target: DataFrame, key: str | Sequence[str], columns: Sequence[str], width: int, exact: bool = False) -> DataFrame:
-    """diff() over the blocks that differ; `exact` compares everything.  The block list joins by semi join, broadcast only if small."""
+    """diff() over the blocks that differ; `exact` compares everything.
+
+    The blocks are compared at once, so that a few that differ can become predicates, key ranges among them which reach the
+    scans; more are broadcast after their number is checked, and very many are joined.
+    """
     key = [key] if isinstance(key, str) else list(key)
     if exact:
         return diff(source, target, key)
     block = blocks_of(source, key, width)
     wanted = block_compare(source, target, key, columns, width, block).select(F.col("block").alias("_block"))
-    part = lambda df: df.withColumn("_block", block).join(wanted, "_block", "left_semi").drop("_block")
+    few = [r[0] for r in wanted.limit(LITERAL_BLOCKS + 1).collect()]
+    if not few:
+        return diff(source.where(F.lit(False)), target.where(F.lit(False)), key)
+    if len(few) <= LITERAL_BLOCKS:
+        inside = block.isin(few)
+        if len(key) == 1 and isinstance(source.schema[key[0]].dataType, T.IntegralType):
+            inside = inside & key_span(key[0], width, min(few), max(few))
+        return diff(source.where(inside), target.where(inside), key)
+    listed = F.broadcast(wanted) if wanted.limit(BROADCAST_BLOCKS + 1).count() <= BROADCAST_BLOCKS else wanted
+    part = lambda df: df.withColumn("_block", block).join(listed, "_block", "left_semi").drop("_block")
     return diff(part(source), part(target), key)
 
 

@@ -62,13 +62,6 @@ def block_of(key: Sequence[str], width: int, blocks: int | None = None) -> Colum
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in key]), F.lit(blocks))
 
 
-def block_checksum(df: DataFrame, columns: Sequence[str], block: Column) -> DataFrame:
-    """(block, n, a, b): count and exclusive or of the hashes of a block's rows, which need no order: one row a block and task is
-    shuffled.  Rows of unique keys can't cancel out."""
-    a, b = row_hashes(df, columns)
-    return df.select(block.alias("block"), a.alias("a"), b.alias("b")).groupBy("block").agg(F.count("*").alias("n"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
-
-
 def block_bytes(df: DataFrame, key: str, column: str, width: int) -> DataFrame:
     """(block, bytes) of a text or binary column."""
     return df.groupBy(block_of([key], width).alias("block")).agg(F.sum(F.octet_length(column)).cast("long").alias("bytes"))

@@ -39,6 +39,19 @@ def test_pruned_diff_loses_nothing(spark, seed):
     assert s.select(encode.encoded_row(s, ["a"], scale=4)).count() == 80
 
 
+def test_pruned_diff_by_predicates_by_broadcast_and_by_join(spark, monkeypatch):
+    s = spark.range(-500, 500).select("id", (F.col("id") * 3).alias("v"))
+    t = s.where("id <> -7").withColumn("v", F.when(F.col("id").isin(-500, -16, -15, 0, 15, 16, 499), 1).otherwise(F.col("v")))
+    full = rows(diff.diff(s, t, ["id"]))
+    for literal, listed in ((1_000, 1_000), (3, 1_000), (3, 3)):
+        monkeypatch.setattr(diff, "LITERAL_BLOCKS", literal)
+        monkeypatch.setattr(diff, "BROADCAST_BLOCKS", listed)
+        assert rows(diff.pruned_diff(s, t, "id", s.columns, 16)) == full
+    for first, last in ((-3, -2), (-2, 0), (0, 0), (0, 2), (1, 3)):
+        inside = {r.id for r in s.where(diff.key_span("id", 16, first, last)).collect()}
+        assert inside == {i for i in range(-500, 500) if first <= int(i / 16) <= last}
+
+
 def test_pruned_diff_of_other_keys(spark):
     """Keys that are no single integer are dealt by hash: uuids, texts, composite keys."""
     s = spark.range(300).select(F.concat(F.lit("id-"), F.col("id")).alias("u"), (F.col("id") % 7).cast("int").alias("n"), F.col("id").alias("v"))
