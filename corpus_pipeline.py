@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,18 @@ from concord.llm.queries import remainder
 from concord.llm.substring_dedup import SubstringDedup
 
 
+def shielded(stage):
+    """A stage in which columns besides those of documents pass through, whatever their names are."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        extra = {c: f"__concord_extra_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text", "lang", "source", "n_chars")}
+        return stage(spark, docs.withColumnsRenamed(extra), sf_dir).withColumnsRenamed({v: k for k, v in extra.items()})
+
+    return run
+
+
+@shielded
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; the others, null and letterless texts among them, go.  Rows that repeat are judged
     alike; no table, no result.  Columns besides doc_id, text and lang pass through."""
@@ -24,6 +37,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return model.accept(model.predict(docs, profiles)).select(*docs.columns)
 
 
+@shielded
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the least doc_id.  Null and wordless texts are no copies of each
     other and stay.  Of rows with the same doc_id and text one stays; texts that differ stay under the doc_id they share.
@@ -35,12 +49,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return stays.unionByName(docs.where("doc_id is null"))
 
 
+@shielded
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines and passages are cut from all documents but the first that has them; n_chars is counted anew.  Null texts,
     empty texts and rows without doc_id stay as they are; every document stays, be it empty."""
     return SubstringDedup().apply(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+@shielded
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut from the texts, n_chars is counted anew.  Null texts stay null; every document stays."""
     found = Decontaminator().apply(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), texts=True)
@@ -48,7 +64,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of what they decode to, in place of the text; a null text has no tokens."""
+    """Token counts and digests of the ids and of what they decode to, in place of the text; a null text has no tokens.  Columns named like
+    these are replaced, others pass through."""
     return default_bpe().digests(docs).drop("text")
 
 
