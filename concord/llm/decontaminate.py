@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from concord.llm.common import discard, extend, materialise, pieces, slim_batches
 
@@ -206,7 +207,6 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-FOUND = "__spans array<struct<start: long, end: long>>, __items array<string>"
 PAIR = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
@@ -220,8 +220,9 @@ class Decontaminator:
     shard_words: int = 400_000
     benchmark_bytes: int = 32 << 20
 
-    def search(self, rows: DataFrame, block: DataFrame) -> DataFrame:
-        """rows (.., __spans, __items, __concord_text) with what a block of items (item, text) adds to spans and items."""
+    def search(self, rows: DataFrame, block: DataFrame, judge: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType) -> DataFrame:
+        """rows (.., __spans, __items, __concord_text) with what a block of items (item, text) adds to spans and items, as `judge` turns
+        them into rows of `schema`."""
         items = sorted(((r.item, words_of(bytes(r.text))) for r in block.toLocalIterator()), key=lambda x: (x[0] is None, x))
         sent, most = rows.sparkSession.sparkContext.broadcast(Windows(items, self.window)), self.shard_words  # about benchmark_bytes
 
@@ -244,9 +245,9 @@ class Decontaminator:
                                 items[first + k] |= names
                             shard, first, held = [], i + 1, 0
                     out = [pa.array([[{"start": s, "end": e} for s, e in x] for x in spans], PAIR), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
-                    yield pa.RecordBatch.from_arrays([*rest, *out, text], piece.schema.names)
+                    yield from map(judge, pieces(pa.RecordBatch.from_arrays([*rest, *out, text], piece.schema.names)))
 
-        return rows.mapInArrow(run, rows.schema)
+        return rows.mapInArrow(run, schema)
 
     def apply(self, docs: DataFrame, benchmark: DataFrame, texts: bool = False) -> DataFrame:
         """Per row of `docs`: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans; with `texts` all columns
@@ -261,34 +262,34 @@ class Decontaminator:
         own = [c for c in docs.columns if c.lower() not in results] if texts else ["doc_id"]
         names = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"] + ["clean"] * texts
 
-        def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for piece in pieces(batch):
-                    *rest, spans, items, raw = piece.columns
-                    raw, items, places = raw.to_pylist(), items.to_pylist(), spans.to_pylist()
-                    hits = [sum(s["end"] - s["start"] for s in x) for x in places]
-                    out = [
-                        pa.array([len(words_of(t)) for t in raw], pa.int64()),
-                        pa.array(hits, pa.int64()),
-                        pa.array(list(map(len, items)), pa.int64()),
-                        pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in items], pa.string()),
-                        pa.array([h > 0 for h in hits], pa.bool_()),
-                        spans,
-                    ]
-                    if texts:
-                        out.append(pa.array([None if t is None else (cut(t, [(s["start"], s["end"]) for s in x]) if x else t).decode("utf-8", "replace") for t, x in zip(raw, places)], pa.string()))
-                    yield pa.RecordBatch.from_arrays([*rest, *out], [*own, *names])
+        def judge(piece: pa.RecordBatch) -> pa.RecordBatch:
+            *rest, spans, items, raw = piece.columns
+            raw, items, places = raw.to_pylist(), items.to_pylist(), spans.to_pylist()
+            hits = [sum(s["end"] - s["start"] for s in x) for x in places]
+            out = [
+                pa.array([len(words_of(t)) for t in raw], pa.int64()),
+                pa.array(hits, pa.int64()),
+                pa.array(list(map(len, items)), pa.int64()),
+                pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in items], pa.string()),
+                pa.array([h > 0 for h in hits], pa.bool_()),
+                spans,
+            ]
+            if texts:
+                out.append(pa.array([None if t is None else (cut(t, [(s["start"], s["end"]) for s in x]) if x else t).decode("utf-8", "replace") for t, x in zip(raw, places)], pa.string()))
+            return pa.RecordBatch.from_arrays([*rest, *out], [*own, *names])
 
         items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text")).where("text is not null").distinct()
         size = items.agg(F.sum(F.length("text"))).first()[0] or 0
         blocks = 1 + int(size // self.benchmark_bytes)
         none = [F.array().cast("array<struct<start: long, end: long>>").alias("__spans"), F.array().cast("array<string>").alias("__items")]
         rows = docs.select(*own, *none, F.col("text").cast("binary").alias("__concord_text"))
+        kinds = ["long", "long", "long", "string", "boolean", "array<struct<start: long, end: long>>", "string"]
+        judged = extend(docs.select(*own).schema, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
         for b in range(blocks):
-            before, rows = rows, self.search(rows, items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b))
-            if blocks > 1:  # written, so that a pass ends before the next block is read
+            last = b == blocks - 1  # judges in the same task
+            before, rows = rows, self.search(rows, items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b), judge if last else lambda x: x, judged if last else rows.schema)
+            if not last:  # written, so that a pass ends before the next block is read
                 rows = materialise(rows, "searched")
                 if b:
                     discard(before)
-        kinds = ["long", "long", "long", "string", "boolean", "array<struct<start: long, end: long>>", "string"]
-        return rows.mapInArrow(judge, extend(docs.select(*own).schema, ", ".join(f"{n} {k}" for n, k in zip(names, kinds))))
+        return rows
