@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from concord.llm.byte_bpe import default_bpe
 from concord.llm.common import materialise, shared_dir
 from concord.llm.decontaminate import Decontaminator
+from concord.llm.importance import ImportanceResampler
 from concord.llm.jaccard_join import JaccardJoin
 from concord.llm.language_id import LanguageProfiles
+from concord.llm.lexical_search import LexicalSearch
+from concord.llm.license_scan import BELIEF, LicenseScan, phrase_rule, signature
 from concord.llm.multi_index import MultiIndex
 from concord.llm.quotation import QuotationLinks
 from concord.llm.substring_dedup import SubstringDedup
@@ -172,5 +175,80 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_removed", "removed_chars", "text", "spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_url_filter, op3_language_id, op4_toxicity, op5_quotation_links, op6_embedding_near_dedup, op7_byte_bpe, op8_jaccard_join, op9_decontamination, op10_substring_dedup)}
-ORACLE_SQL: dict[str, str] = {"op1_token_counts": OP1_SQL, "op2_url_filter": OP2_SQL, "op5_quotation_links": OP5_SQL}
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ImportanceResampler().apply(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+#: Lower-cased words of a text, in DuckDB.
+SQL_WORDS = r"coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+
+OP11_SQL = f"""
+WITH steps AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+d AS (SELECT doc_id, {SQL_WORDS} AS words, row_number() OVER () AS id FROM documents),
+dw AS (SELECT id, unnest(words) AS word FROM d),
+bw AS (SELECT unnest({SQL_WORDS}) AS word FROM benchmark),
+spelt AS (SELECT word, hex(word) AS h FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+bytes AS (SELECT word, list_transform(range(1, len(h), 2), lambda i: (strpos('0123456789ABCDEF', h[i]) - 1) * 16 + strpos('0123456789ABCDEF', h[i + 1]) - 1) AS b FROM spelt),
+hashed AS (SELECT word, xor(list_reduce([4294967295] || b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM bytes, steps),
+s AS (SELECT bucket, count(*)::DOUBLE AS s FROM dw JOIN hashed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*)::DOUBLE AS t FROM bw JOIN hashed USING (word) GROUP BY bucket),
+totals AS (SELECT (SELECT coalesce(sum(s), 0) FROM s) AS n, (SELECT coalesce(sum(t), 0) FROM t) AS m),
+gains AS (SELECT s.bucket, floor(1000 * ln((coalesce(t, 0) + 1) * (n + 10000) / ((s + 1) * (m + 10000))))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket), totals),
+weights AS (SELECT id, sum(gain)::BIGINT AS weight FROM dw JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY id),
+scored AS (SELECT d.id, doc_id, len(words)::BIGINT AS n, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::BIGINT AS score
+           FROM (SELECT *, list_reduce([0] || list_transform(range(1, 9), lambda i: strpos('0123456789abcdef', sha256('2024:' || doc_id)[i]) - 1), lambda a, x: a * 16 + x)::DOUBLE AS h FROM d) d LEFT JOIN weights USING (id)),
+ranked AS (SELECT id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS many FROM scored WHERE n >= 20)
+SELECT doc_id, n AS n_features, weight, score, CASE WHEN place <= 10 * many // 100 THEN place END AS rank FROM scored LEFT JOIN ranked USING (id)
+"""
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LicenseScan().apply(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_sql() -> str:
+    """The rules as a table.  DuckDB's regexes look at nothing ahead, so phrases match whole; those here overlap nowhere."""
+    scan = LicenseScan()
+    regexes = [signature(p) for _, p in scan.phrases] + [r.regex for r in scan.all_rules()[len(scan.phrases) :]]
+    quoted = lambda v: "'" + v.replace("'", "''") + "'"
+    rules = ", ".join(f"({i}, {quoted(r.label)}, {r.priority}, {BELIEF[r.priority]}, {quoted(x)}, [{', '.join(map(quoted, r.keywords))}])" for i, (r, x) in enumerate(zip(scan.all_rules(), regexes)))
+    reach = " ".join(f"WHEN {p} THEN max(CASE WHEN priority <= {p} THEN e END) OVER w" for p in range(len(BELIEF)))
+    count = lambda x: f"list_transform({x}, lambda p: (len(p) - len(replace(p, ' ', ''))) // 2)"
+    return f"""
+WITH rules(rule, label, priority, belief, regex, keywords) AS (VALUES {rules}),
+d AS (SELECT doc_id, {SQL_WORDS} AS words, row_number() OVER () AS id FROM documents),
+lines AS (SELECT *, CASE WHEN len(words) = 0 THEN '' ELSE ' ' || array_to_string(words, '  ') || ' ' END AS line FROM d),
+hits AS (SELECT id, rule, label, priority, belief, line, regex FROM lines JOIN rules ON len(list_filter(keywords, lambda k: NOT contains(line, k))) = 0 WHERE regexp_matches(line, regex)),
+parts AS (SELECT id, rule, label, priority, belief, {count("string_split_regex(line, regex)")} AS gaps, {count("regexp_extract_all(line, regex)")} AS widths FROM hits),
+one AS (SELECT id, rule, label, priority, belief, unnest(widths) AS width, unnest(gaps[1:len(widths)]) AS gap, generate_subscripts(widths, 1) AS pos FROM parts),
+spots AS (SELECT *, sum(gap + width) OVER (PARTITION BY id, rule ORDER BY pos) - width AS s FROM one),
+ends AS (SELECT *, s + width AS e FROM spots),
+reached AS (SELECT *, CASE priority {reach} END AS reach FROM ends WINDOW w AS (PARTITION BY id ORDER BY s, e DESC, priority, rule ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+kept AS (SELECT * FROM reached WHERE priority = 0 OR reach IS NULL OR reach < e),
+told AS (SELECT id, count(*) FILTER (priority = 0) AS n_base, min(s) FILTER (priority = 0) AS first_word, max(s) FILTER (priority = 0) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (priority = 0) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(belief) AS score FROM kept GROUP BY id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score FROM d LEFT JOIN told USING (id)
+"""
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LexicalSearch().apply(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+OP13_SQL = f"""
+WITH d AS (SELECT doc_id, {SQL_WORDS} AS words, row_number() OVER () AS id FROM documents),
+dw AS (SELECT id, word, count(*) AS tf FROM (SELECT id, unnest(words) AS word FROM d) GROUP BY ALL),
+totals AS (SELECT count(*) FILTER (len(words) > 0) AS n, sum(len(words))::BIGINT AS l FROM d),
+w AS (SELECT word, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT word, count(*) AS df FROM dw GROUP BY word), totals),
+m AS (SELECT id, doc_id, 100 - 90 + (90 * len(words) * n) // l AS m FROM d, totals WHERE len(words) > 0),
+q AS (SELECT item_id, words, row_number() OVER () AS q FROM (SELECT item_id, {SQL_WORDS} AS words FROM benchmark)),
+qw AS (SELECT DISTINCT item_id, q, unnest(words) AS word FROM q),
+scored AS (SELECT q, item_id, doc_id, id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score FROM qw JOIN dw USING (word) JOIN w USING (word) JOIN m USING (id) GROUP BY ALL),
+ranked AS (SELECT item_id, (row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_url_filter, op3_language_id, op4_toxicity, op5_quotation_links, op6_embedding_near_dedup, op7_byte_bpe, op8_jaccard_join, op9_decontamination, op10_substring_dedup, op11_importance_resampling, op12_license_scan, op13_lexical_search)}
+ORACLE_SQL: dict[str, str] = {"op1_token_counts": OP1_SQL, "op2_url_filter": OP2_SQL, "op5_quotation_links": OP5_SQL, "op11_importance_resampling": OP11_SQL, "op12_license_scan": op12_sql(), "op13_lexical_search": OP13_SQL}
