@@ -1,10 +1,11 @@
 """N-gram Jaccard join: prefix filtering under several global token orders, intersected before verification.
 
 A document's set holds its distinct k-word shingles.  Whatever the total order of all shingles, two sets with Jaccard
-similarity >= t share a shingle among the first n - ceil(t * n) + 1 of each.  All orders here begin with a fixed share of
-the shingles (by hash) whose document counts are gathered, the rarest first; they differ in how finely counts are told
-apart and in the hash that breaks ties.  Shingles without counts follow, and a bounded list of very frequent ones comes
-last.  A document whose rarest shingles are its own alone has an empty prefix and drops out.
+similarity >= t share a shingle among the first n - ceil(t * n) + 1 of each.  Both orders here begin with a fixed share of
+the shingles (by hash) whose document counts are gathered: the first takes the rarest of them first, the second those of one half by
+hash, rarest first, and then the other half.  Two documents that share a few rare shingles share one in both prefixes only if some
+of these are in the first half, while similar ones always do.  Shingles without counts follow, and a bounded list of very
+frequent ones comes last.  A document whose first shingles are its own alone has an empty prefix and drops out.
 
 Under each order, documents that share a prefix shingle are joined into clusters; the next order only looks within the
 clusters of those before it.  No pair is written: a shared prefix shingle links each holder to the smallest one.  Within a
@@ -138,7 +139,7 @@ class JaccardJoin:
                             key = xxhash.xxh3_128_digest(s.tobytes())
                             if key not in sets or doc < sets[key][0]:
                                 sets[key] = (doc, s)
-                    ids, tokens, sizes, need = [], [], [], []
+                    ids, tokens, sizes, need, early = [], [], [], [], []
                     for doc, s in sets.values():
                         p = prefix(len(s))
                         rare = np.ones(len(s), bool)
@@ -154,9 +155,10 @@ class JaccardJoin:
                         tokens.append(own)
                         sizes.append(len(own))
                         need.append(p)
+                        early.append(int((~later(own[: int(first.sum())])).sum()))
                     if ids:
                         ids, token = np.array(ids, np.int64), np.concatenate(tokens)
-                        yield packed(bucket_of(ids.view(np.uint64), buckets), True, ids, np.array(sizes, np.int64), np.array(need, np.int64))
+                        yield packed(bucket_of(ids.view(np.uint64), buckets), True, ids, np.array(sizes, np.int64) << 32 | np.array(early, np.int64), np.array(need, np.int64))
                         yield packed(bucket_of(token, buckets), False, np.repeat(ids, sizes), token.view(np.int64), None)
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +178,7 @@ class JaccardJoin:
         def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _, rows in bucketwise(batches):
                 ids, sizes, need = joined([x[1:] for x in rows if x[0]], 3)
-                sent = dict(zip(ids.tolist(), zip(sizes.tolist(), need.tolist())))
+                sent = dict(zip(ids.tolist(), zip((sizes >> 32).tolist(), (sizes & 0xFFFFFFFF).tolist(), need.tolist())))
                 doc, token, n = joined([x[1:] for x in rows if not x[0]], 3)
                 order = np.lexsort((token, doc))
                 order = order[np.concatenate(([True], (doc[order][1:] != doc[order][:-1]) | (token[order][1:] != token[order][:-1])))[: len(order)]]  # repeated rows
@@ -184,15 +186,12 @@ class JaccardJoin:
                 at = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))[: len(doc)]).tolist()
                 out: list[list] = [[], [], []]
                 for s, e in zip(at, [*at[1:], len(doc)]):
-                    size, p = sent[int(doc[s])]
-                    t, m = token[s:e].view(np.uint64), n[s:e]
-                    left = p - (size - (e - s))  # after the shingles that are its own alone
-                    if left <= 0:
-                        continue
-                    uncounted = (t & counted) != 0
-                    out[0].append(int(doc[s]))
-                    out[1].append(t[np.lexsort((mix(t, 1), m, uncounted))[:left]].tobytes())
-                    out[2].append(t[np.lexsort((mix(t, 2), np.frexp(m)[1], uncounted))[:left]].tobytes())
+                    size, early, p = sent[int(doc[s])]
+                    found = two_prefixes(token[s:e].view(np.uint64), n[s:e], size, early, p, counted)
+                    if len(found[0]) and len(found[1]):  # else no document shares the prefixes of both orders
+                        out[0].append(int(doc[s]))
+                        out[1].append(found[0].tobytes())
+                        out[2].append(found[1].tobytes())
                 for start in range(0, len(out[0]), 2_000):
                     part = [x[start : start + 2_000] for x in out]
                     yield pa.RecordBatch.from_pydict({"id": pa.array(part[0], pa.int64()), "p0": pa.array(part[1], pa.binary()), "p1": pa.array(part[2], pa.binary())})
@@ -318,6 +317,27 @@ class JaccardJoin:
         return sized.select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id"))
 
 
+def later(token: np.ndarray) -> np.ndarray:
+    """Which counted shingles the second order takes last."""
+    return (mix(token, 6) & np.uint64(1)) == 1
+
+
+def two_prefixes(token: np.ndarray, n: np.ndarray, size: int, early: int, p: int, counted: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that others have too, of n documents each, within the first p of a document's `size` under each order.  early: how
+    many of its counted shingles are not later(); shingles of one document alone are the rarest and no longer here."""
+    left = p - (size - len(token))
+    uncounted = (token & counted) != 0
+    first = token[np.lexsort((mix(token, 1), n, uncounted))[: max(left, 0)]]
+    if size <= p:  # all are in both prefixes
+        return first, first
+    late = later(token)
+    halves = [token[half][np.lexsort((mix(token[half], 1), n[half]))] for half in (~late, late)]
+    alone = early - len(halves[0])
+    second = halves[0][: max(p - alone, 0)]
+    left = p - early - (size - early - len(halves[1]))  # after the first half, and what is alone in the second
+    return first, np.concatenate((second, halves[1][: max(left, 0)]))
+
+
 def exploded(held: DataFrame) -> DataFrame:
     """(id, cluster, token) from (id, cluster, tokens as bytes)."""
 
