@@ -129,13 +129,17 @@ class MultiIndex:
     block: int = 1_024
     seed: int = 1
 
-    def valid(self, vectors: DataFrame) -> DataFrame:
-        """(vec_id, label, embedding, a, b): usable vectors once each; a and b are hashes that stand for the vector in joins."""
+    def hashed(self, vectors: DataFrame) -> DataFrame:
+        """(vec_id, label, embedding, a, b) of all rows; a and b are hashes that stand for the vector in joins, null where it is not usable."""
         finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
         some = F.exists("embedding", lambda x: x != 0)
-        rows = vectors.where("vec_id is not null and label is not null and embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<double>").alias("embedding"))
-        rows = rows.where(finite & some).withColumns({n: F.xxhash64(F.lit(i), F.size("embedding"), "embedding") for i, n in enumerate("ab")})
-        return rows.dropDuplicates(["vec_id", "label", "a", "b"])
+        rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<double>").alias("embedding"))
+        usable = F.expr("vec_id is not null and label is not null and embedding is not null") & finite & some
+        return rows.withColumns({n: F.when(usable, F.xxhash64(F.lit(i), F.size("embedding"), "embedding")) for i, n in enumerate("ab")})
+
+    def valid(self, vectors: DataFrame) -> DataFrame:
+        """(vec_id, label, embedding, a, b): usable vectors once each."""
+        return self.hashed(vectors).where("a is not null").dropDuplicates(["vec_id", "label", "a", "b"])
 
     def fit(self, entries: DataFrame, dims: int) -> Grid:
         n, most = entries.groupBy("label").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
@@ -232,14 +236,15 @@ class MultiIndex:
         """Per row of `vectors` (vec_id, embedding, label): vec_id, n_links, component_id, kept.
 
         Vectors that are null, zero or hold null or non-finite components, and rows with a null label, link with
-        nothing.  Vectors of different lengths do not link.  Rows that share a vec_id are one vector: repeats do not count as
-        others, and rows with different vectors or labels are one for reachability, with the links of the one that has most.
-        A row without vec_id has no component and is kept.  Other columns are ignored.
+        nothing.  Vectors of different lengths do not link.  Repeats of a vector under one vec_id are one vector.  Rows that share a
+        vec_id but not a vector or label each have their own links, and are one for reachability.  A row without vec_id has no
+        component and is kept.  Other columns are ignored.
         """
         good = materialise(self.valid(vectors), "vectors")
         keys = ["label", "a", "b"]
-        counted = good.groupBy(*keys).agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
-        entries = materialise(good.join(counted, [*keys, "vec_id"]), "entries")
+        counted = self.numbered(good.groupBy(*keys).agg(F.min("vec_id").alias("first"), F.count("*").alias("copies")))
+        held = good.join(counted.withColumnRenamed("first", "vec_id"), [*keys, "vec_id"])
+        entries = materialise(held.select(F.col("entry").alias("vec_id"), *keys, "copies", "embedding"), "entries")
         found = None
         for dims in sorted(r.d for r in entries.select(F.size("embedding").alias("d")).distinct().toLocalIterator()):
             own = entries.where(F.size("embedding") == dims)
@@ -249,12 +254,30 @@ class MultiIndex:
             found = links if found is None else found.unionByName(links)
         if found is None:
             found = vectors.sparkSession.createDataFrame([], "vec_id long, root long, links long")
-        counts = found.groupBy(F.col("vec_id").alias("first")).agg(F.sum("links").alias("links"))
-        component = connected_components(found.select(F.col("vec_id").alias("u"), F.col("root").alias("v"))).withColumnRenamed("id", "first")
-        classes = entries.select(*keys, F.col("vec_id").alias("first"), "copies").join(counts, "first", "left").join(component, "first", "left")
-        member = good.select("vec_id", *keys).join(classes, keys).groupBy("vec_id").agg(F.max(F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.min(F.coalesce("component", "first")).alias("component"))
-        out = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).join(member, "vec_id", "left")
-        return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+        counts = found.groupBy(F.col("vec_id").alias("entry")).agg(F.sum("links").alias("links"))
+        several = good.groupBy("vec_id").agg(F.count("*").alias("n")).where("n > 1").select("vec_id")
+        same = good.join(several, "vec_id", "left_semi").join(counted, keys).select(F.col("vec_id").alias("u"), F.col("entry").alias("v"))
+        extra = counted.where("entry <> first").select(F.col("entry").alias("u"), F.col("first").alias("v"))
+        edges = found.select(F.col("vec_id").alias("u"), F.col("root").alias("v")).unionByName(same).unionByName(extra)
+        component = connected_components(edges)
+        classes = counted.join(counts, "entry", "left").join(component.withColumnRenamed("id", "entry"), "entry", "left")
+        links = F.coalesce("links", F.lit(0)) + F.col("copies") - 1
+        told = classes.select(*keys, links.cast("long").alias("n_links"), F.coalesce("component", "first").alias("component_id"))
+        every = self.hashed(vectors)
+        usable = every.where("a is not null").join(told, keys).select("vec_id", "n_links", "component_id")
+        ids = good.join(told, keys).groupBy(F.col("vec_id").alias("__id")).agg(F.min("component_id").alias("component_id"))
+        rest = every.where("a is null").join(ids, F.col("vec_id") == F.col("__id"), "left").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+        return usable.unionByName(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+
+    def numbered(self, counted: DataFrame) -> DataFrame:
+        """counted (label, a, b, first, copies) with entry: first, but for all but one of those that have it in common a number above all vec_ids."""
+        counted = materialise(counted, "counted")
+        shared = counted.groupBy("first").agg(F.min(F.struct("a", "b", F.xxhash64("label"))).alias("main"), F.count("*").alias("n")).where("n > 1").drop("n")
+        if shared.isEmpty():
+            return counted.withColumn("entry", F.col("first"))
+        above = counted.agg(F.max("first")).first()[0] + 1
+        own = F.col("main").isNull() | (F.struct("a", "b", F.xxhash64("label")) == F.col("main"))
+        return materialise(counted.join(shared, "first", "left").withColumn("entry", F.when(own, F.col("first")).otherwise(F.monotonically_increasing_id() + above)).drop("main"), "numbered")
 
 
 def unit(x: np.ndarray) -> np.ndarray:
