@@ -1,13 +1,14 @@
 """Toxicity by two Kneser-Ney models, one of toxic and one of ordinary texts, over shared backoff counts.
 
-P_c(w | v) = max(n_c(v w) - D2, 0) / n_c(v .) + b(v) P_c(w)
-P_c(w)     = max(m_c(w) - D1, 0) / m_c(.) + b_c P(w),   P(w) in proportion to the distinct left neighbours of w in the whole corpus
+P_c(w | v) = max(n_c(v w) - D2, 0) / n_c(v .) + b_c(v) P_c(w)
+P_c(w)     = max(m_c(w) - D1, 0) / m_c(.) + b_c P(w),   P(w) = N(. w) / N(. .), distinct left neighbours in the whole corpus
 
-n_c counts the distinct words before a bigram in texts of class c, and m_c the distinct left neighbours of a word in them, so
+b_c is what the discounts leave, so that each model sums to 1 over the words of the corpus; it is 1 where the class has not met v.  n_c counts the distinct words before a bigram in texts of class c, and m_c the distinct left neighbours of a word in them, so
 that copies of a text count as one.  An expression met in fewer than `least` contexts of the labelled sample has no class
 counts of its own: its mass goes to the backoff, so what is rare is smoothed by the shared counts alone.  The discounts are
-n1 / (n1 + 2 n2), from how many expressions are met once and twice.  The shared counts are exact: the distinct pairs of
-neighbours of all texts, over the vocabulary of the words with class counts and one for all others.
+n1 / (n1 + 2 n2), from how many expressions are met once and twice.  The shared counts are of the distinct pairs of
+neighbours of all texts, whatever words they are of: N(. w) is kept of the words with class counts, as other words are as
+likely, up to b_c, in both classes, and N(. .) is the number of all pairs.  Words and pairs are told apart by hashes.
 
 A text is judged by the difference of its two log-likelihoods, each divided by its number of words: that of the whole text, and
 the greatest of its passages of 2, 4 and 8 words.  A logistic curve fitted on labelled rows that the counts have not seen
@@ -65,12 +66,15 @@ def distinct(rows: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Ratios:
-    """log P_toxic - log P_ordinary: of words and bigrams with class counts, sorted by hash, and of all others."""
+    """log P_toxic - log P_ordinary: of words and bigrams with class counts, sorted by hash, and of all other words; a bigram without
+    has that of its word and of b(v) of its context, which is 0 for contexts that are not listed."""
 
     words: np.ndarray
     word_ratio: np.ndarray
     pairs: np.ndarray
     pair_ratio: np.ndarray
+    contexts: np.ndarray
+    context_ratio: np.ndarray
     other: float
 
     def features(self, texts: list[str | None]) -> np.ndarray:
@@ -80,8 +84,9 @@ class Ratios:
         some = np.flatnonzero(np.diff(first))
         if not len(h) or not len(some):
             return out
-        x = looked_up(pair_key(before(h, first, 1), h), self.pairs, self.pair_ratio, np.nan)
-        x = np.where(np.isnan(x), looked_up(h, self.words, self.word_ratio, self.other), x)
+        v = before(h, first, 1)
+        x = looked_up(pair_key(v, h), self.pairs, self.pair_ratio, np.nan)
+        x = np.where(np.isnan(x), looked_up(h, self.words, self.word_ratio, self.other) + looked_up(v, self.contexts, self.context_ratio, 0.0), x)
         starts, sizes = first[:-1][some], np.diff(first)[some]
         sums = np.concatenate(([0.0], np.cumsum(x)))
         out[some, 0] = (sums[first[1:][some]] - sums[starts]) / sizes
@@ -178,7 +183,7 @@ class KneserNeyToxicity:
         discard(context)
         if masses is None:
             none = np.empty(0, np.uint64), np.empty(0)
-            return Ratios(*none, *none, 0.0)
+            return Ratios(*none, *none, *none, 0.0)
         single = kept[kept["single"].astype(bool)]
         words, order = np.unique(single["w"].to_numpy(np.int64).view(np.uint64), return_index=True)
         single = single.iloc[order]
@@ -189,16 +194,23 @@ class KneserNeyToxicity:
         double = kept[~kept["single"].astype(bool)]
         v, w = (double[c].to_numpy(np.int64).view(np.uint64) for c in ("v", "w"))
         at = np.minimum(np.searchsorted(words, w), max(len(words) - 1, 0))
-        pooled = (double["spare0"] + double["spare1"]).to_numpy(float) / np.maximum((double["sum0"] + double["sum1"]).to_numpy(float), 1)
-        q = {y: np.maximum(double[f"n{y}"].to_numpy(float) - discount[False], 0) / np.maximum(double[f"sum{y}"].to_numpy(float), 1) + pooled * (p[y][at] if len(words) else 1.0) for y in (0, 1)}
+        q, left = {}, {}
+        for y in (0, 1):
+            met = double[f"sum{y}"].to_numpy(float)
+            left[y] = np.where(met > 0, double[f"spare{y}"].to_numpy(float) / np.maximum(met, 1), 1.0)
+            q[y] = np.maximum(double[f"n{y}"].to_numpy(float) - discount[False], 0) / np.maximum(met, 1) + left[y] * (p[y][at] if len(words) else 1.0)
         keys, order = np.unique(pair_key(v, w), return_index=True)
-        return Ratios(words, np.log(p[1] / p[0]), keys, np.log(q[1] / q[0])[order], other)
+        contexts, some = np.unique(v, return_index=True)
+        return Ratios(words, np.log(p[1] / p[0]), keys, np.log(q[1] / q[0])[order], contexts, np.log(left[1] / left[0])[some], other)
 
     def shared(self, docs: DataFrame, words: np.ndarray) -> np.ndarray:
-        """P(w) of the words: exact counts of distinct left neighbours, over all rows of docs, with one number for all words that
-        are not among `words`."""
+        """P(w) of the words: their distinct left neighbours among the distinct pairs of neighbours of all rows of docs.
+
+        A pair is sent as 63 bits: a hash of both words, or, if the right one is among `words`, its number and a hash of the left one.
+        """
         sent = docs.sparkSession.sparkContext.broadcast(words)  # fewer than the sample's words / least
-        size = np.uint64(len(words) + 2)
+        number_bits = np.uint64(max(1, len(words)).bit_length())
+        known = np.uint64(1 << 63)
         buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0) // (6 * self.bucket))
 
         def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,25 +224,27 @@ class KneserNeyToxicity:
             for batch in batches:
                 for piece in pieces(batch):
                     h, first = words_of(piece.column(0).to_pylist())
-                    number = looked_up(h, sent.value, np.arange(len(sent.value)), len(sent.value)).astype(np.uint64)
-                    left = before(number, first, 1)
-                    left[first[:-1][np.diff(first) > 0]] = size - np.uint64(1)
-                    held.append(np.unique(left * size + number))
-                    if sum(map(len, held)) > 2_000_000:
+                    left = before(h, first, 1)
+                    number = looked_up(h, sent.value, np.arange(len(sent.value)), -1)
+                    own = mix(left, 9) >> (number_bits + np.uint64(1)) << number_bits | number.astype(np.int64).astype(np.uint64)
+                    held.append(np.unique(np.where(number >= 0, own | known, pair_key(left, h) & ~known)))
+                    if sum(map(len, held)) > 4_000_000:
                         yield flush()
             yield flush()
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _, rows in bucketwise(batches):
                 codes = np.unique(joined([x[1:2] for x in rows], 1)[0].view(np.uint64))
-                word, n = np.unique(codes % size, return_counts=True)
-                yield pa.RecordBatch.from_pydict({"word": pa.array(word.astype(np.int64)), "n": pa.array(n.astype(np.int64))})
+                own = codes[codes >= known]
+                word, n = np.unique(own & np.uint64((1 << int(number_bits)) - 1), return_counts=True)
+                word, n = np.append(word.astype(np.int64), -1), np.append(n, len(codes) - len(own))
+                yield pa.RecordBatch.from_pydict({"word": pa.array(word), "n": pa.array(n.astype(np.int64))})
 
         dealt = docs.select(F.col("text").cast("string")).mapInArrow(pairs, "bucket long, info boolean, a binary, b binary, c binary").repartition("bucket").sortWithinPartitions("bucket")
-        found = dealt.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).toPandas()  # a row a word
+        found = dealt.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).toPandas()  # a row a word of `words`, one for all others
         sent.destroy()
-        n = np.zeros(int(size))
-        n[found["word"].to_numpy(np.int64)] = found["n"].to_numpy(float)
+        n, number = np.zeros(len(words) + 1), found["word"].to_numpy(np.int64)
+        n[number] = found["n"].to_numpy(float)
         return np.maximum(n[: len(words)], 1.0) / max(n.sum(), 1.0)
 
     # -- scores ----------------------------------------------------------------------------------
