@@ -115,6 +115,21 @@ def test_jaccard_join_verifies_a_chain_link_by_link(spark):
     assert all(got[i][0] == 0 for i in range(400) if i % 7 or i >= 140)
 
 
+@pytest.mark.parametrize(("percent", "k"), [(80, 1), (90, 1), (80, 3)])
+def test_both_orders_together_leave_fewer_pairs_than_either(spark, percent, k):
+    """Documents that share some of their words, rare ones among them, and near copies, which no order may lose."""
+    rng = random.Random(23)
+    docs = [(i, " ".join(rng.sample([f"w{j}" for j in range(1_200)], 90) + [f"own{i}x{j}" for j in range(i % 4)])) for i in range(150)]
+    docs += [(1000 + i, t + f" more{i}") for i, t in docs[:40]]
+    join = JaccardJoin(k=k, percent=percent)
+    rows = join.prefixes(spark.createDataFrame(docs, DOCS).select("doc_id", F.col("text").cast("binary")), np.empty(0, np.uint64), 4).collect()
+    by = {o: {frozenset((x.id, y.id)) for i, x in enumerate(rows) for y in rows[:i] if set(np.frombuffer(x[o], np.uint64)) & set(np.frombuffer(y[o], np.uint64))} for o in ("p0", "p1")}
+    both = by["p0"] & by["p1"]
+    assert all(frozenset((1000 + i, i)) in both for i in range(40))
+    if k == 1:
+        assert len(both) < 0.9 * min(map(len, by.values()))
+
+
 def test_byte_bpe(spark, documents):
     import public_tokenizers as P
     import tiktoken
@@ -293,13 +308,15 @@ def test_toxicity_against_brute_force(spark):
 
     d1, d2 = discount(single), discount(pair)
     own = {w for y in (0, 1) for w in single[y] if total(single, w) >= 3}
-    number = lambda w: w if w in own else "?"
-    left = {(number(v) if v != "^" else v, number(w)) for _, t in corpus for x in [["^", *t.split()]] for v, w in zip(x, x[1:])}
+    left = {(v, w) for _, t in corpus for x in [["^", *t.split()]] for v, w in zip(x, x[1:])}
+    types = {w for _, w in left}
     p = {}
     for y in (0, 1):
         mass = sum(single[y].values())
         back = sum(min(d1, n) if w in own else n for w, n in single[y].items()) / mass
-        p[y] = {w: max(single[y][w] - d1, 0) / mass + back * sum(b == w for _, b in left) / len(left) for w in own}
+        shared = Counter(b for _, b in left)
+        p[y] = {w: (max(single[y][w] - d1, 0) / mass if w in own else 0) + back * shared[w] / len(left) for w in types}
+        assert math.isclose(sum(p[y].values()), 1)
     h = lambda w: int(words_of([w])[0][0])
     found = dict(zip(got.words.tolist(), got.word_ratio.tolist()))
     assert found.keys() == {h(w) for w in own}
@@ -307,19 +324,29 @@ def test_toxicity_against_brute_force(spark):
     pairs = {k for y in (0, 1) for k in pair[y] if total(pair, k) >= 3}
     found = dict(zip(got.pairs.tolist(), got.pair_ratio.tolist()))
     assert len(found) == len(pairs)
+    b = {v: [] for v, _ in pairs}
+    for v in b:
+        for y in (0, 1):
+            met = {k: n for (a, k), n in pair[y].items() if a == v}
+            spare = sum(min(d2, n) if (v, k) in pairs else n for k, n in met.items())
+            b[v].append(spare / sum(met.values()) if met else 1.0)
+            whole = sum((max(n - d2, 0) if (v, k) in pairs else 0) / sum(met.values()) for k, n in met.items()) + b[v][y] * sum(p[y].values())
+            assert math.isclose(whole, 1)
+    key = lambda v: 1 if v == "^" else h(v)
+    contexts = dict(zip(got.contexts.tolist(), got.context_ratio.tolist()))
+    assert contexts.keys() == {key(v) for v in b} and all(math.isclose(contexts[key(v)], math.log(b[v][1] / b[v][0]), rel_tol=1e-9, abs_tol=1e-12) for v in b)
     for v, w in pairs:
-        spare = sum(min(d2, n) if (a, b) in pairs else n for y in (0, 1) for (a, b), n in pair[y].items() if a == v)
         sums = [sum(n for (a, _), n in pair[y].items() if a == v) for y in (0, 1)]
-        q = [max(pair[y][v, w] - d2, 0) / max(sums[y], 1) + spare / sum(sums) * p[y][w] for y in (0, 1)]
-        key = int(pair_key(np.array([1 if v == "^" else h(v)], np.uint64), np.array([h(w)], np.uint64))[0])
-        assert math.isclose(found[key], math.log(q[1] / q[0]), rel_tol=1e-9)
+        q = [max(pair[y][v, w] - d2, 0) / max(sums[y], 1) + b[v][y] * p[y][w] for y in (0, 1)]
+        k = int(pair_key(np.array([key(v)], np.uint64), np.array([h(w)], np.uint64))[0])
+        assert math.isclose(found[k], math.log(q[1] / q[0]), rel_tol=1e-9)
     # features of a text, and of the empty, repeated and very long
     some = texts[3][1].split()
     x = [got.features([" ".join(some[: i + 1])])[0][0] * (i + 1) for i in range(len(some))]
     x = np.diff(np.concatenate(([0.0], x)))
     f = got.features([None, texts[3][1], "", texts[3][1] + " ", "zz " * 1_000_000])
     assert np.allclose(f[1], [x.mean(), *[max(x[max(0, i + 1 - n) : i + 1].sum() / n for i in range(len(x))) for n in (2, 4, 8)]])
-    assert (f[0] == 0).all() and (f[2] == 0).all() and np.allclose(f[1], f[3]) and np.allclose(f[4], got.other)
+    assert (f[0] == 0).all() and (f[2] == 0).all() and np.allclose(f[1], f[3]) and np.allclose(f[4][1:], got.other) and np.isclose(f[4][0], got.other, atol=1e-5)
 
 
 def test_toxicity(spark):
@@ -376,6 +403,14 @@ def test_multi_index(spark):
     assert MultiIndex().apply(df.limit(0)).count() == 0
 
 
+def test_multi_index_of_rows_that_share_an_id(spark):
+    a, b, near = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 1.0, 0.01]
+    rows = [(3, 0, a), (7, 0, a), (7, 0, b), (9, 0, near), (9, 0, near), (20, 0, [0.0, 0.0, 1.0]), (20, 1, [0.0, 0.0, 1.0]), (21, 1, [0.0, 0.1, 9.0]), (20, 0, None), (30, None, a), (31, 0, [1.0, None, 0.0]), (None, 0, a)]
+    got = [tuple(r) for r in MultiIndex().apply(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()]
+    expected = [(3, 1, 3, True), (7, 1, 3, False), (7, 1, 3, False), (9, 1, 3, False), (9, 1, 3, False), (20, 0, 20, True), (20, 1, 20, True), (21, 1, 20, False), (20, 0, 20, True), (30, 0, 30, True), (31, 0, 31, True), (None, 0, None, True)]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
 def test_multi_index_finds_the_wanted_share(spark):
     """The registered recall, on clusters whose members lie at all distances around the threshold."""
     rng = np.random.default_rng(6)
