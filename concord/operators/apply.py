@@ -5,10 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from concord.operators.commit import commit
 from concord.operators.ranges import key_range
 
 
@@ -22,8 +22,25 @@ def apply_multiset(target: DataFrame, changes: DataFrame, columns: Sequence[str]
     """The target after the changes of multiset_diff(): changed groups go wholly and come source_n times."""
     c = changes.select(*[F.col(x).alias(f"_{x}") for x in columns])
     kept = target.join(c, [F.col(x).eqNullSafe(F.col(f"_{x}")) for x in columns], "left_anti").select(*columns)
-    come = changes.where("source_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("source_n").cast("int")))).select(*columns)
-    return kept.unionByName(come)
+    return kept.unionByName(copied(changes.where("source_n > 0"), "source_n").select(*columns))
+
+
+#: Copies that one row of a task expands to.
+CHUNK = 65_536
+
+
+def chunks(df: DataFrame, n: str) -> DataFrame:
+    """df with _from and _to: each row's copies from 1 to n, CHUNK of them a row; rows of more than one chunk are dealt over all tasks."""
+    number = F.expr(f"ceil(`{n}` / {CHUNK})").cast("long")
+    few = df.where(F.col(n) <= CHUNK).withColumn("_chunk", F.lit(0).cast("long"))
+    many = df.where(F.col(n) > CHUNK).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), number - 1))).repartition()
+    first = F.col("_chunk") * CHUNK + 1
+    return few.unionByName(many).withColumns({"_from": first, "_to": F.least(first + CHUNK - 1, F.col(n).cast("long"))}).drop("_chunk")
+
+
+def copied(df: DataFrame, n: str) -> DataFrame:
+    """Each row n times, with _copy from 1 to n."""
+    return chunks(df.where(F.col(n) > 0), n).withColumn("_copy", F.explode(F.sequence("_from", "_to"))).drop("_from", "_to")
 
 
 def clear_range(target: DataFrame, key: Sequence[str], prev=None, last=None) -> DataFrame:
@@ -44,29 +61,11 @@ def write_staged(df: DataFrame, path: str) -> None:
 
 def swap(spark: SparkSession, pairs: Sequence[tuple[str, str]]) -> None:
     """Rename each written folder to its final place; if one can't be, all that were there before are put back."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(pairs[0][1]).getFileSystem(spark._jsc.hadoopConfiguration())
-    moved: list[tuple[str, str]] = []
-
-    def move(a: str, b: str) -> None:
-        try:
-            renamed = fs.rename(hadoop(a), hadoop(b))
-        except Py4JJavaError as e:
-            raise OSError(f"{a} could not be renamed to {b}") from e
-        if not renamed:
-            raise OSError(f"{a} could not be renamed to {b}")
-        moved.append((a, b))
-
-    old = []
-    try:
-        for aside, final in pairs:
-            if fs.exists(hadoop(final)):
-                old.append(f"{final}.old-{uuid.uuid4().hex}")
-                move(final, old[-1])
-            move(aside, final)
-    except BaseException:
-        for a, b in reversed(moved):
-            fs.rename(hadoop(b), hadoop(a))
-        raise
-    for path in old:
-        fs.delete(hadoop(path), True)
+    commit(spark, pairs[0][1].rstrip("/").rpartition("/")[0] or "/", pairs)
+
+
+def rewritten(affected: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
+    """What takes the place of the files that hold changed keys: their other rows, and all new ones."""
+    gone = changes.where("action <> 'insert'").select(*key)
+    kept = affected.join(gone, list(key), "left_anti").select(*affected.columns)
+    return kept.unionByName(changes.where("action <> 'delete'").select(*affected.columns))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,19 +19,21 @@ def same(columns: Sequence[str], left: str = "s", right: str = "t") -> Column:
     return out
 
 
-def diff(source: DataFrame, target: DataFrame, key: Sequence[str], unchanged: bool = False) -> DataFrame:
+def diff(source: DataFrame, target: DataFrame, key: Sequence[str], unchanged: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """(key, action, other source columns): insert, replace or delete, and with `unchanged` also keep.
 
     Keys must be unique and free of nulls on both sides; columns are matched by name and compared null-safely.
-    One full outer sort-merge join on the key; a delete has null source columns.
+    One full outer sort-merge join on the key; a delete has null source columns.  carry: columns that either side or both have besides
+    and that are not compared; they come as they are for the source's and with t_ before their name for the target's.
     """
-    rest = [c for c in source.columns if c not in key]
+    rest = [c for c in source.columns if c not in key and c not in carry]
     s, t = source.withColumn("_s", F.lit(True)).alias("s"), target.withColumn("_t", F.lit(True)).alias("t")
     on = [F.col(f"s.{c}") == F.col(f"t.{c}") for c in key]
     action = F.when(F.col("_t").isNull(), "insert").when(F.col("_s").isNull(), "delete").when(same(rest), "keep").otherwise("replace")
     joined = s.join(t, on, "full_outer").select(
-        *[F.coalesce(F.col(f"s.{c}"), F.col(f"t.{c}")).alias(c) for c in key], action.alias("action"), *[F.col(f"s.{c}").alias(c) for c in rest]
-    )
+        *[F.coalesce(F.col(f"s.{c}"), F.col(f"t.{c}")).alias(c) for c in key], action.alias("action"), *[F.col(f"s.{c}").alias(c) for c in rest],
+        *[F.col(f"s.{c}").alias(c) for c in carry if c in source.columns], *[F.col(f"t.{c}").alias(f"t_{c}") for c in carry if c in target.columns],
+    )
     return joined if unchanged else joined.where("action <> 'keep'")
 
 
@@ -50,6 +52,13 @@ def matched(source: DataFrame, target: DataFrame, key: Sequence[str], equal: boo
     return joined.where(same(rest) if equal else ~same(rest)).select("s.*")
 
 
+def counting(changes: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The changes, and their number by action once they have been written: they are counted in the same pass."""
+    seen = Observation()
+    counts = [F.count(F.when(F.col("action") == a, 1)).alias(a) for a in ("insert", "replace", "delete")]
+    return changes.observe(seen, *counts), lambda: {a: n for a, n in seen.get.items() if n}
+
+
 def summary(changes: DataFrame) -> DataFrame:
     """(action, n): all deletes count, wherever in the key range they are."""
     return changes.groupBy("action").agg(F.count("*").alias("n"))
@@ -100,7 +109,7 @@ def key_span(key: str, width: int, first: int, last: int) -> Column:
     return F.col(key).between(low, high)
 
 
-def pruned_diff(source: DataFrame, target: DataFrame, key: str | Sequence[str], columns: Sequence[str], width: int, exact: bool = False) -> DataFrame:
+def pruned_diff(source: DataFrame, target: DataFrame, key: str | Sequence[str], columns: Sequence[str], width: int, exact: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """diff() over the blocks that differ; `exact` compares everything.
 
     The blocks are compared at once, so that a few that differ can become predicates, key ranges among them which reach the
@@ -108,20 +117,20 @@ def pruned_diff(source: DataFrame, target: DataFrame, key: str | Sequence[str],
     """
     key = [key] if isinstance(key, str) else list(key)
     if exact:
-        return diff(source, target, key)
+        return diff(source, target, key, carry=carry)
     block = blocks_of(source, key, width)
     wanted = block_compare(source, target, key, columns, width, block).select(F.col("block").alias("_block"))
     few = [r[0] for r in wanted.limit(LITERAL_BLOCKS + 1).collect()]
     if not few:
-        return diff(source.where(F.lit(False)), target.where(F.lit(False)), key)
+        return diff(source.where(F.lit(False)), target.where(F.lit(False)), key, carry=carry)
     if len(few) <= LITERAL_BLOCKS:
         inside = block.isin(few)
         if len(key) == 1 and isinstance(source.schema[key[0]].dataType, T.IntegralType):
             inside = inside & key_span(key[0], width, min(few), max(few))
-        return diff(source.where(inside), target.where(inside), key)
+        return diff(source.where(inside), target.where(inside), key, carry=carry)
     listed = F.broadcast(wanted) if wanted.limit(BROADCAST_BLOCKS + 1).count() <= BROADCAST_BLOCKS else wanted
     part = lambda df: df.withColumn("_block", block).join(listed, "_block", "left_semi").drop("_block")
-    return diff(part(source), part(target), key)
+    return diff(part(source), part(target), key, carry=carry)
 
 
 def block_refine(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str], coarse: int, fine: int) -> DataFrame:
@@ -174,8 +183,10 @@ def multiset_diff(source: DataFrame, target: DataFrame, columns: Sequence[str])
 
 
 def multiset_expand(counts: DataFrame) -> DataFrame:
-    """Each row n times."""
-    return counts.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).drop("n")
+    """Each row n times, numbered by copy."""
+    from concord.operators.apply import copied
+
+    return copied(counts, "n").withColumnRenamed("_copy", "copy").drop("n")
 
 
 def unique_conflicts(incoming: DataFrame, target: DataFrame, key: Sequence[str], unique: Sequence[Sequence[str]]) -> DataFrame:

@@ -85,33 +85,39 @@ def column_sql(column: ColumnDef, dialect: str) -> str:
     return " ".join(x for x in (quoted(column.name, dialect), type_sql(column, dialect), default_sql(column, dialect), "" if column.nullable else "NOT NULL") if x)
 
 
-def key_sql(table: TableDef, key, dialect: str) -> str:
+def qualified(name: str, dialect: str, schema: str = "") -> str:
+    return f"{quoted(schema, dialect)}." * bool(schema) + quoted(name, dialect)
+
+
+def key_sql(table: TableDef, key, dialect: str, schema: str = "") -> str:
+    """An index lies in its table's schema; Derby wants that said, others don't allow it."""
     kind = {"unique": "UNIQUE INDEX", "spatial": "SPATIAL INDEX" if dialect == "mysql" else "INDEX"}.get(key.kind.value, "INDEX")
     using = " USING gist" if key.kind.value == "spatial" and dialect == "postgresql" else ""
-    return f"CREATE {kind} {quoted(key.name, dialect)} ON {quoted(table.name, dialect)}{using} ({', '.join(quoted(c, dialect) for c in key.columns)})"
+    name = qualified(key.name, dialect, schema if dialect == "derby" else "")
+    return f"CREATE {kind} {name} ON {qualified(table.name, dialect, schema)}{using} ({', '.join(quoted(c, dialect) for c in key.columns)})"
 
 
-def create_table_sql(table: TableDef, dialect: str) -> list[str]:
+def create_table_sql(table: TableDef, dialect: str, schema: str = "") -> list[str]:
     parts = [column_sql(c, dialect) for c in table.columns]
     if table.primary_key:
         parts.append(f"PRIMARY KEY ({', '.join(quoted(c, dialect) for c in table.primary_key)})")
-    return [f"CREATE TABLE {quoted(table.name, dialect)} ({', '.join(parts)})", *[key_sql(table, k, dialect) for k in table.keys]]
+    return [f"CREATE TABLE {qualified(table.name, dialect, schema)} ({', '.join(parts)})", *[key_sql(table, k, dialect, schema) for k in table.keys]]
 
 
-def action_sql(action: Action, table: TableDef, dialect: str) -> list[str]:
-    """The statements of an action on a table whose definition afterwards is `table`."""
-    t, name = quoted(table.name, dialect), quoted(action.name, dialect) if action.name else ""
+def action_sql(action: Action, table: TableDef, dialect: str, schema: str = "") -> list[str]:
+    """The statements of an action on a table of `schema` (the default one if empty) whose definition afterwards is `table`."""
+    t, name = qualified(table.name, dialect, schema), quoted(action.name, dialect) if action.name else ""
     alter = f"ALTER TABLE {t} ALTER COLUMN {name}"
     if action.kind in ("create_table", "recreate_table"):
-        return [f"DROP TABLE {t}"] * (action.kind == "recreate_table") + create_table_sql(table, dialect)
+        return [f"DROP TABLE {t}"] * (action.kind == "recreate_table") + create_table_sql(table, dialect, schema)
     if action.kind == "drop_table":
         return [f"DROP TABLE {t}"]
     if action.kind == "drop_column":
         return [f"ALTER TABLE {t} DROP COLUMN {name}"]
     if action.kind == "drop_key":
-        return [f"DROP INDEX {name}" + (f" ON {t}" if dialect == "mysql" else "")]
+        return [f"DROP INDEX {name} ON {t}" if dialect == "mysql" else f"DROP INDEX {qualified(action.name, dialect, schema)}"]
     if action.kind == "create_key":
-        return [key_sql(table, action.value, dialect)]
+        return [key_sql(table, action.value, dialect, schema)]
     column = table.column(action.name)
     if action.kind == "add_column":
         filled = "" if action.value is None or column.default_kind != Default.NONE else " DEFAULT " + (str(action.value) if isinstance(action.value, (bool, int)) else literal(str(action.value)))

@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable, Mapping
+import re
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from concord.operators.apply import apply_diff, apply_multiset
-from concord.operators.diff import diff, multiset_diff, pruned_diff, summary
+from concord.operators.commit import Pair, delete
+from concord.operators.diff import counting, diff, multiset_diff, pruned_diff, summary
 from concord.operators.filters import TableFilter, apply_filter, load_filters, restrict, validate
 from concord.operators.keys import choose_key, verify_key
 from concord.plans.model import DatabaseDef, TableDef, table_of
 from concord.plans.schema_diff import Action, apply_to_frame, plan_table
-from concord.sources.jdbc import JdbcSource
+from concord.sources.jdbc import JdbcSource, Job
 from concord.sources.tables import ParquetSource
+from concord.sources.urls import parse_db_url
 
 Source = ParquetSource | JdbcSource
 
@@ -40,6 +44,7 @@ class TableResult:
     state: DataFrame | None = None
     columns: tuple[str, ...] = ()
     counted: dict[str, int] | None = None
+    old: DataFrame | None = None
 
     def counts(self) -> dict[str, int]:
         if self.counted is None and self.changes is not None:
@@ -47,26 +52,30 @@ class TableResult:
         return self.counted or {}
 
 
-def sync_table(source: DataFrame, target: DataFrame, table: TableDef, *, filter: TableFilter | None = None, width: int | None = None, check_keys: bool = False) -> TableResult:
+def sync_table(
+    source: DataFrame, target: DataFrame, table: TableDef, *, filter: TableFilter | None = None, width: int | None = None, check_keys: bool = False, carry: Sequence[str] = ()
+) -> TableResult:
     """The changes that make `target` equal the filtered source, and the target after them.
 
     width: compare blocks of about so many rows first and only look into those that differ.  check_keys: raise NotAKey where rows
-    of either side share a key or have nulls in it, which would be written twice or never match.
+    of either side share a key or have nulls in it, which would be written twice or never match.  carry: columns of the target besides
+    those of the table, which the changes of a table with a key have with t_ before their name.
     """
     choice = choose_key(table, (filter.replace if filter else {}).keys())
     columns = table.stored
-    s, t = apply_filter(source, filter).select(*columns), target.select(*columns)
+    s, t = apply_filter(source, filter).select(*columns), target.select(*columns, *carry)
     if choice.enforceable:
         key = list(choice.columns)
         for side, rows in (("source", s), ("target", t)) if check_keys else ():
             found = verify_key(rows, key).first()
             if not found.is_key:
                 raise NotAKey(f"{table.name}: {found.n_rows - found.n_keys} rows of the {side} share their {', '.join(key)} or have none")
-        changes = pruned_diff(s, t, key, columns, width) if width else diff(s, t, key)
-        return TableResult(table.name, choice.kind, changes=changes, state=apply_diff(t, changes, key), columns=choice.columns)
+        changes = pruned_diff(s, t, key, columns, width, carry=carry) if width else diff(s, t, key, carry=carry)
+        return TableResult(table.name, choice.kind, changes=changes, state=apply_diff(t.select(*columns), changes, key), columns=choice.columns, old=t.select(*columns))
     if choice.kind == "whole_row":
+        t = t.select(*columns)
         changes = multiset_diff(s, t, columns)
-        return TableResult(table.name, choice.kind, changes=changes, state=apply_multiset(t, changes, columns))
+        return TableResult(table.name, choice.kind, changes=changes, state=apply_multiset(t, changes, columns), old=t)
     return TableResult(table.name, choice.kind, state=s)  # cleared and loaded again
 
 
@@ -75,14 +84,17 @@ def sync(
     filters: Mapping[str, TableFilter] | None = None, alter: bool = False, commit: str = "often", width: int | None = None, structure_only: bool = False,
     check_keys: bool = False, snapshot: str | None = None, progress: Callable[[TableResult], None] = lambda _: None,
 ) -> list[TableResult]:
-    """commit: never (results only), often (table by table) or success (all tables are computed and written aside before any is replaced;
-    a database gets them table by table).  alter: change the target's schema where it differs; tables that only the target has are
-    dropped, after all others are done.  Tables outside `only` and `ignore` stay, and filters of such tables do not count; a filter
+    """commit: never (results only), often (table by table) or success (all tables are computed and written aside before any is replaced,
+    in one commit or transaction).  Tables of a database that refer to each other are always changed in one transaction.  alter:
+    change the target's schema where it differs; tables that only the target has are dropped, after all others are done, unless the source lists none.  Tables outside `only` and `ignore` stay, and filters of such tables do not count; a filter
     of any other table that the source lacks is an error.  snapshot: a shared folder to copy a database's tables to, so that all
     passes see the same rows.  progress: called with each table's result.
     """
     if commit not in ("never", "often", "success"):
         raise ValueError(f"commit {commit!r}: never, often or success")
+    for side in (source, target):
+        if isinstance(side, ParquetSource):
+            side.recover()
     there, had = source.tables(), target.tables()
     names = restrict(there, only, ignore)
     defs = {n: (tables or {}).get(n) or source.definition(n) for n in names}
@@ -95,7 +107,13 @@ def sync(
             raise SchemaMismatch(f"tables {extra} are only in the target")
         if not source.exists():
             raise ValueError(f"{source.path} does not exist: the target's tables are not dropped for it")
-    reads = {n: source.snapshot(n, snapshot) if snapshot and isinstance(source, JdbcSource) else source.read(n) for n in names}
+        if not there:
+            raise ValueError(f"{source.path} lists no tables: the target's are not dropped for it")
+    key_of = lambda n: choose_key(defs[n], (filters[n].replace if n in filters else {}).keys()).columns
+    if isinstance(source, JdbcSource):
+        reads = {n: source.snapshot(n, snapshot, key_of(n)) if snapshot else source.read(n, key_of(n)) for n in names}
+    else:
+        reads = {n: source.read(n) for n in names}
     plans: dict[str, list[Action]] = {}
     for name in names:  # all tables are planned before any is changed
         if name not in targets:
@@ -106,52 +124,115 @@ def sync(
             plans[name] = plan_table(table_of(reads[name], name), table_of(target.read(name), name))
         if plans[name] and not alter:
             raise SchemaMismatch(f"{name}: {[a.kind for a in plans[name]]}")
-    results, staged = [], []
+    results = []
     for name in names:
         read, want, actions = reads[name], defs[name], plans[name]
+        by_file = isinstance(target, ParquetSource) and name in targets and not actions and commit != "never" and target.is_folder(name)
         if isinstance(target, JdbcSource) and actions and commit != "never":
             target.alter(actions, want)
-            old = target.read(name)
+            old = target.read(name, key_of(name))
+        elif by_file:
+            old = target.read_with_files(name)
         elif name in targets:
-            old = apply_to_frame(target.read(name), want if {c.name for c in want.columns} >= set(read.columns) else table_of(read, name), actions)
+            old = target.read(name, key_of(name)) if isinstance(target, JdbcSource) else target.read(name)
+            old = apply_to_frame(old, want if {c.name for c in want.columns} >= set(read.columns) else table_of(read, name), actions)
         else:
             old = read.limit(0)
-        result = TableResult(name, "", state=old) if structure_only else sync_table(read, old, want, filter=filters.get(name), width=width, check_keys=check_keys)
+        if structure_only:
+            result = TableResult(name, "", state=old.drop("_file"))
+        else:
+            result = sync_table(read, old, want, filter=filters.get(name), width=width, check_keys=check_keys, carry=("_file",) * by_file)
         result.schema_actions = actions
         results.append(result)
-        if commit == "never":
-            progress(result)
-            continue
-        result.counts()
+    define = isinstance(target, ParquetSource) and (tables or isinstance(source, JdbcSource) or any(source.stored(n) for n in names))
+    if commit != "never":
         if isinstance(target, JdbcSource):
-            if result.columns:
-                target.apply(want, result.changes, list(result.columns), want.stored)
-            elif not structure_only:
-                target.replace(name, result.state)
-        elif commit == "often":
-            target.write(name, result.state)
+            to_database(target, results, defs, structure_only, commit, progress)
         else:
-            staged.append(target.stage(name, result.state))
-        if isinstance(target, JdbcSource) or commit == "often":
-            done(result, target)
-            progress(result)
-    if staged:
-        target.publish(staged)
+            to_folder(target, results, targets, structure_only, commit, progress, (defs, extra) if define else None)
+    else:
         for result in results:
-            done(result, target)
             progress(result)
     for name in extra:
         results.append(TableResult(name, "", schema_actions=[Action("drop_table", name)]))
         if commit != "never":
             target.drop(name)
         progress(results[-1])
-    if commit != "never" and isinstance(target, ParquetSource) and (tables or isinstance(source, JdbcSource) or any(source.stored(n) for n in names)):
-        target.define(defs, gone=extra)
     return results
 
 
+def to_folder(target: ParquetSource, results: list[TableResult], targets: Collection[str], structure_only: bool, commit: str, progress: Callable, definitions: tuple | None) -> None:
+    """Stage each table's new files, and put them in place table by table, or all at once with their definitions."""
+    staged: list[Pair] = []
+    for result in results:
+        pairs = [] if structure_only and result.table in targets and not result.schema_actions else staged_table(target, result)
+        if commit == "often":
+            target.publish(pairs)
+            done(result, target)
+            progress(result)
+        staged += pairs
+    named = target.stage_definitions(definitions[0], definitions[1]) if definitions else []
+    target.publish(named if commit == "often" else staged + named)
+    if commit == "success":
+        for result in results:
+            done(result, target)
+            progress(result)
+
+
+def staged_table(target: ParquetSource, result: TableResult) -> list[Pair]:
+    """What takes whose place.  The comparison runs once: its changes are written aside, and counted in the same pass."""
+    if result.changes is None:
+        return [target.stage(result.table, result.state)]
+    changes, counts = counting(result.changes)
+    held = target.hold(result.table, changes)
+    result.counted = counts()
+    if "t__file" in held.columns:
+        pairs = target.stage_changes(result.table, held, result.columns) if result.counted else []
+    elif result.columns:
+        pairs = [target.stage(result.table, apply_diff(result.old, held, result.columns))]
+    else:
+        pairs = [target.stage(result.table, apply_multiset(result.old, held, result.old.columns))]
+    if pairs:
+        return [*pairs, (held.held_path, None)]
+    delete(target.spark, held.held_path)
+    return []
+
+
+def to_database(target: JdbcSource, results: list[TableResult], defs: Mapping[str, TableDef], structure_only: bool, commit: str, progress: Callable) -> None:
+    """Changes of tables that refer to each other go in one transaction, with `success` those of all."""
+    by_name = {r.table: r for r in results}
+    for group in target.transactions(list(by_name), whole=commit == "success"):
+        jobs = []
+        for name in group:
+            result = by_name[name]
+            if structure_only:
+                continue
+            if result.columns:
+                changes, counts = counting(result.changes)
+                jobs.append(Job(defs[name], changes, result.columns, counts))
+            elif result.changes is None or result.counts():  # a table without a key, unless nothing differs
+                jobs.append(Job(defs[name], result.state.withColumn("action", F.lit("insert")), (), None))
+        target.apply_all(jobs)
+        for job in jobs:
+            if job.counts:
+                by_name[job.table.name].counted = job.counts()
+        for name in group:
+            done(by_name[name], target)
+            progress(by_name[name])
+
+
 def done(result: TableResult, target: Source) -> None:
-    result.changes, result.state = None, target.read(result.table)
+    result.changes, result.state, result.old = None, target.read(result.table), None
+
+
+def endpoint(spark: SparkSession, where: str) -> Source:
+    """A folder, a JDBC URL, or a database URL such as postgres://user:password@host/database/schema."""
+    if where.startswith("jdbc:"):
+        return JdbcSource(spark, where)
+    if re.match(r"(mysql|postgres|postgresql)://", where):
+        url = parse_db_url(where)
+        return JdbcSource(spark, url.jdbc, {k: v for k, v in (("user", url.user), ("password", url.password)) if v}, url.schema)
+    return ParquetSource(spark, where)
 
 
 def main(args: list[str] | None = None) -> None:
@@ -174,9 +255,8 @@ def main(args: list[str] | None = None) -> None:
     if a.keys:
         with open(a.keys) as f:
             tables = {t.name: t for t in DatabaseDef.from_json(f.read()).tables}
-    place = lambda where: JdbcSource(spark, where) if where.startswith("jdbc:") else ParquetSource(spark, where)
     sync(
-        place(a.source), place(a.target), tables=tables, only=a.only, ignore=a.ignore, filters=load_filters(a.filters) if a.filters else None, alter=a.alter, commit=a.commit, width=a.block,
+        endpoint(spark, a.source), endpoint(spark, a.target), tables=tables, only=a.only, ignore=a.ignore, filters=load_filters(a.filters) if a.filters else None, alter=a.alter, commit=a.commit, width=a.block,
         structure_only=a.structure_only, check_keys=a.check_keys, snapshot=a.snapshot, progress=lambda r: print(r.table, r.key, [x.kind for x in r.schema_actions], r.counts(), flush=True),
     )
 

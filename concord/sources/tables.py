@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Collection, Mapping
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.operators.apply import swap, write_staged
+from concord.operators.apply import rewritten, write_staged
+from concord.operators.commit import Pair, commit, read_text, recover, write_text
 from concord.plans.model import DatabaseDef, TableDef, table_of
 
 DEFINITIONS = "_definitions.json"
@@ -46,21 +47,52 @@ class ParquetSource:
         df.write.parquet(aside)
         return aside, f"{self.path}/{table}.parquet"
 
-    def publish(self, staged: list[tuple[str, str]]) -> None:
-        swap(self.spark, staged)
+    def is_folder(self, table: str) -> bool:
+        fs, p = self._fs()
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(p, f"{table}.parquet")
+        return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+    def read_with_files(self, table: str) -> DataFrame:
+        """The rows with `_file`, where each lies."""
+        return self.read(table).select("*", F.col("_metadata.file_path").alias("_file"))
+
+    def stage_changes(self, table: str, changes: DataFrame, key: Sequence[str]) -> list[Pair]:
+        """Write the files anew that hold changed or deleted rows, with all new ones; publish() puts them in place of the old.
+
+        changes: of diff(), with t__file, the file of the target's row; written, as it is read twice.  The files' names come to the driver.
+        """
+        uri, path = self.spark._jvm.java.net.URI, self.spark._jvm.org.apache.hadoop.fs.Path
+        touched = [path(uri(r[0])).toString() for r in changes.where("action <> 'insert'").select("t__file").distinct().toLocalIterator()]
+        schema = self.read(table).schema
+        affected = self.spark.read.schema(schema).parquet(*touched) if touched else self.spark.createDataFrame([], schema)
+        aside = f"{self.path}/.new-{table}-{uuid.uuid4().hex}"
+        rewritten(affected, changes, key).write.parquet(aside)
+        fs, _ = self._fs()
+        new = [f.getPath().getName() for f in fs.listStatus(path(aside)) if f.getPath().getName().endswith(".parquet")]
+        return [*((f, None) for f in touched), *((f"{aside}/{n}", f"{self.path}/{table}.parquet/{n}") for n in new), (aside, None)]
+
+    def publish(self, staged: Sequence[Pair]) -> None:
+        """Put all that is staged in place, in one commit."""
+        if staged:
+            commit(self.spark, self.path, staged)
+
+    def recover(self) -> None:
+        """Complete the commit of a run that has died, if there is one."""
+        recover(self.spark, self.path)
+
+    def hold(self, table: str, changes: DataFrame) -> DataFrame:
+        """Changes written aside, so that they are computed once; held_path is to be dropped."""
+        path = f"{self.path}/.changes-{table}-{uuid.uuid4().hex}"
+        changes.write.parquet(path)
+        out = self.spark.read.schema(changes.schema).parquet(path)
+        out.held_path = path
+        return out
 
     # -- definitions, in a file beside the tables -------------------------------------------------
 
     def definitions(self) -> DatabaseDef:
-        fs, p = self._fs()
-        file = self.spark._jvm.org.apache.hadoop.fs.Path(p, DEFINITIONS)
-        if not fs.exists(file):
-            return DatabaseDef()
-        stream = fs.open(file)
-        try:
-            return DatabaseDef.from_json(bytes(stream.readAllBytes()).decode())
-        finally:
-            stream.close()
+        text = read_text(self.spark, f"{self.path}/{DEFINITIONS}")
+        return DatabaseDef.from_json(text) if text else DatabaseDef()
 
     def stored(self, table: str) -> bool:
         return any(t.name == table for t in self.definitions().tables)
@@ -69,26 +101,27 @@ class ParquetSource:
         """As stored; without one, the columns that the files show."""
         return next((t for t in self.definitions().tables if t.name == table), None) or table_of(self.read(table), table)
 
+    def stage_definitions(self, tables: Mapping[str, TableDef], gone: Collection[str] = ()) -> list[Pair]:
+        """Definitions beside those of other tables, written aside; nothing if all are stored already."""
+        had = self.definitions()
+        kept = {t.name: t for t in had.tables if t.name not in gone} | dict(tables)
+        new = DatabaseDef(tuple(kept[n] for n in sorted(kept)))
+        if new == had:
+            return []
+        aside = f"{self.path}/.definitions-{uuid.uuid4().hex}"
+        write_text(self.spark, aside, new.to_json())
+        return [(aside, f"{self.path}/{DEFINITIONS}")]
+
     def define(self, tables: Mapping[str, TableDef], gone: Collection[str] = ()) -> None:
         """Store definitions beside those of other tables."""
-        kept = {t.name: t for t in self.definitions().tables if t.name not in gone} | dict(tables)
-        fs, p = self._fs()
-        stream = fs.create(self.spark._jvm.org.apache.hadoop.fs.Path(p, DEFINITIONS), True)
-        stream.write(bytearray(DatabaseDef(tuple(kept[n] for n in sorted(kept))).to_json().encode()))
-        stream.close()
+        self.publish(self.stage_definitions(tables, gone))
 
     def exists(self) -> bool:
         fs, p = self._fs()
         return fs.exists(p)
 
     def drop(self, table: str) -> None:
-        """The table's folder is renamed aside, then deleted."""
-        fs, p = self._fs()
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        aside = path(p, f".dropped-{table}-{uuid.uuid4().hex}")
-        if not fs.rename(path(p, f"{table}.parquet"), aside):
-            raise OSError(f"{self.path}/{table}.parquet can't be renamed")
-        fs.delete(aside, True)
+        self.publish([(f"{self.path}/{table}.parquet", None)])
 
 
 def enum_labels(rows: DataFrame) -> DataFrame:
