@@ -33,7 +33,8 @@ def chunks(df: DataFrame, n: str) -> DataFrame:
     """df with _from and _to: each row's copies from 1 to n, CHUNK of them a row; rows of more than one chunk are dealt over all tasks."""
     number = F.expr(f"ceil(`{n}` / {CHUNK})").cast("long")
     few = df.where(F.col(n) <= CHUNK).withColumn("_chunk", F.lit(0).cast("long"))
-    many = df.where(F.col(n) > CHUNK).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), number - 1))).repartition()
+    many = df.where(F.col(n) > CHUNK).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), number - 1)))
+    many = many.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_chunk")  # a number that is given is kept, few bytes as they are
     first = F.col("_chunk") * CHUNK + 1
     return few.unionByName(many).withColumns({"_from": first, "_to": F.least(first + CHUNK - 1, F.col(n).cast("long"))}).drop("_chunk")
 

@@ -6,8 +6,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from concord.operators.blocks import KeyBlocks, key_blocks, key_span  # noqa: F401
 from concord.operators.encode import block_of, row_hashes
 
 
@@ -79,20 +79,13 @@ def out_of_range(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
 # -- blocks --------------------------------------------------------------------------------------
 
 
-def blocks_of(source: DataFrame, key: Sequence[str], width: int) -> Column:
-    """Blocks of `width` keys of one integer column; keys of other kinds are dealt by hash into blocks of about as many rows."""
-    if len(key) == 1 and isinstance(source.schema[key[0]].dataType, T.IntegralType):
-        return block_of(key, width)
-    return block_of(key, width, max(1, source.count() // width))
-
-
 def block_compare(source: DataFrame, target: DataFrame, key: str | Sequence[str], columns: Sequence[str], width: int, block: Column | None = None) -> DataFrame:
     """(block, source_n, target_n) of the blocks whose rows differ, a count being null for a side without rows.
 
     Equal rows of both sides cancel out in an exclusive or of their hashes, which needs no order: one row a block and task is
     shuffled, once for both sides.  Rows of one side can't cancel out, as their keys are unique.
     """
-    block = blocks_of(source, [key] if isinstance(key, str) else list(key), width) if block is None else block
+    block = key_blocks(source, [key] if isinstance(key, str) else list(key), width).of() if block is None else block
     one = lambda df, s, t: df.select(block.alias("block"), *[h.alias(n) for h, n in zip(row_hashes(df, columns), "ab")], F.lit(s).alias("s"), F.lit(t).alias("t"))
     sums = one(source, 1, 0).unionAll(one(target, 0, 1)).groupBy("block").agg(F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"), F.sum("s").alias("s"), F.sum("t").alias("t"))
     return sums.where("a <> 0 OR b <> 0 OR s <> t").select("block", F.nullif("s", F.lit(0)).alias("source_n"), F.nullif("t", F.lit(0)).alias("target_n"))
@@ -102,34 +95,31 @@ def block_compare(source: DataFrame, target: DataFrame, key: str | Sequence[str]
 LITERAL_BLOCKS, BROADCAST_BLOCKS = 1_000, 1_000_000
 
 
-def key_span(key: str, width: int, first: int, last: int) -> Column:
-    """The keys of the blocks `first` to `last`; as div rounds towards 0, block 0 has keys on both sides of it."""
-    low = first * width if first > 0 else (first - 1) * width + 1
-    high = (last + 1) * width - 1 if last >= 0 else last * width
-    return F.col(key).between(low, high)
-
-
 def pruned_diff(source: DataFrame, target: DataFrame, key: str | Sequence[str], columns: Sequence[str], width: int, exact: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """diff() over the blocks that differ; `exact` compares everything.
 
-    The blocks are compared at once, so that a few that differ can become predicates, key ranges among them which reach the
-    scans; more are broadcast after their number is checked, and very many are joined.
+    Blocks keep the order of the key, whatever its types.  They are compared at once, so that a few that differ can become
+    predicates, key ranges among them which reach the scans; more are broadcast after their number is checked, and very many are
+    joined.
     """
     key = [key] if isinstance(key, str) else list(key)
     if exact:
         return diff(source, target, key, carry=carry)
-    block = blocks_of(source, key, width)
-    wanted = block_compare(source, target, key, columns, width, block).select(F.col("block").alias("_block"))
+    blocks = key_blocks(source, key, width)
+    return diff_within(source, target, blocks, block_compare(source, target, key, columns, width, blocks.of()), carry)
+
+
+def diff_within(source: DataFrame, target: DataFrame, blocks: KeyBlocks, differing: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """diff() of the rows of some blocks (block, ..); which, is computed once or twice."""
+    key, wanted = list(blocks.key), differing.select(F.col("block").alias("_block"))
     few = [r[0] for r in wanted.limit(LITERAL_BLOCKS + 1).collect()]
     if not few:
         return diff(source.where(F.lit(False)), target.where(F.lit(False)), key, carry=carry)
     if len(few) <= LITERAL_BLOCKS:
-        inside = block.isin(few)
-        if len(key) == 1 and isinstance(source.schema[key[0]].dataType, T.IntegralType):
-            inside = inside & key_span(key[0], width, min(few), max(few))
+        inside = blocks.predicate(few)
         return diff(source.where(inside), target.where(inside), key, carry=carry)
     listed = F.broadcast(wanted) if wanted.limit(BROADCAST_BLOCKS + 1).count() <= BROADCAST_BLOCKS else wanted
-    part = lambda df: df.withColumn("_block", block).join(listed, "_block", "left_semi").drop("_block")
+    part = lambda df: df.withColumn("_block", blocks.of()).join(listed, "_block", "left_semi").drop("_block")
     return diff(part(source), part(target), key, carry=carry)
 
 
@@ -182,6 +172,37 @@ def multiset_diff(source: DataFrame, target: DataFrame, columns: Sequence[str])
     return out.where("source_n <> target_n")
 
 
+def multiset_blocks(source: DataFrame, target: DataFrame, columns: Sequence[str], blocks: int) -> DataFrame:
+    """(block, source_n, target_n) of the blocks, dealt by a hash of the rows, that hold other rows on one side than on the other.
+
+    Repeats would cancel out in an exclusive or, so the halves of two 64-bit hashes are added up, the target's with a minus: sums stay
+    within 64 bits below 2 ** 31 rows a block, and only they are shuffled, once for both sides.
+    """
+
+    def one(df: DataFrame, sign: int) -> DataFrame:
+        a, b = row_hashes(df, columns)
+        halves = [x for h in (a, b) for x in (h.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(h, 32))]
+        held = df.select(F.pmod(a, F.lit(blocks)).alias("block"), *[(x * sign).alias(f"h{i}") for i, x in enumerate(halves)])
+        return held.withColumns({"s": F.lit(int(sign > 0)).cast("long"), "t": F.lit(int(sign < 0)).cast("long")})
+
+    sums = one(source, 1).unionAll(one(target, -1)).groupBy("block").agg(*[F.sum(c).alias(c) for c in ("h0", "h1", "h2", "h3", "s", "t")])
+    return sums.where("h0 <> 0 OR h1 <> 0 OR h2 <> 0 OR h3 <> 0 OR s <> t").select("block", F.col("s").alias("source_n"), F.col("t").alias("target_n"))
+
+
+def pruned_multiset_diff(source: DataFrame, target: DataFrame, columns: Sequence[str], width: int) -> DataFrame:
+    """multiset_diff() of the blocks of about `width` rows that differ: the rows of all others are read, but neither shuffled nor counted."""
+    blocks = max(1, source.count() // width)
+    wanted = multiset_blocks(source, target, columns, blocks).select(F.col("block").alias("_block"))
+    few = [r[0] for r in wanted.limit(LITERAL_BLOCKS + 1).collect()]
+    within = lambda df: F.pmod(row_hashes(df, columns)[0], F.lit(blocks))
+    if len(few) <= LITERAL_BLOCKS:
+        part = lambda df: df.where(within(df).isin(few) if few else F.lit(False))
+    else:
+        listed = F.broadcast(wanted) if wanted.limit(BROADCAST_BLOCKS + 1).count() <= BROADCAST_BLOCKS else wanted
+        part = lambda df: df.withColumn("_block", within(df)).join(listed, "_block", "left_semi").drop("_block")
+    return multiset_diff(part(source), part(target), columns)
+
+
 def multiset_expand(counts: DataFrame) -> DataFrame:
     """Each row n times, numbered by copy."""
     from concord.operators.apply import copied

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from concord.operators.apply import apply_diff, apply_multiset
 from concord.operators.commit import Pair, delete
-from concord.operators.diff import counting, diff, multiset_diff, pruned_diff, summary
+from concord.operators.diff import counting, diff, multiset_diff, pruned_diff, pruned_multiset_diff, summary
 from concord.operators.filters import TableFilter, apply_filter, load_filters, restrict, validate
 from concord.operators.keys import choose_key, verify_key
 from concord.plans.model import DatabaseDef, TableDef, table_of
@@ -74,7 +74,7 @@ def sync_table(
         return TableResult(table.name, choice.kind, changes=changes, state=apply_diff(t.select(*columns), changes, key), columns=choice.columns, old=t.select(*columns))
     if choice.kind == "whole_row":
         t = t.select(*columns)
-        changes = multiset_diff(s, t, columns)
+        changes = pruned_multiset_diff(s, t, columns, width) if width else multiset_diff(s, t, columns)
         return TableResult(table.name, choice.kind, changes=changes, state=apply_multiset(t, changes, columns), old=t)
     return TableResult(table.name, choice.kind, state=s)  # cleared and loaded again
 

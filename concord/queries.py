@@ -298,6 +298,48 @@ def block_pruned_diff(spark, sf):
     return diff.pruned_diff(orders(spark, sf), t_orders(spark, sf), "o_orderkey", ORDERS, WIDTH)
 
 
+TALK = ["conv_id", "turn", "role", "text"]
+T_TALK = """SELECT conv_id, turn, CASE WHEN conv_id % 17 = 0 THEN NULL ELSE role END AS role, CASE WHEN (conv_id + turn) % 19 = 0 THEN text || '!' ELSE text END AS text
+FROM conversations WHERE (conv_id * 7 + turn) % 23 <> 0 UNION ALL SELECT conv_id + 1000000, turn, role, text FROM conversations WHERE (conv_id + turn) % 29 = 0"""
+
+
+def talk(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Conversations, keyed by two columns, and a target that differs from them."""
+    df = read(spark, sf, "conversations").select(*TALK)
+    kept = df.where("(conv_id * 7 + turn) % 23 <> 0").withColumns({"role": F.when(F.expr("conv_id % 17 <> 0"), F.col("role")), "text": F.when(F.expr("(conv_id + turn) % 19 = 0"), F.concat("text", F.lit("!"))).otherwise(F.col("text"))})
+    return df, kept.unionByName(df.where("(conv_id + turn) % 29 = 0").withColumn("conv_id", F.col("conv_id") + 1_000_000))
+
+
+def keyed_diff_sql(source: str, target: str, key: list[str], columns: list[str]) -> str:
+    rest = [c for c in columns if c not in key]
+    differs = " OR ".join(f"s.{c} IS DISTINCT FROM t.{c}" for c in rest)
+    on = " AND ".join(f"s.{c} = t.{c}" for c in key)
+    return f"""WITH s AS ({source}), t AS ({target})
+SELECT {', '.join(f'coalesce(s.{c}, t.{c}) AS {c}' for c in key)}, CASE WHEN t.{key[0]} IS NULL THEN 'insert' WHEN s.{key[0]} IS NULL THEN 'delete' ELSE 'replace' END AS action,
+       {', '.join(f's.{c}' for c in rest)}
+FROM s FULL JOIN t ON {on} WHERE s.{key[0]} IS NULL OR t.{key[0]} IS NULL OR {differs}"""
+
+
+@query(keyed_diff_sql(f"SELECT {', '.join(TALK)} FROM conversations", T_TALK, ["conv_id", "turn"], TALK))
+def pruned_diff_composite(spark, sf):
+    """Blocks of a key of two columns are ranges of it."""
+    s, t = talk(spark, sf)
+    return diff.pruned_diff(s, t, ["conv_id", "turn"], TALK, 16)
+
+
+T_NAMES = """SELECT c_custkey, c_name, CASE WHEN c_custkey % 89 = 0 THEN NULL ELSE c_nationkey END AS c_nationkey FROM customer WHERE c_custkey % 97 <> 0
+UNION ALL SELECT c_custkey, c_name || '-x', c_nationkey FROM customer WHERE c_custkey % 101 = 0"""
+
+
+@query(keyed_diff_sql("SELECT c_custkey, c_name, c_nationkey FROM customer", T_NAMES, ["c_name"], ["c_custkey", "c_name", "c_nationkey"]))
+def pruned_diff_text(spark, sf):
+    """Blocks of a text key are ranges of it."""
+    s = customer(spark, sf).select("c_custkey", "c_name", "c_nationkey")
+    t = s.where("c_custkey % 97 <> 0").withColumn("c_nationkey", F.when(F.expr("c_custkey % 89 <> 0"), F.col("c_nationkey")))
+    t = t.unionByName(s.where("c_custkey % 101 = 0").withColumn("c_name", F.concat("c_name", F.lit("-x"))))
+    return diff.pruned_diff(s, t, "c_name", s.columns, WIDTH)
+
+
 @query(compare_sql(WIDTH))
 def block_refine(spark, sf):
     return diff.block_refine(orders(spark, sf), t_orders(spark, sf), "o_orderkey", ORDERS, 1024, WIDTH)
@@ -333,6 +375,21 @@ def multiset_diff(spark, sf):
     return diff.multiset_diff(rows, rows.where("l_orderkey % 7 <> 0"), FLAGS)
 
 
+WHOLE = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
+W_ = ", ".join(WHOLE)
+
+
+@query(f"""WITH s AS (SELECT {W_}, count(*) AS n FROM lineitem GROUP BY ALL),
+t AS (SELECT {W_}, count(*) AS n FROM (SELECT {W_} FROM lineitem WHERE l_orderkey % 211 <> 0 UNION ALL SELECT {W_} FROM lineitem WHERE l_orderkey % 307 = 0) GROUP BY ALL)
+SELECT {', '.join(f'coalesce(s.{c}, t.{c}) AS {c}' for c in WHOLE)}, CASE WHEN t.n IS NULL THEN 'insert' WHEN s.n IS NULL THEN 'delete' ELSE 'replace' END AS action,
+coalesce(s.n, 0) AS source_n, coalesce(t.n, 0) AS target_n FROM s FULL JOIN t ON {' AND '.join(f's.{c} IS NOT DISTINCT FROM t.{c}' for c in WHOLE)} WHERE s.n IS DISTINCT FROM t.n""")
+def multiset_pruned_diff(spark, sf):
+    """A table without a key: rows go to blocks by hash, and blocks are compared by sums of hashes, in which repeats count."""
+    rows = read(spark, sf, "lineitem").select(*WHOLE)
+    target = rows.where("l_orderkey % 211 <> 0").unionByName(rows.where("l_orderkey % 307 = 0"))
+    return diff.pruned_multiset_diff(rows, target, WHOLE, WIDTH)
+
+
 @query(f"SELECT {L}, unnest(range(n)) + 1 AS copy FROM (SELECT {L}, count(*) AS n FROM lineitem GROUP BY ALL)")
 def multiset_expand(spark, sf):
     return diff.multiset_expand(diff.multiset_counts(read(spark, sf, "lineitem"), FLAGS)).withColumn("copy", F.col("copy").cast("long"))

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from concord.operators import apply, diff, encode, filters
+from concord.operators import apply, blocks, diff, encode, filters
 from concord.plans import ddl
 from concord.plans.model import ColumnDef, Default, KeyDef, KeyKind, TableDef, table_of
 from concord.plans.schema_diff import Action
@@ -62,6 +62,61 @@ def test_pruned_diff_of_other_keys(spark):
     assert result.counts() == {"insert": 6, "replace": 4} and rows(result.state) == rows(s)
 
 
+KEYS = {
+    "u string": lambda rng: rng.choice(["", "a", "Z", "ü", "a'b", "x" * 30]) + str(rng.randrange(60)), "d date": lambda rng: __import__("datetime").date(2000, 1, 1 + rng.randrange(28)), "n int": lambda rng: rng.randrange(-9, 9),
+    "x decimal(9,2)": lambda rng: __import__("decimal").Decimal(rng.randrange(-500, 500)) / 4, "at timestamp_ntz": lambda rng: __import__("datetime").datetime(2001, 2, 3, 4, 5, 6, rng.randrange(40)),
+}
+
+
+@pytest.mark.parametrize("names", [["u string"], ["n int", "u string"], ["d date", "n int"], ["x decimal(9,2)"], ["at timestamp_ntz", "n int"]])
+def test_blocks_of_any_key_are_ranges_of_it(spark, names, monkeypatch):
+    rng = random.Random(str(names))
+    key = [n.split()[0] for n in names]
+    found = {tuple(KEYS[n](rng) for n in names): i for i in range(600)}
+    source = [(*k, i) for k, i in found.items()]
+    target = [(*r[:-1], -1 if i % 40 == 3 else r[-1]) for i, r in enumerate(source) if i % 60 != 7]
+    s, t = (spark.createDataFrame(x, ", ".join([*names, "v int"])) for x in (source, target))
+    whole = rows(diff.diff(s, t, key))
+    for width in (3, 16, 10_000):
+        assert rows(diff.pruned_diff(s, t, key, s.columns, width)) == whole != []
+    monkeypatch.setattr(blocks, "MOST_RANGES", 5)
+    monkeypatch.setattr(blocks, "SAMPLED", 200)
+    by = blocks.key_blocks(s, key, 7)
+    ranges = sorted((r.b, r.low, r.high) for r in s.groupBy(by.range_of().alias("b")).agg(F.min(F.struct(*key)).alias("low"), F.max(F.struct(*key)).alias("high")).collect())
+    assert len(ranges) > 2 and by.parts > 1 and all(tuple(a[2]) < tuple(b[1]) for a, b in zip(ranges, ranges[1:]))
+    assert rows(diff.pruned_diff(s, t, key, s.columns, 7)) == whole
+
+
+def test_differing_blocks_of_a_text_key_reach_the_scan(spark, tmp_path):
+    s = spark.range(2_000).select(F.format_string("k%05d", "id").alias("u"), F.col("id").alias("v"))
+    s.write.parquet(str(tmp_path / "s"))
+    s.withColumn("v", F.when(F.col("u") == "k00777", 0).otherwise(F.col("v"))).write.parquet(str(tmp_path / "t"))
+    found = diff.pruned_diff(spark.read.parquet(str(tmp_path / "s")), spark.read.parquet(str(tmp_path / "t")), "u", ["u", "v"], 64)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
+    assert len(pushed) == 2 and all("GreaterThan(u,k" in line and "LessThanOrEqual(u,k" in line for line in pushed)
+    assert [r.u for r in found.collect()] == ["k00777"]
+
+
+@pytest.mark.parametrize("copies", [(1, 3), (2, 4), (2, 1), (3, 0), (0, 2)])
+def test_pruning_without_a_key_counts_copies(spark, copies):
+    row, rest = (1, None, -0.0), [(i, "x", 0.5) for i in range(50)]
+    s, t = (spark.createDataFrame(rest + [row] * n, "a int, b string, c double") for n in copies)
+    got = diff.pruned_multiset_diff(s, t, s.columns, 4)
+    assert rows(got) == rows(diff.multiset_diff(s, t, s.columns)) and [(r.source_n, r.target_n) for r in got.collect()] == [copies]
+    assert rows(diff.pruned_multiset_diff(s, s, s.columns, 4)) == []
+
+
+def test_copies_are_dealt_over_tasks(spark):
+    counts = spark.createDataFrame([("a", 3), ("b", 0), ("c", 3_000_000_000), ("d", 65_537)], "x string, n long")
+    parts = apply.chunks(counts, "n")
+    told = {r.x: (r.n, r.most) for r in parts.groupBy("x").agg(F.sum(F.col("_to") - F.col("_from") + 1).alias("n"), F.max(F.col("_to") - F.col("_from") + 1).alias("most")).collect()}
+    assert {x: n for x, (n, _) in told.items() if n} == {"a": 3, "c": 3_000_000_000, "d": 65_537} and max(m for _, m in told.values()) == apply.CHUNK
+    assert parts.where("x = 'c'").select(F.spark_partition_id()).distinct().count() > 1
+    few = diff.multiset_expand(counts.where("x <> 'c'"))
+    assert few.count() == 65_540 and few.select("x", "copy").distinct().count() == 65_540
+
+
 def test_bounds_of_empty_sides(spark):
     df, none = spark.createDataFrame([(1,), (5,)], "k long"), spark.createDataFrame([], "k long")
     assert rows(diff.tail_inserts(df, none, "k")) == [(1,), (5,)] and rows(diff.tail_inserts(none, df, "k")) == []
