@@ -9,6 +9,7 @@ Identity columns then go on after the greatest value.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import ExitStack, contextmanager
@@ -150,7 +151,8 @@ class JdbcSource:
         keys = []
         for name, rows in sorted(named.items()):
             held = tuple(r["COLUMN_NAME"] for r in sorted(rows, key=lambda r: r["ORDINAL_POSITION"]))
-            if name not in own and name not in referring and name != "PRIMARY" and held != key:
+            backing = self.dialect == "derby" and rows[0]["NON_UNIQUE"] and re.match(r"SQL\d+", name)  # of a foreign key
+            if name not in own and name not in referring and name != "PRIMARY" and held != key and not backing:
                 keys.append(KeyDef(name, KeyKind.STANDARD if rows[0]["NON_UNIQUE"] else KeyKind.UNIQUE, held))
         return TableDef(table, tuple(map(self._column, columns)), key, tuple(keys))
 
