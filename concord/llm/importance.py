@@ -1,7 +1,7 @@
 """Importance resampling towards a target: documents are drawn by how much their n-grams' hash buckets are commoner in the target.
 
 Distinct words are mapped to integer ids and n-grams are tuples of ids.  Texts are read once, in stretches: a stretch sends each of its
-distinct words, each of its distinct tuples with its counts, and per document the numbers of its tuples within the stretch.  Words of
+distinct tuples with its counts, those of one word with the word, and per document the numbers of its tuples within the stretch.  Words of
 all stretches meet in the dictionary (id, word); equal tuples of all stretches meet in one row, whose bytes are put together
 from the dictionary and hashed once.  Counts of the buckets give gains; a tuple's gain is joined back to the stretches that have the
 tuple, and by stretch to the documents, which add up gain times count.
@@ -49,17 +49,17 @@ def numbered(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Stretch:
-    """Successive texts: words as ids, and which words have been sent."""
+    """Successive texts: words as ids, and the letters of each."""
 
     def __init__(self, longest: int):
         self.longest, self.known, self.size = longest, np.empty(0, np.int64), 0
+        self.letters: list[tuple[np.ndarray, list[bytes]]] = []
         self.ids: list[np.ndarray] = []
         self.words: list[np.ndarray] = []
         self.docs: list[int | None] = []
         self.target: list[bool] = []
 
-    def add(self, doc_id: pa.Array, text: pa.Array, target: pa.Array, by: Alphabet) -> tuple[np.ndarray, list[bytes]]:
-        """Takes rows in; the ids and letters of words that are new here."""
+    def add(self, doc_id: pa.Array, text: pa.Array, target: pa.Array, by: Alphabet) -> None:
         codes, rows = bytes_of(text)
         h, start, end, first = by.words(codes, rows)
         ids = (h >> np.uint64(1)).astype(np.int64)
@@ -72,7 +72,13 @@ class Stretch:
         self.docs += doc_id.to_pylist()
         self.target += target.to_pylist()
         self.size += len(codes)
-        return seen[new], [letters[s:e] for s, e in zip(start[at[new]].tolist(), end[at[new]].tolist())]
+        self.letters.append((seen[new], [letters[s:e] for s, e in zip(start[at[new]].tolist(), end[at[new]].tolist())]))
+
+    def dictionary(self) -> list[bytes]:
+        """The letters of the distinct words, in the order of their ids, which is that of the tuples of one word."""
+        order = np.argsort(np.concatenate([ids for ids, _ in self.letters])).tolist()
+        words = [w for _, part in self.letters for w in part]
+        return [words[i] for i in order]
 
     def tuples(self) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
         """The distinct tuples, column by column and with -1 past their end; and the row and tuple number of each occurrence."""
@@ -112,8 +118,9 @@ class ImportanceResampler:
     # -- reading ---------------------------------------------------------------------------------
 
     def read(self, texts: DataFrame, salt: int) -> DataFrame:
-        """Rows of three kinds, from (doc_id, text, target).  Words: (g0 as id, word).  Tuples: (place, g0.., n, t), with their counts in
-        documents and target rows of a stretch.  Documents: (place, doc_id, n_words, tuples, counts), the last two as bytes of 32-bit integers."""
+        """Rows of two kinds, from (doc_id, text, target).  Tuples: (place, g0.., n, t, word), with their counts in documents and target rows
+        of a stretch, and the letters of those that are one word.  Documents: (place, doc_id, n_words, tuples, counts), the last two as
+        bytes of 32-bit integers."""
         longest, most, gram = self.longest, self.stretch_bytes, self.gram
         kinds = {"place": pa.int64(), "doc_id": pa.int64(), "n_words": pa.int64(), "tuples": pa.binary(), "counts": pa.binary(), **{g: pa.int64() for g in gram}, "n": pa.int64(), "t": pa.int64(), "word": pa.binary()}
 
@@ -130,7 +137,9 @@ class ImportanceResampler:
             t = np.bincount(tuple_[target[doc]], minlength=len(columns[0]))
             n = np.bincount(tuple_[~target[doc]], minlength=len(columns[0]))
             place = ((TaskContext.get().partitionId() << COUNT_BITS) + number) << AT_BITS
-            yield from rows(len(n), place=place + np.arange(len(n)), n=n, t=t, **dict(zip(gram, columns)))
+            words = s.dictionary()
+            words += [None] * (len(n) - len(words))
+            yield from rows(len(n), place=place + np.arange(len(n)), n=n, t=t, word=words, **dict(zip(gram, columns)))
             held, count = np.unique(doc * max(len(n), 1) + tuple_, return_counts=True)
             cut = np.searchsorted(held // max(len(n), 1), np.arange(len(target) + 1)).tolist()
             held, count, words = (held % max(len(n), 1)).astype(np.int32), count.astype(np.int32), np.concatenate(s.words)
@@ -144,8 +153,7 @@ class ImportanceResampler:
             by, s, number = alphabet(salt), Stretch(longest), 0
             for batch in batches:
                 for piece in pieces(batch):
-                    ids, words = s.add(*piece.columns, by)
-                    yield from rows(len(ids), g0=ids, word=words)
+                    s.add(*piece.columns, by)
                     if s.size >= most:
                         yield from told(s, number)
                         s, number = Stretch(longest), number + 1
@@ -158,17 +166,22 @@ class ImportanceResampler:
 
     def hashed(self, held: DataFrame) -> DataFrame | None:
         """(g0.., n, t, bucket) of each distinct tuple; null if two words share an id."""
-        same = held.where("word is not null").groupBy("g0").agg(F.min("word").alias("word"), F.max("word").alias("other"))
-        dictionary = materialise(same, "dictionary")
+        tuples = held.where("n is not null")
+        counts = [F.sum("n").alias("n"), F.sum("t").alias("t")]
+        words = tuples.where("word is not null").groupBy("g0").agg(F.min("word").alias("word"), F.max("word").alias("other"), *counts)
+        dictionary = materialise(words, "dictionary")
         if not dictionary.where("word <> other").isEmpty():
             discard(dictionary)
             return None
-        out = held.where("n is not null").groupBy(*self.gram).agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-        feature = F.lit(b"")
-        for i, g in enumerate(self.gram):
-            out = out.join(dictionary.select(F.col("g0").alias(g), F.col("word").alias(f"w{i}")), g, "left" if i else "inner")
-            feature = F.concat(feature, F.coalesce(F.concat(F.lit(b" "), f"w{i}"), F.lit(b"")) if i else F.col("w0"))
-        out = materialise(out.select(*self.gram, "n", "t", (F.crc32(feature) % self.buckets).alias("bucket")), "hashed")
+        bucket = lambda feature: (F.crc32(feature) % self.buckets).alias("bucket")
+        out = dictionary.select("g0", *[F.lit(-1).cast("long").alias(g) for g in self.gram[1:]], "n", "t", bucket(F.col("word")))
+        if self.longest > 1:
+            longer = tuples.where("word is null").groupBy(*self.gram).agg(*counts)
+            for i, g in enumerate(self.gram):
+                longer = longer.join(dictionary.select(F.col("g0").alias(g), F.col("word").alias(f"w{i}")), g, "left")
+            feature = F.concat("w0", *[F.coalesce(F.concat(F.lit(b" "), f"w{i}"), F.lit(b"")) for i in range(1, self.longest)])
+            out = out.unionByName(longer.select(*self.gram, "n", "t", bucket(feature)))
+        out = materialise(out, "hashed")
         discard(dictionary)
         return out
 
