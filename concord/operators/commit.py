@@ -43,7 +43,9 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 def rename(spark: SparkSession, a: str, b: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path
     try:
-        renamed = file_system(spark, a).rename(path(a), path(b))
+        fs = file_system(spark, a)
+        fs.mkdirs(path(b).getParent())
+        renamed = fs.rename(path(a), path(b))
     except Py4JJavaError as e:
         raise OSError(f"{a} could not be renamed to {b}") from e
     if not renamed:

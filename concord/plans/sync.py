@@ -5,14 +5,17 @@ from __future__ import annotations
 import argparse
 import re
 from collections.abc import Callable, Collection, Mapping, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from concord.operators import tree
 from concord.operators.apply import apply_diff, apply_multiset
+from concord.operators.blocks import key_blocks
 from concord.operators.commit import Pair, delete
-from concord.operators.diff import counting, diff, multiset_diff, pruned_diff, pruned_multiset_diff, summary
+from concord.operators.diff import counting, diff, diff_within, multiset_diff, pruned_diff, pruned_multiset_diff, summary
 from concord.operators.filters import TableFilter, apply_filter, load_filters, restrict, validate
 from concord.operators.keys import choose_key, verify_key
 from concord.plans.model import DatabaseDef, TableDef, table_of
@@ -45,6 +48,7 @@ class TableResult:
     columns: tuple[str, ...] = ()
     counted: dict[str, int] | None = None
     old: DataFrame | None = None
+    tree: Callable[[DataFrame, list[Pair]], list[Pair]] | None = None
 
     def counts(self) -> dict[str, int]:
         if self.counted is None and self.changes is not None:
@@ -82,14 +86,27 @@ def sync_table(
 def sync(
     source: Source, target: Source, *, tables: Mapping[str, TableDef] | None = None, only: str = "", ignore: str = "",
     filters: Mapping[str, TableFilter] | None = None, alter: bool = False, commit: str = "often", width: int | None = None, structure_only: bool = False,
-    check_keys: bool = False, snapshot: str | None = None, progress: Callable[[TableResult], None] = lambda _: None,
+    check_keys: bool = False, snapshot: str | None = None, trees: bool = False, progress: Callable[[TableResult], None] = lambda _: None,
 ) -> list[TableResult]:
     """commit: never (results only), often (table by table) or success (all tables are computed and written aside before any is replaced,
     in one commit or transaction).  Tables of a database that refer to each other are always changed in one transaction.  alter:
     change the target's schema where it differs; tables that only the target has are dropped, after all others are done, unless the source lists none.  Tables outside `only` and `ignore` stay, and filters of such tables do not count; a filter
     of any other table that the source lacks is an error.  snapshot: a shared folder to copy a database's tables to, so that all
-    passes see the same rows.  progress: called with each table's result.
+    passes see the same rows; PostgreSQL's tables are read as of one moment anyway.  trees: with `width`, keep trees of digests with the
+    target's tables, so that of unchanged tables no row is read again.  progress: called with each table's result.
     """
+    if trees and not width:
+        raise ValueError("trees are of blocks: give their width")
+    options = {"tables": tables, "only": only, "ignore": ignore, "filters": filters, "alter": alter, "commit": commit, "width": width, "structure_only": structure_only}
+    with source.one_moment() if isinstance(source, JdbcSource) else nullcontext(source) as one:
+        return sync_all(one, target, **options, check_keys=check_keys, snapshot=snapshot, trees=trees, progress=progress)
+
+
+def sync_all(
+    source: Source, target: Source, *, tables: Mapping[str, TableDef] | None, only: str, ignore: str, filters: Mapping[str, TableFilter] | None, alter: bool, commit: str, width: int | None,
+    structure_only: bool, check_keys: bool, snapshot: str | None, trees: bool, progress: Callable[[TableResult], None],
+) -> list[TableResult]:
+    """sync() from a source as it is at one moment."""
     if commit not in ("never", "often", "success"):
         raise ValueError(f"commit {commit!r}: never, often or success")
     for side in (source, target):
@@ -141,7 +158,11 @@ def sync(
         if structure_only:
             result = TableResult(name, "", state=old.drop("_file"))
         else:
-            result = sync_table(read, old, want, filter=filters.get(name), width=width, check_keys=check_keys, carry=("_file",) * by_file)
+            carry = ("_file",) * by_file
+            result = None
+            if trees and by_file and not check_keys:
+                result = tree_table(source, target, want, read, old, filters.get(name), width)
+            result = result or sync_table(read, old, want, filter=filters.get(name), width=width, check_keys=check_keys, carry=carry)
         result.schema_actions = actions
         results.append(result)
     define = isinstance(target, ParquetSource) and (tables or isinstance(source, JdbcSource) or any(source.stored(n) for n in names))
@@ -161,6 +182,51 @@ def sync(
     return results
 
 
+def tree_table(source: Source, target: ParquetSource, table: TableDef, read: DataFrame, old: DataFrame, filter: TableFilter | None, width: int) -> TableResult | None:
+    """sync_table() by trees of digests; None if the table has no key.  A stored tree stands for the rows it is of; the source's, if it has one and
+    no filter holds, too."""
+    choice, columns, spark = choose_key(table, (filter.replace if filter else {}).keys()), table.stored, target.spark
+    if not choice.enforceable:
+        return None
+    key = list(choice.columns)
+    s = apply_filter(read, filter).select(*columns)
+    stored = tree.load(spark, target.tree_path(table.name), target.files(table.name), key, columns)
+    blocks = stored.blocks if stored else key_blocks(s, key, width)
+    t = old.select(*columns, "_file")
+    depth = stored.depth if stored else tree.depth_of(read.count() // width if not blocks.by_value else max(1, blocks_of_values(s, key[0], width)))
+    own = tree.load(spark, source.tree_path(table.name), source.files(table.name), key, columns) if isinstance(source, ParquetSource) and not filter else None
+    held: list[str] = []
+
+    def kept(leaf: DataFrame) -> DataFrame:
+        """Written, as a tree is looked at level by level."""
+        out = target.hold(table.name, tree.levels(leaf, depth))
+        held.append(out.held_path)
+        return out
+
+    have = stored.levels(spark) if stored else kept(tree.leaves(t, blocks, columns))
+    want = own.levels(spark) if own and stored and own.of_same(stored) else kept(tree.leaves(s, blocks, columns))
+    differing = tree.descend(want, have, depth)
+    changes = diff_within(tree.with_hashes(s, columns), tree.with_hashes(t, columns), blocks, differing, ("_file", "_a", "_b"))
+    result = TableResult(table.name, choice.kind, changes=changes, state=apply_diff(t.select(*columns), changes, key), columns=choice.columns, old=t.select(*columns))
+
+    def grown(changes: DataFrame, pairs: list[Pair]) -> list[Pair]:
+        """The tree after the changes, to take the place of the stored one; and what was held goes."""
+        out: list[Pair] = [(p, None) for p in held]
+        if result.counted or not stored:
+            leaf = tree.updated(have.where("level = 0"), changes, blocks)
+            aside = tree.store(leaf, blocks, columns, depth, target.files(table.name, pairs), target.path)
+            out.append((aside, target.tree_path(table.name)))
+        return out
+
+    result.tree = grown
+    return result
+
+
+def blocks_of_values(df: DataFrame, key: str, width: int) -> int:
+    low, high = df.agg(F.min(key), F.max(key)).first()
+    return 0 if low is None else (int(high) - int(low)) // width + 1
+
+
 def to_folder(target: ParquetSource, results: list[TableResult], targets: Collection[str], structure_only: bool, commit: str, progress: Callable, definitions: tuple | None) -> None:
     """Stage each table's new files, and put them in place table by table, or all at once with their definitions."""
     staged: list[Pair] = []
@@ -188,6 +254,7 @@ def staged_table(target: ParquetSource, result: TableResult) -> list[Pair]:
     result.counted = counts()
     if "t__file" in held.columns:
         pairs = target.stage_changes(result.table, held, result.columns) if result.counted else []
+        pairs += result.tree(held, pairs) if result.tree else []
     elif result.columns:
         pairs = [target.stage(result.table, apply_diff(result.old, held, result.columns))]
     else:
@@ -222,7 +289,7 @@ def to_database(target: JdbcSource, results: list[TableResult], defs: Mapping[st
 
 
 def done(result: TableResult, target: Source) -> None:
-    result.changes, result.state, result.old = None, target.read(result.table), None
+    result.changes, result.state, result.old, result.tree = None, target.read(result.table), None, None
 
 
 def endpoint(spark: SparkSession, where: str) -> Source:
@@ -248,6 +315,7 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--check-keys", action="store_true", help="stop where rows share a key")
     p.add_argument("--snapshot", help="shared folder for copies of a database's tables")
     p.add_argument("--commit", default="often", choices=["never", "often", "success"])
+    p.add_argument("--trees", action="store_true", help="keep trees of digests with the target's tables")
     p.add_argument("--block", type=int, help="rows in a block whose digests are compared first")
     a = p.parse_args(args)
     spark = SparkSession.builder.appName("concord").getOrCreate()
@@ -257,7 +325,7 @@ def main(args: list[str] | None = None) -> None:
             tables = {t.name: t for t in DatabaseDef.from_json(f.read()).tables}
     sync(
         endpoint(spark, a.source), endpoint(spark, a.target), tables=tables, only=a.only, ignore=a.ignore, filters=load_filters(a.filters) if a.filters else None, alter=a.alter, commit=a.commit, width=a.block,
-        structure_only=a.structure_only, check_keys=a.check_keys, snapshot=a.snapshot, progress=lambda r: print(r.table, r.key, [x.kind for x in r.schema_actions], r.counts(), flush=True),
+        structure_only=a.structure_only, check_keys=a.check_keys, snapshot=a.snapshot, trees=a.trees, progress=lambda r: print(r.table, r.key, [x.kind for x in r.schema_actions], r.counts(), flush=True),
     )
 
 

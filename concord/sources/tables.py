@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
@@ -52,6 +53,23 @@ class ParquetSource:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(p, f"{table}.parquet")
         return fs.exists(p) and fs.getFileStatus(p).isDirectory()
 
+    def files(self, table: str, staged: Sequence[Pair] = ()) -> str:
+        """A digest of the names, lengths and times of a table's files, as they will be after what is staged."""
+        fs, p = self._fs()
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        folder = path(p, f"{table}.parquet")
+        told = lambda f: f"{f.getLen()}:{f.getModificationTime()}"
+        found = {f.getPath().getName(): told(f) for f in fs.listStatus(folder) if f.getPath().getName().endswith(".parquet")} if fs.exists(folder) else {}
+        for a, b in staged:
+            if b is None:
+                found.pop(path(a).getName(), None)
+            elif path(b).getParent().getName() == folder.getName():
+                found[path(b).getName()] = told(fs.getFileStatus(path(a)))
+        return hashlib.sha256(repr(sorted(found.items())).encode()).hexdigest()
+
+    def tree_path(self, table: str) -> str:
+        return f"{self.path}/_digests/{table}"
+
     def read_with_files(self, table: str) -> DataFrame:
         """The rows with `_file`, where each lies."""
         return self.read(table).select("*", F.col("_metadata.file_path").alias("_file"))

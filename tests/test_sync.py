@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from concord.operators import apply, blocks, diff, encode, filters
+from concord.operators import apply, blocks, diff, encode, filters, tree
 from concord.plans import ddl
 from concord.plans.model import ColumnDef, Default, KeyDef, KeyKind, TableDef, table_of
 from concord.plans.schema_diff import Action
@@ -323,3 +323,94 @@ def test_names_and_schemas():
     assert [ddl.unquoted(x) for x in ('public."a""b"', "plain", "`x``y`", '"s.1"."t.2"')] == ['a"b', "plain", "x`y", "t.2"]
     tables = (TableDef("t"), TableDef("u", schema="s"))
     assert ddl.missing_schemas(tables, ["public"], ["public"]) == ["s"] and ddl.missing_schemas(tables, ["s"], ["own", "public"]) == ["own"]
+
+
+# -- trees ---------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("kind", ["value", "text", "two"])
+def test_trees_find_what_the_leaves_find_and_follow_changes(spark, kind, monkeypatch):
+    monkeypatch.setattr(tree, "FANOUT", 4)
+    rng = random.Random(kind)
+    key = {"value": ["n"], "text": ["u"], "two": ["m", "n"]}[kind]
+    source = [(n - 150, f"k{n * 7919 % 400:03}", n % 5, rng.choice(["x", None])) for n in range(400)]
+    target = [r if rng.random() < 0.97 else (*r[:3], "old") for r in source if rng.random() < 0.97] + [(10_000 + i, f"z{i}", 1, None) for i in range(3)]
+    s, t = (spark.createDataFrame(x, "n long, u string, m int, v string") for x in (source, target))
+    by = blocks.key_blocks(s, key, 4)
+    a, b = (tree.leaves(x, by, s.columns) for x in (s, t))
+    depth = tree.depth_of(100)
+    wanted = rows(tree.unlike(a, b))
+    assert depth == 3 and rows(tree.descend(tree.levels(a, depth), tree.levels(b, depth), depth)) == wanted != []
+    assert rows(tree.descend(tree.levels(a, depth), tree.levels(a, depth), depth)) == []
+    with monkeypatch.context() as m:
+        m.setattr(tree, "LITERAL_BLOCKS", 2)
+        assert rows(tree.descend(tree.levels(a, depth), tree.levels(b, depth), depth)) == wanted
+    changes = diff.diff(tree.with_hashes(s, s.columns), tree.with_hashes(t, s.columns), key, carry=["_a", "_b"])
+    assert rows(tree.updated(b, changes, by)) == rows(a)
+
+
+@pytest.fixture
+def grown(spark, tmp_path):
+    source, target = ParquetSource(spark, str(tmp_path / "a")), ParquetSource(spark, str(tmp_path / "b"))
+    df = spark.range(3_000).select(F.format_string("k%05d", "id").alias("u"), F.col("id").alias("v"))
+    source.write("t", df)
+    df.withColumn("v", F.when(F.col("v") % 900 == 1, -1).otherwise(F.col("v"))).repartitionByRange(8, "u").write.parquet(f"{target.path}/t.parquet")
+    tables = {"t": table_of(df, "t", ("u",))}
+    assert sync(source, target, tables=tables, width=32, trees=True)[0].counts() == {"replace": 4}
+    return source, target, tables, tmp_path / "b" / "t.parquet", tmp_path / "b" / "_digests" / "t"
+
+
+def spoil(path):
+    """Overwrite the rows of parquet files, so that who reads them fails; names, lengths, times and footers stay."""
+    import os
+
+    for f in path.glob("*.parquet"):
+        held, times = bytearray(f.read_bytes()), f.stat()
+        held[4 : len(held) // 4] = b"\xff" * (len(held) // 4 - 4)
+        f.write_bytes(held)
+        os.utime(f, ns=(times.st_atime_ns, times.st_mtime_ns))
+        (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
+
+
+def test_an_unchanged_target_is_not_read_again(grown):
+    source, target, tables, path, _ = grown
+    spoil(path)
+    with pytest.raises(Exception):  # noqa: B017
+        rows(target.read("t"))
+    assert sync(source, target, tables=tables, width=32, trees=True)[0].counts() == {}
+
+
+def test_trees_follow_a_sync(grown, spark):
+    source, target, tables, path, digests = grown
+    kept = source.read("t").where("u <> 'k00500'").withColumn("v", F.when(F.col("u").isin("k00007", "k02999"), 0).otherwise(F.col("v")))
+    source.write("t", kept.unionByName(spark.createDataFrame([("zz", 1)], "u string, v long")))
+    before = (digests / "tree.json").read_text()
+    assert sync(source, target, tables=tables, width=32, trees=True)[0].counts() == {"insert": 1, "replace": 2, "delete": 1}
+    assert rows(target.read("t")) == rows(source.read("t")) and (digests / "tree.json").read_text() != before
+    found = tree.load(spark, target.tree_path("t"), target.files("t"), ["u"], ["u", "v"])
+    assert rows(found.leaf(spark)) == rows(tree.leaves(source.read("t"), found.blocks, ["u", "v"]))
+    # from a folder that has a tree of the same blocks, no row of either side is read
+    third = ParquetSource(spark, target.path + "-copy")
+    import shutil
+
+    shutil.copytree(target.path, third.path)
+    assert sync(target, third, tables=tables, width=32, trees=True)[0].counts() == {}
+
+
+@pytest.mark.parametrize("how", ["leaves", "gone", "files"])
+def test_a_damaged_tree_is_built_anew(grown, spark, how):
+    source, target, tables, path, digests = grown
+    fits = lambda: tree.load(spark, target.tree_path("t"), target.files("t"), ["u"], ["u", "v"])
+    assert fits()
+    if how == "leaves":
+        levels = spark.read.parquet(f"{target.tree_path('t')}/levels")
+        changed = spark.createDataFrame([(*r[:2], 7 if r.block == 3 else r.a, r.b, r.level) for r in levels.select("block", "n", "a", "b", "level").collect()], levels.select("block", "n", "a", "b", "level").schema)
+        changed.repartition("level").write.mode("overwrite").partitionBy("level").parquet(f"{target.tree_path('t')}/levels")
+    elif how == "gone":
+        for f in (digests / "levels" / "level=0").glob("part*"):
+            f.unlink()
+    else:  # somebody else has written to the table
+        target.write("t", target.read("t").withColumn("v", F.when(F.col("u") == "k00001", -5).otherwise(F.col("v"))))
+    assert fits() is None
+    done = sync(source, target, tables=tables, width=32, trees=True)[0].counts()
+    assert done == ({"replace": 1} if how == "files" else {}) and fits() and rows(target.read("t")) == rows(source.read("t"))
