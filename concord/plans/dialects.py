@@ -1,4 +1,4 @@
-"""Type spellings of two SQL dialects and the portable types they stand for."""
+"""Type spellings of SQL dialects and the portable types they stand for."""
 
 from __future__ import annotations
 
@@ -27,9 +27,29 @@ FALLBACKS = {
         "integer.unsigned": "integer",
         "integer.unsigned.64bit": "integer.64bit",
     },
+    "derby": {
+        "json": "text",
+        "json.binary": "json",
+        "time.tz": "time",
+        "datetime.tz": "datetime",
+        "datetime.mysqltimestamp": "datetime",
+        "spatial": "binary",
+        "spatial.geography": "spatial",
+        "enum": "text.varchar",
+        "uuid": "text.fixed",
+        "binary.fixed": "binary.varbinary",
+        "integer.8bit": "integer.16bit",
+        "integer.24bit": "integer",
+        "integer.unsigned.8bit": "integer.16bit",
+        "integer.unsigned.16bit": "integer",
+        "integer.unsigned.24bit": "integer",
+        "integer.unsigned": "integer.64bit",
+        "integer.unsigned.64bit": "decimal",
+        "float.32bit": "float",
+    },
 }
 #: The longest names.
-NAME_LIMITS = {"mysql": 64, "postgresql": 63}
+NAME_LIMITS = {"mysql": 64, "postgresql": 63, "derby": 128}
 #: Sizes of MySQL's text and blob types, and what types are called there.
 MYSQL_SIZES = {"tiny": 255, "": 65535, "medium": 16777215, "long": 0}
 MYSQL_INTEGERS = {"tinyint": ".8bit", "smallint": ".16bit", "mediumint": ".24bit", "int": "", "bigint": ".64bit"}
@@ -41,8 +61,8 @@ POSTGRESQL_TYPES = {
 
 
 def supported_types(dialect: str) -> list[str]:
-    other = {"mysql": "postgresql_specific", "postgresql": "mysql_specific"}[dialect]
-    return [t for t in SPARK_TYPES if t not in FALLBACKS[dialect] and t != other]
+    other = {"mysql": ("postgresql_specific",), "postgresql": ("mysql_specific",), "derby": ("mysql_specific", "postgresql_specific")}[dialect]
+    return [t for t in SPARK_TYPES if t not in FALLBACKS[dialect] and t not in other]
 
 
 def negotiate(type_name: str, accepted: list[str], dialect: str) -> str:
@@ -100,6 +120,22 @@ def parse_postgresql(name: str, spelling: str, nullable: bool = True, enums: dic
     return make("postgresql_specific", subtype=spelling)
 
 
+def derby_sizes(was: ColumnDef, c: ColumnDef) -> ColumnDef:
+    """Sizes of types that others have none for, or name otherwise; none where Derby has none."""
+    if was.type_name == "enum":
+        return replace(c, size=max([1, *map(len, was.enum_values)]), enum_values=(), subtype="")
+    if was.type_name == "uuid":
+        return replace(c, size=36)
+    if was.type_name == "integer.unsigned.64bit":
+        return replace(c, size=20, scale=0)
+    if c.type_name == "text.varchar" and not c.size:
+        return replace(c, type_name="text")
+    if c.type_name == "decimal":
+        return replace(c, size=min(c.size or 31, 31))
+    sized = c.type_name in ("text.varchar", "text.fixed", "binary.varbinary")
+    return c if sized else replace(c, size=0, scale=0)
+
+
 def adapt_schema(database: DatabaseDef, dialect: str) -> DatabaseDef:
     """Definitions in the types and names a dialect can hold."""
     accepted = supported_types(dialect)
@@ -109,7 +145,9 @@ def adapt_schema(database: DatabaseDef, dialect: str) -> DatabaseDef:
     def column(c: ColumnDef) -> ColumnDef:
         kind = negotiate(c.type_name, accepted, dialect)
         sized = kind != "unknown" and not (dialect == "postgresql" and kind in ("text", "binary", "float", "float.32bit"))
-        c = replace(c, type_name=kind, size=c.size if sized else 0, scale=c.scale if sized else 0)
+        was, c = c, replace(c, type_name=kind, size=c.size if sized else 0, scale=c.scale if sized else 0)
+        if dialect == "derby":
+            c = derby_sizes(was, c)
         if dialect == "mysql" and kind == "decimal" and not c.size:
             c = replace(c, size=10)
         if dialect == "mysql" and kind == "text.varchar" and not c.size:

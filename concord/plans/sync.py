@@ -18,6 +18,8 @@ from concord.operators.commit import Pair, delete
 from concord.operators.diff import counting, diff, diff_within, multiset_diff, pruned_diff, pruned_multiset_diff, summary
 from concord.operators.filters import TableFilter, apply_filter, load_filters, restrict, validate
 from concord.operators.keys import choose_key, verify_key
+from concord.plans.convert import adapted, convert, same_in, show
+from concord.plans.dialects import FALLBACKS
 from concord.plans.model import DatabaseDef, TableDef, table_of
 from concord.plans.schema_diff import Action, apply_to_frame, plan_table
 from concord.sources.jdbc import JdbcSource, Job
@@ -115,6 +117,8 @@ def sync_all(
     there, had = source.tables(), target.tables()
     names = restrict(there, only, ignore)
     defs = {n: (tables or {}).get(n) or source.definition(n) for n in names}
+    shown = defs
+    defs = wanted(source, target, defs, set(had))
     unwanted = {n for n in {*there, *had, *(filters or {})} if not restrict([n], only, ignore)}
     filters = {n: f for n, f in (filters or {}).items() if n not in unwanted}
     validate(filters, defs)
@@ -128,9 +132,10 @@ def sync_all(
             raise ValueError(f"{source.path} lists no tables: the target's are not dropped for it")
     key_of = lambda n: choose_key(defs[n], (filters[n].replace if n in filters else {}).keys()).columns
     if isinstance(source, JdbcSource):
-        reads = {n: source.snapshot(n, snapshot, key_of(n)) if snapshot else source.read(n, key_of(n)) for n in names}
+        reads = {n: show(source.snapshot(n, snapshot, key_of(n)) if snapshot else source.read(n, key_of(n)), shown[n], source.dialect) for n in names}
     else:
         reads = {n: source.read(n) for n in names}
+    reads = {n: convert(df, shown[n], defs[n]) for n, df in reads.items()}
     plans: dict[str, list[Action]] = {}
     for name in names:  # all tables are planned before any is changed
         if name not in targets:
@@ -147,11 +152,11 @@ def sync_all(
         by_file = isinstance(target, ParquetSource) and name in targets and not actions and commit != "never" and target.is_folder(name)
         if isinstance(target, JdbcSource) and actions and commit != "never":
             target.alter(actions, want)
-            old = target.read(name, key_of(name))
+            old = show(target.read(name, key_of(name)), want, target.dialect)
         elif by_file:
             old = target.read_with_files(name)
         elif name in targets:
-            old = target.read(name, key_of(name)) if isinstance(target, JdbcSource) else target.read(name)
+            old = show(target.read(name, key_of(name)), target.definition(name), target.dialect) if isinstance(target, JdbcSource) else target.read(name)
             old = apply_to_frame(old, want if {c.name for c in want.columns} >= set(read.columns) else table_of(read, name), actions)
         else:
             old = read.limit(0)
@@ -227,6 +232,17 @@ def blocks_of_values(df: DataFrame, key: str, width: int) -> int:
     return 0 if low is None else (int(high) - int(low)) // width + 1
 
 
+def wanted(source: Source, target: Source, defs: Mapping[str, TableDef], had: Collection[str]) -> dict[str, TableDef]:
+    """What the target's tables should be: the source's definitions in the types and names that the target can hold; a folder that has stored another
+    dialect's definition keeps it if it is what the source shows."""
+    if isinstance(target, JdbcSource):
+        return adapted(list(defs.values()), target.dialect) if target.dialect in FALLBACKS else dict(defs)
+    if not isinstance(source, JdbcSource) or source.dialect not in FALLBACKS:
+        return dict(defs)
+    stored = {t.name: t for t in target.definitions().tables if t.name in had}
+    return {n: stored[n] if n in stored and same_in(source.dialect, stored[n], t) else t for n, t in defs.items()}
+
+
 def to_folder(target: ParquetSource, results: list[TableResult], targets: Collection[str], structure_only: bool, commit: str, progress: Callable, definitions: tuple | None) -> None:
     """Stage each table's new files, and put them in place table by table, or all at once with their definitions."""
     staged: list[Pair] = []

@@ -19,6 +19,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from concord.plans.convert import spell
 from concord.plans.ddl import action_sql, literal, qualified, quoted, read_default
 from concord.plans.dependencies import linked, parents_first
 from concord.plans.dialects import parse_mysql, parse_postgresql
@@ -342,7 +343,7 @@ class JdbcSource:
         order = [by_name[n] for group in parents_first(names, edges) for n in group]
         referred = {p for _, p in edges}
         with ExitStack() as stack:
-            staged = {j.table.name: stack.enter_context(self._staged(j.table.name, j.table.stored, j.changes)) for j in order}
+            staged = {j.table.name: stack.enter_context(self._staged(j.table.name, j.table.stored, spell(j.changes, j.table.columns, self.dialect))) for j in order}
             gone, come = [], []
             for j in order:
                 before, after = self.statements(j, *staged[j.table.name], j.table.name in referred)

@@ -1,13 +1,17 @@
 """Commits: files that change and files that stay, journals that are completed, databases whose tables refer to each other."""
 
 import os
+import shutil
+from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from concord.operators import commit
 from concord.plans.dependencies import linked, parents_first
-from concord.plans.model import ColumnDef, Default, TableDef, table_of
+from concord.plans.model import ColumnDef, Default, KeyDef, KeyKind, TableDef, table_of
 from concord.plans.sync import endpoint, sync
 from concord.sources.jdbc import JdbcSource
 from concord.sources.tables import ParquetSource
@@ -250,8 +254,6 @@ def test_endpoints(spark):
 
 
 def test_a_table_without_a_key_is_left_alone_if_nothing_differs(spark, tmp_path, monkeypatch):
-    from concord.plans.model import KeyDef
-
     make = ['CREATE TABLE "j" ("a" integer NOT NULL, "b" integer NOT NULL)', 'CREATE INDEX "both" ON "j" ("b", "a")', 'INSERT INTO "j" VALUES (1, 2), (1, 2), (3, 4)']
     a, b = (derby(spark, tmp_path, n, make) for n in "ab")
     assert a.definition("j").keys == (KeyDef("both", columns=("b", "a")),)
@@ -264,3 +266,56 @@ def test_a_table_without_a_key_is_left_alone_if_nothing_differs(spark, tmp_path,
 
 def test_definitions_without_columns_are_no_tables():
     assert TableDef("t").stored == []
+
+
+def test_a_folder_of_mysql_types_goes_to_derby_and_back(spark, tmp_path):
+    """Definitions and rows of another dialect: what comes back is what went, and neither side then differs."""
+    columns = (
+        ColumnDef("id", "integer.unsigned.64bit", False), ColumnDef("flag", "boolean"), ColumnDef("kind", "enum", False, enum_values=("red", "with'quote")), ColumnDef("tiny", "integer.unsigned.8bit"),
+        ColumnDef("big", "integer.unsigned"), ColumnDef("name", "text.varchar", size=30), ColumnDef("code", "text.fixed", size=8), ColumnDef("at", "datetime.mysqltimestamp"), ColumnDef("clock", "time"),
+        ColumnDef("u", "uuid"), ColumnDef("price", "decimal", size=9, scale=3), ColumnDef("x", "float.32bit"), ColumnDef("day", "date"),
+    )
+    table = TableDef("t", columns, ("id",), (KeyDef("k" * 70, KeyKind.STANDARD, ("name",)),))
+    from concord.plans.convert import adapted
+
+    rows_ = [
+        (Decimal(2**64 - 1), True, "red", 255, 2**32 - 1, "it's", "ab", datetime(2001, 2, 3, 4, 5, 6, 500000), "01:23:45", "0" * 8 + "-aaaa-bbbb-cccc-" + "d" * 12, Decimal("1.500"), 0.5, date(2000, 1, 2)),
+        (Decimal(1), None, "with'quote", None, None, None, None, None, None, None, None, None, None), (Decimal(7), False, "red", 0, 0, "", "x", datetime(1999, 1, 1), "23:59:59", None, Decimal("-2.125"), -1.25, None),
+    ]
+    source, back = ParquetSource(spark, str(tmp_path / "a")), ParquetSource(spark, str(tmp_path / "b"))
+    schema = T.StructType([T.StructField(c.name, c.spark_type) for c in columns])
+    source.write("t", spark.createDataFrame(rows_, schema))
+    source.define({"t": table})
+    db = derby(spark, tmp_path, "d")
+    sync(source, db, alter=True)
+    assert {c.name: (c.type_name, c.size) for c in db.definition("t").columns} == {c.name: (c.type_name, c.size) for c in adapted([table], "derby")["t"].columns}
+    assert sync(source, db)[0].counts() == {}
+    shutil.copytree(source.path, back.path)
+    back.write("t", back.read("t").where("id <> 7").withColumn("name", F.lit("old")))
+    assert sync(db, back)[0].counts() == {"insert": 1, "replace": 2}
+    assert back.definition("t") == table and rows(back.read("t")) == rows(source.read("t")) and back.read("t").schema == source.read("t").schema
+    assert sync(db, back)[0].counts() == {} and sync(back, db)[0].counts() == {}
+
+
+def test_forms_of_values_between_databases(spark):
+    from concord.plans import convert
+
+    table = TableDef("t", (ColumnDef("g", "spatial"), ColumnDef("c", "text.fixed", size=5), ColumnDef("b", "boolean"), ColumnDef("u", "uuid"), ColumnDef("w", "time")))
+    df = spark.createDataFrame([(bytes.fromhex("E6100000010100000000000000000024400000000000003440"), "ab   ", 1, "AB ", datetime(1970, 1, 1, 1, 2, 3, 500000))], "g binary, c string, b int, u string, w timestamp_ntz")
+    got = convert.show(df, table, "mysql")
+    assert rows(got.select(F.hex("g"), "c", "b", "u", "w")) == [("0101000020E610000000000000000024400000000000003440", "ab", True, "ab", "01:02:03.5")]
+    again = convert.spell(got, table.columns, "mysql")
+    assert rows(again.select(F.hex("g"), "w")) == rows(df.select(F.hex("g"), "w"))
+    assert convert.convert(df, table, table) is df
+    narrow = convert.convert(spark.createDataFrame([(300,)], "n int"), TableDef("t", (ColumnDef("n", "integer"),)), TableDef("t", (ColumnDef("n", "integer.8bit"),)))
+    with pytest.raises(Exception, match="(?i)overflow"):
+        narrow.collect()
+
+
+def test_definitions_of_two_schemas_do_not_fit_mysql(spark):
+    from concord.plans.convert import adapted
+
+    with pytest.raises(ValueError, match="two schemas"):
+        adapted([TableDef("t", schema="a"), TableDef("t", schema="b")], "mysql")
+    names = [k.name for k in adapted([TableDef("t", keys=(KeyDef("x" * 70), KeyDef("x" * 66)))], "postgresql")["t"].keys]
+    assert names == ["x" * 63, "x" * 61 + "_2"]
