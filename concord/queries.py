@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from concord.functions import scalars, spatial
 from concord.operators import apply, diff, encode, filters, keys, ranges
-from concord.plans import dialects, schema_diff
-from concord.plans.model import KeyDef, KeyKind, TableDef, table_of
+from concord.operators import catalog as catalogs
+from concord.plans import schema_diff
+from concord.plans.model import TableDef, table_of
 from concord.sources.tables import enum_labels
 
 ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -505,149 +506,169 @@ def add_column_fill(spark, sf):
 
 
 # -- definitions ---------------------------------------------------------------------------------
-#: (side, table, position, column, type, nullable)
-META_COLUMNS = """(VALUES ('s','nation',1,'n_nationkey','integer',false), ('s','nation',2,'n_regionkey','integer.16bit',true), ('s','nation',3,'n_comment','text.varchar',true),
-('t','nation',1,'n_nationkey','integer',false), ('t','nation',2,'n_regionkey','integer.16bit',true),
-('s','part',1,'p_size','integer.64bit',true), ('s','part',2,'p_partkey','integer',false), ('t','part',1,'p_size','integer.64bit',true), ('t','part',2,'p_partkey','text',false),
-('s','orders',1,'o_orderkey','integer',false), ('t','events',1,'event_id','integer',false),
-('s','customer',1,'c_custkey','integer',false), ('s','customer',2,'c_nationkey','integer',true), ('t','customer',1,'c_custkey','integer',false), ('t','customer',2,'c_nationkey','integer',true)) AS c(side, tbl, pos, col, type, nullable)"""
-#: (side, table, key, kind, columns)
-META_KEYS = """(VALUES ('s','customer','customer_nation_key','unique','c_nationkey'), ('s','customer','customer_nation_idx','standard','c_nationkey'), ('t','customer','customer_nation_idx','standard','c_nationkey'), ('t','customer','customer_old_idx','standard','c_nationkey'),
-('s','part','part_size_idx','standard','p_size'), ('t','part','part_size_idx','unique','p_size')) AS k(side, tbl, name, kind, cols)"""
+# Catalogs of as many tables as there are customers: a column for each priority of the orders, a key for each status.
 
+SIDES = {"s": "o_orderkey % 7 <> 0 AND o_custkey % 13 <> 0", "t": "o_orderkey % 9 <> 0 AND o_custkey % 17 <> 0"}
 
-def meta(spark: SparkSession, relation: str) -> DataFrame:
-    return spark.sql(f"SELECT * FROM {relation}")
 
+def catalog(spark, sf, side: str) -> DataFrame:
+    """(tbl, pos, col, type, nullable) of the source "s" or the target "t"."""
+    found = read(spark, sf, "orders").where(SIDES[side]).groupBy(F.concat(F.lit("t"), "o_custkey").alias("tbl"), "o_custkey", F.col("o_orderpriority").alias("col")).agg((F.count("*") > 1).alias("nullable"))
+    shift = F.expr("o_custkey % 11 = 0").cast("int") if side == "t" else F.lit(0)
+    kind = F.element_at(F.array(*map(F.lit, ("integer", "text.varchar", "json.binary", "decimal"))), (F.length("col") + shift) % 4 + 1)
+    return found.select("tbl", F.row_number().over(Window.partitionBy("tbl").orderBy("col")).alias("pos"), "col", kind.alias("type"), "nullable")
 
-@query(f"SELECT DISTINCT tbl AS table_name FROM {META_COLUMNS} WHERE side = 's'")
+
+def catalog_sql(side: str) -> str:
+    shift = "CASE WHEN o_custkey % 11 = 0 THEN 1 ELSE 0 END" if side == "t" else "0"
+    return f"""SELECT 't' || o_custkey AS tbl, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS INTEGER) AS pos, o_orderpriority AS col,
+['integer', 'text.varchar', 'json.binary', 'decimal'][(length(o_orderpriority) + {shift}) % 4 + 1] AS type, count(*) > 1 AS nullable FROM orders WHERE {SIDES[side]} GROUP BY o_custkey, o_orderpriority"""
+
+
+def catalog_keys(spark, sf, side: str) -> DataFrame:
+    """(tbl, name, kind, cols)"""
+    rows = read(spark, sf, "orders").where(SIDES[side])
+    found = rows.groupBy(F.concat(F.lit("t"), "o_custkey").alias("tbl"), F.concat(F.lit("by_"), "o_orderstatus").alias("name")).agg(F.array_sort(F.collect_set("o_orderpriority")).alias("cols"))
+    return found.select("tbl", "name", F.when(F.size("cols") % 2 == 1, "unique").otherwise("standard").alias("kind"), "cols")
+
+
+def keys_sql(side: str) -> str:
+    return f"""SELECT 't' || o_custkey AS tbl, 'by_' || o_orderstatus AS name, CASE WHEN count(DISTINCT o_orderpriority) % 2 = 1 THEN 'unique' ELSE 'standard' END AS kind,
+list_sort(list(DISTINCT o_orderpriority)) AS cols FROM orders WHERE {SIDES[side]} GROUP BY o_custkey, o_orderstatus"""
+
+
+CATALOGS = f"s AS ({catalog_sql('s')}), t AS ({catalog_sql('t')})"
+
+
+@query(f"WITH {CATALOGS} SELECT DISTINCT tbl AS table_name FROM s")
 def catalog_tables(spark, sf):
-    return spark.createDataFrame([(t.name,) for t in definitions(spark, "s").tables], "table_name string")
+    return catalog(spark, sf, "s").select(F.col("tbl").alias("table_name")).distinct()
 
 
-@query("SELECT * FROM (VALUES (0, 'r_regionkey', 'int'), (1, 'r_name', 'string')) AS c(position, name, type)")
+@query(f"WITH {CATALOGS} SELECT tbl AS table_name, pos AS position, col AS name, type, nullable FROM s")
 def catalog_columns(spark, sf):
-    from concord.sources.tables import column_listing
-
-    read(spark, sf, "region").createOrReplaceTempView("concord_region")
-    return column_listing(spark, "concord_region").select("position", "name", "type")
+    return catalog(spark, sf, "s").withColumnsRenamed({"tbl": "table_name", "pos": "position", "col": "name"})
 
 
-@query(f"SELECT DISTINCT tbl AS table_name FROM {META_COLUMNS} WHERE tbl IN ('nation', 'customer', 'events') AND tbl NOT IN ('customer')")
+@query(f"WITH {CATALOGS} SELECT DISTINCT tbl AS table_name FROM s WHERE tbl IN ('t1', 't2', 't3', 't20', 't21') AND tbl NOT IN ('t2')")
 def restrict_tables(spark, sf):
-    names = filters.restrict(sorted({t.name for side in "st" for t in definitions(spark, side).tables}), "nation, customer events", "customer")
-    return spark.createDataFrame([(n,) for n in names], "table_name string")
+    return catalogs.restrict_rows(catalog(spark, sf, "s"), ["t1", "t2", "t3", "t20", "t21"], ["t2"]).select(F.col("tbl").alias("table_name")).distinct()
 
 
-@query(f"""WITH s AS (SELECT DISTINCT tbl FROM {META_COLUMNS} WHERE side = 's'), t AS (SELECT DISTINCT tbl FROM {META_COLUMNS} WHERE side = 't')
-SELECT coalesce(s.tbl, t.tbl) AS table_name, CASE WHEN t.tbl IS NULL THEN 'create' ELSE 'drop' END AS action FROM s FULL JOIN t ON s.tbl = t.tbl WHERE s.tbl IS NULL OR t.tbl IS NULL""")
+@query(f"""WITH {CATALOGS}, a AS (SELECT DISTINCT tbl FROM s), b AS (SELECT DISTINCT tbl FROM t)
+SELECT coalesce(a.tbl, b.tbl) AS table_name, CASE WHEN b.tbl IS NULL THEN 'create' ELSE 'drop' END AS action FROM a FULL JOIN b ON a.tbl = b.tbl WHERE a.tbl IS NULL OR b.tbl IS NULL""")
 def schema_diff_tables(spark, sf):
-    plan = schema_diff.plan_schema(definitions(spark, "s"), definitions(spark, "t"))
-    return spark.createDataFrame([(a.table, a.kind.removesuffix("_table")) for a in plan if a.kind in ("create_table", "drop_table")], "table_name string, action string")
+    return catalogs.table_changes(catalog(spark, sf, "s"), catalog(spark, sf, "t")).withColumnRenamed("tbl", "table_name")
 
 
-@query(f"""WITH s AS (SELECT * FROM {META_COLUMNS} WHERE side = 's'), t AS (SELECT * FROM {META_COLUMNS} WHERE side = 't')
-SELECT coalesce(s.tbl, t.tbl) AS table_name, coalesce(s.col, t.col) AS column_name, CASE WHEN t.col IS NULL THEN 'add' WHEN s.col IS NULL THEN 'drop' ELSE 'change' END AS action
+@query(f"""WITH {CATALOGS} SELECT coalesce(s.tbl, t.tbl) AS table_name, coalesce(s.col, t.col) AS column_name, CASE WHEN t.col IS NULL THEN 'add' WHEN s.col IS NULL THEN 'drop' ELSE 'change' END AS action
 FROM s FULL JOIN t ON s.tbl = t.tbl AND s.pos = t.pos AND s.col = t.col WHERE coalesce(s.tbl, t.tbl) IN (SELECT tbl FROM s INTERSECT SELECT tbl FROM t)
 AND (s.col IS NULL OR t.col IS NULL OR s.type <> t.type OR s.nullable <> t.nullable)""")
 def schema_diff_columns(spark, sf):
-    return spark.createDataFrame(schema_diff.column_changes(definitions(spark, "s"), definitions(spark, "t")), "table_name string, column_name string, action string")
+    return catalogs.column_changes(catalog(spark, sf, "s"), catalog(spark, sf, "t")).withColumnsRenamed({"tbl": "table_name", "col": "column_name"})
 
 
-@query(f"""WITH s AS (SELECT * FROM {META_KEYS} WHERE side = 's'), t AS (SELECT * FROM {META_KEYS} WHERE side = 't')
+@query(f"""WITH s AS ({keys_sql('s')}), t AS ({keys_sql('t')})
 SELECT coalesce(s.tbl, t.tbl) AS table_name, coalesce(s.name, t.name) AS key_name, CASE WHEN t.name IS NULL THEN 'create' WHEN s.name IS NULL THEN 'drop' ELSE 'change' END AS action
 FROM s FULL JOIN t ON s.tbl = t.tbl AND s.name = t.name WHERE s.name IS NULL OR t.name IS NULL OR s.kind <> t.kind OR s.cols <> t.cols""")
 def schema_diff_keys(spark, sf):
-    return spark.createDataFrame(schema_diff.key_changes(definitions(spark, "s"), definitions(spark, "t")), "table_name string, key_name string, action string")
-
-
-def definitions(spark: SparkSession, side: str):
-    from concord.plans.model import ColumnDef, DatabaseDef
-
-    columns = meta(spark, META_COLUMNS).where(F.col("side") == side).orderBy("tbl", "pos").collect()
-    found = meta(spark, META_KEYS).where(F.col("side") == side).collect()
-    names = sorted({c.tbl for c in columns})
-    return DatabaseDef(tuple(
-        TableDef(n, tuple(ColumnDef(c.col, c.type, c.nullable) for c in columns if c.tbl == n), (), tuple(KeyDef(k.name, KeyKind(k.kind), tuple(k.cols.split(","))) for k in sorted(found) if k.tbl == n)) for n in names
-    ))
-
-
-@query("""SELECT * FROM (VALUES ('drop_table', 'events', ''), ('add_column', 'nation', 'n_comment'), ('create_key', 'customer', 'customer_nation_key'), ('drop_key', 'customer', 'customer_old_idx'),
-('create_table', 'orders', ''), ('recreate_table', 'part', '')) AS p(action, table_name, name)""")
+    return catalogs.key_changes(catalog_keys(spark, sf, "s"), catalog_keys(spark, sf, "t")).withColumnsRenamed({"tbl": "table_name", "name": "key_name"})
+
+
+@query(f"""WITH {CATALOGS},
+kept AS (SELECT t.tbl, t.col, t.type, t.nullable, row_number() OVER (PARTITION BY t.tbl ORDER BY t.pos) AS place, s.pos AS wanted, s.type AS want_type, s.nullable AS want_nullable FROM t JOIN s ON s.tbl = t.tbl AND s.col = t.col),
+common AS (SELECT tbl FROM s INTERSECT SELECT tbl FROM t),
+anew AS (SELECT DISTINCT tbl FROM kept WHERE place <> wanted OR type <> want_type),
+altered AS (SELECT tbl FROM common EXCEPT SELECT tbl FROM anew)
+SELECT DISTINCT 'create_table' AS action, tbl AS table_name, '' AS name FROM s WHERE tbl NOT IN (SELECT tbl FROM t)
+UNION ALL SELECT DISTINCT 'drop_table', tbl, '' FROM t WHERE tbl NOT IN (SELECT tbl FROM s)
+UNION ALL SELECT 'recreate_table', tbl, '' FROM anew
+UNION ALL SELECT 'drop_column', t.tbl, t.col FROM t ANTI JOIN s ON t.tbl = s.tbl AND t.col = s.col WHERE t.tbl IN (SELECT tbl FROM altered)
+UNION ALL SELECT 'add_column', s.tbl, s.col FROM s ANTI JOIN t ON t.tbl = s.tbl AND t.col = s.col WHERE s.tbl IN (SELECT tbl FROM altered)
+UNION ALL SELECT unnest(CASE WHEN want_nullable THEN ['set_nullable'] ELSE ['fill_nulls', 'set_not_null'] END), tbl, col FROM kept WHERE tbl IN (SELECT tbl FROM altered) AND nullable <> want_nullable""")
 def schema_plan(spark, sf):
-    plan = schema_diff.plan_schema(definitions(spark, "s"), definitions(spark, "t"))
-    return spark.createDataFrame([(a.kind, a.table, a.name) for a in plan], "action string, table_name string, name string")
+    return catalogs.plans(catalog(spark, sf, "s"), catalog(spark, sf, "t")).select("action", F.col("tbl").alias("table_name"), "name")
 
 
-@query("SELECT * FROM (VALUES ('unique', 'version'), ('none', '')) AS k(kind, columns)")
+@query(f"""WITH {CATALOGS}, k AS ({keys_sql('s')}),
+usable AS (SELECT k.tbl, k.name, k.cols FROM k WHERE kind = 'unique' AND NOT EXISTS (SELECT 1 FROM s WHERE s.tbl = k.tbl AND s.nullable AND list_contains(k.cols, s.col))),
+first_ AS (SELECT tbl, arg_min(cols, name) AS cols FROM usable GROUP BY tbl),
+full_ AS (SELECT tbl, count(*) AS n FROM s GROUP BY tbl HAVING NOT bool_or(nullable)),
+whole AS (SELECT k.tbl, arg_min(k.cols, k.name) AS cols FROM k JOIN full_ ON k.tbl = full_.tbl AND len(k.cols) = full_.n GROUP BY k.tbl)
+SELECT n.tbl AS table_name, CASE WHEN f.tbl IS NOT NULL THEN 'unique' WHEN w.tbl IS NOT NULL THEN 'whole_row' ELSE 'none' END AS kind, coalesce(array_to_string(coalesce(f.cols, w.cols), ','), '') AS columns
+FROM (SELECT DISTINCT tbl FROM s) n LEFT JOIN first_ f ON f.tbl = n.tbl LEFT JOIN whole w ON w.tbl = n.tbl""")
 def choose_key_unique(spark, sf):
-    from concord.plans.model import ColumnDef
-
-    columns = (ColumnDef("nullable", "integer"), ColumnDef("version", "text.varchar", False), ColumnDef("name", "text.varchar", False))
-    found = (KeyDef("correct_key", KeyKind.UNIQUE, ("version",)), KeyDef("ignored_key", KeyKind.UNIQUE, ("nullable", "version")), KeyDef("not_unique_key", KeyKind.STANDARD, ("name",)))
-    chosen = [keys.choose_key(TableDef("t", columns, (), found)), keys.choose_key(TableDef("t", columns, (), found), replaced={"version"})]
-    return spark.createDataFrame([(c.kind, ",".join(c.columns)) for c in chosen], "kind string, columns string")
+    return catalogs.chosen_keys(catalog(spark, sf, "s"), catalog_keys(spark, sf, "s")).withColumnsRenamed({"tbl": "table_name", "cols": "columns"})
 
 
-META_TYPES = "(VALUES ('json.binary'), ('uuid'), ('integer.unsigned'), ('spatial'), ('time.tz')) AS t(type)"
+@query(f"WITH {CATALOGS} SELECT tbl AS table_name, col AS name, type, CASE type WHEN 'json.binary' THEN 'json' ELSE type END AS negotiated FROM s")
+def negotiate_types(spark, sf):
+    return catalog(spark, sf, "s").select(F.col("tbl").alias("table_name"), F.col("col").alias("name"), "type", catalogs.negotiated(F.col("type"), "mysql").alias("negotiated"))
 
 
-@query("SELECT * FROM (VALUES ('json.binary', 'json'), ('uuid', 'uuid'), ('integer.unsigned', 'integer.unsigned'), ('spatial', 'spatial'), ('time.tz', 'time')) AS t(type, negotiated)")
-def negotiate_types(spark, sf):
-    accepted = dialects.supported_types("mysql")
-    return spark.createDataFrame([(r.type, dialects.negotiate(r.type, accepted, "mysql")) for r in meta(spark, META_TYPES).collect()], "type string, negotiated string")
+LABELS = "SELECT 'e' || n_regionkey AS enum, n_nationkey AS pos, n_name || '''s' AS label FROM nation"
 
 
-META_ENUMS = "(VALUES ('colour', 1, 'red'), ('colour', 2, 'green'), ('colour', 3, 'with''quote'), ('size', 1, 'small')) AS e(enum, pos, label)"
+def labels(spark, sf) -> DataFrame:
+    """(enum, pos, label): an enum for each region."""
+    return read(spark, sf, "nation").select(F.concat(F.lit("e"), "n_regionkey").alias("enum"), F.col("n_nationkey").alias("pos"), F.concat("n_name", F.lit("'s")).alias("label"))
 
 
-@query(f"SELECT enum, string_agg(label, ',' ORDER BY pos) AS labels FROM {META_ENUMS} GROUP BY enum")
+@query(f"SELECT enum, string_agg(label, ',' ORDER BY pos) AS labels FROM ({LABELS}) GROUP BY enum")
 def enum_values(spark, sf):
-    return enum_labels(meta(spark, META_ENUMS)).select("enum", F.array_join("labels", ",").alias("labels"))
+    return enum_labels(labels(spark, sf)).select("enum", F.array_join("labels", ",").alias("labels"))
 
 
-@query(f"SELECT enum, 'enum_' || left(sha256(string_agg(label, ',' ORDER BY pos)), 8) AS type_name FROM {META_ENUMS} GROUP BY enum")
+@query(f"SELECT enum, 'enum_' || left(sha256(string_agg(label, ',' ORDER BY pos)), 8) AS type_name FROM ({LABELS}) GROUP BY enum")
 def enum_type_name(spark, sf):
-    return enum_labels(meta(spark, META_ENUMS)).select("enum", scalars.enum_type_name(F.col("labels")).alias("type_name"))
+    return enum_labels(labels(spark, sf)).select("enum", scalars.enum_type_name(F.col("labels")).alias("type_name"))
 
 
-@query("""SELECT * FROM (VALUES (1, 'index_name'), (2, 'index_name_2'), (3, repeat('x', 63)), (4, repeat('x', 61) || '_2')) AS n(pos, name)""")
+@query(f"""WITH k AS (SELECT CAST(substr(tbl, 2) AS BIGINT) % 50 AS db, tbl, name FROM ({keys_sql('s')})),
+n AS (SELECT *, row_number() OVER (PARTITION BY db, name ORDER BY tbl) AS i FROM k) SELECT db, tbl AS table_name, name, CASE WHEN i = 1 THEN name ELSE name || '_' || i END AS new_name FROM n""")
 def index_name_dedupe(spark, sf):
-    names = schema_diff.dedupe_names(["index_name", "index_name", "x" * 70, "x" * 64], 63)
-    return spark.createDataFrame(list(enumerate(names, 1)), "pos int, name string")
+    """Fifty databases in which all index names must differ."""
+    rows = catalog_keys(spark, sf, "s").withColumn("db", F.substring("tbl", 2, 20).cast("long") % 50)
+    return catalogs.unique_names(rows, 63).select("db", F.col("tbl").alias("table_name"), "name", F.col("new").alias("new_name"))
 
 
 # -- scalar functions ----------------------------------------------------------------------------
 
-META_TIMES = "(VALUES ('2001-02-03 04:05:06.500000'), ('2001-02-03 04:05:06.000000'), ('01:23:40'), ('01:23:45.120'), ('01:23:40.000')) AS v(v)"
 
-
-@query(f"SELECT v, CASE WHEN contains(v, '.') THEN regexp_replace(v, '\\.?0+$', '') ELSE v END AS trimmed FROM {META_TIMES}")
+@query(r"""SELECT event_id, CASE WHEN contains(v, '.') THEN regexp_replace(v, '\.?0+$', '') ELSE v END AS trimmed
+FROM (SELECT event_id, CASE event_id % 3 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') WHEN 1 THEN strftime(ts, '%H:%M:%S.%f') ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.000000') END AS v FROM events)""")
 def trim_fractional_zeros(spark, sf):
-    return meta(spark, META_TIMES).select("v", scalars.trim_fractional_zeros(F.col("v")).alias("trimmed"))
+    n = F.col("event_id") % 3
+    v = F.when(n == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).when(n == 1, F.date_format("ts", "HH:mm:ss.SSSSSS")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.'000000'"))
+    return read(spark, sf, "events").select("event_id", scalars.trim_fractional_zeros(v).alias("trimmed"))
 
 
-META_GEOMETRY = "(VALUES ('00000000010100000000000000000024400000000000003440'), ('E6100000010100000000000000000024400000000000003440'), ('00')) AS g(h)"
+#: Points at made-up places, byte order, type and two doubles; with a SRID or zeros in front, or as EWKB with a SRID or without.
+POINT = "'0101000000' || upper(md5(p_name))"
+GEOMETRY = f"SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN '00' WHEN p_partkey % 2 = 0 THEN '00000000' || {POINT} ELSE 'E6100000' || {POINT} END AS h FROM part"
+EWKB = f"SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN '00' WHEN p_partkey % 2 = 0 THEN {POINT} ELSE '0101000020E6100000' || upper(md5(p_name)) END AS h FROM part"
 
 
-@query(f"""SELECT h, CASE WHEN length(h) < 18 THEN h WHEN left(h, 8) = '00000000' THEN substr(h, 9)
-ELSE substr(h, 9, 2) || substr(h, 11, 6) || '20' || left(h, 8) || substr(h, 19) END AS ewkb FROM {META_GEOMETRY}""")
-def geom_to_ewkb(spark, sf):
-    return meta(spark, META_GEOMETRY).select("h", F.hex(spatial.to_ewkb(F.unhex("h"))).alias("ewkb"))
+def geometry(spark, sf, *, flat: str, flagged: str) -> DataFrame:
+    """(p_partkey, h): too short, or a point after `flat` or `flagged`."""
+    h = F.when(F.expr("p_partkey % 7 = 0"), "00").when(F.expr("p_partkey % 2 = 0"), F.concat(F.lit(flat), F.upper(F.md5("p_name")))).otherwise(F.concat(F.lit(flagged), F.upper(F.md5("p_name"))))
+    return read(spark, sf, "part").select("p_partkey", h.alias("h"))
 
 
-META_EWKB = "(VALUES ('010100000000000000000024400000000000003440'), ('0101000020E610000000000000000024400000000000003440'), ('00')) AS g(h)"
+@query(f"""SELECT p_partkey, CASE WHEN length(h) < 18 THEN h WHEN left(h, 8) = '00000000' THEN substr(h, 9) ELSE substr(h, 9, 2) || substr(h, 11, 6) || '20' || left(h, 8) || substr(h, 19) END AS ewkb FROM ({GEOMETRY})""")
+def geom_to_ewkb(spark, sf):
+    return geometry(spark, sf, flat="000000000101000000", flagged="E61000000101000000").select("p_partkey", F.hex(spatial.to_ewkb(F.unhex("h"))).alias("ewkb"))
 
 
-@query(f"""SELECT h, CASE WHEN length(h) < 10 THEN h WHEN substr(h, 9, 2) = '20' THEN substr(h, 11, 8) || left(h, 8) || '00' || substr(h, 19) ELSE '00000000' || h END AS geom FROM {META_EWKB}""")
+@query(f"""SELECT p_partkey, CASE WHEN length(h) < 10 THEN h WHEN substr(h, 9, 2) = '20' THEN substr(h, 11, 8) || left(h, 8) || '00' || substr(h, 19) ELSE '00000000' || h END AS geom FROM ({EWKB})""")
 def ewkb_to_geom(spark, sf):
-    return meta(spark, META_EWKB).select("h", F.hex(spatial.from_ewkb(F.unhex("h"))).alias("geom"))
+    return geometry(spark, sf, flat="0101000000", flagged="0101000020E6100000").select("p_partkey", F.hex(spatial.from_ewkb(F.unhex("h"))).alias("geom"))
 
 
-@query(f"SELECT h, octet_length(unhex(h)) AS n, hex(unhex(h)) AS again FROM {META_EWKB}")
+@query("SELECT p_partkey, octet_length(unhex(md5(p_name))) AS n, hex(unhex(md5(p_name))) AS again FROM part")
 def hex_decode(spark, sf):
-    b = scalars.hex_decode(F.col("h"))
-    return meta(spark, META_EWKB).select("h", F.octet_length(b).cast("long").alias("n"), F.hex(b).alias("again"))
+    b = scalars.hex_decode(F.md5("p_name"))
+    return read(spark, sf, "part").select("p_partkey", F.octet_length(b).cast("long").alias("n"), F.hex(b).alias("again"))
 
 
 @query("""SELECT p_partkey, '"' || replace(p_name, '"', '""') || '"' AS quoted FROM part""")
@@ -655,33 +676,29 @@ def quote_identifier(spark, sf):
     return read(spark, sf, "part").select("p_partkey", scalars.quote_identifier(F.col("p_name")).alias("quoted"))
 
 
-META_SPELLINGS = "(VALUES ('enum(''red'',''green'',''with''''quote'')'), ('enum(''one'')')) AS v(v)"
-
-
-@query(f"SELECT v, replace(array_to_string(regexp_extract_all(v, '''((?:[^'']|'''')*)''', 1), '|'), '''''', '''') AS labels FROM {META_SPELLINGS}")
+@query("SELECT p_partkey, p_brand || '|' || p_type || '''s|' || p_name AS labels FROM part")
 def parse_enum_list(spark, sf):
-    return meta(spark, META_SPELLINGS).select("v", F.array_join(scalars.parse_enum_list(F.col("v")), "|").alias("labels"))
-
+    """Spelt as an enum of three labels, one of them with a quote, and read back."""
+    spelling = F.concat(F.lit("enum('"), "p_brand", F.lit("','"), "p_type", F.lit("''s','"), "p_name", F.lit("')"))
+    return read(spark, sf, "part").select("p_partkey", F.array_join(scalars.parse_enum_list(spelling), "|").alias("labels"))
 
-META_SIZES = "(VALUES ('varchar(10)'), ('decimal(9,3)'), ('int'), ('decimal(10, 4)')) AS v(v)"
 
-
-@query(f"SELECT v, CAST(nullif(regexp_extract(v, '\\((\\d+)', 1), '') AS INTEGER) AS length, CAST(nullif(regexp_extract(v, ',\\s*(\\d+)\\)', 1), '') AS INTEGER) AS scale FROM {META_SIZES}")
+@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN NULL ELSE p_size END AS length, CASE p_partkey % 3 WHEN 2 THEN CAST(p_partkey % 10 AS INTEGER) END AS scale FROM part")
 def parse_type_size(spark, sf):
-    return meta(spark, META_SIZES).select("v", scalars.type_length(F.col("v")).alias("length"), scalars.type_scale(F.col("v")).alias("scale"))
-
+    n, size = F.col("p_partkey") % 3, F.col("p_size").cast("string")
+    v = F.when(n == 0, "int").when(n == 1, F.concat(F.lit("varchar("), size, F.lit(")"))).otherwise(F.concat(F.lit("decimal("), size, F.lit(", "), (F.col("p_partkey") % 10).cast("string"), F.lit(")")))
+    return read(spark, sf, "part").select("p_partkey", scalars.type_length(v).alias("length"), scalars.type_scale(v).alias("scale"))
 
-META_SPATIAL = "(VALUES ('geometry'), ('geometry(Point)'), ('geometry(Point,4326)')) AS v(v)"
 
-
-@query(f"SELECT v, lower(regexp_extract(v, '\\(\\s*([A-Za-z]+)', 1)) AS subtype, coalesce(CAST(nullif(regexp_extract(v, ',\\s*(\\d+)\\s*\\)', 1), '') AS INTEGER), 0) AS srid FROM {META_SPATIAL}")
+@query("SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN '' ELSE lower(regexp_extract(s_name, '[A-Za-z]+')) END AS subtype, CASE s_suppkey % 3 WHEN 2 THEN s_nationkey ELSE 0 END AS srid FROM supplier")
 def parse_spatial_type(spark, sf):
-    return meta(spark, META_SPATIAL).select("v", scalars.spatial_subtype(F.col("v")).alias("subtype"), scalars.spatial_srid(F.col("v")).alias("srid"))
-
-
-META_BOOLEANS = "(VALUES ('1'), ('0'), ('t'), ('f'), ('2')) AS v(v)"
+    n, name = F.col("s_suppkey") % 3, F.regexp_extract("s_name", "[A-Za-z]+", 0)
+    v = F.when(n == 0, "geometry").when(n == 1, F.concat(F.lit("geometry("), name, F.lit(")"))).otherwise(F.concat(F.lit("geometry("), name, F.lit(","), F.col("s_nationkey").cast("string"), F.lit(")")))
+    return read(spark, sf, "supplier").select("s_suppkey", scalars.spatial_subtype(v).alias("subtype"), scalars.spatial_srid(v).alias("srid"))
 
 
-@query(f"SELECT v, CASE WHEN v IN ('1', 't') THEN true WHEN v IN ('0', 'f') THEN false END AS decoded FROM {META_BOOLEANS}")
+@query("SELECT doc_id, toxic = 1 AS toxic, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE quality = 1 END AS quality FROM labels")
 def decode_boolean(spark, sf):
-    return meta(spark, META_BOOLEANS).select("v", scalars.decode_boolean(F.col("v")).alias("decoded"))
+    """As digits, as letters, and as something else."""
+    letters = F.when(F.expr("doc_id % 5 = 0"), "2").when(F.col("quality") == 1, "t").otherwise("f")
+    return read(spark, sf, "labels").select("doc_id", scalars.decode_boolean(F.col("toxic").cast("string")).alias("toxic"), scalars.decode_boolean(letters).alias("quality"))
