@@ -120,11 +120,22 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QuotationLinks().apply(table(spark, sf_dir, "conversations"))
+    """All conversations, and messages that quote them: every second turn is quoted by a later one, every fourth by one more, a level deeper."""
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+
+    def quoting(rows: DataFrame, later: int, mark: str, rest: str) -> DataFrame:
+        text = F.concat(F.lit(mark), F.replace("text", F.lit("\n"), F.lit("\n" + mark)), F.lit(rest))
+        return rows.where("text is not null").select("conv_id", (F.col("turn") + later).alias("turn"), F.lit("quotes").alias("role"), text.alias("text"))
+
+    once, twice = quoting(said.where("turn % 2 = 0"), 1_000_000, "> ", "\nagreed"), quoting(said.where("turn % 4 = 0"), 2_000_000, "> > ", "\n> agreed\nso do I")
+    return QuotationLinks().apply(said.unionByName(once).unionByName(twice))
 
 
 OP5_SQL = r"""
-WITH m AS (SELECT conv_id, turn, role, text, row_number() OVER () AS id FROM conversations),
+WITH talk AS (SELECT conv_id, turn, role, text FROM conversations
+         UNION ALL SELECT conv_id, turn + 1000000, 'quotes', '> ' || replace(text, chr(10), chr(10) || '> ') || chr(10) || 'agreed' FROM conversations WHERE turn % 2 = 0 AND text IS NOT NULL
+         UNION ALL SELECT conv_id, turn + 2000000, 'quotes', '> > ' || replace(text, chr(10), chr(10) || '> > ') || chr(10) || '> agreed' || chr(10) || 'so do I' FROM conversations WHERE turn % 4 = 0 AND text IS NOT NULL),
+m AS (SELECT conv_id, turn, role, text, row_number() OVER () AS id FROM talk),
 raw AS (SELECT m.id, conv_id, turn, u.pos, u.raw FROM m, LATERAL (SELECT unnest(l) AS raw, generate_subscripts(l, 1) AS pos
         FROM (SELECT regexp_split_to_array(text, '\r?\n') AS l)) u WHERE text IS NOT NULL),
 lines AS (SELECT id, conv_id, turn, pos, len(regexp_replace(regexp_extract(raw, '^[ \t]*(?:>[ \t]*)+'), '[^>]', '', 'g')) AS level,
@@ -250,5 +261,45 @@ SELECT * FROM ranked WHERE rank <= 10
 """
 
 
+#: (a, b) of all b reachable from each a, over links (u, v) in both directions between the ids of nodes.
+REACHED = "reached(a, b) AS (SELECT id, id FROM nodes UNION SELECT r.a, e.v FROM reached r JOIN links e ON r.b = e.u)"
+
+OP6_SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+nodes AS (SELECT vec_id AS id FROM embeddings), {REACHED},
+found AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a),
+n AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN found ON a = vec_id LEFT JOIN n ON u = vec_id
+"""
+
+OP8_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, row_number() OVER () AS row,
+     coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT row, doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM d),
+n AS (SELECT row, count(*) AS n FROM s GROUP BY row),
+pairs AS (SELECT a.row AS x, b.row AS y, any_value(a.doc_id) AS u, any_value(b.doc_id) AS v, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.row <> b.row GROUP BY a.row, b.row),
+links AS (SELECT x, u, v FROM pairs JOIN n p ON p.row = x JOIN n q ON q.row = y WHERE 100 * c >= 90 * (p.n + q.n - c)),
+nodes AS (SELECT doc_id AS id FROM documents), {REACHED},
+found AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a),
+many AS (SELECT x, count(*) AS many FROM links GROUP BY x)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(many, 0)::BIGINT AS n_links, component_id FROM d LEFT JOIN n USING (row) LEFT JOIN many ON x = row JOIN found ON a = doc_id
+"""
+
+OP9_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS row, {SQL_WORDS} AS w FROM documents),
+i AS (SELECT item_id::VARCHAR AS item, {SQL_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item, least(len(w), 10) AS k, unnest(list_transform(range(1, greatest(len(w) - 10, 0) + 2), lambda p: array_to_string(w[p:p + 9], ' '))) AS win FROM i WHERE len(w) > 0),
+own AS (SELECT row, k, unnest(range(1, len(w) - k + 2)) AS p, w FROM d JOIN (SELECT DISTINCT k FROM win) ON len(w) >= k),
+at_ AS (SELECT row, k, p, array_to_string(w[p:p + k - 1], ' ') AS win FROM own),
+hits AS (SELECT row, k, p, item FROM at_ JOIN win USING (k, win)),
+hit AS (SELECT row, count(DISTINCT q) AS n_hit FROM (SELECT row, unnest(range(p, p + k)) AS q FROM (SELECT DISTINCT row, p, k FROM hits)) GROUP BY row),
+found AS (SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT row, item FROM hits) GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (row) LEFT JOIN found USING (row)
+"""
+
+
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_url_filter, op3_language_id, op4_toxicity, op5_quotation_links, op6_embedding_near_dedup, op7_byte_bpe, op8_jaccard_join, op9_decontamination, op10_substring_dedup, op11_importance_resampling, op12_license_scan, op13_lexical_search)}
-ORACLE_SQL: dict[str, str] = {"op1_token_counts": OP1_SQL, "op2_url_filter": OP2_SQL, "op5_quotation_links": OP5_SQL, "op11_importance_resampling": OP11_SQL, "op12_license_scan": op12_sql(), "op13_lexical_search": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_token_counts": OP1_SQL, "op2_url_filter": OP2_SQL, "op5_quotation_links": OP5_SQL, "op6_embedding_near_dedup": OP6_SQL, "op8_jaccard_join": OP8_SQL, "op9_decontamination": OP9_SQL, "op11_importance_resampling": OP11_SQL, "op12_license_scan": op12_sql(), "op13_lexical_search": OP13_SQL}
