@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from concord.operators.blocks import KeyBlocks, key_blocks, key_span  # noqa: F401
 from concord.operators.encode import block_of, row_hashes
+from concord.operators.ranges import compare, key_bounds
 
 
 def same(columns: Sequence[str], left: str = "s", right: str = "t") -> Column:
@@ -64,14 +65,21 @@ def summary(changes: DataFrame) -> DataFrame:
     return changes.groupBy("action").agg(F.count("*").alias("n"))
 
 
-def tail_inserts(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Source rows after the target's last key: they need no comparison."""
+def tail_inserts(source: DataFrame, target: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Source rows after the target's last key: they need no comparison.  A key of several columns is looked up at once."""
+    if not isinstance(key, str):
+        last = key_bounds(target, key).first()[len(key) :]
+        return source if None in last else source.where(compare(key, ">", last))
     last = target.agg(F.max(key)).scalar()
     return source.where(last.isNull() | (F.col(key) > last))
 
 
-def out_of_range(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Target keys before the source's first or after its last; all of them if the source is empty."""
+def out_of_range(source: DataFrame, target: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Target keys before the source's first or after its last; all of them if the source is empty.  A key of several columns is looked up at once."""
+    if not isinstance(key, str):
+        found = key_bounds(source, key).first()
+        first, last = found[: len(key)], found[len(key) :]
+        return target.select(*key) if None in last else target.select(*key).where(compare(key, "<", first) | compare(key, ">", last))
     first, last = source.agg(F.min(key)).scalar(), source.agg(F.max(key)).scalar()
     return target.select(key).where(first.isNull() | (F.col(key) < first) | (F.col(key) > last))
 
@@ -229,6 +237,7 @@ def unique_conflicts(incoming: DataFrame, target: DataFrame, key: Sequence[str],
 
 def verify(source: DataFrame, target: DataFrame) -> DataFrame:
     """One row (missing, extra): rows, as multisets, that only one side has."""
-    a, b = source.select(*source.columns), target.select(*source.columns)
-    sided = a.exceptAll(b).select(F.lit(1).alias("missing"), F.lit(0).alias("extra")).unionAll(b.exceptAll(a).select(F.lit(0), F.lit(1)))
-    return sided.agg(F.coalesce(F.sum("missing"), F.lit(0)).cast("long").alias("missing"), F.coalesce(F.sum("extra"), F.lit(0)).cast("long").alias("extra"))
+    sided = source.select(*source.columns, F.lit(1).alias("_n")).unionAll(target.select(*source.columns, F.lit(-1)))
+    over = sided.groupBy(*source.columns).agg(F.sum("_n").alias("_n"))
+    total = lambda n: F.coalesce(F.sum(F.greatest(n, F.lit(0))), F.lit(0)).cast("long")
+    return over.agg(total(F.col("_n")).alias("missing"), total(-F.col("_n")).alias("extra"))

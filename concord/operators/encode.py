@@ -35,6 +35,18 @@ def encoded_row(df: DataFrame, columns: Sequence[str], scale: int | None = None)
     return F.concat(*parts)
 
 
+#: Digests, the fastest first.
+DIGESTS = ("xxhash64", "md5", "sha256")
+
+
+def choose_digest(*sides: Sequence[str]) -> str:
+    """The fastest digest that all sides can compute."""
+    for d in DIGESTS:
+        if all(d in s for s in sides):
+            return d
+    raise ValueError(f"no digest that all sides can compute: {sides}")
+
+
 def digest(text: Column, algorithm: str = "md5") -> Column:
     if algorithm == "md5":
         return F.md5(text)
@@ -68,7 +80,8 @@ def block_bytes(df: DataFrame, key: str, column: str, width: int) -> DataFrame:
 
 
 def block_digest(df: DataFrame, key: str, columns: Sequence[str], width: int, algorithm: str = "md5", scale: int | None = None) -> DataFrame:
-    """(block, n, bytes, first, last, digest) per block of `width` keys, in key order; a block has at most `width` rows of a unique key."""
+    """(block, n, bytes, first, last, digest) per block of `width` keys, in key order; a block has at most `width` rows of a unique key, block 0
+    with keys on both sides of 0 at most 2 * width - 1."""
     rows = df.select(F.col(key).alias("k"), encoded_row(df, columns, scale).alias("row"))
     rows = rows.select("k", F.expr(f"k div {width}").alias("block"), F.octet_length("row").alias("size"), digest(F.col("row"), algorithm).alias("h"))
     return rows.groupBy("block").agg(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,6 +95,21 @@ def key_columns(df: DataFrame, table: TableDef) -> DataFrame:
     return df.select(*table.primary_key)
 
 
-def page(df: DataFrame, key: str, after: Column, size: int) -> DataFrame:
-    """The first `size` rows after a key, in key order; `after` may be a scalar subquery."""
-    return df.where(F.col(key) > after).orderBy(key).limit(size)
+def page(df: DataFrame, key: str | Sequence[str], after: Column | Sequence | None, size: int) -> DataFrame:
+    """The first `size` rows after a key (None: from the first on), in key order; for a key of one column `after` may be a scalar subquery."""
+    names = [key] if isinstance(key, str) else list(key)
+    if after is not None:
+        df = df.where(F.col(key) > after if isinstance(key, str) else compare(names, ">", after))
+    return df.orderBy(*names).limit(size)
+
+
+def pages(df: DataFrame, key: Sequence[str], size: int) -> Iterator[DataFrame]:
+    """All pages, one after the other, each from the last key of the one before it: a row of it comes to the driver."""
+    after = None
+    while True:
+        found = page(df, key, after, size)
+        last = key_bounds(found, key).first()[len(key) :]
+        if None in last:
+            return
+        yield found
+        after = last

@@ -114,6 +114,8 @@ def sync_all(
     for side in (source, target):
         if isinstance(side, ParquetSource):
             side.recover()
+    if alter and commit != "never" and isinstance(target, JdbcSource):
+        target.create_schema()
     there, had = source.tables(), target.tables()
     names = restrict(there, only, ignore)
     defs = {n: (tables or {}).get(n) or source.definition(n) for n in names}

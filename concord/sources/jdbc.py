@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.plans.convert import spell
-from concord.plans.ddl import action_sql, literal, qualified, quoted, read_default
+from concord.plans.ddl import action_sql, literal, missing_schemas, qualified, quoted, read_default
 from concord.plans.dependencies import linked, parents_first
 from concord.plans.dialects import parse_mysql, parse_postgresql
 from concord.plans.model import ColumnDef, Default, KeyDef, KeyKind, TableDef
@@ -32,6 +32,12 @@ JDBC_TYPES = {
     5: "integer.16bit", 6: "float", 7: "float.32bit", 8: "float", 12: "text.varchar", 16: "boolean", 91: "date", 92: "time", 93: "datetime", 2004: "binary", 2005: "text", 2014: "datetime.tz",
 }
 
+#: What PostgreSQL's catalog calls types by shorter names.
+POSTGRESQL_NAMES = {
+    "int2": "smallint", "int4": "integer", "int8": "bigint", "float4": "real", "float8": "double precision", "bool": "boolean", "timestamptz": "timestamp with time zone",
+    "timestamp": "timestamp without time zone",
+}
+
 
 @dataclass
 class Job:
@@ -173,8 +179,7 @@ class JdbcSource:
         if self.dialect == "mysql":
             c = parse_mysql(name, f"{r['TYPE_NAME']}({size})" if r["DATA_TYPE"] in (1, 12, -2, -3) else f"{r['TYPE_NAME']}({size},{scale})" if r["DATA_TYPE"] in (2, 3) else r["TYPE_NAME"], nullable)
         elif self.dialect == "postgresql":
-            full = {"int2": "smallint", "int4": "integer", "int8": "bigint", "float4": "real", "float8": "double precision", "bool": "boolean", "timestamptz": "timestamp with time zone", "timestamp": "timestamp without time zone"}
-            kind = full.get(r["TYPE_NAME"], r["TYPE_NAME"])
+            kind = POSTGRESQL_NAMES.get(r["TYPE_NAME"], r["TYPE_NAME"])
             c = parse_postgresql(name, f"varchar({size})" if kind == "varchar" and size < 2**31 - 1 else f"character({size})" if kind == "bpchar" else f"numeric({size},{scale})" if kind == "numeric" and size else kind, nullable)
         else:
             kind = JDBC_TYPES.get(r["DATA_TYPE"], "unknown")
@@ -281,6 +286,13 @@ class JdbcSource:
         """Carry out a plan on a table whose definition afterwards is `table`."""
         self.execute([s for a in actions for s in action_sql(a, table, self.dialect, self.schema)])
 
+    def create_schema(self) -> None:
+        """The schema that is meant, where the database lacks it."""
+        if self.schema and self.dialect != "mysql":
+            with self.connection() as c:
+                there = [r["TABLE_SCHEM"] for r in self._rows(c.getMetaData().getSchemas())]
+                self._run(c, [f"CREATE SCHEMA {quoted(s, self.dialect)}" for s in missing_schemas((TableDef("", schema=self.schema),), there, [])])
+
     def drop(self, table: str) -> None:
         self.execute([f"DROP TABLE {self._name(table)}"])
 

@@ -146,14 +146,3 @@ def enum_labels(rows: DataFrame) -> DataFrame:
     """(enum, labels): the labels of each enum type in order, from (enum, pos, label) of a catalog."""
     held = rows.groupBy("enum").agg(F.array_sort(F.collect_list(F.struct("pos", "label"))).alias("l"))
     return held.select("enum", F.transform("l", lambda x: x["label"]).alias("labels"))
-
-
-def catalog_tables(spark: SparkSession, database: str | None = None) -> list[str]:
-    """Tables, not views, of a catalog namespace."""
-    return sorted(t.name for t in spark.catalog.listTables(database) if t.tableType not in ("VIEW", "TEMPORARY"))
-
-
-def column_listing(spark: SparkSession, table: str) -> DataFrame:
-    """(position, name, type, nullable) of a table or view."""
-    rows = [(i, c.name, c.dataType, c.nullable) for i, c in enumerate(spark.catalog.listColumns(table))]
-    return spark.createDataFrame(rows, "position int, name string, type string, nullable boolean").select("*", F.lit(table).alias("table_name"))

@@ -264,6 +264,64 @@ def test_a_table_without_a_key_is_left_alone_if_nothing_differs(spark, tmp_path,
     assert sync(a, b)[0].counts() == {"replace": 1} and rows(b.read("j")) == [(1, 2), (1, 2), (3, 4), (3, 4)]
 
 
+def test_a_missing_schema_is_created(spark, tmp_path):
+    source = derby(spark, tmp_path, "s", ['CREATE TABLE "t" ("id" integer NOT NULL PRIMARY KEY)', 'INSERT INTO "t" VALUES (1)'])
+    target = derby(spark, tmp_path, "t", schema="new one")
+    sync(source, target, alter=True)
+    assert target.tables() == ["t"] and rows(target.read("t")) == [(1,)] and JdbcSource(spark, target.url, DRIVER).tables() == []
+
+
+def test_a_stream_changes_the_files_it_must(spark, tmp_path):
+    """Late rows change nothing, files without keys of a batch stay, and what a stream repeats is there once."""
+    from concord.streaming.refresh import refresh, upsert
+
+    path, feed, schema = tmp_path / "target.parquet", str(tmp_path / "feed"), "id int, v string, at int"
+    target = spark.createDataFrame([(i, "old", 5) for i in range(100)], schema)
+    target.repartitionByRange(10, "id").write.parquet(str(path))
+    before = files(path)
+    come = spark.createDataFrame([(3, "late", 4), (7, "same time", 5), (8, "new", 6), (8, "newest", 7), (200, "added", 1)], schema)
+    come.write.parquet(feed)
+    for i in range(2):
+        refresh(spark.readStream.schema(schema).parquet(feed), str(path), ["id"], "at", str(tmp_path / f"cp{i}")).awaitTermination()
+    got = {r.id: (r.v, r.at) for r in spark.read.parquet(str(path)).collect()}
+    assert len(got) == 101 and (got[3], got[7], got[8], got[200]) == (("old", 5), ("same time", 5), ("newest", 7), ("added", 1))
+    assert spark.read.parquet(str(path)).count() == 101 and sum(n in files(path) for n in before) == 9
+    assert rows(upsert(target, come, ["id"], "at")) == rows(spark.read.parquet(str(path)))
+    assert not [n for n in os.listdir(tmp_path) if n.startswith((".", "_"))]
+
+
+def test_keys_of_several_columns_page_by_page(spark):
+    from concord.operators import diff, ranges
+
+    df = spark.createDataFrame([(i // 7, f"k{i % 7}", i) for i in range(50)], "a int, b string, v int")
+    got = [[r.v for r in p.collect()] for p in ranges.pages(df, ["a", "b"], 12)]
+    assert got == [list(range(s, min(s + 12, 50))) for s in range(0, 50, 12)]
+    none = df.limit(0)
+    assert list(ranges.pages(none, ["a", "b"], 3)) == [] and diff.tail_inserts(df, none, ["a", "b"]).count() == 50 and diff.tail_inserts(none, df, ["a", "b"]).count() == 0
+    assert diff.out_of_range(none, df, ["a", "b"]).count() == 50 and diff.out_of_range(df, none, ["a", "b"]).count() == 0
+
+
+def test_verify_counts_copies(spark):
+    from concord.operators import diff
+
+    a, b = (spark.createDataFrame(x, "k int, v double") for x in ([(1, None), (1, None), (2, 0.0), (3, 1.0)], [(1, None), (2, -0.0), (4, float("nan")), (4, float("nan"))]))
+    assert rows(diff.verify(a, b)) == [(2, 2)] and rows(diff.verify(a, a)) == [(0, 0)] and rows(diff.verify(a.limit(0), b.limit(0))) == [(0, 0)]
+
+
+def test_digests(spark):
+    import xxhash
+
+    from concord.operators import encode
+
+    assert encode.choose_digest(encode.DIGESTS, ["md5", "sha256"]) == "md5" and encode.choose_digest(encode.DIGESTS) == "xxhash64"
+    with pytest.raises(ValueError, match="no digest"):
+        encode.choose_digest(["md5"], ["sha256"])
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(20)], "k long, v string")
+    told = lambda text: format(xxhash.xxh64_intdigest(text.encode(), 42), "X")
+    got = {r.block: r.digest for r in encode.block_digest(df, "k", ["k", "v"], 8, "xxhash64").collect()}
+    assert got == {b: told("".join(told(f"{len(str(k))}:{k}{len(f'v{k}')}:v{k}") for k in range(b * 8, min(b * 8 + 8, 20)))) for b in range(3)}
+
+
 def test_definitions_without_columns_are_no_tables():
     assert TableDef("t").stored == []
 
