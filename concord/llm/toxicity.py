@@ -228,7 +228,7 @@ class KneserNeyToxicity:
                     number = looked_up(h, sent.value, np.arange(len(sent.value)), -1)
                     own = mix(left, 9) >> (number_bits + np.uint64(1)) << number_bits | number.astype(np.int64).astype(np.uint64)
                     held.append(np.unique(np.where(number >= 0, own | known, pair_key(left, h) & ~known)))
-                    if sum(map(len, held)) > 4_000_000:
+                    if sum(map(len, held)) > 2_500_000:
                         yield flush()
             yield flush()
 
