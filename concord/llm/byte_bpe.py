@@ -144,7 +144,8 @@ class ByteBPE:
 
     def digests(self, docs: DataFrame) -> DataFrame:
         """All columns of docs with n_tokens, ids_sha256 (of the decimal ids joined by blanks), decoded_sha256.  A word's ids are
-        spelled and decoded once while it is held; a text's are joined from those of its words."""
+        spelled and decoded once while it is held; a text's are joined from those of its words.  A null text counts as an empty one: no ids, and the
+        digests of nothing; repeated rows are encoded alike, each for itself; columns named like a result are replaced, others pass through."""
 
         def finish(spelled: list[str], decoded: list[bytes]) -> list[pa.Array]:
             sha = lambda b: hashlib.sha256(b).hexdigest()

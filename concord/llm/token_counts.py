@@ -75,7 +75,8 @@ class TokenRollup:
             stream.close()
 
     def commit(self, batch_id: str, signed: DataFrame) -> bool:
-        """Add a batch of signed rows (KEYS, docs, tokens); False if a batch of that id is committed already.
+        """Add a batch of signed rows (KEYS, docs, tokens); False if a batch of that id is committed already.  Repeated rows all count, other columns
+        are ignored, and a batch without rows changes no total but takes its id.
 
         The marker is created only where there is none, so of two writers of one id only one takes effect, and a batch counts
         wholly or not at all.  A marker without a name is what a writer that died has left: the id is free again.
@@ -138,6 +139,9 @@ class TokenRollup:
             data = self._fs(f"{self.path}/data/{name}-{self._writer(name)}")[1]
             fs.delete(self._fs(f"{self.path}/commits/{name}")[1], False)
             fs.delete(data, True)
+        for older in self._names("base"):  # who reads now reads this base or the one before
+            if int(older) < int(base or "0"):
+                fs.delete(self._fs(f"{self.path}/base/{older}")[1], True)
 
 
 def sums(signed: DataFrame) -> DataFrame:

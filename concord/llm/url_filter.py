@@ -41,7 +41,8 @@ def keys_of(host: Column, path: Column, lengths: list[int], most_labels: int) ->
     hosts = F.when(host == "", F.array().cast("array<string>")).otherwise(
         F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     )
-    paths = F.filter(F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in lengths]) if lengths else F.array().cast("array<string>"), lambda p: p.isNotNull())
+    known = F.lit(lengths) if lengths else F.array().cast("array<int>")
+    paths = F.transform(F.filter(known, lambda n: n <= F.length(path)), lambda n: F.substring(path, F.lit(1), n))
     every = F.flatten(F.transform(hosts, lambda h: F.transform(paths, lambda p: F.struct(F.length(F.concat(h, p)).alias("n"), F.length(h).alias("hn"), F.concat(h, p).alias("key")))))
     return F.transform(F.reverse(F.array_sort(every)), lambda k: k["key"])
 
@@ -157,8 +158,8 @@ class UrlFilter:
 
         rules: (host, path, verdict allow or block); a rule fits its host and all subdomains where the path starts with
         its path; the longest (host and path together) wins, then the longer host; of equal rules that disagree, block.  Rules with a null
-        or an empty host fit nothing.  A null url, or one without ://, has empty host and path and no rule.  Columns of
-        pages named like a result are replaced.
+        or an empty host fit nothing; repeated rules count once.  A null url, or one without ://, has empty host and path and no rule.
+        Repeated pages are judged alike, each for itself.  Columns of pages named like a result are replaced, others pass through.
         """
         pages = pages.drop("host", "path", "rule", "verdict")
         rules = rules.where("host is not null and path is not null and host <> ''").select(F.translate("host", UPPER, LOWER).alias("host"), "path", "verdict")

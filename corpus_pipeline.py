@@ -52,7 +52,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 @shielded
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines and passages are cut from all documents but the first that has them; n_chars is counted anew.  Null texts,
-    empty texts and rows without doc_id stay as they are; every document stays, be it empty."""
+    empty texts and rows without doc_id stay as they are; every document stays, be it empty.  Of rows that repeat each other the first
+    keeps its text."""
     return SubstringDedup().apply(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
@@ -64,8 +65,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of what they decode to, in place of the text; a null text has no tokens.  Columns named like
-    these are replaced, others pass through."""
+    """Token counts and digests of the ids and of what they decode to, in place of the text; a null text has no tokens.  Rows that repeat are
+    encoded alike and stay.  Columns named like these are replaced, others pass through."""
     return default_bpe().digests(docs).drop("text")
 
 
@@ -81,7 +82,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage; what the stages before have written is removed as soon as the next has read it."""
+    """The rows of the last stage; what the stages before have written is removed as soon as the next has read it.
+
+    Each stage says what it does with nulls, repeats and columns of its own names; an empty table gives an empty result.  Needs documents and
+    benchmark in sf_dir.
+    """
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         with scratch(spark):

@@ -460,6 +460,13 @@ def test_url_filter(spark):
     assert UrlFilter().apply(pages.limit(0), rules).count() == 0
 
 
+def test_url_filter_of_repeats_and_many_path_lengths(spark):
+    rules = [("a.org", "/" + "x" * n, "block" if n % 2 else "allow") for n in range(1, 300)] + [("a.org", "/x", "block")]
+    pages = [(1, "http://a.org/" + "x" * 250 + "y"), (1, "http://a.org/" + "x" * 250 + "y"), (2, "http://a.org/x"), (3, "http://a.org/")]
+    got = UrlFilter().apply(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(rules, "host string, path string, verdict string"))
+    assert sorted((r.page_id, r.rule and len(r.rule), r.verdict) for r in got.collect()) == [(1, 256, "allow"), (1, 256, "allow"), (2, 7, "block"), (3, None, "allow")]
+
+
 def test_url_cascade_is_exact_on_many_keys(spark):
     hosts = [f"h{i}.org" for i in range(3000)]
     pages = spark.createDataFrame([(i, f"http://{h}/x") for i, h in enumerate(hosts)], "page_id long, url string")
@@ -508,6 +515,12 @@ def test_token_rollup(spark, tmp_path):
     assert get() == expected
     with pytest.raises(ValueError, match="batch id"):
         r.commit("../x", counts())
+    assert r.commit("none", inserted(counts())) and not r.commit("none", inserted(counts(("s", "en", "1", 1)))) and get() == expected
+    assert r.commit("clash", inserted(counts(("s", "fr", "1", 2), ("s", "fr", "1", 2)).withColumn("docs", F.lit("clash"))).withColumn("batch", F.lit("clash")))
+    expected = sorted([*expected, ("s", "fr", "1", 2, 4)], key=str)
+    assert get() == expected
+    r.compact()
+    assert get() == expected and len(list((tmp_path / "rollup" / "base").iterdir())) <= 2
 
 
 def test_quotation_links(spark):
