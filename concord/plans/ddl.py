@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from concord.plans.model import ColumnDef, Default, TableDef
@@ -48,7 +49,7 @@ def literal(text: str) -> str:
 
 def type_sql(column: ColumnDef, dialect: str) -> str:
     if column.type_name == "enum":
-        return f"enum({','.join(map(literal, column.enum_values))})" if dialect == "mysql" else quoted(column.subtype, dialect) if column.subtype else "character varying"
+        return f"enum({','.join(map(literal, column.enum_values))})" if dialect == "mysql" else quoted(enum_name(column), dialect) if dialect == "postgresql" and column.enum_values else "character varying"
     if column.type_name.endswith("_specific"):
         return column.subtype
     if column.type_name not in SPELLINGS[dialect]:
@@ -62,6 +63,21 @@ def type_sql(column: ColumnDef, dialect: str) -> str:
     return name
 
 
+def enum_name(column: ColumnDef) -> str:
+    """The name of an enum's type: its own, or one that depends on its labels alone, as functions.scalars.enum_type_name gives it."""
+    return column.subtype or f"enum_{hashlib.sha256(','.join(column.enum_values).encode()).hexdigest()[:8]}"
+
+
+def enum_type_sql(table: TableDef, dialect: str, schema: str = "") -> list[str]:
+    """What makes PostgreSQL's enum types of a table, unless they are there; others have none."""
+    out = []
+    for c in table.columns if dialect == "postgresql" else ():
+        if c.type_name == "enum" and c.enum_values:
+            made = f"CREATE TYPE {qualified(enum_name(c), dialect, schema)} AS ENUM ({', '.join(map(literal, c.enum_values))})"
+            out.append(f"DO $$ BEGIN {made}; EXCEPTION WHEN duplicate_object THEN NULL; END $$")
+    return list(dict.fromkeys(out))
+
+
 def default_sql(column: ColumnDef, dialect: str) -> str:
     """What follows the type: the default, the identity or the generating expression; empty if there is none."""
     kind, value = column.default_kind, column.default_value

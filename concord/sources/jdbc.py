@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.plans.convert import spell
-from concord.plans.ddl import action_sql, literal, missing_schemas, qualified, quoted, read_default
+from concord.plans.ddl import action_sql, enum_type_sql, literal, missing_schemas, qualified, quoted, read_default
 from concord.plans.dependencies import linked, parents_first
 from concord.plans.dialects import parse_mysql, parse_postgresql
 from concord.plans.model import ColumnDef, Default, KeyDef, KeyKind, TableDef
@@ -149,6 +149,7 @@ class JdbcSource:
             primary = sorted(self._rows(meta.getPrimaryKeys(catalog, schema, table)), key=lambda r: r["KEY_SEQ"])
             index = self._rows(meta.getIndexInfo(catalog, schema, table, False, True))
             referring = {r["FK_NAME"] for r in self._rows(meta.getImportedKeys(catalog, schema, table))}
+            spelled, enums = self._spellings(c, schema or catalog, table)
         own = {r["PK_NAME"] for r in primary}
         key = tuple(r["COLUMN_NAME"] for r in primary)
         named: dict[str, list[dict]] = {}
@@ -161,7 +162,19 @@ class JdbcSource:
             backing = self.dialect == "derby" and rows[0]["NON_UNIQUE"] and re.match(r"SQL\d+", name)  # of a foreign key
             if name not in own and name not in referring and name != "PRIMARY" and held != key and not backing:
                 keys.append(KeyDef(name, KeyKind.STANDARD if rows[0]["NON_UNIQUE"] else KeyKind.UNIQUE, held))
-        return TableDef(table, tuple(map(self._column, columns)), key, tuple(keys))
+        return TableDef(table, tuple(self._column(r, spelled, enums) for r in columns), key, tuple(keys))
+
+    def _spellings(self, c, schema: str, table: str) -> tuple[dict[str, tuple[str, str]], dict[str, tuple[str, ...]]]:
+        """What JDBC's catalog leaves out: MySQL's full column types and extras by column, and the labels of PostgreSQL's enum types by type."""
+        if self.dialect == "mysql":
+            where = f"table_schema = {self.literal(schema)} AND table_name = {self.literal(table)}"
+            return {n: (kind, extra) for n, kind, extra in self._select(c, f"SELECT column_name, column_type, extra FROM information_schema.columns WHERE {where}")}, {}
+        enums: dict[str, list[str]] = {}
+        if self.dialect == "postgresql":
+            sql = "SELECT t.typname, e.enumlabel FROM pg_catalog.pg_enum e JOIN pg_catalog.pg_type t ON t.oid = e.enumtypid JOIN pg_catalog.pg_namespace n ON n.oid = t.typnamespace"
+            for name, label in self._select(c, f"{sql} WHERE n.nspname = {self.literal(schema)} ORDER BY t.typname, e.enumsortorder"):
+                enums.setdefault(name, []).append(label)
+        return {}, {n: tuple(x) for n, x in enums.items()}
 
     def references(self, names: Sequence[str]) -> list[tuple[str, str]]:
         """(child, parent) of the foreign keys between tables of the schema."""
@@ -173,20 +186,23 @@ class JdbcSource:
                 out |= {(name, r["PKTABLE_NAME"]) for r in self._rows(meta.getImportedKeys(catalog, schema, name)) if schema is None or r["PKTABLE_SCHEM"] == schema}
         return sorted(out)
 
-    def _column(self, r: dict) -> ColumnDef:
+    def _column(self, r: dict, spelled: Mapping[str, tuple[str, str]] = {}, enums: Mapping[str, tuple[str, ...]] = {}) -> ColumnDef:  # noqa: B006
         name, nullable = r["COLUMN_NAME"], r["NULLABLE"] != 0
         size, scale = r["COLUMN_SIZE"] or 0, r["DECIMAL_DIGITS"] or 0
-        if self.dialect == "mysql":
+        full, extra = spelled.get(name, ("", ""))
+        if full:
+            c = parse_mysql(name, full, nullable)
+        elif self.dialect == "mysql":
             c = parse_mysql(name, f"{r['TYPE_NAME']}({size})" if r["DATA_TYPE"] in (1, 12, -2, -3) else f"{r['TYPE_NAME']}({size},{scale})" if r["DATA_TYPE"] in (2, 3) else r["TYPE_NAME"], nullable)
         elif self.dialect == "postgresql":
             kind = POSTGRESQL_NAMES.get(r["TYPE_NAME"], r["TYPE_NAME"])
-            c = parse_postgresql(name, f"varchar({size})" if kind == "varchar" and size < 2**31 - 1 else f"character({size})" if kind == "bpchar" else f"numeric({size},{scale})" if kind == "numeric" and size else kind, nullable)
+            c = parse_postgresql(name, f"varchar({size})" if kind == "varchar" and size < 2**31 - 1 else f"character({size})" if kind == "bpchar" else f"numeric({size},{scale})" if kind == "numeric" and size else kind, nullable, dict(enums))
         else:
             kind = JDBC_TYPES.get(r["DATA_TYPE"], "unknown")
             sized = kind in ("decimal", "text.varchar", "text.fixed", "binary.varbinary", "binary.fixed")
             c = ColumnDef(name, kind, nullable, size if sized else 0, scale if kind == "decimal" else 0)
-        kind, value = read_default(r["COLUMN_DEF"], self.dialect, "auto_increment" if r.get("IS_AUTOINCREMENT") == "YES" else "", c.type_name.startswith(("integer", "decimal", "float")))
-        return ColumnDef(**{**vars(c), "name": name, "default_kind": kind, "default_value": value})
+        kind, value = read_default(r["COLUMN_DEF"], self.dialect, extra or ("auto_increment" if r.get("IS_AUTOINCREMENT") == "YES" else ""), c.type_name.startswith(("integer", "decimal", "float")))
+        return ColumnDef(**{**vars(c), "name": name, "default_kind": kind, "default_value": value, "auto_update": "on update" in extra.lower()})
 
     # -- rows ------------------------------------------------------------------------------------
 
@@ -284,7 +300,8 @@ class JdbcSource:
 
     def alter(self, actions: list[Action], table: TableDef) -> None:
         """Carry out a plan on a table whose definition afterwards is `table`."""
-        self.execute([s for a in actions for s in action_sql(a, table, self.dialect, self.schema)])
+        made = enum_type_sql(table, self.dialect, self.schema) if any(a.kind in ("create_table", "recreate_table", "add_column") for a in actions) else []
+        self.execute([*made, *(s for a in actions for s in action_sql(a, table, self.dialect, self.schema))])
 
     def create_schema(self) -> None:
         """The schema that is meant, where the database lacks it."""

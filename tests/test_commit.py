@@ -322,6 +322,36 @@ def test_digests(spark):
     assert got == {b: told("".join(told(f"{len(str(k))}:{k}{len(f'v{k}')}:v{k}") for k in range(b * 8, min(b * 8 + 8, 20)))) for b in range(3)}
 
 
+def test_what_catalogs_say_of_enums_and_extras(spark):
+    """Texts only, as these drivers are not installed: what is asked, and what is made of the answers."""
+    from concord.functions.scalars import enum_type_name
+    from concord.plans import ddl
+
+    asked = []
+
+    def answering(rows):
+        return type("Source", (JdbcSource,), {"_select": lambda self, c, sql: asked.append(sql) or rows})
+
+    mysql = answering([["e", "enum('a','it''s')", ""], ["n", "int unsigned", "auto_increment"], ["at", "timestamp", "DEFAULT_GENERATED on update CURRENT_TIMESTAMP"]])(spark, "jdbc:mysql://h/d")
+    spelled, enums = mysql._spellings(None, "d", "t's")
+    assert asked.pop() == "SELECT column_name, column_type, extra FROM information_schema.columns WHERE table_schema = 'd' AND table_name = 't''s'"
+    row = lambda n, **more: {"COLUMN_NAME": n, "NULLABLE": 0, "COLUMN_SIZE": 0, "DECIMAL_DIGITS": 0, "COLUMN_DEF": None, "TYPE_NAME": "X", "DATA_TYPE": 12, **more}
+    made = [mysql._column(row(n, **more), spelled, enums) for n, more in (("e", {}), ("n", {}), ("at", {"COLUMN_DEF": "CURRENT_TIMESTAMP"}))]
+    assert [(c.type_name, c.enum_values, c.default_kind, c.auto_update) for c in made] == [("enum", ("a", "it's"), Default.NONE, False), ("integer.unsigned", (), Default.SEQUENCE, False), ("datetime.mysqltimestamp", (), Default.EXPRESSION, True)]
+    pg = answering([["mood", "sad"], ["mood", "ok"]])(spark, "jdbc:postgresql://h/d")
+    spelled, enums = pg._spellings(None, "public", "t")
+    assert "pg_enum" in asked[-1] and "nspname = 'public'" in asked[-1]
+    c = pg._column(row("m", TYPE_NAME="mood"), spelled, enums)
+    assert (c.type_name, c.enum_values, c.subtype) == ("enum", ("sad", "ok"), "mood")
+    table = TableDef("t", (c, made[0]))
+    name = spark.range(1).select(enum_type_name(F.array(F.lit("a"), F.lit("it's"))).alias("n")).first().n
+    assert ddl.enum_type_sql(table, "postgresql", "s") == [
+        "DO $$ BEGIN CREATE TYPE \"s\".\"mood\" AS ENUM ('sad', 'ok'); EXCEPTION WHEN duplicate_object THEN NULL; END $$",
+        f"DO $$ BEGIN CREATE TYPE \"s\".\"{name}\" AS ENUM ('a', 'it''s'); EXCEPTION WHEN duplicate_object THEN NULL; END $$",
+    ]
+    assert ddl.type_sql(made[0], "postgresql") == f'"{name}"' and ddl.enum_type_sql(table, "mysql") == [] and ddl.type_sql(made[0], "mysql") == "enum('a','it''s')"
+
+
 def test_definitions_without_columns_are_no_tables():
     assert TableDef("t").stored == []
 
