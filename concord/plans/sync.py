@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import argparse
 import re
-from collections.abc import Callable, Collection, Mapping, Sequence
-from contextlib import nullcontext
+from collections.abc import Callable, Collection, Iterator, Mapping, Sequence
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -168,7 +168,8 @@ def sync_all(
             carry = ("_file",) * by_file
             result = None
             if trees and by_file and not check_keys:
-                result = tree_table(source, target, want, read, old, filters.get(name), width)
+                with described(target.spark, f"sync {name}: compare digest trees"):
+                    result = tree_table(source, target, want, read, old, filters.get(name), width)
             result = result or sync_table(read, old, want, filter=filters.get(name), width=width, check_keys=check_keys, carry=carry)
         result.schema_actions = actions
         results.append(result)
@@ -249,7 +250,8 @@ def to_folder(target: ParquetSource, results: list[TableResult], targets: Collec
     """Stage each table's new files, and put them in place table by table, or all at once with their definitions."""
     staged: list[Pair] = []
     for result in results:
-        pairs = [] if structure_only and result.table in targets and not result.schema_actions else staged_table(target, result)
+        with described(target.spark, f"sync {result.table}: compare and write aside"):
+            pairs = [] if structure_only and result.table in targets and not result.schema_actions else staged_table(target, result)
         if commit == "often":
             target.publish(pairs)
             done(result, target)
@@ -297,7 +299,8 @@ def to_database(target: JdbcSource, results: list[TableResult], defs: Mapping[st
                 jobs.append(Job(defs[name], changes, result.columns, counts))
             elif result.changes is None or result.counts():  # a table without a key, unless nothing differs
                 jobs.append(Job(defs[name], result.state.withColumn("action", F.lit("insert")), (), None))
-        target.apply_all(jobs)
+        with described(target.spark, f"sync {', '.join(group)}: compare and stage"):
+            target.apply_all(jobs)
         for job in jobs:
             if job.counts:
                 by_name[job.table.name].counted = job.counts()
@@ -306,6 +309,17 @@ def to_database(target: JdbcSource, results: list[TableResult], defs: Mapping[st
             progress(by_name[name])
 
 
+@contextmanager
+def described(spark: SparkSession, text: str) -> Iterator[None]:
+    """What Spark's pages and listeners say of the jobs within."""
+    before = spark.sparkContext.getLocalProperty("spark.job.description")
+    spark.sparkContext.setJobDescription(text)
+    try:
+        yield
+    finally:
+        spark.sparkContext.setLocalProperty("spark.job.description", before)
+
+
 def done(result: TableResult, target: Source) -> None:
     result.changes, result.state, result.old, result.tree = None, target.read(result.table), None, None
 

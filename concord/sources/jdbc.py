@@ -130,14 +130,25 @@ class JdbcSource:
             return True
 
     def tables(self) -> list[str]:
-        """Tables of the schema, not views, by name; staging tables that a failed run has left are no tables."""
+        """Tables of the schema, not views, largest first where the database tells sizes, equal ones by name; staging tables that a failed run
+        has left are no tables."""
         kinds = self.spark.sparkContext._gateway.new_array(self.spark._jvm.java.lang.String, 1)
         kinds[0] = "TABLE"
         with self.connection() as c:
             catalog, schema = self._scope(c)
             meta = c.getMetaData()
             rows = self._rows(meta.getTables(catalog, self._pattern(meta, schema), "%", kinds))
-        return sorted(r["TABLE_NAME"] for r in rows if not r["TABLE_NAME"].startswith("concord_stage_") and (schema is None or r["TABLE_SCHEM"] == schema))
+            sizes = self._sizes(c, schema or catalog)
+        names = [r["TABLE_NAME"] for r in rows if not r["TABLE_NAME"].startswith("concord_stage_") and (schema is None or r["TABLE_SCHEM"] == schema)]
+        return sorted(names, key=lambda n: (-sizes.get(n, 0), n))
+
+    def _sizes(self, c, schema: str) -> dict[str, int]:
+        """Stored bytes by table, where a catalog tells them."""
+        sql = {
+            "mysql": f"SELECT table_name, coalesce(data_length + index_length, 0) FROM information_schema.tables WHERE table_schema = {self.literal(schema)}",
+            "postgresql": f"SELECT c.relname, pg_total_relation_size(c.oid) FROM pg_catalog.pg_class c JOIN pg_catalog.pg_namespace n ON n.oid = c.relnamespace WHERE c.relkind IN ('r', 'p') AND n.nspname = {self.literal(schema)}",
+        }.get(self.dialect)
+        return {n: int(size) for n, size in self._select(c, sql)} if sql else {}
 
     def definition(self, table: str) -> TableDef:
         """Columns, primary key, and other keys by name."""

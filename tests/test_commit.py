@@ -352,6 +352,23 @@ def test_what_catalogs_say_of_enums_and_extras(spark):
     assert ddl.type_sql(made[0], "postgresql") == f'"{name}"' and ddl.enum_type_sql(table, "mysql") == [] and ddl.type_sql(made[0], "mysql") == "enum('a','it''s')"
 
 
+def test_sizes_order_tables(spark):
+    asked = []
+    of = lambda url: type("Source", (JdbcSource,), {"_select": lambda self, c, sql: asked.append(sql) or [["a", 5], ["b", 70]]})(spark, url)
+    assert of("jdbc:mysql://h/d")._sizes(None, "d") == of("jdbc:postgresql://h/d")._sizes(None, "s") == {"a": 5, "b": 70} and of("jdbc:derby:x")._sizes(None, "APP") == {}
+    assert "information_schema.tables WHERE table_schema = 'd'" in asked[0] and "n.nspname = 's'" in asked[1]
+
+
+def test_jobs_are_described(many_files, spark, monkeypatch):
+    source, target, tables, _ = many_files
+    seen, hold = [], ParquetSource.hold
+    monkeypatch.setattr(ParquetSource, "hold", lambda self, *a: seen.append(self.spark.sparkContext.getLocalProperty("spark.job.description")) or hold(self, *a))
+    spark.sparkContext.setJobDescription("outer")
+    sync(source, target, tables=tables)
+    assert seen == ["sync t: compare and write aside"] and spark.sparkContext.getLocalProperty("spark.job.description") == "outer"
+    spark.sparkContext.setLocalProperty("spark.job.description", None)
+
+
 def test_definitions_without_columns_are_no_tables():
     assert TableDef("t").stored == []
 
