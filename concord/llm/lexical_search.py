@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from concord.llm.common import byte_alphabet, bytes_of, discard, materialise, pieces, slim_batches
 
+#: Cells of a shard's lowest maxima that a task holds at once: with more terms at once, ranges are longer.
+CELLS = 1 << 22
 #: Words are runs of a-z, A-Z, 0-9 and bytes from 0x80 on; A-Z count as a-z.
 WORDS = byte_alphabet(bytes(b for b in range(0x80) if not chr(b).isalnum()))
 NO_ID = 2**63 - 1
@@ -159,10 +161,17 @@ class LexicalSearch:
             value = weight[term] * ((1_000_000_000 * tf) // (1000 * tf + 8 * m[doc]))
             shard = Shard(ids, doc, term, value, per_doc.leaf, per_doc.fanout)
             out: list[list] = [[], [], []]
+            there = np.unique(term)
             for names, asked in groups:
+                names = names[np.isin(names, there, assume_unique=True)]
+                if not len(names):
+                    continue
+                shard.leaf = max(per_doc.leaf, -(-len(ids) * len(names) // CELLS))
                 trees = shard.trees(names)
                 for q, query in asked:
-                    for score, d in shard.search(query, np.searchsorted(names, query), trees, per_doc.k):
+                    row = np.searchsorted(names, query)
+                    held = (row < len(names)) & (names[np.minimum(row, len(names) - 1)] == query)
+                    for score, d in shard.search(query[held], row[held], trees, per_doc.k) if held.any() else ():
                         for column, v in zip(out, (q, None if d == NO_ID else d, score)):
                             column.append(v)
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["q", "doc_id", "score"])

@@ -203,6 +203,20 @@ def test_lexical_search_against_brute_force(spark, documents, how):
     assert sorted(map(tuple, got.collect()), key=str) == ranked(documents, items, how.get("k", 10))
 
 
+def test_lexical_search_with_longer_ranges_for_many_terms(spark, monkeypatch):
+    rng = random.Random(14)
+    docs = [(i, " ".join(f"t{rng.randrange(3_000)}" for _ in range(40))) for i in range(300)]
+    items = [(1, " ".join(f"t{i}" for i in range(3_000))), (2, "t1 t2 t3")]
+    shards, shard = [], lexical_search.Shard.trees
+    one = lexical_search.Shard(list(range(300)), np.repeat(np.arange(300), 10), np.tile(np.arange(10), 300), np.ones(3_000, np.int64), 1, 8)
+    for one.leaf in (1, 7, 300, 1_000):
+        trees = shard(one, np.arange(10))
+        shards.append(one.search(np.arange(10), np.arange(10), trees, 3))
+    assert all(sorted(s) == [(10, 0), (10, 1), (10, 2)] for s in shards)
+    got = LexicalSearch(group_terms=10).apply(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(map(tuple, got.collect()), key=str) == ranked(docs, items)
+
+
 def test_lexical_search_opens_ranges_of_equal_bounds(spark):
     """Many documents with one score: the smallest ids win, wherever they lie."""
     docs = [(1_000 - i, "same words here") for i in range(200)] + [(5, "same words here"), (2, None)]
