@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -118,19 +119,25 @@ def pruned_diff(source: DataFrame, target: DataFrame, key: str | Sequence[str],
 
 
 def diff_within(source: DataFrame, target: DataFrame, blocks: KeyBlocks, differing: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """diff() of the rows of some blocks (block, ..); which, is computed once or twice."""
-    key, wanted = list(blocks.key), differing.select(F.col("block").alias("_block"))
-    few = [r[0] for r in wanted.limit(LITERAL_BLOCKS + 1).collect()]
+    """diff() of the rows of some blocks (block, ..).  Their numbers come to the driver once, BROADCAST_BLOCKS at most; only if there are
+    more is the comparison computed again, as a side of the joins."""
+    key, wanted = list(blocks.key), differing.select(F.col("block").cast("long").alias("_block"))
+    few = wanted.limit(BROADCAST_BLOCKS + 1).toPandas()["_block"].tolist()
     if not few:
         return diff(source.where(F.lit(False)), target.where(F.lit(False)), key, carry=carry)
     if len(few) <= LITERAL_BLOCKS:
         inside = blocks.predicate(few)
         return diff(source.where(inside), target.where(inside), key, carry=carry)
-    listed = F.broadcast(wanted) if wanted.limit(BROADCAST_BLOCKS + 1).count() <= BROADCAST_BLOCKS else wanted
-    part = lambda df: df.withColumn("_block", blocks.of()).join(listed, "_block", "left_semi").drop("_block")
+    listed = listed_blocks(source, few) if len(few) <= BROADCAST_BLOCKS else wanted
+    part = lambda df: df.withColumn("_block", blocks.of().cast("long")).join(listed, "_block", "left_semi").drop("_block")
     return diff(part(source), part(target), key, carry=carry)
 
 
+def listed_blocks(df: DataFrame, numbers: list[int]) -> DataFrame:
+    """Numbers, no more than BROADCAST_BLOCKS, as a table that is broadcast."""
+    return F.broadcast(df.sparkSession.createDataFrame(pd.DataFrame({"_block": pd.Series(numbers, dtype="int64")})))
+
+
 def block_refine(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str], coarse: int, fine: int) -> DataFrame:
     """block_compare() of the fine blocks within the coarse blocks that differ.  fine must divide coarse."""
     if coarse % fine:
@@ -201,12 +208,12 @@ def pruned_multiset_diff(source: DataFrame, target: DataFrame, columns: Sequence
     """multiset_diff() of the blocks of about `width` rows that differ: the rows of all others are read, but neither shuffled nor counted."""
     blocks = max(1, source.count() // width)
     wanted = multiset_blocks(source, target, columns, blocks).select(F.col("block").alias("_block"))
-    few = [r[0] for r in wanted.limit(LITERAL_BLOCKS + 1).collect()]
+    few = wanted.limit(BROADCAST_BLOCKS + 1).toPandas()["_block"].tolist()
     within = lambda df: F.pmod(row_hashes(df, columns)[0], F.lit(blocks))
     if len(few) <= LITERAL_BLOCKS:
         part = lambda df: df.where(within(df).isin(few) if few else F.lit(False))
     else:
-        listed = F.broadcast(wanted) if wanted.limit(BROADCAST_BLOCKS + 1).count() <= BROADCAST_BLOCKS else wanted
+        listed = listed_blocks(source, few) if len(few) <= BROADCAST_BLOCKS else wanted
         part = lambda df: df.withColumn("_block", within(df)).join(listed, "_block", "left_semi").drop("_block")
     return multiset_diff(part(source), part(target), columns)
 
