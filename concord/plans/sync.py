@@ -19,6 +19,7 @@ from concord.operators.diff import counting, diff, diff_within, multiset_diff, p
 from concord.operators.filters import TableFilter, apply_filter, load_filters, restrict, validate
 from concord.operators.keys import choose_key, verify_key
 from concord.plans.convert import adapted, convert, same_in, show
+from concord.plans.dependencies import parents_first
 from concord.plans.dialects import FALLBACKS
 from concord.plans.model import DatabaseDef, TableDef, table_of
 from concord.plans.schema_diff import Action, apply_to_frame, plan_table
@@ -92,8 +93,9 @@ def sync(
 ) -> list[TableResult]:
     """commit: never (results only), often (table by table) or success (all tables are computed and written aside before any is replaced,
     in one commit or transaction).  Tables of a database that refer to each other are always changed in one transaction.  alter:
-    change the target's schema where it differs; tables that only the target has are dropped, after all others are done, unless the source lists none.  Tables outside `only` and `ignore` stay, and filters of such tables do not count; a filter
-    of any other table that the source lacks is an error.  snapshot: a shared folder to copy a database's tables to, so that all
+    change the target's schema where it differs; tables that only the target has are dropped, after all others are done, unless the
+    source lists none.  Tables outside `only` and `ignore` stay, and filters of such tables do not count; a filter of any other table that the source
+    lacks is an error.  snapshot: a shared folder to copy a database's tables to, so that all
     passes see the same rows; PostgreSQL's tables are read as of one moment anyway.  trees: with `width`, keep trees of digests with the
     target's tables, so that of unchanged tables no row is read again.  progress: called with each table's result.
     """
@@ -182,6 +184,8 @@ def sync_all(
     else:
         for result in results:
             progress(result)
+    if isinstance(target, JdbcSource):  # tables go before those they refer to
+        extra = [n for group in parents_first(extra, target.references(extra)) for n in group][::-1]
     for name in extra:
         results.append(TableResult(name, "", schema_actions=[Action("drop_table", name)]))
         if commit != "never":

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.operators.apply import rewritten, write_staged
-from concord.operators.commit import Pair, commit, read_text, recover, write_text
+from concord.operators.commit import Pair, commit, exists, read_text, recover, write_text
 from concord.plans.model import DatabaseDef, TableDef, table_of
 
 DEFINITIONS = "_definitions.json"
@@ -139,7 +139,8 @@ class ParquetSource:
         return fs.exists(p)
 
     def drop(self, table: str) -> None:
-        self.publish([(f"{self.path}/{table}.parquet", None)])
+        """The table and its digest tree."""
+        self.publish([(p, None) for p in (f"{self.path}/{table}.parquet", self.tree_path(table)) if exists(self.spark, p)])
 
 
 def enum_labels(rows: DataFrame) -> DataFrame:

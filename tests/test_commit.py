@@ -191,6 +191,13 @@ def test_tables_that_refer_to_each_other_are_changed_in_one_transaction(spark, t
     assert {t: rows(b.read(t)) for t in a.tables()} == before
 
 
+def test_dropped_tables_go_before_those_they_refer_to(spark, tmp_path):
+    a = derby(spark, tmp_path, "a", FAMILY[-1:])
+    b = derby(spark, tmp_path, "b", [*FAMILY[:2], FAMILY[-1], 'INSERT INTO "z_parent" VALUES (1, NULL)', 'INSERT INTO "a_child" VALUES (1, 1)'])
+    done = sync(a, b, alter=True)
+    assert [r.table for r in done] == ["m_alone", "a_child", "z_parent"] and b.tables() == ["m_alone"]
+
+
 def test_order_of_tables():
     edges = [("child", "parent"), ("grand", "child"), ("x", "y"), ("y", "x"), ("y", "parent"), ("self", "self"), ("child", "elsewhere")]
     order = parents_first(["child", "grand", "parent", "self", "x", "y"], edges)

@@ -389,12 +389,14 @@ def test_trees_follow_a_sync(grown, spark):
     assert rows(target.read("t")) == rows(source.read("t")) and (digests / "tree.json").read_text() != before
     found = tree.load(spark, target.tree_path("t"), target.files("t"), ["u"], ["u", "v"])
     assert rows(found.leaf(spark)) == rows(tree.leaves(source.read("t"), found.blocks, ["u", "v"]))
-    # from a folder that has a tree of the same blocks, no row of either side is read
+    # from a folder that has a tree of the same blocks, no row is read of either side that has not changed
     third = ParquetSource(spark, target.path + "-copy")
     import shutil
 
     shutil.copytree(target.path, third.path)
     assert sync(target, third, tables=tables, width=32, trees=True)[0].counts() == {}
+    third.drop("t")
+    assert third.tables() == [] and not (tmp := path.parent.parent / "b-copy" / "_digests" / "t").exists(), tmp
 
 
 @pytest.mark.parametrize("how", ["leaves", "gone", "files"])
