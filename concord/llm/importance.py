@@ -83,20 +83,23 @@ class Stretch:
     def tuples(self) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
         """The distinct tuples, column by column and with -1 past their end; and the row and tuple number of each occurrence."""
         ids, n = np.concatenate(self.ids), np.concatenate(self.words)
-        doc = np.repeat(np.arange(len(n)), n)
+        self.ids.clear()
+        doc = np.repeat(np.arange(len(n), dtype=np.int32), n)
         columns: list[list[np.ndarray]] = [[] for _ in range(self.longest)]
         docs, numbers, above = [], [], 0
         for length in range(1, self.longest + 1):
             m = max(len(ids) - length + 1, 0)
-            whole = doc[:m] == doc[length - 1 :][:m]
+            whole = doc[:m] == doc[length - 1 :][:m] if length > 1 else slice(None)
             here = [ids[i : i + m][whole] for i in range(length)]
             first, number = numbered(here)
             for i, c in enumerate(columns):
                 c.append(here[i][first] if i < length else np.full(len(first), -1, np.int64))
             docs.append(doc[:m][whole])
-            numbers.append(number + above)
+            numbers.append((number + above).astype(np.int32))
             above += len(first)
-        return [np.concatenate(c) for c in columns], np.concatenate(docs), np.concatenate(numbers)
+            del here, number
+        joined = lambda x: x[0] if len(x) == 1 else np.concatenate(x)
+        return [joined(c) for c in columns], joined(docs), joined(numbers)
 
 
 @dataclass(frozen=True)
@@ -140,7 +143,10 @@ class ImportanceResampler:
             words = s.dictionary()
             words += [None] * (len(n) - len(words))
             yield from rows(len(n), place=place + np.arange(len(n)), n=n, t=t, word=words, **dict(zip(gram, columns)))
-            held, count = np.unique(doc * max(len(n), 1) + tuple_, return_counts=True)
+            key = doc * np.int64(max(len(n), 1)) + tuple_
+            del doc, tuple_
+            held, count = np.unique(key, return_counts=True)
+            del key
             cut = np.searchsorted(held // max(len(n), 1), np.arange(len(target) + 1)).tolist()
             held, count, words = (held % max(len(n), 1)).astype(np.int32), count.astype(np.int32), np.concatenate(s.words)
             mine = np.flatnonzero(~target).tolist()
