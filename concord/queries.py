@@ -148,11 +148,11 @@ def keyset_page(spark, sf):
     return ranges.page(df, "o_orderkey", df.orderBy("o_orderkey").limit(1000).agg(F.max("o_orderkey")).scalar(), 1000)
 
 
-@query("""WITH n AS (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) AS i FROM conversations) SELECT conv_id, turn FROM n WHERE i > 200 AND i <= 300""")
+@query("""WITH n AS (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) AS i FROM conversations) SELECT conv_id, turn FROM n WHERE i > 40 AND i <= 80""")
 def keyset_page_composite(spark, sf):
-    """The third page of a hundred keys of two columns."""
+    """The second page of forty keys of two columns, if there is one."""
     df = read(spark, sf, "conversations").select("conv_id", "turn")
-    return next(p for i, p in enumerate(ranges.pages(df, ["conv_id", "turn"], 100)) if i == 2)
+    return next((p for i, p in enumerate(ranges.pages(df, ["conv_id", "turn"], 40)) if i == 1), df.limit(0))
 
 
 @query("SELECT turn, conv_id FROM conversations")
