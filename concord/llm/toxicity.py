@@ -216,10 +216,14 @@ class KneserNeyToxicity:
         def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[np.ndarray] = []
 
-            def flush() -> pa.RecordBatch:
-                codes = np.unique(np.concatenate([np.empty(0, np.uint64), *held]))
+            def flush() -> Iterator[pa.RecordBatch]:
+                codes = np.concatenate([np.empty(0, np.uint64), *held])
                 held.clear()
-                return packed(bucket_of(codes, buckets), True, codes.view(np.int64), None, None)
+                codes.sort()
+                codes = codes[np.concatenate(([True], codes[1:] != codes[:-1]))[: len(codes)]]
+                for at in range(0, len(codes), 500_000):
+                    part = codes[at : at + 500_000]
+                    yield packed(bucket_of(part, buckets), True, part.view(np.int64), None, None)
 
             for batch in batches:
                 for piece in pieces(batch):
@@ -228,9 +232,9 @@ class KneserNeyToxicity:
                     number = looked_up(h, sent.value, np.arange(len(sent.value)), -1)
                     own = mix(left, 9) >> (number_bits + np.uint64(1)) << number_bits | number.astype(np.int64).astype(np.uint64)
                     held.append(np.unique(np.where(number >= 0, own | known, pair_key(left, h) & ~known)))
-                    if sum(map(len, held)) > 2_500_000:
-                        yield flush()
-            yield flush()
+                    if sum(map(len, held)) > 4_000_000:
+                        yield from flush()
+            yield from flush()
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _, rows in bucketwise(batches):
