@@ -7,12 +7,11 @@ import re
 import zlib
 from collections import Counter
 
-import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from concord.llm import importance, lexical_search, queries
+from concord.llm import importance, lexical_search
 from concord.llm.importance import ImportanceResampler
 from concord.llm.lexical_search import LexicalSearch
 from concord.llm.license_scan import BELIEF, LicenseScan, Rule, method_rules, phrase_rule, signature
@@ -246,19 +245,3 @@ def test_a_search_leaves_ranges_closed():
     finally:
         np.bincount = bincount
     assert len(opened) == 1
-
-
-# -- SQL -----------------------------------------------------------------------------------------
-
-
-@pytest.mark.parametrize("name", ["op6_embedding_near_dedup", "op8_jaccard_join", "op9_decontamination", "op11_importance_resampling", "op12_license_scan", "op13_lexical_search", "op5_quotation_links"])
-def test_queries_give_what_duckdb_gives(spark, name):
-    sf = "/root/testdata/sf0.001"
-    c = duckdb.connect()
-    for n in ("documents", "benchmark", "embeddings", "conversations"):
-        c.execute(f"CREATE VIEW {n} AS SELECT * FROM '{sf}/{n}.parquet'")
-    got = queries.QUERIES[name](spark, sf)
-    found = c.execute(queries.ORACLE_SQL[name])
-    columns = [d[0] for d in found.description]
-    assert sorted(columns) == sorted(got.columns)
-    assert sorted((tuple(r[x] for x in columns) for r in got.collect()), key=str) == sorted(found.fetchall(), key=str)
