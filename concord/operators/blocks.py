@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Collection, Sequence
 from dataclasses import dataclass
@@ -47,11 +48,13 @@ class KeyBlocks:
         return self.range_of().cast("long") * self.parts + part
 
     def range_of(self) -> Column:
-        """How many bounds are below a key, by binary search."""
+        """How many bounds are below a key, by binary search.  The bounds are one constant: made in the plan, once, and not for each row."""
         if not self.bounds:
             return F.lit(0)
-        texts = F.array(*[F.array(*map(F.lit, b)) for b in self.bounds]) if len(self.bounds) < 8 else F.from_json(F.lit(_json(self.bounds)), "array<array<string>>")
-        bounds = F.transform(texts, lambda b: F.struct(*[F.get(b, F.lit(i)).cast(k).alias(f"k{i}") for i, k in enumerate(self.kinds)]))
+        fields = [f"k{i}" for i in range(len(self.kinds))]
+        texts = json.dumps([dict(zip(fields, b)) for b in self.bounds])
+        typed = lambda kinds: f"array<struct<{', '.join(f'{f}: {k}' for f, k in zip(fields, kinds))}>>"
+        bounds = F.from_json(F.lit(texts), typed(["string"] * len(fields))).cast(typed(self.kinds))
         own = F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(self.key)])
         steps = F.sequence(F.lit(1), F.lit(math.ceil(math.log2(len(self.bounds) + 1))))
 
@@ -86,12 +89,6 @@ class KeyBlocks:
         return ranges & inside
 
 
-def _json(bounds) -> str:
-    import json
-
-    return json.dumps([list(b) for b in bounds])
-
-
 def key_span(key: str, width: int, first: int, last: int) -> Column:
     """The keys of the blocks `first` to `last`; as div rounds towards 0, block 0 has keys on both sides of it."""
     low = first * width if first > 0 else (first - 1) * width + 1

@@ -87,6 +87,17 @@ def test_blocks_of_any_key_are_ranges_of_it(spark, names, monkeypatch):
     assert rows(diff.pruned_diff(s, t, key, s.columns, 7)) == whole
 
 
+def test_bounds_are_one_constant_of_the_plan(spark):
+    """Not made anew for each row: the time of a row must not grow with the number of ranges."""
+    s = spark.range(600).select(F.format_string("k%03d", "id").alias("u"), F.timestamp_seconds("id").alias("at"), (F.col("id") % 7).cast("int").alias("n"))
+    for key in (["u"], ["at", "n"], ["n", "u"]):
+        by = blocks.key_blocks(s, key, 16)
+        found = s.select(by.range_of().alias("b"), *key)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert len(by.bounds) > 8 and "from_json" not in plan and "transform(" not in plan
+        assert found.agg(F.count_distinct("b")).first()[0] == len(by.bounds) + 1
+
+
 def test_differing_blocks_of_a_text_key_reach_the_scan(spark, tmp_path):
     s = spark.range(2_000).select(F.format_string("k%05d", "id").alias("u"), F.col("id").alias("v"))
     s.write.parquet(str(tmp_path / "s"))
