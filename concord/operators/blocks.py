@@ -61,8 +61,8 @@ class KeyBlocks:
         def halve(s: Column, _: Column) -> Column:
             middle = F.shiftright(s["low"] + s["high"], 1)
             above = F.get(bounds, middle) < own
-            low, high = F.when(above, middle + 1).otherwise(s["low"]), F.when(above, s["high"]).otherwise(middle)
-            return F.when(s["low"] >= s["high"], s).otherwise(F.struct(low.alias("low"), high.alias("high")))
+            after, before = F.struct((middle + 1).alias("low"), s["high"].alias("high")), F.struct(s["low"].alias("low"), middle.alias("high"))
+            return F.when(s["low"] >= s["high"], s).when(above, after).otherwise(before)
 
         return F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.lit(len(self.bounds)).alias("high")), halve)["low"]
 
