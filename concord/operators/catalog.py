@@ -6,16 +6,18 @@ definition is planned per table in the task that has its rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from concord.operators.keys import choose_key
 from concord.plans.dialects import negotiate, supported_types
 from concord.plans.model import SPARK_TYPES, ColumnDef, KeyDef, KeyKind, TableDef
-from concord.plans.schema_diff import Action, dedupe_names, plan_table
+from concord.plans.schema_diff import Action, UniqueNames, plan_table
 
 
 def restrict_rows(rows: DataFrame, only: Sequence[str] = (), ignore: Sequence[str] = ()) -> DataFrame:
@@ -85,14 +87,36 @@ def chosen_keys(columns: DataFrame, keys: DataFrame) -> DataFrame:
     return columns.groupBy("tbl").cogroup(keys.groupBy("tbl")).applyInPandas(choose, "tbl string, kind string, cols string")
 
 
-def unique_names(names: DataFrame, limit: int) -> DataFrame:
-    """(db, tbl, name, new): index names that are cut to `limit` characters and differ within a database, in the order of tables and names."""
+def name_family(name: Column, limit: int) -> Column:
+    """What names share that could ever be given the same numbered name: a beginning that numbers leave whole, without the numbers at its end."""
+    return F.regexp_replace(F.substring(name, 1, max(limit - 11, 0)), r"(_[0-9]*)+$", "")
 
-    def number(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["tbl", "name"])
-        return rows.assign(new=dedupe_names(list(rows.name), limit))
 
-    return names.select("db", "tbl", "name").groupBy("db").applyInPandas(number, "db long, tbl string, name string, new string")
+def unique_names(names: DataFrame, limit: int) -> DataFrame:
+    """(db, tbl, name, new): index names that are cut to `limit` characters and differ within a database, in the order of tables and names.
+
+    Families of one name are numbered by a window.  Where several names could meet, such as a and a_2, rows go through the task in
+    order, and only what has been given out in a family is held.
+    """
+    held = names.select("db", "tbl", "name", F.substring("name", 1, limit).alias("_cut"), name_family(F.col("name"), limit).alias("_family"))
+    family = W.partitionBy("db", "_family")
+    held = held.withColumns({"_n": F.row_number().over(family.orderBy("tbl", "name")), "_alone": F.min("_cut").over(family).eqNullSafe(F.max("_cut").over(family))})
+    number = F.concat(F.lit("_"), F.col("_n").cast("string"))
+    new = F.when(F.col("_n") == 1, F.col("_cut")).otherwise(F.concat(F.col("_cut").substr(F.lit(1), F.lit(limit) - F.length(number)), number))
+    alone = held.where("_alone").select("db", "tbl", "name", new.alias("new"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, given = None, UniqueNames(limit)
+        for batch in batches:
+            out = []
+            for db, family, name in zip(*(batch.column(c).to_pylist() for c in ("db", "_family", "name"))):
+                if (db, family) != at:
+                    at, given = (db, family), UniqueNames(limit)
+                out.append(given.add(name))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("db", "tbl", "name")), pa.array(out, pa.string())], ["db", "tbl", "name", "new"])
+
+    others = held.where("NOT _alone").select("db", "_family", "tbl", "name").repartition("db", "_family").sortWithinPartitions("db", "_family", "tbl", "name")
+    return alone.unionAll(others.mapInArrow(run, alone.schema))
 
 
 def negotiated(type_name: Column, dialect: str) -> Column:

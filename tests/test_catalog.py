@@ -52,6 +52,40 @@ def test_relations_and_definitions_agree(spark, seed):
     assert chosen == {x.name: (c.kind, ",".join(c.columns)) for x in s.tables for c in [choose_key(x)]}
 
 
+def test_names_are_numbered_in_linear_work():
+    class Counted(str):
+        tries = 0
+
+        def __getitem__(self, at):
+            Counted.tries += 1
+            return str(self)[at]
+
+    assert schema_diff.dedupe_names([Counted("a")] * 300, 63)[-1] == "a_300" and Counted.tries < 300 * 5
+
+
+def plainly(names, limit):
+    seen, out = set(), []
+    for name in names:
+        new, n = name[:limit], 1
+        while new in seen:
+            n += 1
+            new = name[: limit - len(f"_{n}")] + f"_{n}"
+        seen.add(new)
+        out.append(new)
+    return out
+
+
+@pytest.mark.parametrize("limit", [6, 14, 63])
+def test_names_that_meet_numbered_ones(spark, limit):
+    rng = random.Random(limit)
+    some = ["a", "a_2", "a_2_3", "a_", "a_1", "b", "b2", "ü" * 13, "ü" * 12 + "_2", "ü" * 62 + "x", "ü" * 62 + "y", "ü" * 61, "c_9_x", "d" * 70, "d" * 69, "only"]
+    given = [(db, f"t{i:03d}", name) for db in range(4) for i in range(40) for name in rng.sample(some[: 16 - 3 * db], 6)]
+    found = catalog.unique_names(spark.createDataFrame(given, "db long, tbl string, name string"), limit)
+    want = [(db, t, n, new) for db in range(4) for own in [sorted(x for x in given if x[0] == db)] for (_, t, n), new in zip(own, plainly([x[2] for x in own], limit))]
+    assert rows(found.select("db", "tbl", "name", "new")) == sorted(want)
+    assert "FlatMapGroups" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_names_types_and_lists(spark):
     names = spark.createDataFrame([(1, f"t{i}", "x" * 70) for i in range(4)] + [(2, "t0", "x" * 70), (1, "u", "y")], "db long, tbl string, name string")
     got = {(r.db, r.tbl): r.new for r in catalog.unique_names(names, 63).collect()}
