@@ -1,18 +1,19 @@
 """Catalogs as relations: definitions of any number of tables, compared and planned by table.
 
 Columns are rows (tbl, pos, col, type, nullable), keys are rows (tbl, name, kind, cols).  Lists are compared by joins; what needs a whole
-definition is planned per table in the task that has its rows.
+definition is planned per table, many tables a batch, in the task that has their rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from concord.operators.keys import choose_key
 from concord.plans.dialects import negotiate, supported_types
@@ -56,35 +57,56 @@ def key_changes(source: DataFrame, target: DataFrame) -> DataFrame:
     return found.select("tbl", "name", change(F.col("_s"), F.col("_t"), F.col("_s") == F.col("_t"), ("create", "drop", "change")).alias("action")).where("action is not null")
 
 
-def definition(columns: pd.DataFrame, keys: pd.DataFrame | None = None) -> TableDef | None:
+def whole(rows: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """A row for each table, its rows an array in the order of `columns`."""
+    return rows.groupBy("tbl").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(name))
+
+
+def definition(table: str, columns: list[dict] | None, keys: list[dict] | None = None) -> TableDef | None:
     """The definition that a table's rows tell; None without any."""
-    if not len(columns):
+    if not columns:
         return None
-    found = tuple(ColumnDef(r.col, r.type, bool(r.nullable)) for r in columns.sort_values("pos").itertuples())
-    named = () if keys is None else tuple(KeyDef(r.name, KeyKind(r.kind), tuple(r.cols)) for r in keys[["name", "kind", "cols"]].itertuples(index=False))
-    return TableDef(columns.tbl.iloc[0], found, (), named)
+    named = tuple(KeyDef(k["name"], KeyKind(k["kind"]), tuple(k["cols"])) for k in keys or ())
+    return TableDef(table, tuple(ColumnDef(c["col"], c["type"], c["nullable"]) for c in columns), (), named)
+
+
+def told(tables: DataFrame, tell: Callable[..., Iterable[tuple]], schema: str) -> DataFrame:
+    """The rows that tell(*row) gives for each row, a batch of tables at a time."""
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [x for row in zip(*(c.to_pylist() for c in batch.columns)) for x in tell(*row)]
+            columns = zip(*found) if found else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds)], schema=kinds)
+
+    return tables.mapInArrow(run, schema)
+
+
+COLUMN = ("pos", "col", "type", "nullable")
 
 
 def plans(source: DataFrame, target: DataFrame) -> DataFrame:
     """(tbl, step, action, name): what makes each table of the target one of the source, in order."""
 
-    def plan(s: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        want, have = definition(s), definition(t)
+    def plan(tbl: str, s: list[dict] | None, t: list[dict] | None) -> Iterable[tuple]:
+        want, have = definition(tbl, s), definition(tbl, t)
         steps = plan_table(want, have) if want and have else [Action("create_table", want.id)] if want else [Action("drop_table", have.id)]
-        return pd.DataFrame([(a.table, i, a.kind, a.name) for i, a in enumerate(steps)], columns=["tbl", "step", "action", "name"])
+        return [(a.table, i, a.kind, a.name) for i, a in enumerate(steps)]
 
-    return source.groupBy("tbl").cogroup(target.groupBy("tbl")).applyInPandas(plan, "tbl string, step int, action string, name string")
+    both = whole(source, COLUMN, "s").join(whole(target, COLUMN, "t"), "tbl", "full_outer")
+    return told(both.select("tbl", "s", "t"), plan, "tbl string, step int, action string, name string")
 
 
 def chosen_keys(columns: DataFrame, keys: DataFrame) -> DataFrame:
     """(tbl, kind, cols): the key that each table's rows are told apart by."""
 
-    def choose(c: pd.DataFrame, k: pd.DataFrame) -> pd.DataFrame:
-        table = definition(c, k)
-        found = choose_key(table) if table else None
-        return pd.DataFrame([(table.name, found.kind, ",".join(found.columns))] if found else [], columns=["tbl", "kind", "cols"])
+    def choose(tbl: str, c: list[dict], k: list[dict] | None) -> Iterable[tuple]:
+        found = choose_key(definition(tbl, c, k))
+        return [(tbl, found.kind, ",".join(found.columns))]
 
-    return columns.groupBy("tbl").cogroup(keys.groupBy("tbl")).applyInPandas(choose, "tbl string, kind string, cols string")
+    held = whole(columns, COLUMN, "c").join(whole(keys, ("name", "kind", "cols"), "k"), "tbl", "left")
+    return told(held.select("tbl", "c", "k"), choose, "tbl string, kind string, cols string")
 
 
 def name_family(name: Column, limit: int) -> Column:

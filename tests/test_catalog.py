@@ -52,6 +52,17 @@ def test_relations_and_definitions_agree(spark, seed):
     assert chosen == {x.name: (c.kind, ",".join(c.columns)) for x in s.tables for c in [choose_key(x)]}
 
 
+def test_tables_are_planned_many_a_batch(spark):
+    """A group of pandas frames for each table costs milliseconds."""
+    columns = spark.range(3_000).selectExpr("'t' || id div 3 AS tbl", "CAST(id % 3 AS INT) AS pos", "'c' || id % 3 AS col", "'integer' AS type", "id % 2 = 0 AS nullable")
+    steps = catalog.plans(columns, columns.where("col <> 'c2'"))
+    for found in (steps,):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "InPandas" not in plan and "CoGroup" not in plan
+    assert steps.groupBy("action", "name").count().collect() == [("add_column", "c2", 1_000)]
+    assert catalog.plans(columns.limit(0), columns.limit(0)).count() == 0
+
+
 def test_names_are_numbered_in_linear_work():
     class Counted(str):
         tries = 0
