@@ -55,11 +55,13 @@ def test_relations_and_definitions_agree(spark, seed):
 def test_tables_are_planned_many_a_batch(spark):
     """A group of pandas frames for each table costs milliseconds."""
     columns = spark.range(3_000).selectExpr("'t' || id div 3 AS tbl", "CAST(id % 3 AS INT) AS pos", "'c' || id % 3 AS col", "'integer' AS type", "id % 2 = 0 AS nullable")
-    steps = catalog.plans(columns, columns.where("col <> 'c2'"))
-    for found in (steps,):
+    keys = columns.where("NOT nullable AND pos > 0").select("tbl", F.concat(F.lit("by_"), "col").alias("name"), F.lit("unique").alias("kind"), F.array("col").alias("cols"))
+    steps, chosen = catalog.plans(columns, columns.where("col <> 'c2'")), catalog.chosen_keys(columns, keys)
+    for found in (steps, chosen):
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert "InPandas" not in plan and "CoGroup" not in plan
     assert steps.groupBy("action", "name").count().collect() == [("add_column", "c2", 1_000)]
+    assert {(r.kind, r.cols): r["count"] for r in chosen.groupBy("kind", "cols").count().collect()} == {("unique", "c1"): 500, ("unique", "c2"): 500}
     assert catalog.plans(columns.limit(0), columns.limit(0)).count() == 0
 
 
