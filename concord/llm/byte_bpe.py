@@ -58,16 +58,20 @@ class ByteBPE:
 
     # -- higher-order functions ------------------------------------------------------------------
 
-    def rank_map(self) -> Column:
-        """The literal: bucket of a key -> map of key to rank; keys as strings of byte characters."""
+    def buckets(self) -> str:
+        """JSON: bucket of a key -> map of key to rank; keys as strings of byte characters."""
         buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
         for token, rank in self.ranks.items():
             key = token.decode("latin-1")
             buckets[zlib.crc32(key.encode()) % BUCKETS][key] = rank
-        return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
+        return json.dumps(buckets)
 
-    def fold(self, word: Column) -> Column:
-        """array<int>: the ids of a word."""
+    def rank_map(self, text: Column) -> Column:
+        """The buckets as an array of maps."""
+        return F.from_json(text, "array<map<string,int>>")
+
+    def fold(self, word: Column, ranks: Column | None = None) -> Column:
+        """array<int>: the ids of a word.  ranks: a column of rank_map(), else it is a literal of the plan."""
 
         def encode(table: Column) -> Column:
             def rank(key: Column) -> Column:
@@ -101,7 +105,7 @@ class ByteBPE:
             folded = F.aggregate(turns, let(F.split(whole, ""), start), merge)["parts"]
             return F.when(rank(whole).isNotNull(), F.array(rank(whole))).otherwise(F.transform(folded, rank))
 
-        return F.when(F.octet_length(word) == 0, F.array().cast("array<int>")).otherwise(let(self.rank_map(), encode))
+        return F.when(F.octet_length(word) == 0, F.array().cast("array<int>")).otherwise(let(self.rank_map(F.lit(self.buckets())) if ranks is None else ranks, encode))
 
     # -- words -----------------------------------------------------------------------------------
 
@@ -130,9 +134,16 @@ class ByteBPE:
         found = docs.select(F.col("text").cast("string")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
         return found.where(F.octet_length("word") <= 64).orderBy(F.desc("n"), "word").limit(most).select("word")
 
+    def folded_words(self, docs: DataFrame) -> DataFrame:
+        """(word, ids) of the most frequent words.  The ranks come as a row that is broadcast to some hundred words at a time: as a literal they
+        would be spelled out, megabytes each time, wherever Spark describes the plan, and fill the driver."""
+        ranks = F.broadcast(docs.sparkSession.createDataFrame([(self.buckets(),)], "j string").select(self.rank_map(F.col("j")).alias("ranks")))
+        words = self.frequent_words(docs).withColumn("part", F.pmod(F.xxhash64("word"), F.lit(64))).repartition(8, "part").groupBy("part").agg(F.collect_list("word").alias("words"))
+        folded = F.transform("words", lambda w: F.struct(w.alias("word"), self.fold(w, F.col("ranks")).alias("ids")))
+        return words.crossJoin(ranks).select(F.explode(folded).alias("found")).select("found.*")
+
     def dictionary(self, docs: DataFrame) -> dict[str, tuple[int, ...]]:
-        rows = self.frequent_words(docs).repartition(8, "word").select("word", self.fold(F.col("word")).alias("ids"))
-        return {r.word: tuple(r.ids) for r in rows.toLocalIterator()}
+        return {r.word: tuple(r.ids) for r in self.folded_words(docs).toLocalIterator()}
 
     def encode(self, docs: DataFrame) -> DataFrame:
         """All columns of docs with ids (array<int>); a null text has no ids.  A column named ids is replaced."""

@@ -245,3 +245,15 @@ def test_a_search_leaves_ranges_closed():
     finally:
         np.bincount = bincount
     assert len(opened) == 1
+
+
+def test_ranks_are_no_part_of_the_plan(spark):
+    """Else each description of the plan that the driver holds takes megabytes."""
+    from concord.llm.byte_bpe import default_bpe
+
+    bpe = default_bpe()
+    docs = spark.createDataFrame([("the straße the straße überall überall the of of",)] * 3, "text string")
+    found = bpe.folded_words(docs)
+    assert len(found._jdf.queryExecution().toString()) < 200_000
+    literal = found.select("word", "ids", bpe.fold(F.col("word")).alias("want")).collect()
+    assert {r.word for r in literal} == {" straße", " the", " überall", " of"} and all(r.ids == r.want for r in literal)
